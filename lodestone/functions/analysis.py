@@ -7,6 +7,7 @@ import unicodedata
 from functools import cache, lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +28,9 @@ def _accents() -> tuple[str, str]:
 
 
 def fold(text: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), *_accents())
+    """Lower case without accents; ASCII text needs no look at single letters."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(F.lower(text), *_accents()))
 
 
 def fold_text(text: str) -> str:
@@ -185,14 +187,14 @@ def lexeme(word: str) -> str:
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _lexemes(tokens: pa.Array) -> pa.Array:
     # Each distinct word of a batch is stemmed once.
-    coded = pa.compute.dictionary_encode(tokens.flatten())
+    coded = pc.dictionary_encode(tokens.flatten())
     stems = pa.array([lexeme(w) for w in coded.dictionary.to_pylist()], pa.string())
     return pa.ListArray.from_arrays(_offsets(tokens), stems.take(coded.indices), mask=tokens.is_null())
 
 
 def _offsets(lists: pa.Array) -> pa.Array:
-    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0)
-    return pa.concat_arrays([pa.array([0], pa.int32()), pa.compute.cumulative_sum(sizes).cast(pa.int32())])
+    sizes = pc.fill_null(pc.list_value_length(lists), 0)
+    return pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())])
 
 
 def lexemes(text: Column) -> Column:

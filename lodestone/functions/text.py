@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,7 +14,8 @@ from lodestone import config as C
 SPACE = r"\t-\r\x1c-\x20\x85\p{Z}"
 
 # Fixed value: words that mark a sentence as a requirement.
-REQUIREMENT_WORDS = r"(?iu)(?U)\b(?:shall|must|should|required|use case|scenario)\b"
+REQUIREMENT_WORDS = ["shall", "must", "should", "required", "use case", "scenario"]
+REQUIREMENT = r"(?iu)(?U)\b(?:" + "|".join(REQUIREMENT_WORDS) + r")\b"
 
 
 def strip(text: Column) -> Column:
@@ -31,17 +35,17 @@ def slugify(text: Column) -> Column:
 def requirement_sentences(text: Column) -> Column:
     """Distinct sentences with a requirement word, in order of appearance.
 
-    A requirement word never spans two sentences, so texts without any are
-    told apart by one search before they are split.
+    No requirement word spans two sentences, so a text without the letters of
+    any is left alone before it is split.
     """
+    upper = F.upper(text)
+    possible = reduce(or_, [F.contains(upper, F.lit(w.upper())) for w in REQUIREMENT_WORDS])
     sentences = F.filter(
-        F.split(text, f"(?<=[.!?])[{SPACE}]+"),
-        lambda s: F.regexp_like(s, F.lit(REQUIREMENT_WORDS)),
+        F.split(text, f"(?<=[.!?])[{SPACE}]+"), lambda s: F.regexp_like(s, F.lit(REQUIREMENT))
+    )
+    return F.when(possible, F.array_distinct(F.transform(sentences, strip))).otherwise(
+        F.array().cast("array<string>")
     )
-    return F.when(
-        F.regexp_like(text, F.lit(REQUIREMENT_WORDS)),
-        F.array_distinct(F.transform(sentences, strip)),
-    ).otherwise(F.array().cast("array<string>"))
 
 
 def inline_code(text: Column) -> Column:

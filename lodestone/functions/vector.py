@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ def _similarities(lists: pa.Array, query: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(query)
     if not len(query) or norm < TINY:
         return out
-    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), -1).to_numpy(False)
+    sizes = pc.fill_null(pc.list_value_length(lists), -1).to_numpy(False)
     fits = np.flatnonzero(sizes == len(query))
     if not len(fits):
         return out

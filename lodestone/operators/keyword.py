@@ -42,11 +42,22 @@ def phrase_count(tokens: Column, phrase: list[str]) -> Column:
 
 def term_counts(text: Column, phrases: list[list[str]]) -> Column:
     """Number of words of ``text`` and the count of each phrase, from one pass."""
+    single = sorted({p[0] for p in phrases if len(p) == 1})
+
+    def counts(tokens: Column, wanted: Column) -> Column:
+        return F.struct(
+            F.size(tokens).alias("length"),
+            F.array(
+                *[phrase_count(wanted if len(p) == 1 else tokens, p) for p in phrases]
+            ).alias("counts"),
+        )
+
+    # Single words are counted among the few words that are searched at all.
     return let(
         words(text),
-        lambda tokens: F.struct(
-            F.size(tokens).alias("length"),
-            F.array(*[phrase_count(tokens, p) for p in phrases]).alias("counts"),
+        lambda tokens: let(
+            F.filter(tokens, lambda t: t.isin(single)) if single else F.array().cast("array<string>"),
+            lambda wanted: counts(tokens, wanted),
         ),
     )
 
@@ -114,56 +125,43 @@ def postings(chunks: DataFrame) -> DataFrame:
 
     Words are grouped inside each row, so nothing is shuffled here.
     """
-    occurrences = F.transform(
-        words(F.col("chunk")), lambda w, i: F.struct(w.alias("term"), i.alias("at"))
+    found = chunks.select(
+        "repo", "branch", "path", "id", F.explode(let(words(F.col("chunk")), _by_term)).alias("p")
     )
-    grouped = let(
-        F.array_sort(occurrences),
-        lambda sorted_: let(
-            F.array_distinct(F.transform(sorted_, lambda o: o["term"])),
-            lambda terms: F.arrays_zip(
-                terms.alias("term"), _position_lists(sorted_).alias("positions")
-            ),
-        ),
-    )
-    rows = chunks.withColumn("length", F.size(words(F.col("chunk"))))
-    return rows.select("repo", "branch", "path", "id", "length", F.explode(grouped).alias("p")).select(
+    return found.select(
         F.col("p.term").alias("term"), "id", "repo", "branch", "path",
-        F.size("p.positions").alias("tf"), F.col("p.positions").alias("positions"), "length",
+        F.size("p.positions").alias("tf"), F.col("p.positions").alias("positions"),
+        F.col("p.length").alias("length"),
     )
 
 
-def _position_lists(occurrences: Column) -> Column:
-    """Positions of equal neighbours of a sorted list, collected in one fold."""
-    kind = "array<array<int>>"
-    folded = F.aggregate(
-        occurrences,
-        F.struct(
-            F.lit(None).cast("string").alias("term"),
-            F.array().cast("array<int>").alias("open"),
-            F.array().cast(kind).alias("done"),
-        ),
-        lambda acc, o: F.when(
-            acc["term"] == o["term"],
-            F.struct(
-                acc["term"].alias("term"),
-                F.array_append(acc["open"], o["at"]).alias("open"),
-                acc["done"].alias("done"),
-            ),
-        ).otherwise(
-            F.struct(
-                o["term"].alias("term"),
-                F.array(o["at"]).alias("open"),
-                F.when(F.size(acc["open"]) > 0, F.array_append(acc["done"], acc["open"]))
-                .otherwise(acc["done"])
-                .alias("done"),
-            )
-        ),
-        lambda acc: F.when(
-            F.size(acc["open"]) > 0, F.array_append(acc["done"], acc["open"])
-        ).otherwise(acc["done"]),
+def _by_term(tokens: Column) -> Column:
+    """Words of one text with their positions: sorted, then cut where the word changes."""
+    placed = F.sort_array(
+        F.transform(tokens, lambda w, i: F.struct(w.alias("term"), i.alias("at")))
     )
-    return folded
+
+    def runs(sorted_: Column) -> Column:
+        borders = F.filter(
+            F.sequence(F.lit(0), F.size(sorted_) - 1),
+            lambda i: (i == 0) | (F.get(sorted_, i)["term"] != F.get(sorted_, i - 1)["term"]),
+        )
+        return let(
+            F.concat(borders, F.array(F.size(sorted_))),
+            lambda edges: F.transform(
+                F.slice(edges, 1, F.size(edges) - 1),
+                lambda start, j: F.struct(
+                    F.get(sorted_, start)["term"].alias("term"),
+                    F.transform(
+                        F.slice(sorted_, start + 1, F.get(edges, j + 1) - start),
+                        lambda o: o["at"],
+                    ).alias("positions"),
+                    F.size(sorted_).alias("length"),
+                ),
+            ),
+        )
+
+    return F.when(F.size(tokens) > 0, let(placed, runs))
 
 
 def corpus_stats(chunks: DataFrame, id_words: int = 1) -> DataFrame:
@@ -246,7 +244,7 @@ def bm25_postings(
 def like(chunks: DataFrame, query: str, *, repo: str | None = None, branch: str | None = None) -> DataFrame:
     """Rows that contain ``query``, in any case; ``%`` and ``_`` stay wildcards."""
     pattern = F.lit(f"%{query}%" if query else "%")
-    matches = F.lower("chunk").like(F.lower(pattern))
+    matches = F.like(F.lower("chunk"), F.lower(pattern))
     return in_scope(chunks, repo, branch).where(matches).withColumn(
         "keyword_score", F.when(matches, F.lit(1.0)).otherwise(F.lit(0.0))
     )
@@ -306,7 +304,7 @@ def web_query(query: str, english: bool = True) -> list[list[tuple[list[str], bo
 def text_matches(lexemes: Column, query: list[list[tuple[list[str], bool]]]) -> Column:
     """Whether a list of lexemes satisfies a web query."""
 
-    def holds(stems: list[str]) -> Column:
+    def holds(lexemes: Column, stems: list[str]) -> Column:
         if len(stems) == 1:
             return F.array_contains(lexemes, stems[0])
         present = reduce(and_, [F.array_contains(lexemes, s) for s in stems if s])
@@ -318,12 +316,16 @@ def text_matches(lexemes: Column, query: list[list[tuple[list[str], bool]]]) ->
         )
         return present & F.coalesce(aligned, F.lit(False))
 
-    if not query:
-        return F.lit(False)
-    return reduce(
-        or_,
-        [reduce(and_, [~holds(s) if excluded else holds(s) for s, excluded in a]) for a in query],
-    )
+    def satisfied(row: Column) -> Column:
+        return reduce(
+            or_,
+            [
+                reduce(and_, [~holds(row, s) if excluded else holds(row, s) for s, excluded in a])
+                for a in query
+            ],
+        )
+
+    return let(lexemes, satisfied) if query else F.lit(False)
 
 
 COVER_WEIGHT = 0.1

@@ -85,7 +85,7 @@ def place_spans(content: Column, spans: Column) -> Column:
         )
 
     return F.aggregate(
-        F.array_sort(spans),
+        F.sort_array(spans),
         F.struct(
             F.lit(0).alias("pos"), F.lit(0).alias("row"), F.lit(-1).alias("last"),
             F.array().cast(f"array<{PIECE}>").alias("out"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone import config as C
 from lodestone.operators.chunk import chunk_files
-from lodestone.operators.embed import Loader, error_reports, hashing_model, with_embeddings
+from lodestone.operators.embed import Loader, error_reports, HashingModel, with_embeddings
 from lodestone.plans.checkpoint import checkpointed
 from lodestone.sources.files import is_binary, is_ignored
 from lodestone.sources.index_table import IndexTable, index_rows
@@ -73,7 +73,7 @@ def index_changes(
     present = files.where(F.col("repo") == repo).join(wanted, "path", "left_semi")
     binary = is_binary(F.col("content"))
     chunks = chunk_files(present.where(~binary))
-    embedded = checkpointed(with_embeddings(chunks, model or hashing_model(dim), dim=dim))
+    embedded = checkpointed(with_embeddings(chunks, model or HashingModel(dim), dim=dim))
     rows = index_rows(embedded.where(F.col("error").isNull()), dim)
     gone = deleted if keep_stale else deleted.unionByName(wanted)
     table.replace_paths(rows, gone, repo)

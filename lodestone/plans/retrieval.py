@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone import config as C
 from lodestone.functions.text import file_tag, markdown_block
-from lodestone.operators.embed import Loader, embed_query, hashing_model
+from lodestone.operators.embed import Loader, embed_query, HashingModel
 from lodestone.operators.fusion import search_rrf
 from lodestone.operators.rerank import Reranker, rerank
 
@@ -35,7 +35,7 @@ def retrieve(
     if not text:
         return chunks.where(F.lit(False)).withColumn("score", F.lit(0.0))
     if query_vector is None:
-        query_vector = embed_query(text, model or hashing_model(dim), dim=dim)
+        query_vector = embed_query(text, model or HashingModel(dim), dim=dim)
     found = search(
         chunks, query_vector, text, C.first_stage_limit(top_k, initial_limit),
         repo=repo, branch=branch,

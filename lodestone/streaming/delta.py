@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodestone import config as C
 from lodestone.operators.chunk import chunk_files
-from lodestone.operators.embed import Loader, hashing_model, with_embeddings
+from lodestone.operators.embed import Loader, HashingModel, with_embeddings
 from lodestone.plans.checkpoint import checkpointed
 from lodestone.sources.index_table import IndexTable, index_rows, latest
 
@@ -35,7 +35,7 @@ def merge_batch(
     files = last.where(F.col("op").isin("A", "M")).select(
         F.lit(repo).alias("repo"), "branch", "path", "content"
     )
-    embedded = with_embeddings(chunk_files(files), model or hashing_model(dim), dim=dim)
+    embedded = with_embeddings(chunk_files(files), model or HashingModel(dim), dim=dim)
     rows = checkpointed(index_rows(embedded.where(F.col("error").isNull()), dim))
     table.replace_paths(rows, last.where(F.col("op").isin("A", "M", "D")).select("path"), repo)
 
