@@ -44,7 +44,7 @@ QUERIES: dict[str, Query] = {}
 # Search lines and the vector searched with.
 WORDS = "the onanshat blely"
 PHRASE = "of_the lyin"
-SUBSTRING = "hionatio"
+SUBSTRING = "ndthe"
 VECTOR = [((i * 37) % 64 - 31.5) / 64 for i in range(64)]
 
 

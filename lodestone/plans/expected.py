@@ -155,14 +155,33 @@ line AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
          generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 newline AS (
-  SELECT doc_id, list(at ORDER BY at) AS at FROM (
-    SELECT doc_id, (sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS at FROM line)
+  SELECT doc_id, list(pos ORDER BY pos) AS pos FROM (
+    SELECT doc_id, (sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS pos FROM line)
   GROUP BY doc_id),
 t AS (
-  SELECT doc_id AS k, strlen(text)::INT AS n, list_filter(at, lambda x: x < strlen(text)) AS nl
+  SELECT doc_id AS k, strlen(text)::INT AS n, list_filter(pos, lambda x: x < strlen(text)) AS nl
   FROM documents JOIN newline USING (doc_id))"""
 
 
+# Text of every chunk. One that starts inside a character shows a replacement
+# for each byte left of it; its description starts at the whole character.
+CHUNK_TEXT = """
+cut AS (
+  SELECT ovl.*, source, lang, 'doc_' || k || '.txt' AS path, encode(t) AS raw,
+    CASE WHEN substr(hx, 2 * s + 1, 1) NOT IN ('8','9','A','B') OR s >= n THEN 0
+         WHEN substr(hx, 2 * s + 3, 1) NOT IN ('8','9','A','B') THEN 1
+         WHEN substr(hx, 2 * s + 5, 1) NOT IN ('8','9','A','B') THEN 2 ELSE 3 END AS broken,
+    CASE WHEN substr(hx, 2 * s + 1, 1) NOT IN ('8','9','A','B') OR s >= n THEN s
+         WHEN substr(hx, 2 * s - 1, 1) NOT IN ('8','9','A','B') THEN s - 1
+         WHEN substr(hx, 2 * s - 3, 1) NOT IN ('8','9','A','B') THEN s - 2 ELSE s - 3 END AS whole
+  FROM ovl JOIN (SELECT doc_id AS k, source, lang FROM documents) USING (k)),
+ch AS (
+  SELECT k, sha256(source || '::' || lang || '::' || path || '::' || s || '::' || e) AS id, source AS repo, lang AS branch,
+         path, s, e, repeat(chr(65533), broken::INT) || decode(raw[s + broken + 1:e]) AS chunk,
+         decode(raw[whole + 1:e]) AS described
+  FROM cut)"""
+
+
 def ranges(soft: int, hard: int, overlap: int) -> str:
     return f"""
 WITH RECURSIVE {NEWLINES},
@@ -263,6 +282,44 @@ cov AS (SELECT id, sum(0.1::DOUBLE / (pos - pp)) AS rank FROM adj WHERE pt <> te
 ESCAPED = "replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
 
 
+LF = "' || chr(10) || '"
+TOML = f"regexp_replace(text, '(^|\\n)([^ \\n]+)', '\\1[\\2]{LF}key =', 'g')"
+HEADED = f"regexp_replace(text, '(^|\\n)([^ \\n]+) ?', '\\1{LF}## \\2{LF}{LF}', 'g')"
+
+
+def code_units() -> str:
+    """Spans of the class and of its methods, from the lengths of the lines."""
+    head = f"'package corpus;{LF}class Doc {{{LF}  int n = 0;{LF}  '"
+    opened = f"'void run() {{{LF}    say(\"'"
+    closed = f"'\");{LF}  }}'"
+    body = f"replace(replace(text, chr(34), chr(39)), chr(10), {closed} || chr(10) || '  ' || {opened})"
+    start_row, start_col = points("s")
+    end_row, end_col = points("e")
+    return f"""
+WITH c AS (
+  SELECT doc_id AS k, source, lang, {head} || {opened} || {body} || {closed} || chr(10) || '}}' || chr(10) AS t, text FROM documents),
+line AS (
+  SELECT k, i, strlen({opened} || line || {closed}) AS w, strlen(line) AS n FROM (
+    SELECT k, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM c)),
+m AS (
+  SELECT k, (strlen({head}) + sum(w + 3) OVER (PARTITION BY k ORDER BY i) - w - 3)::INT AS s, w::INT AS w, n FROM line),
+part AS (
+  SELECT k, s, w, (s + strlen('void run() {{') + 5)::INT AS a, (s + w - 4)::INT AS b,
+         unnest(CASE WHEN w <= 2048 OR n + 8 <= 2048 THEN [0] ELSE range(0, (n + 8 + 1023) // 1024) END)::INT AS j FROM m),
+u AS (
+  SELECT k, CASE WHEN w <= 2048 OR j = 0 THEN s ELSE a + 1024 * j END AS s,
+         CASE WHEN w <= 2048 THEN s + w WHEN b - a <= 2048 THEN b ELSE least(b, a + 1024 * (j + 1)) END AS e,
+         'method' AS kind,
+         'corpus.Doc.run()|member|java' || CASE WHEN w > 2048 AND b - a > 2048 THEN '#part' || (j + 1) ELSE '' END AS signature
+  FROM part
+  UNION ALL
+  SELECT k, strlen('package corpus;') + 1, strlen(t) - 1, 'class_metadata', 'corpus.Doc#metadata' FROM c),
+x AS (SELECT u.* REPLACE (s::INT AS s, e::INT AS e), source, lang, hex(encode(t)) AS hx, 'doc_' || k || '.java' AS path FROM u JOIN c USING (k))
+SELECT sha256(source || '::' || lang || '::' || path || '::' || s || '::' || e) AS id, path, 'java' AS language,
+       {start_row} AS start_row, {start_col} AS start_col, {end_row} AS end_row, {end_col} AS end_col,
+       s AS start_bytes, e AS end_bytes, kind AS chunk_kind, NULL::VARCHAR AS eol, signature FROM x"""
+
+
 def sql_texts() -> dict[str, str]:
     slug = (
         r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '^\s+|\s+$', '', 'g')),"
@@ -276,7 +333,32 @@ def sql_texts() -> dict[str, str]:
     )
     half = "(strlen(text) // 2)"
     start_row, start_col = points(half)
+    described = r"trim(regexp_replace(substr(described, 1, 120), '\s+', ' ', 'g'))"
+    chunks = f"{cuts(PLAIN)}, {MERGED}, {OVERLAPPED}, {CHUNK_TEXT}"
     texts = {
+        "plaintext_chunk_text": f"""
+WITH RECURSIVE {chunks}
+SELECT path, s AS start_bytes, e AS end_bytes, md5(chunk) AS chunk_md5,
+  concat_ws('|', repo, path, s || '-' || e,
+    nullif(CASE WHEN length({described}) > 80 THEN substr({described}, 1, 77) || '...' ELSE {described} END, ''), 'doc-chunker-v1') AS signature
+FROM ch""",
+        "passage_search": f"""
+WITH RECURSIVE {chunks},
+idx AS (SELECT ch.id, repo, branch, path, chunk, embedding FROM ch LEFT JOIN embeddings ON vec_id = k),
+{bm25(WORDS)}, {NEAR}, {fused(20)}
+SELECT id, path, s AS start_bytes, e AS end_bytes, {r6('score')} FROM fused JOIN ch USING (id)""",
+        "toml_chunks": f"""
+WITH RECURSIVE {cuts(lined(TOML, "line <> '' AND line[1] <> ' '"))}, {MERGED}, {OVERLAPPED}
+SELECT o.*, CASE WHEN line[1] = '[' AND contains(line, ']') THEN trim(trim(line, '[]'))
+                 WHEN contains(line, ':') THEN trim(string_split(line, ':')[1]) ELSE trim(string_split(line, '=')[1]) END AS crumb
+FROM ({chunk_report('toml', 'toml', 'toml')}) o
+JOIN (SELECT 'doc_' || k || '.toml' AS path, s AS start_bytes, e AS end_bytes, trim(string_split(decode(encode(t)[lo + 1:hi]), chr(10))[1]) AS line
+      FROM ovl JOIN (SELECT k, b, lo, hi FROM src) USING (k, b)) USING (path, start_bytes, end_bytes)""",
+        "markdown_headings": f"""
+WITH src AS ({lined(HEADED, 'true')})
+SELECT 'doc_' || k || '.md' AS path, lo AS start_bytes, hi AS end_bytes, trim(rtrim(trim(substr(line, 4)), '#')) AS crumb
+FROM (SELECT *, trim(decode(encode(t)[lo + 1:hi]), chr(10)) AS line FROM src) WHERE line LIKE '## %'""",
+        "code_chunks": code_units(),
         "files_projection": f"SELECT source AS repo, lang AS branch, {PATH} AS path, strlen(text)::INT AS n_bytes FROM documents",
         "changes_latest": f"WITH {OPS} SELECT path, op, event_id FROM last_op",
         "changes_split_counts": f"""
