@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,17 +79,42 @@ def _exploded(files: DataFrame, pieces: Column) -> DataFrame:
     return with_ids(describe(rows))
 
 
+# The expressions below have thousands of nodes and name columns only, so they
+# are built once per Spark context rather than once per job.
+
+
+@cache
+def _plain_pieces(_: SparkContext) -> Column:
+    family = F.col("family")
+    return _pieces(
+        lambda content: F.when(family == "bytes", byte_spans(content)).otherwise(
+            document_spans(content, F.col("blocks"), family)
+        )
+    )
+
+
+@cache
+def _any_pieces(_: SparkContext) -> Column:
+    family = F.col("family")
+
+    def spans(content: Column) -> Column:
+        return (
+            F.when(family == "bytes", byte_spans(content))
+            .when(family == "markup", _tagged(markup_ranges(content, F.col("groups"))))
+            .when((family == "code") & (F.size("units") > 0), unit_spans(content, F.col("units")))
+            .when(family == "code", _tagged(plain_ranges(content)))
+            .otherwise(document_spans(content, F.col("blocks"), family))
+        )
+
+    return _pieces(spans)
+
+
 def chunk_plaintext(files: DataFrame) -> DataFrame:
     """Chunks of files known to be plain text or tables; runs in the JVM only."""
-    family = F.col("family")
     known = dispatch(files.where(F.octet_length("content") > 0))
     return _exploded(
-        known.withColumn("blocks", whole_blocks(F.col("content"), family)),
-        _pieces(
-            lambda content: F.when(family == "bytes", byte_spans(content)).otherwise(
-                document_spans(content, F.col("blocks"), family)
-            )
-        ),
+        known.withColumn("blocks", whole_blocks(F.col("content"), F.col("family"))),
+        _plain_pieces(files.sparkSession.sparkContext),
     )
 
 
@@ -104,14 +132,4 @@ def chunk_files(files: DataFrame) -> DataFrame:
             "units": code_units(F.col("language"), F.col("path"), F.when(family == "code", content)),
         })
     )
-
-    def spans(bound: Column) -> Column:
-        return (
-            F.when(family == "bytes", byte_spans(bound))
-            .when(family == "markup", _tagged(markup_ranges(bound, F.col("groups"))))
-            .when((family == "code") & (F.size("units") > 0), unit_spans(bound, F.col("units")))
-            .when(family == "code", _tagged(plain_ranges(bound)))
-            .otherwise(document_spans(bound, F.col("blocks"), family))
-        )
-
-    return _exploded(scanned, _pieces(spans))
+    return _exploded(scanned, _any_pieces(files.sparkSession.sparkContext))

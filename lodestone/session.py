@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .appName("lodestone")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Leave out the call site of every column; plans are built twice as fast.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in SETTINGS.items():
