@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from functools import cache
+from pathlib import Path
+
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -17,9 +23,21 @@ SETTINGS = {
 }
 
 
+@cache
+def ship(context: SparkContext) -> None:
+    """Send this package to the executors, wherever the driver was started from."""
+    package = Path(__file__).parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="lodestone-")) / package.name),
+        "zip", root_dir=package.parent, base_dir=package.name,
+    )
+    context.addPyFile(archive)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark.sparkContext)
     return spark
 
 
@@ -38,4 +56,5 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark.sparkContext)
     return spark
