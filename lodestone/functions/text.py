@@ -131,27 +131,3 @@ def markdown_block(path: Column, language: Column, chunk: Column) -> Column:
     return F.concat(
         F.lit("### "), path, F.lit("\n\n```"), language, F.lit("\n"), chunk, F.lit("\n```")
     )
-
-
-# Fixed value: every line boundary a text may have, not only the newline.
-LINE_BREAK = r"\r\n|[\n-\r\x1c-\x1e\x85\u2028\u2029]"
-
-
-def section_heading(text: Column) -> Column:
-    """Name of a YAML or TOML block by its first line that says something.
-
-    A bracketed section gives its inner text, otherwise whatever precedes the
-    first colon or equals sign, otherwise the payload of a list item.
-    """
-    lines = F.transform(F.split(text, LINE_BREAK), strip)
-    names = F.transform(
-        F.filter(lines, lambda s: (s != "") & ~F.startswith(s, F.lit("#"))),
-        lambda s: F.when(
-            F.startswith(s, F.lit("[")) & (F.instr(s, "]") > 0),
-            strip(F.regexp_replace(s, r"^[\[\]]+|[\[\]]+$", "")),
-        )
-        .when(F.instr(s, ":") > 0, strip(F.substring_index(s, ":", 1)))
-        .when(F.instr(s, "=") > 0, strip(F.substring_index(s, "=", 1)))
-        .when(F.startswith(s, F.lit("-")), F.coalesce(F.nullif(strip(F.substring(s, 2, 1 << 30)), F.lit("")), F.lit("-"))),
-    )
-    return F.coalesce(F.get(F.filter(names, lambda n: n.isNotNull()), F.lit(0)), F.lit(""))

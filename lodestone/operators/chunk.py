@@ -60,12 +60,19 @@ def _tagged(ranges: Column) -> Column:
 
 
 def _pieces(spans) -> Column:
-    """Placed pieces of a file; its content is bound once for all steps."""
+    """Placed pieces of a file; its content is bound once for all steps.
+
+    An empty file has none. It is told apart here rather than by a filter,
+    which would compute a derived content a second time.
+    """
     return let(
         F.col("content"),
-        lambda content: let(
-            spans(content),
-            lambda found: with_line_ending(content, place_spans(content, found)),
+        lambda content: F.when(
+            F.octet_length(content) > 0,
+            let(
+                spans(content),
+                lambda found: with_line_ending(content, place_spans(content, found)),
+            ),
         ),
     )
 
@@ -111,7 +118,7 @@ def _any_pieces(_: SparkContext) -> Column:
 
 def chunk_plaintext(files: DataFrame) -> DataFrame:
     """Chunks of files known to be plain text or tables; runs in the JVM only."""
-    known = dispatch(files.where(F.octet_length("content") > 0))
+    known = dispatch(files)
     return _exploded(
         known.withColumn("blocks", whole_blocks(F.col("content"), F.col("family"))),
         _plain_pieces(files.sparkSession.sparkContext),
@@ -125,7 +132,7 @@ def chunk_files(files: DataFrame) -> DataFrame:
     of their own family only, so text and tables never go to Python.
     """
     content, family = F.col("content"), F.col("family")
-    known = dispatch(files.where(F.octet_length("content") > 0))
+    known = dispatch(files)
     scanned = document_blocks(
         known.withColumns({
             "groups": markup_groups(F.col("language"), F.when(family == "markup", content)),

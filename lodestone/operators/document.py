@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone import config as C
 from lodestone.functions import text as X
-from lodestone.functions.bytesops import end_of_last, floor_char, let, slice_raw, slice_text
+from lodestone.functions.bytesops import end_of_last, floor_char, let, slice_raw
 from lodestone.operators.pieces import document_tag, strings
 from lodestone.operators.ranges import merge_small, newline_ranges, pack_segments, split_span
 
@@ -27,36 +27,27 @@ def whole_block(content: Column, kind: Column) -> Column:
     )
 
 
-def _segment(span: Column, block: Column, crumb: Column) -> Column:
+def _segment(span: Column, block: Column) -> Column:
     return F.struct(
         span["start"].alias("start"),
         span["end"].alias("end"),
         block["type"].alias("head"),
         strings(block["type"]).alias("types"),
         F.when(block["fence"].isNotNull(), strings(block["fence"])).otherwise(strings()).alias("fences"),
-        crumb.alias("crumb"),
+        block["crumb"].alias("crumb"),
         block["anchors"].alias("anchors"),
     ).cast(SEGMENT)
 
 
-def cut_blocks(content: Column, blocks: Column, family: Column) -> Column:
+def cut_blocks(content: Column, blocks: Column) -> Column:
     """Bounded parts of all blocks; headings stay whole."""
 
-    def crumb(block: Column) -> Column:
-        named = X.section_heading(slice_text(content, block["start"], block["end"]))
-        return F.when(
-            family.isin("yaml", "toml"),
-            F.filter(strings(named), lambda name: name != ""),
-        ).otherwise(block["crumb"])
-
     def parts(block: Column) -> Column:
         spans = F.when(
             block["type"] == "heading",
             F.array(F.struct(block["start"].alias("start"), block["end"].alias("end"))),
         ).otherwise(split_span(content, block["start"], block["end"]))
-        return let(
-            crumb(block), lambda c: F.transform(spans, lambda span: _segment(span, block, c))
-        )
+        return F.transform(spans, lambda span: _segment(span, block))
 
     return F.flatten(F.transform(blocks, parts))
 
@@ -129,7 +120,7 @@ def with_overlap(content: Column, segments: Column) -> Column:
 def document_spans(content: Column, blocks: Column, family: Column) -> Column:
     """Spans of all chunks of one document."""
     return let(
-        group_segments(cut_blocks(content, blocks, family), family),
+        group_segments(cut_blocks(content, blocks), family),
         lambda segments: with_overlap(content, segments),
     )
 

@@ -93,21 +93,24 @@ def doc_key(column: str = "doc_id") -> Column:
     return F.lpad(F.col(column).cast("string"), 12, "0")
 
 
+_INDEX_ROW = [
+    "lpad(doc_id, 12, '0') AS id", "source AS repo", "lang AS branch",
+    "'doc_' || doc_id || '.txt' AS path", "'text' AS language", "text AS chunk",
+]
+
+
+def document_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` as index rows without vectors."""
+    return documents(spark, folder).selectExpr(*_INDEX_ROW)
+
+
 def document_index(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` as index rows, with a vector where ``embeddings`` has one."""
     vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     return (
         documents(spark, folder)
         .join(vectors, "doc_id", "left")
-        .select(
-            doc_key().alias("id"),
-            F.col("source").alias("repo"),
-            F.col("lang").alias("branch"),
-            F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
-            F.lit("text").alias("language"),
-            F.col("text").alias("chunk"),
-            "embedding",
-        )
+        .selectExpr(*_INDEX_ROW, "embedding")
     )
 
 
@@ -225,7 +228,7 @@ def plaintext_segments(spark, folder):
     text = F.lit("text")
     return spans(
         document_files(spark, folder),
-        lambda c: group_segments(cut_blocks(c, whole_blocks(c, text), text), text),
+        lambda c: group_segments(cut_blocks(c, whole_blocks(c, text)), text),
     )
 
 
@@ -291,12 +294,11 @@ def sectioned(text: Column) -> Column:
 def yaml_blocks(spark, folder):
     files = document_files(spark, folder, sectioned(F.col("text")), "yaml")
     found = files.select(
-        "path", "content", F.explode(structure_blocks(F.lit("yaml"), F.col("content"))).alias("b")
+        "path", F.explode(structure_blocks(F.lit("yaml"), F.col("content"))).alias("b")
     )
-    start, end = F.col("b.start"), F.col("b.end")
     return found.select(
-        "path", start.alias("start_bytes"), end.alias("end_bytes"),
-        X.section_heading(B.slice_text(F.col("content"), start, end)).alias("heading"),
+        "path", F.col("b.start").alias("start_bytes"), F.col("b.end").alias("end_bytes"),
+        F.array_join("b.crumb", "/").alias("heading"),
     )
 
 
@@ -417,7 +419,7 @@ def marked() -> Column:
 
 @query
 def requirement_sentences(spark, folder):
-    found = table(spark, folder, "documents").select(
+    found = documents(spark, folder).select(
         "doc_id", F.posexplode(X.requirement_sentences(marked())).alias("pos", "sentence")
     )
     return found.select("doc_id", "pos", "sentence")
@@ -483,8 +485,10 @@ def chunk_ids(spark, folder):
 
 @query
 def section_headings(spark, folder):
-    text = F.concat(F.lit("# note\n"), F.when(F.col("doc_id") % 2 == 0, F.lit("[ a.b ]\n")).otherwise(F.lit("\n- ")), F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", X.section_heading(text).alias("heading"))
+    text = F.concat(F.lit(" # note\n"), F.when(F.col("doc_id") % 2 == 0, F.lit(" [ a.b ]\n")).otherwise(F.lit("\n - ")), F.col("text"))
+    blocks = structure_blocks(F.lit("toml"), text.cast("binary"))
+    rows = documents(spark, folder).select("doc_id", F.get(blocks, F.lit(0)).alias("b"))
+    return rows.select("doc_id", F.array_join("b.crumb", "/").alias("heading"))
 
 
 # --- vectors ----------------------------------------------------------------
@@ -553,7 +557,7 @@ def vector_bytes(spark, folder):
 @query
 def fts_terms(spark, folder):
     """Document frequency and count of every word."""
-    rows = K.postings(document_index(spark, folder))
+    rows = K.postings(document_texts(spark, folder))
     return rows.groupBy("term").agg(
         F.count("*").alias("df"), F.sum(F.col("tf").cast("long")).alias("cf")
     )
@@ -561,45 +565,45 @@ def fts_terms(spark, folder):
 
 @query
 def bm25_topk(spark, folder):
-    found = K.top_by(K.bm25(document_index(spark, folder), WORDS), "keyword_score", 50)
+    found = K.top_by(K.bm25(document_texts(spark, folder), WORDS), "keyword_score", 50)
     return found.select("id", rounded("keyword_score"))
 
 
 @query
 def bm25_filtered(spark, folder):
-    found = K.bm25(document_index(spark, folder), WORDS, repo="src8", branch="en")
+    found = K.bm25(document_texts(spark, folder), WORDS, repo="src8", branch="en")
     return found.select("id", "repo", "branch", rounded("keyword_score"))
 
 
 @query
 def bm25_postings(spark, folder):
-    rows = document_index(spark, folder)
+    rows = document_texts(spark, folder)
     found = K.bm25_postings(K.postings(rows), K.corpus_stats(rows), WORDS)
     return found.select("id", rounded("keyword_score"))
 
 
 @query
 def phrase_match(spark, folder):
-    found = K.bm25(document_index(spark, folder), PHRASE)
+    found = K.bm25(document_texts(spark, folder), PHRASE)
     return found.select("id", rounded("keyword_score"))
 
 
 @query
 def phrase_postings(spark, folder):
-    rows = document_index(spark, folder)
+    rows = document_texts(spark, folder)
     found = K.bm25_postings(K.postings(rows), K.corpus_stats(rows), PHRASE)
     return found.select("id", rounded("keyword_score"))
 
 
 @query
 def like_match(spark, folder):
-    return K.like(document_index(spark, folder), "E_hat%The").select("id", "keyword_score")
+    return K.like(document_texts(spark, folder), "E_hat%The").select("id", "keyword_score")
 
 
 @query
 def keyword_fallback(spark, folder):
     """A part of words is no word, so the search turns to substrings."""
-    return K.keyword_search(document_index(spark, folder), SUBSTRING, 50).select("id", "keyword_score")
+    return K.keyword_search(document_texts(spark, folder), SUBSTRING, 50).select("id", "keyword_score")
 
 
 def lexeme_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -685,7 +689,7 @@ def rerank_lexical(spark, folder):
 
 @query
 def render_results(spark, folder):
-    rows = document_index(spark, folder).withColumn(
+    rows = document_texts(spark, folder).withColumn(
         "chunk", F.concat(F.lit("if x < y & \"z\" > 'w': "), F.col("chunk"))
     )
     return formatted(rows).select("id", F.md5("formatted").alias("formatted_md5"))
@@ -732,7 +736,7 @@ def failing_model():
 
 
 def embedded_documents(spark: SparkSession, folder: str) -> DataFrame:
-    rows = document_index(spark, folder).drop("embedding")
+    rows = document_texts(spark, folder)
     placed = rows.withColumns({
         "start_row": F.lit(0), "start_col": F.lit(0), "end_row": F.lit(0), "end_col": F.lit(0),
         "signature": F.col("path"),
@@ -788,7 +792,7 @@ def delete_paths(spark, folder):
 
 @query
 def purge_orphans(spark, folder):
-    index = K.postings(document_index(spark, folder)).select("term", "id", "tf")
+    index = K.postings(document_texts(spark, folder)).select("term", "id", "tf")
     alive = table(spark, folder, "labels").select(doc_key().alias("id"))
     return without_orphans(index, alive).groupBy("id").agg(
         F.count("*").alias("terms"), F.sum(F.col("tf").cast("long")).alias("words")
