@@ -61,8 +61,8 @@ p(k, b, s, e, hi) AS (
 """
 
 
-MERGED = """
-parts AS (SELECT k, b, s, e FROM p WHERE e > s),
+PARTS = "parts AS (SELECT k, b, s, e FROM p WHERE e > s)"
+MERGED = PARTS + """,
 grp AS (
   SELECT *, sum(CASE WHEN rn = 1 OR e - s >= 512 THEN 1 ELSE 0 END)
               OVER (PARTITION BY k ORDER BY s) AS g
@@ -102,7 +102,7 @@ def points(at: str) -> str:
     return f"({row})::INT", f"({col})::INT"
 
 
-def chunk_report(suffix: str, language: str, kind: str) -> str:
+def chunk_report(suffix: str, language: str, kind: str, source: str = "ovl") -> str:
     start_row, start_col = points("s")
     end_row, end_col = points("e")
     return f"""
@@ -111,7 +111,7 @@ SELECT sha256(source || '::' || lang || '::' || path || '::' || s || '::' || e)
        {end_row} AS end_row, {end_col} AS end_col, s AS start_bytes, e AS end_bytes,
        '{kind}' AS chunk_kind,
        CASE WHEN contains(t, chr(10)) THEN chr(10) ELSE '' END AS eol
-FROM (SELECT ovl.*, 'doc_' || k || '.{suffix}' AS path FROM ovl) o
+FROM (SELECT *, 'doc_' || k || '.{suffix}' AS path FROM {source}) o
 JOIN (SELECT doc_id AS k, source, lang FROM documents) d USING (k)
 """
 
@@ -287,6 +287,49 @@ TOML = f"regexp_replace(text, '(^|\\n)([^ \\n]+)', '\\1[\\2]{LF}key =', 'g')"
 HEADED = f"regexp_replace(text, '(^|\\n)([^ \\n]+) ?', '\\1{LF}## \\2{LF}{LF}', 'g')"
 
 
+def markdown() -> str:
+    """Headings and the prose below them, packed in order up to 2048 bytes."""
+    src = f"""
+SELECT k, b, t, lo, CASE WHEN head OR piped THEN least(hi, lo + strlen(first) + 1) ELSE hi END::INT AS hi, head, piped, title FROM (
+  SELECT *, first LIKE '## %' AS head, regexp_matches(first, '^\s*\|.*\|\s*$') AS piped,
+         last_value(CASE WHEN first LIKE '## %' THEN trim(rtrim(trim(substr(first, 4)), '#')) END IGNORE NULLS)
+           OVER (PARTITION BY k ORDER BY lo) AS title
+  FROM (
+    SELECT k, blk AS b, any_value(t) AS t, arg_min(line, i) AS first, min(e - w)::INT AS lo,
+           max(CASE WHEN last THEN e - 1 ELSE e END)::INT AS hi
+    FROM (
+      SELECT *, sum(CASE WHEN line LIKE '## %' OR (line <> '' AND before = '') THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY k ORDER BY i) AS blk
+      FROM (
+        SELECT *, strlen(line) + 1 AS w, i = m AS last, lag(line, 1, 'x') OVER (PARTITION BY k ORDER BY i) AS before,
+               sum(strlen(line) + 1) OVER (PARTITION BY k ORDER BY i) AS e
+        FROM (
+          SELECT k, t, unnest(string_split(t, chr(10))) AS line,
+                 generate_subscripts(string_split(t, chr(10)), 1) AS i, len(string_split(t, chr(10))) AS m
+          FROM (SELECT doc_id AS k, {HEADED} AS t FROM documents))))
+    GROUP BY k, blk) WHERE b > 0) WHERE hi > lo"""
+    packed = """
+pr AS (SELECT k, b, s, e, row_number() OVER (PARTITION BY k ORDER BY s) AS i FROM p WHERE e > s),
+pk(k, i, head, no) AS (
+  SELECT k, i, s, 1 FROM pr WHERE i = 1
+  UNION ALL
+  SELECT pr.k, pr.i, CASE WHEN pr.e - pk.head > 2048 THEN pr.s ELSE pk.head END,
+         CASE WHEN pr.e - pk.head > 2048 THEN no + 1 ELSE no END
+  FROM pk JOIN pr ON pr.k = pk.k AND pr.i = pk.i + 1),
+parts AS (SELECT k, arg_min(b, s) AS b, min(s) AS s, max(e) AS e FROM pk JOIN pr USING (k, i) GROUP BY k, no)"""
+    slug = r"trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9\s-]', '', 'g'), '[\s-]+', '-', 'g'), '-')"
+    return f"""
+WITH RECURSIVE {cuts(src)}, {MERGED.replace(PARTS, packed)}, {OVERLAPPED},
+placed AS (
+  SELECT ovl.* REPLACE (CASE WHEN head THEN lo ELSE s END AS s), title, lag(e, 1, 0) OVER (PARTITION BY k ORDER BY e) AS pe
+  FROM ovl JOIN (SELECT k, b, lo, head, title FROM src) USING (k, b)),
+tabled AS (SELECT DISTINCT placed.k, placed.e FROM placed JOIN src ON src.k = placed.k AND piped AND src.lo >= pe AND src.lo < placed.e)
+SELECT o.* REPLACE (CASE WHEN tabled.e IS NULL THEN 'doc' ELSE 'table' END AS chunk_kind), title AS crumb, {slug} AS anchors
+FROM ({chunk_report('md', 'markdown', 'doc', 'placed')}) o
+JOIN (SELECT k AS o_k, 'doc_' || k || '.md' AS path, s AS start_bytes, e AS end_bytes, title FROM placed) USING (path, start_bytes, end_bytes)
+LEFT JOIN tabled ON tabled.k = o_k AND tabled.e = end_bytes"""
+
+
 def code_units() -> str:
     """Spans of the class and of its methods, from the lengths of the lines."""
     head = f"'package corpus;{LF}class Doc {{{LF}  int n = 0;{LF}  '"
@@ -359,6 +402,7 @@ WITH src AS ({lined(HEADED, 'true')})
 SELECT 'doc_' || k || '.md' AS path, lo AS start_bytes, hi AS end_bytes, trim(rtrim(trim(substr(line, 4)), '#')) AS crumb
 FROM (SELECT *, trim(decode(encode(t)[lo + 1:hi]), chr(10)) AS line FROM src) WHERE line LIKE '## %'""",
         "code_chunks": code_units(),
+        "markdown_chunks": markdown(),
         "files_projection": f"SELECT source AS repo, lang AS branch, {PATH} AS path, strlen(text)::INT AS n_bytes FROM documents",
         "changes_latest": f"WITH {OPS} SELECT path, op, event_id FROM last_op",
         "changes_split_counts": f"""
