@@ -165,10 +165,14 @@ def _by_term(tokens: Column) -> Column:
 
 
 def corpus_stats(chunks: DataFrame, id_words: int = 1) -> DataFrame:
-    """One row: number of chunks and their mean length in words."""
+    """One row: number of chunks and their mean length in words.
+
+    An index stores the length, so only that column is read.
+    """
+    stored = "n_words" in chunks.columns
+    length = F.col("n_words") if stored else F.size(words(F.col("chunk")))
     return chunks.agg(
-        F.count("*").cast("double").alias("total"),
-        F.avg(F.size(words(F.col("chunk"))) + id_words).alias("mean"),
+        F.count("*").cast("double").alias("total"), F.avg(length + id_words).alias("mean")
     )
 
 

@@ -73,6 +73,7 @@ def index_changes(
     present = files.where(F.col("repo") == repo).join(wanted, "path", "left_semi")
     binary = is_binary(F.col("content"))
     chunks = chunk_files(present.where(~binary))
+    wanted, deleted = checkpointed(wanted), checkpointed(deleted)
     embedded = checkpointed(with_embeddings(chunks, model or HashingModel(dim), dim=dim))
     rows = index_rows(embedded.where(F.col("error").isNull()), dim)
     gone = deleted if keep_stale else deleted.unionByName(wanted)

@@ -56,7 +56,10 @@ INDEX = T.StructType([
     T.StructField("mutation_id", T.StringType()),
     T.StructField("search_vector", T.StringType()),
     T.StructField("embedding", T.ArrayType(T.FloatType()), False),
-    # Kept on top of the sixteen columns, so a hit can show where it came from.
+    # Kept on top of the sixteen columns: what searches would otherwise have to
+    # work out from the text again, and where a hit came from.
+    T.StructField("n_words", T.IntegerType()),
+    T.StructField("lexemes", T.ArrayType(T.StringType())),
     T.StructField("signature", T.StringType()),
     T.StructField("chunk_kind", T.StringType()),
     T.StructField("heading_breadcrumb", T.ArrayType(T.StringType())),

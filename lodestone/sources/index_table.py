@@ -8,6 +8,7 @@ from its chunks and replaced along with it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -15,8 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone import schema as S
+from lodestone.config import SearchSettings
+from lodestone.functions.analysis import lexemes, words
 from lodestone.functions.vector import checked
-from lodestone.operators.keyword import corpus_stats, postings
+from lodestone.operators.fusion import rrf
+from lodestone.operators.keyword import bm25_postings, corpus_stats, like, postings, top_by
+from lodestone.operators.vectors import vector_search
+from lodestone.plans.checkpoint import checkpointed
 from lodestone.sources.registry import StoreConfig, register_store
 
 # Above this many touched partitions the filter is a join instead of a list.
@@ -59,9 +65,11 @@ def indexed_paths(chunks: DataFrame, repo: str | None = None) -> DataFrame:
 
 def index_rows(embedded: DataFrame, dim: int) -> DataFrame:
     """Embedded chunks in the layout of the index; a wrong embedding fails the job."""
-    return embedded.where(F.col("id").isNotNull()).withColumn(
-        "embedding", checked(F.col("embedding"), dim)
-    ).select(
+    return embedded.where(F.col("id").isNotNull()).withColumns({
+        "embedding": checked(F.col("embedding"), dim),
+        "n_words": F.size(words(F.col("chunk"))),
+        "lexemes": lexemes(F.col("chunk")),
+    }).select(
         *[
             F.lit("committed").alias(c) if c == "status"
             else F.lit(None).cast("string").alias(c) if c == "mutation_id"
@@ -125,9 +133,38 @@ class IndexTable:
     def stats(self, id_words: int = 1) -> DataFrame:
         return corpus_stats(self.read(), id_words)
 
+    def search(
+        self,
+        chunks: DataFrame,
+        query_vector: Sequence[float],
+        query: str,
+        limit: int = 10,
+        *,
+        repo: str | None = None,
+        branch: str | None = None,
+        settings: SearchSettings = SearchSettings(),
+    ) -> DataFrame:
+        """Hybrid search by rank that finds words through the stored postings.
+
+        To be passed to ``retrieve`` as its ``search``, with the rows of ``read()``.
+        """
+        text, take = (query or "").strip(), settings.candidates(limit)
+        scores = bm25_postings(self.read_postings(), self.stats(), text, repo=repo, branch=branch)
+        # At most ``take`` rows, so their texts are fetched by a broadcast join.
+        hits = checkpointed(top_by(scores, "keyword_score", take))
+        if hits.isEmpty():
+            found = top_by(like(chunks, text, repo=repo, branch=branch), "keyword_score", take)
+        else:
+            found = chunks.join(F.broadcast(hits), "id")
+        near = vector_search(chunks, query_vector, take, repo=repo, branch=branch)
+        return rrf(found, near, limit, settings)
+
     def upsert(self, rows: DataFrame, order: str | None = None) -> None:
-        """Merge ``rows`` by id; of equal ids in a batch the last by ``order`` stays."""
-        rows = rows.where(F.col("id").isNotNull())
+        """Merge ``rows`` by id; of equal ids in a batch the last by ``order`` stays.
+
+        The batch is read more than once, so it is written down first.
+        """
+        rows = checkpointed(rows.where(F.col("id").isNotNull()))
         rows = latest(rows, ["id"], [F.col(order)]) if order else rows.dropDuplicates(["id"])
         incoming = rows.select(*S.INDEX.fieldNames()).withColumn(
             "bucket", bucket_of(F.col("path"), self.buckets)
@@ -146,7 +183,10 @@ class IndexTable:
         self._rewrite(touched, lambda existing: without_paths(existing, paths, repo), empties=True)
 
     def replace_paths(self, rows: DataFrame, paths: DataFrame, repo: str) -> None:
-        """Delete ``paths`` and merge ``rows`` in one rewrite, so no version is half there."""
+        """Delete ``paths`` and merge ``rows`` in one rewrite, so no version is half there.
+
+        Both are read more than once and should be checkpointed or cheap.
+        """
         incoming = rows.select(*S.INDEX.fieldNames()).withColumn(
             "bucket", bucket_of(F.col("path"), self.buckets)
         ).dropDuplicates(["id"])

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from lodestone import schema as S
 from lodestone.operators import keyword as K
-from lodestone.operators.chunk import chunk_files
+from lodestone.operators.chunk import chunk_files, chunk_plaintext
 from lodestone.operators.embed import HashingModel, with_embeddings
+from lodestone.operators.fusion import search_rrf, search_weighted
 from lodestone.plans.indexing import index_changes
 from lodestone.plans.retrieval import retrieve
 from lodestone.sources.files import files_from_directory
@@ -38,7 +39,7 @@ def table(spark):
 @pytest.fixture
 def embedded(make_files):
     def make(named, repo="repo", branch="main"):
-        chunks = chunk_files(make_files(named, repo, branch))
+        chunks = chunk_plaintext(make_files(named, repo, branch))
         return index_rows(with_embeddings(chunks, HashingModel(DIM), dim=DIM), DIM)
 
     return make
@@ -113,6 +114,14 @@ def test_stored_postings_search_like_the_rows(table, embedded):
         direct = K.bm25(table.read(), query)
         expected = {r.id: r.keyword_score for r in direct.collect()}
         assert {r.id: r.keyword_score for r in stored.collect()} == pytest.approx(expected)
+        vector = [1.0] * DIM
+        by_index = table.search(table.read(), vector, query, 4).select("id", "score").collect()
+        by_scan = search_rrf(table.read(), vector, query, 4).select("id", "score").collect()
+        assert by_index == by_scan
+    fallback = retrieve(table.read(), "ommo", top_k=3, query_vector=[1.0] * DIM, search=table.search)
+    assert fallback.count() == 3
+    weighted = search_weighted(table.read(), [1.0] * DIM, "commonly absent or rare", 12)
+    assert weighted.where("keyword_score > 0").count() == 8
 
 
 def test_store_registry(spark):
