@@ -85,36 +85,38 @@ def bm25(
     Statistics cover the whole table, also when the hits are restricted.
     ``id_words`` is what the indexed id column adds to the length of a row.
     Both passes count words where the row lies: what moves is one row of
-    statistics per task, and a single row is broadcast back.
+    statistics per task, and the total comes back as a constant.
     """
     phrases = query_phrases(query)
     if not phrases:
         return chunks.where(F.lit(False)).withColumn("keyword_score", F.lit(0.0))
     counted = chunks.withColumn("_t", term_counts(F.col("chunk"), phrases))
     stats = counted.agg(
-        F.count("*").cast("double").alias("_total"),
-        F.avg(F.col("_t.length") + id_words).alias("_mean"),
-        F.array(
-            *[F.sum((F.get("_t.counts", F.lit(i)) > 0).cast("double")) for i in range(len(phrases))]
-        ).alias("_matching"),
+        F.struct(
+            F.count("*").cast("double").alias("total"),
+            F.avg(F.col("_t.length") + id_words).alias("mean"),
+            F.array(
+                *[F.sum((F.get("_t.counts", F.lit(i)) > 0).cast("double")) for i in range(len(phrases))]
+            ).alias("matching"),
+        )
     )
     hits = in_scope(counted, repo, branch).where(F.exists("_t.counts", lambda n: n > 0))
-    # One row by construction: an aggregate without grouping.
-    joined = hits.crossJoin(F.broadcast(stats))
+    # An aggregate without grouping: one value, known before the second pass.
+    known = hits.withColumn("_s", stats.scalar())
     score = F.aggregate(
         F.zip_with(
             "_t.counts",
-            "_matching",
+            "_s.matching",
             lambda n, df: F.when(
                 n > 0,
-                idf(F.col("_total"), df)
-                * saturation(n.cast("double"), F.col("_t.length") + id_words, F.col("_mean")),
+                idf(F.col("_s.total"), df)
+                * saturation(n.cast("double"), F.col("_t.length") + id_words, F.col("_s.mean")),
             ).otherwise(F.lit(0.0)),
         ),
         F.lit(0.0),
         lambda total, x: total + x,
     )
-    return joined.withColumn("keyword_score", score).drop("_t", "_total", "_mean", "_matching")
+    return known.withColumn("keyword_score", score).drop("_t", "_s")
 
 
 # --- postings ---------------------------------------------------------------
@@ -234,10 +236,12 @@ def bm25_postings(
         counted = placed.withColumn("n", F.size("starts"))
     matching = counted.groupBy("phrase").agg(F.count("*").cast("double").alias("df"))
     hits = in_scope(counted, repo, branch)
-    # Both broadcast sides have a row per phrase, or one row.
-    scored = hits.join(F.broadcast(matching), "phrase").crossJoin(F.broadcast(stats))
-    part = idf(F.col("total"), F.col("df")) * saturation(
-        F.col("n").cast("double"), F.col("length") + id_words, F.col("mean")
+    # The joined side has one row per phrase of the query.
+    scored = hits.join(F.broadcast(matching), "phrase").withColumn(
+        "_s", stats.select(F.struct("total", "mean")).scalar()
+    )
+    part = idf(F.col("_s.total"), F.col("df")) * saturation(
+        F.col("n").cast("double"), F.col("length") + id_words, F.col("_s.mean")
     )
     return scored.groupBy("id").agg(F.sum(part).alias("keyword_score"))
 

@@ -15,6 +15,10 @@ from lodestone.sources.files import is_binary, is_ignored
 from lodestone.sources.index_table import IndexTable, index_rows
 
 
+# Paths of some hundred bytes: well below what an executor can hold.
+BROADCAST_PATHS = 500_000
+
+
 @dataclass
 class IndexingReport:
     processed_chunks: int = 0
@@ -38,13 +42,23 @@ def not_yet_indexed(paths: DataFrame, indexed: DataFrame) -> DataFrame:
     return paths.join(indexed, "path", "left_anti")
 
 
+def of_paths(files: DataFrame, paths: DataFrame) -> DataFrame:
+    """Files on a list of paths.
+
+    A list up to the bound is broadcast, so no content is shuffled; beyond it
+    both sides are joined by path.
+    """
+    listed = paths.limit(BROADCAST_PATHS + 1).count() <= BROADCAST_PATHS
+    return files.join(F.broadcast(paths) if listed else paths, "path", "left_semi")
+
+
 def metrics(embedded: DataFrame, deleted: DataFrame) -> DataFrame:
     """One row of counters for a run."""
     good = embedded.where(F.col("error").isNull())
     return good.agg(
         F.count("*").alias("processed_chunks"),
         F.count_distinct("repo", "path").alias("processed_files"),
-    ).crossJoin(deleted.agg(F.count("*").alias("deleted_files")))
+    ).withColumn("deleted_files", deleted.agg(F.count("*")).scalar())
 
 
 def index_changes(
@@ -70,7 +84,7 @@ def index_changes(
     wanted, deleted = split_changes(changes, ignore)
     if full:
         wanted = not_yet_indexed(wanted, table.indexed_paths(repo))
-    present = files.where(F.col("repo") == repo).join(wanted, "path", "left_semi")
+    present = of_paths(files.where(F.col("repo") == repo), wanted)
     binary = is_binary(F.col("content"))
     chunks = chunk_files(present.where(~binary))
     wanted, deleted = checkpointed(wanted), checkpointed(deleted)
