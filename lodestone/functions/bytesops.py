@@ -17,12 +17,56 @@ LF = "\n"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``use``."""
+    """Evaluate ``value`` once and hand it to ``use``.
+
+    What ``use`` returns is copied, so a fold must not return all it has
+    gathered so far from here, only what the step adds.
+    """
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def size_of(content: Column) -> Column:
-    return F.octet_length(content)
+def grow(steps: Column, kind: str, more: Callable[[Column], Column], add: Callable[[Column, Column], Column]) -> Column:
+    """Append ``add(last element, item)`` for each item while ``more(last element)`` holds.
+
+    The last element is all the state there is; it is NULL in the first step.
+    A fold copies what it has gathered at every step, so items are taken in
+    blocks: a step copies its own block and a block copies the list of blocks.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+
+    def last_of(out: Column) -> Column:
+        return F.get(out, F.size(out) - 1)
+
+    def block(blocks: Column, items: Column) -> Column:
+        seed = last_of(last_of(blocks))
+
+        def step(out: Column, item: Column) -> Column:
+            last = F.coalesce(last_of(out), seed)
+            return F.when(more(last), F.array_append(out, add(last, item))).otherwise(out)
+
+        # While more is wanted, a block adds one element at least.
+        return F.when(
+            more(seed), F.array_append(blocks, F.aggregate(items, empty, step))
+        ).otherwise(blocks)
+
+    return F.flatten(F.aggregate(blocks_of(steps), F.array().cast(f"array<array<{kind}>>"), block))
+
+
+BLOCK = 128
+
+
+def blocks_of(items: Column) -> Column:
+    """``items`` in neighbouring blocks; none for an empty list."""
+    return let(
+        items,
+        lambda all_: F.transform(
+            F.filter(
+                F.sequence(F.lit(0), F.floor(F.size(all_) / BLOCK).cast("int")),
+                lambda n: n * BLOCK < F.size(all_),
+            ),
+            lambda n: F.slice(all_, n * BLOCK + 1, F.lit(BLOCK)),
+        ),
+    )
 
 
 def slice_bytes(content: Column, start: Column, end: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestone.functions.bytesops import count_lf, end_of_last, let, line_ending, slice_raw
+from lodestone.functions.bytesops import count_lf, end_of_last, grow, let, line_ending, slice_raw
 
 # What a piece carries besides its span. Documents fill the first five fields,
 # source and markup files the last three.
@@ -54,10 +54,9 @@ def place_spans(content: Column, spans: Column) -> Column:
             ),
         )
 
-    def emit(acc: Column, span: Column, at: Column, body: Column) -> Column:
-        stop = locate(body, span["start"], at["row"], at["last"])
-        placed = let(
-            stop,
+    def placed(span: Column, at: Column, body: Column) -> Column:
+        return let(
+            locate(body, span["start"], at["row"], at["last"]),
             lambda to: F.struct(
                 span["start"].alias("start"),
                 span["end"].alias("end"),
@@ -67,32 +66,22 @@ def place_spans(content: Column, spans: Column) -> Column:
                 (span["end"] - to["last"] - 1).alias("end_col"),
                 F.make_valid_utf8(body).alias("chunk"),
                 span["tag"].alias("tag"),
-            ),
-        )
-        return F.struct(
-            span["start"].alias("pos"), at["row"].alias("row"), at["last"].alias("last"),
-            F.array_append(acc["out"], placed.cast(PIECE)).alias("out"),
+            ).cast(PIECE),
         )
 
-    def step(acc: Column, span: Column) -> Column:
-        gap = slice_raw(content, acc["pos"], span["start"])
+    def add(before: Column, span: Column) -> Column:
+        pos = F.coalesce(before["start"], F.lit(0))
+        row = F.coalesce(before["start_row"], F.lit(0))
+        last = F.coalesce(before["start"] - before["start_col"] - 1, F.lit(-1))
         return let(
-            let(gap, lambda g: locate(g, acc["pos"], acc["row"], acc["last"])),
+            let(slice_raw(content, pos, span["start"]), lambda gap: locate(gap, pos, row, last)),
             lambda at: let(
                 slice_raw(content, span["start"], span["end"]),
-                lambda body: emit(acc, span, at, body),
+                lambda body: placed(span, at, body),
             ),
         )
 
-    return F.aggregate(
-        F.sort_array(spans),
-        F.struct(
-            F.lit(0).alias("pos"), F.lit(0).alias("row"), F.lit(-1).alias("last"),
-            F.array().cast(f"array<{PIECE}>").alias("out"),
-        ),
-        step,
-        lambda acc: acc["out"],
-    )
+    return grow(F.sort_array(spans), PIECE, lambda _: F.lit(True), add)
 
 
 def with_line_ending(content: Column, pieces: Column) -> Column:

@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 
 from lodestone import config as C
 from lodestone.functions.bytesops import (
+    blocks_of,
     end_of_last,
     floor_char,
+    grow,
     let,
     nearest_newline,
     slice_raw,
     start_of_first,
 )
 
-SPAN = "array<struct<start:int,end:int>>"
+PIECE = "struct<start:int,end:int>"
+SPAN = f"array<{PIECE}>"
 
 
 def _int(value) -> Column:
@@ -72,20 +75,19 @@ def split_span(content: Column, start: Column, end: Column) -> Column:
     """
     size = end - start
     bound = (F.floor(size / (C.DOC_SOFT_BYTES - 4)) * 2 + 3).cast("int")
-    cuts = F.aggregate(
+
+    def cur(last: Column) -> Column:
+        return F.coalesce(last["end"], start.cast("int"))
+
+    cuts = grow(
         F.sequence(_int(1), bound),
-        F.struct(start.cast("int").alias("cur"), no_spans().alias("out")),
-        lambda acc, _: F.when(acc["cur"] >= end, acc).otherwise(
-            let(
-                _next_cut(content, acc["cur"], end),
-                lambda cut: F.struct(
-                    cut.alias("cur"),
-                    F.array_append(acc["out"], _span(acc["cur"], cut)).alias("out"),
-                ),
-            )
+        PIECE,
+        lambda last: cur(last) < end,
+        lambda last, _: let(
+            cur(last), lambda at: _span(at, _next_cut(content, at, end))
         ),
     )
-    return F.when(size <= C.DOC_HARD_BYTES, F.array(_span(start, end))).otherwise(cuts["out"])
+    return F.when(size <= C.DOC_HARD_BYTES, F.array(_span(start, end))).otherwise(cuts)
 
 
 def newline_ranges(
@@ -106,33 +108,30 @@ def newline_ranges(
     stride = soft // 2 - overlap
     bound = (F.floor((end - start) / stride) * 3 + 7).cast("int")
 
-    def step(acc: Column) -> Column:
-        cur = acc["cur"]
-        target = F.least(cur + soft, end)
+    def cur(last: Column) -> Column:
+        return (
+            F.when(last.isNull(), start.cast("int"))
+            .when((last["end"] >= end) | (last["end"] - overlap <= last["start"]), last["end"])
+            .otherwise(last["end"] - overlap)
+        )
+
+    def cut(at: Column) -> Column:
+        target = F.least(at + soft, end)
         found = nearest_newline(
             content,
             target,
-            F.greatest(cur + 1, target - C.NEWLINE_REACH),
+            F.greatest(at + 1, target - C.NEWLINE_REACH),
             F.least(end - 1, target + C.NEWLINE_REACH),
         )
-        return let(
-            F.least(F.coalesce(found, target), cur + hard).cast("int"),
-            lambda cut: F.struct(
-                F.when(cut >= end, end.cast("int"))
-                .when(cut - overlap <= cur, cut)
-                .otherwise(cut - overlap)
-                .cast("int")
-                .alias("cur"),
-                F.array_append(acc["out"], _span(cur, cut)).alias("out"),
-            ),
-        )
+        return F.least(F.coalesce(found, target), at + hard)
 
-    folded = F.aggregate(
+    ranges = grow(
         F.sequence(_int(1), bound),
-        F.struct(start.cast("int").alias("cur"), no_spans().alias("out")),
-        lambda acc, _: F.when(acc["cur"] >= end, acc).otherwise(step(acc)),
+        PIECE,
+        lambda last: last.isNull() | (last["end"] < end),
+        lambda last, _: let(cur(last), lambda at: _span(at, cut(at))),
     )
-    return F.when(start >= end, no_spans()).otherwise(folded["out"])
+    return F.when(start >= end, no_spans()).otherwise(ranges)
 
 
 def cover(content: Column, groups: Column) -> Column:
@@ -178,19 +177,30 @@ def _joined(left: Column, right: Column) -> Column:
 
 def _fold_groups(segments: Column, kind: str, joins) -> Column:
     """Join neighbouring segments while ``joins(group, next)`` holds."""
-    empty = F.array().cast(f"array<{kind}>")
-    folded = F.aggregate(
-        F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0))),
-        F.struct(empty.alias("done"), F.get(segments, F.lit(0)).alias("open")),
-        lambda acc, seg: F.when(
+    one = F.array().cast(f"array<{kind}>")
+    many = F.array().cast(f"array<array<{kind}>>")
+
+    def step(acc: Column, seg: Column) -> Column:
+        return F.when(
             joins(acc["open"], seg),
             F.struct(acc["done"].alias("done"), _joined(acc["open"], seg).alias("open")),
         ).otherwise(
-            F.struct(
-                F.array_append(acc["done"], acc["open"]).alias("done"), seg.alias("open")
-            )
-        ),
-        lambda acc: F.array_append(acc["done"], acc["open"]),
+            F.struct(F.array_append(acc["done"], acc["open"]).alias("done"), seg.alias("open"))
+        )
+
+    def block(acc: Column, items: Column) -> Column:
+        return let(
+            F.aggregate(items, F.struct(one.alias("done"), acc["open"].alias("open")), step),
+            lambda b: F.struct(
+                F.array_append(acc["done"], b["done"]).alias("done"), b["open"].alias("open")
+            ),
+        )
+
+    folded = F.aggregate(
+        blocks_of(F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0)))),
+        F.struct(many.alias("done"), F.get(segments, F.lit(0)).alias("open")),
+        block,
+        lambda acc: F.array_append(F.flatten(acc["done"]), acc["open"]),
     )
     return F.when(F.size(segments) <= 1, segments).otherwise(folded)
 
