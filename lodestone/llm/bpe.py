@@ -106,10 +106,11 @@ def encode_decode(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     )
 
 
-def digests(coded: DataFrame) -> DataFrame:
-    """Counts and digests of what ``encode_decode`` returns."""
+def digests(coded: DataFrame, *more: str) -> DataFrame:
+    """Counts and digests of what ``encode_decode`` returns, with the columns named in ``more``."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )

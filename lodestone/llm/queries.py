@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, mixing
-from lodestone.llm.common import table
+from lodestone.llm import bpe, exact_dedup, minhash, mixing, quality
+from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,12 +25,30 @@ def query(sql: str | None = None):
     return register
 
 
+@query(minhash.SQL)
+def op2_minhash(spark, folder):
+    """The near-copy component of every document."""
+    return minhash.near_groups(table(spark, folder, "documents"))
+
+
 @query()
 def op3_bpe(spark, folder):
     """Token counts and digests of every text."""
     return bpe.digests(bpe.encode_decode(table(spark, folder, "documents")))
 
 
+@query()
+def op7_quality(spark, folder):
+    """Quality of every document by preference pairs."""
+    docs = table(spark, folder, "documents")
+    apart = held_out(F.col("doc_id"), 4, 2)
+    model = quality.train(docs, table(spark, folder, "labels"), ~apart)
+    return quality.scored(docs, model).select(
+        "doc_id", apart.alias("held_out"), "score",
+        (F.col("score") >= quality.CUT_SCORE).cast("int").alias("predicted"),
+    )
+
+
 @query(mixing.SQL)
 def op9_mix_sources(spark, folder):
     """How many words the mix takes of every document."""
