@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, minhash, mixing, quality
+from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, quality
 from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
@@ -25,6 +25,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_html(spark, folder):
+    """The main text of every page."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 @query(minhash.SQL)
 def op2_minhash(spark, folder):
     """The near-copy component of every document."""
