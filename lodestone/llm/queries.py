@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, quality
+from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, quality, toxicity
 from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
@@ -43,6 +43,17 @@ def op3_bpe(spark, folder):
     return bpe.digests(bpe.encode_decode(table(spark, folder, "documents")))
 
 
+@query()
+def op5_toxicity(spark, folder):
+    """Toxicity of every document by two language models."""
+    docs = table(spark, folder, "documents")
+    apart = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.train(docs, table(spark, folder, "labels"), ~apart)
+    return toxicity.scored(docs, model).select(
+        "doc_id", apart.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query()
 def op7_quality(spark, folder):
     """Quality of every document by preference pairs."""
