@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, quality, toxicity
+from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, pii, quality, toxicity
 from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
@@ -66,6 +66,12 @@ def op7_quality(spark, folder):
     )
 
 
+@query()
+def op8_pii(spark, folder):
+    """Spans of personal data in every document."""
+    return pii.span_digests(table(spark, folder, "documents"))
+
+
 @query(mixing.SQL)
 def op9_mix_sources(spark, folder):
     """How many words the mix takes of every document."""
