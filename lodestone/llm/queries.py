@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, pii, quality, toxicity
+from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, pii, quality, toxicity, vector_dedup
 from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
@@ -43,6 +43,12 @@ def op3_bpe(spark, folder):
     return bpe.digests(bpe.encode_decode(table(spark, folder, "documents")))
 
 
+@query(vector_dedup.SQL)
+def op4_vector_dedup(spark, folder):
+    """The links and the component of every vector."""
+    return vector_dedup.vector_groups(table(spark, folder, "embeddings"))
+
+
 @query()
 def op5_toxicity(spark, folder):
     """Toxicity of every document by two language models."""
