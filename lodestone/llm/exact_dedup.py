@@ -211,9 +211,10 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keys = text_owners(docs).select(
-        F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep")
+    keys = text_owners(docs).select("text_sha256", F.col("keep_id").alias("id"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+        F.sha2(normalised(), 256).alias("text_sha256"),
     )
-    rows = docs.withColumn("_own_digest", F.sha2(normalised(), 256))
-    same = (F.col("_own_digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_keep"))
-    return rows.join(keys, same, "left_semi").select(*docs.columns)
+    same = (rows.text_sha256 == keys.text_sha256) & rows.id.eqNullSafe(keys.id)
+    return rows.join(keys, same, "left_semi").select("row.*")

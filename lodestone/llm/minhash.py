@@ -337,9 +337,9 @@ def _open_links(shared: DataFrame, component: DataFrame, sets: DataFrame, bits:
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, with all columns."""
-    found = near_groups(docs)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone = near_groups(docs).where("not kept").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, "id", "left_anti").select("row.*")
 
 
 SQL = r"""

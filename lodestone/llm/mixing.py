@@ -94,36 +94,33 @@ def mixing_plan(sizes: DataFrame) -> DataFrame:
 
 
 def with_copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    """``sized`` rows with ``source_size, target`` and the number of ``copies`` of each.
+    """``sized`` rows of ``doc_id, source`` and more, as ``row, plan, copies``.
 
     Nulls form a source of their own, a null or blank text has size 0, and rows
-    repeated under one id are drawn alike. Columns the plan shares with the
-    rows by name do not clash.
+    repeated under one id are drawn alike.
     """
-    right = plan.select(F.struct(*plan.columns).alias("_mix"))
-    draw = F.element_at(F.array(*draws(F.col("doc_id"))), F.col("_mix.draw") + 1)
-    return (
-        sized.join(right, F.col("source").eqNullSafe(F.col("_mix.source")))
-        .withColumn("_copies", copies(F.col("_mix.rate"), draw))
+    right = plan.select(F.struct("*").alias("plan"))
+    rows = sized.select(F.struct("*").alias("row"))
+    draw = F.element_at(F.array(*draws(F.col("row.doc_id"))), F.col("plan.draw") + 1)
+    return rows.join(right, F.col("row.source").eqNullSafe(F.col("plan.source"))).select(
+        "row", "plan", copies(F.col("plan.rate"), draw).alias("copies")
     )
 
 
 def mixed_sizes(docs: DataFrame) -> DataFrame:
     """Per document how many words the mix takes of it; repeats count."""
     sizes = staged(docs.select("doc_id", "source", n_words().alias("size")), "sizes")
-    rows = with_copies(sizes, mixing_plan(sizes))
-    return rows.select(
-        "doc_id", "size", F.col("_mix.source_size").alias("source_size"),
-        F.col("_mix.target").alias("target"), (F.col("size") * F.col("_copies")).alias("taken"),
+    return with_copies(sizes, mixing_plan(sizes)).select(
+        "row.doc_id", "row.size", "plan.source_size", "plan.target",
+        (F.col("row.size") * F.col("copies")).alias("taken"),
     )
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
     sizes = staged(docs.select("doc_id", "source", n_words().alias("size")), "sizes")
-    rows = with_copies(docs, mixing_plan(sizes)).where("_copies > 0")
-    again = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return rows.withColumn("_copy", again).select(*docs.columns)
+    rows = with_copies(docs, mixing_plan(sizes)).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def _sql_draws() -> str:

@@ -5,7 +5,8 @@ after a word, a word, and the first six and four letters of a word. All levels c
 continuations, that is, in how many different contexts something follows, so that
 words of a text that was copied many times count once. The last level, into which
 both models fall back for rare expressions, is shared: over all texts of the
-corpus, after how many different classes of words a word occurs. Counts below
+corpus, after how many different classes of words a word occurs. So are the weights
+of falling back, which come from both classes together. Counts below
 a cut-off that follows the size of the sample are left to the lower levels.
 
 A text scores by its passage of six different words with the greatest difference
@@ -61,9 +62,9 @@ def _trigrams(batches):
 class Model:
     """Log ratios of the levels, and the logistic curve."""
 
-    word: dict          # word -> (ratio of its unigram probabilities, ratio of its weights of falling back)
-    prefix: tuple       # per length: beginning -> ratio
-    pair: dict          # (word before, word) -> ratio
+    word: dict          # word -> log ratio
+    prefix: tuple       # per length: beginning -> log ratio
+    pair: dict          # (word before, word) -> log ratio
     slope: float = 1.0
     shift: float = 0.0
 
@@ -78,10 +79,9 @@ class Model:
             v = before[w]
             ratio = self.pair.get((v, w))
             if ratio is None:
-                own, after = self.word.get(w), self.word.get(v)
-                ratio = own[0] if own else self.beginning(w)
-                if after:
-                    ratio += after[1]
+                ratio = self.word.get(w)
+            if ratio is None:
+                ratio = self.beginning(w)
             ratios.append(ratio)
         size = min(len(ratios), PASSAGE)
         total = np.concatenate([[0.0], np.cumsum(ratios)])
@@ -174,25 +174,30 @@ def fit(docs: DataFrame, sample: DataFrame, toxic_rows: int) -> Model:
         for length, sums in zip(PREFIXES, below, strict=True):
             sums[w[:length]] = sums.get(w[:length], 0.5) + n
 
-    def level(rows, base):
-        """Discounted shares of both classes over ``base``, which gives two probabilities."""
-        out, sums = {}, [max(sum(r[-2 + c] for r in rows), 1) for c in (0, 1)]
-        rest = [1 - sum(max(r[-2 + c] - DISCOUNT, 0) for r in rows) / sums[c] for c in (0, 1)]
+    def mixed(rows, base, extra=0.0):
+        """Both classes' probabilities of ``key, t, o`` rows: discounted shares of
+        each class over ``base``, with one weight of falling back for both."""
+        total = sum(r[-2] + r[-1] for r in rows) + extra
+        kept = sum(max(r[-2] + r[-1] - DISCOUNT, 0) for r in rows) / max(total, 1)
+        sums = [sum(max(r[c] - DISCOUNT, 0) for r in rows) for c in (-2, -1)]
+        out = {}
         for key, *n in rows:
             low = base(key)
-            out[key] = tuple(max(n[c] - DISCOUNT, 0) / sums[c] + rest[c] * low[c] for c in (0, 1))
+            out[key] = tuple(
+                kept * (max(n[c] - DISCOUNT, 0) / sums[c] if sums[c] else low[c]) + (1 - kept) * low[c] for c in (0, 1)
+            )
         return out
 
     flat = 1 / (sum(below[-1].values()) + 1)
     begin: list[dict] = [{} for _ in PREFIXES]
-    begin[-1] = level(prefixes[-1], lambda p: (below[-1].get(p, 0.5) * flat,) * 2)
+    begin[-1] = mixed(prefixes[-1], lambda p: (below[-1].get(p, 0.5) * flat,) * 2)
     for at in range(len(PREFIXES) - 2, -1, -1):
         def shorter(p, at=at):
             upper = p[:PREFIXES[at + 1]]
             both, share = begin[at + 1].get(upper, (flat, flat)), below[at].get(p, 0.5) / below[at + 1].get(upper, 0.5)
             return both[0] * share, both[1] * share
 
-        begin[at] = level(prefixes[at], shorter)
+        begin[at] = mixed(prefixes[at], shorter)
 
     def from_prefix(w):
         at = next((i for i, n in enumerate(PREFIXES) if w[:n] in begin[i]), None)
@@ -201,24 +206,18 @@ def fit(docs: DataFrame, sample: DataFrame, toxic_rows: int) -> Model:
         both, share = begin[at][w[:PREFIXES[at]]], shared[w] / below[at][w[:PREFIXES[at]]]
         return both[0] * share, both[1] * share
 
-    single = level(unigrams, from_prefix)
+    single = mixed(unigrams, from_prefix)
     by_first: dict[str, list] = {}
     for v, w, t, o in bigrams:
         if w in single:
             by_first.setdefault(v, []).append((w, t, o))
-    pair, weight = {}, {}
+    pair = {}
     for v, rows in by_first.items():
-        # A pair is weighed against how often its first word occurs at all.
-        for c in (0, 1):
-            total = max(sum(r[1 + c] for r in rows), single[v][c] if v in single else 0, 1)
-            kept = sum(max(r[1 + c] - DISCOUNT, 0) for r in rows) / (total + cut)
-            weight.setdefault(v, [1.0, 1.0])[c] = 1 - kept
-            for r in rows:
-                own = max(r[1 + c] - DISCOUNT, 0) / (total + cut) + (1 - kept) * single[r[0]][c]
-                pair.setdefault((v, r[0]), [0.0, 0.0])[c] = own
+        for w, both in mixed(rows, single.__getitem__, extra=cut).items():
+            pair[v, w] = both
     log = lambda x: float(np.log(x[0] / x[1])) if min(x) > 0 else 0.0
     return Model(
-        {w: (log(p), log(weight.get(w, (1, 1)))) for w, p in single.items()},
+        {w: log(p) for w, p in single.items()},
         tuple({p: log(x) for p, x in rows.items()} for rows in begin),
         {key: log(x) for key, x in pair.items()},
     )
