@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.bytesops import let
 from lodestone.functions.text import chunk_id
-from lodestone.operators.code import code_units, unit_spans
 from lodestone.operators.dispatch import STRUCTURED, dispatch
 from lodestone.operators.document import byte_spans, describe, document_spans, whole_block
-from lodestone.operators.markup import markup_groups, markup_ranges, plain_ranges
 from lodestone.operators.pieces import place_spans, unit_tag, with_line_ending
+from lodestone.operators.ranges import plain_ranges
 from lodestone.operators.structure import structure_blocks
 from lodestone.schema import CHUNK_COLUMNS
 
@@ -107,9 +106,7 @@ def _any_pieces(_: SparkContext) -> Column:
     def spans(content: Column) -> Column:
         return (
             F.when(family == "bytes", byte_spans(content))
-            .when(family == "markup", _tagged(markup_ranges(content, F.col("groups"))))
-            .when((family == "code") & (F.size("units") > 0), unit_spans(content, F.col("units")))
-            .when(family == "code", _tagged(plain_ranges(content)))
+            .when(family.isin("code", "markup"), _tagged(plain_ranges(content)))
             .otherwise(document_spans(content, F.col("blocks"), family))
         )
 
@@ -128,15 +125,10 @@ def chunk_plaintext(files: DataFrame) -> DataFrame:
 def chunk_files(files: DataFrame) -> DataFrame:
     """Chunks of any files.
 
-    All files pass once. The functions that look at structure get the content
-    of their own family only, so text and tables never go to Python.
+    All files pass once. The function that looks at structure gets the content
+    of the families that have one only, so text, tables, source code and markup
+    never go to Python. Source and markup files are cut near line ends with an
+    overlap; every byte of a file is in some chunk.
     """
-    content, family = F.col("content"), F.col("family")
-    known = dispatch(files)
-    scanned = document_blocks(
-        known.withColumns({
-            "groups": markup_groups(F.col("language"), F.when(family == "markup", content)),
-            "units": code_units(F.col("language"), F.col("path"), F.when(family == "code", content)),
-        })
-    )
+    scanned = document_blocks(dispatch(files))
     return _exploded(scanned, _any_pieces(files.sparkSession.sparkContext))

@@ -134,6 +134,13 @@ def newline_ranges(
     return F.when(start >= end, no_spans()).otherwise(ranges)
 
 
+def plain_ranges(content: Column) -> Column:
+    """Ranges of a whole file without any structure to go by."""
+    return newline_ranges(
+        content, F.lit(0), F.octet_length(content), overlap=C.CODE_OVERLAP_BYTES
+    )
+
+
 def cover(content: Column, groups: Column) -> Column:
     """Fill the gaps before, between and after ``groups`` so all bytes appear.
 

@@ -354,7 +354,7 @@ def html_chunks(spark, folder):
 
 @query
 def code_chunks(spark, folder):
-    """Every text as a Java class with one method per line."""
+    """Every text as source code with one method per line; cut near line ends."""
     content = F.concat(
         F.lit("package corpus;\nclass Doc {\n  int n = 0;\n  void run() {\n    say(\""),
         F.replace(F.replace("text", F.lit('"'), F.lit("'")), F.lit("\n"), F.lit("\");\n  }\n  void run() {\n    say(\"")),

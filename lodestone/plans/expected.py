@@ -330,37 +330,25 @@ JOIN (SELECT k AS o_k, 'doc_' || k || '.md' AS path, s AS start_bytes, e AS end_
 LEFT JOIN tabled ON tabled.k = o_k AND tabled.e = end_bytes"""
 
 
-def code_units() -> str:
-    """Spans of the class and of its methods, from the lengths of the lines."""
-    head = f"'package corpus;{LF}class Doc {{{LF}  int n = 0;{LF}  '"
-    opened = f"'void run() {{{LF}    say(\"'"
-    closed = f"'\");{LF}  }}'"
-    body = f"replace(replace(text, chr(34), chr(39)), chr(10), {closed} || chr(10) || '  ' || {opened})"
+def range_chunks(rows: str, language: str) -> str:
+    """Chunks of files cut near line ends; ``rows`` gives ``doc_id, text, repo, branch, path``."""
     start_row, start_col = points("s")
     end_row, end_col = points("e")
-    return f"""
-WITH c AS (
-  SELECT doc_id AS k, source, lang, {head} || {opened} || {body} || {closed} || chr(10) || '}}' || chr(10) AS t, text FROM documents),
-line AS (
-  SELECT k, i, strlen({opened} || line || {closed}) AS w, strlen(line) AS n FROM (
-    SELECT k, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM c)),
-m AS (
-  SELECT k, (strlen({head}) + sum(w + 3) OVER (PARTITION BY k ORDER BY i) - w - 3)::INT AS s, w::INT AS w, n FROM line),
-part AS (
-  SELECT k, s, w, (s + strlen('void run() {{') + 5)::INT AS a, (s + w - 4)::INT AS b,
-         unnest(CASE WHEN w <= 2048 OR n + 8 <= 2048 THEN [0] ELSE range(0, (n + 8 + 1023) // 1024) END)::INT AS j FROM m),
-u AS (
-  SELECT k, CASE WHEN w <= 2048 OR j = 0 THEN s ELSE a + 1024 * j END AS s,
-         CASE WHEN w <= 2048 THEN s + w WHEN b - a <= 2048 THEN b ELSE least(b, a + 1024 * (j + 1)) END AS e,
-         'method' AS kind,
-         'corpus.Doc.run()|member|java' || CASE WHEN w > 2048 AND b - a > 2048 THEN '#part' || (j + 1) ELSE '' END AS signature
-  FROM part
-  UNION ALL
-  SELECT k, strlen('package corpus;') + 1, strlen(t) - 1, 'class_metadata', 'corpus.Doc#metadata' FROM c),
-x AS (SELECT u.* REPLACE (s::INT AS s, e::INT AS e), source, lang, hex(encode(t)) AS hx, 'doc_' || k || '.java' AS path FROM u JOIN c USING (k))
-SELECT sha256(source || '::' || lang || '::' || path || '::' || s || '::' || e) AS id, path, 'java' AS language,
-       {start_row} AS start_row, {start_col} AS start_col, {end_row} AS end_row, {end_col} AS end_col,
-       s AS start_bytes, e AS end_bytes, kind AS chunk_kind, NULL::VARCHAR AS eol, signature FROM x"""
+    cut = ranges(1024, 2048, 102).replace("WITH RECURSIVE", f"WITH RECURSIVE documents AS ({rows}),")
+    cut = cut[:cut.rindex("SELECT 'doc_'")]
+    return cut + f"""
+SELECT sha256(repo || '::' || branch || '::' || path || '::' || s || '::' || e) AS id, path,
+       '{language}' AS language, {start_row} AS start_row, {start_col} AS start_col, {end_row} AS end_row,
+       {end_col} AS end_col, s AS start_bytes, e AS end_bytes, 'text' AS chunk_kind, NULL::VARCHAR AS eol
+FROM (SELECT r.s, r.e, d.repo, d.branch, d.path, hex(encode(d.text)) AS hx
+      FROM r JOIN documents d ON d.doc_id = r.k WHERE s >= 0)"""
+
+
+CLASS = (
+    f"'package corpus;{LF}class Doc {{{LF}  int n = 0;{LF}  void run() {{{LF}    say(\"' || "
+    f"replace(replace(text, chr(34), chr(39)), chr(10), '\");{LF}  }}{LF}  void run() {{{LF}    say(\"') || "
+    f"'\");{LF}  }}{LF}}}{LF}'"
+)
 
 
 def sql_texts() -> dict[str, str]:
@@ -401,7 +389,10 @@ JOIN (SELECT 'doc_' || k || '.toml' AS path, s AS start_bytes, e AS end_bytes, t
 WITH src AS ({lined(HEADED, 'true')})
 SELECT 'doc_' || k || '.md' AS path, lo AS start_bytes, hi AS end_bytes, trim(rtrim(trim(substr(line, 4)), '#')) AS crumb
 FROM (SELECT *, trim(decode(encode(t)[lo + 1:hi]), chr(10)) AS line FROM src) WHERE line LIKE '## %'""",
-        "code_chunks": code_units(),
+        "code_chunks": "SELECT *, '' AS signature FROM (" + range_chunks(
+            f"SELECT doc_id, {CLASS} AS text, source AS repo, lang AS branch, 'doc_' || doc_id || '.java' AS path FROM main.documents", "java") + ")",
+        "html_chunks": range_chunks(
+            "SELECT page_id AS doc_id, html AS text, 'web' AS repo, '' AS branch, 'page_' || page_id || '.html' AS path FROM pages", "html"),
         "markdown_chunks": markdown(),
         "files_projection": f"SELECT source AS repo, lang AS branch, {PATH} AS path, strlen(text)::INT AS n_bytes FROM documents",
         "changes_latest": f"WITH {OPS} SELECT path, op, event_id FROM last_op",

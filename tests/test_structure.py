@@ -3,8 +3,6 @@ import json
 import pytest
 
 from lodestone.operators.chunk import chunk_files
-from lodestone.operators.code import items_of, units_of
-from lodestone.operators.markup import markup_spans, nodes_of
 from lodestone.operators.structure import blocks_of, json_spans, markdown_blocks
 
 MARKDOWN = (
@@ -110,150 +108,11 @@ def test_big_markdown_packs_to_the_soft_size_and_starts_at_headings(make_files):
     assert rows[0].heading_breadcrumb == ["Part 0"]
 
 
-JAVA = """package com.acme;
-
-/** Doc. */
-public class Box extends Base {
-  private int size = 3;
-  static { init(); }
-  // Adds.
-  // More.
-  public int add(int a, String b) {
-    if (a > 1) { return "}".length(); }
-    return a;
-  }
-
-  // apart
-
-  abstract void later();
-}
-enum Kind { ONE, TWO }
-"""
-
-
-def test_java_units():
-    units = units_of("java", "src/Box.java", JAVA.encode())
-    methods = {u["signature"]: JAVA[u["start"]:u["end"]] for u in units if u["kind"] == "method"}
-    added = methods["com.acme.Box.add(int a, String b)|member|java"]
-    assert added.startswith("// Adds.") and added.endswith("return a;\n  }")
-    assert methods["com.acme.Box.later()|member|java"] == "abstract void later();"
-    types = {u["signature"]: u["text"] for u in units if u["kind"] == "class_metadata"}
-    assert set(types) == {"com.acme.Box#metadata", "com.acme.Kind#metadata"}
-    summary = types["com.acme.Box#metadata"]
-    assert summary.startswith("package com.acme\npublic class Box extends Base\n")
-    assert "private int size" in summary and "return" not in summary
-    assert "TWO" in types["com.acme.Kind#metadata"]
-
-
-PYTHON = '''import os
-
-# above
-def free(x):
-    """Doc."""
-    return x
-
-
-@wrap
-class Hidden:
-    pass
-
-
-class Shown(Base):
-    n = 1
-
-    def __init__(self):
-        self.v = {"k": 1}
-
-    @property
-    def p(self):
-        def inner():
-            return 1
-        return inner
-'''
-
-
-def test_python_units():
-    units = units_of("python", "pkg/mod.py", PYTHON.encode())
-    signatures = [u["signature"] for u in units if u["kind"] == "method"]
-    assert signatures == [
-        "mod.free(x)|top_level|python", "Shown.__init__(self)|member|python",
-        "Shown.p(self)|member|python", "Shown.inner()|member|python",
-    ]
-    assert PYTHON[units[0]["start"]:].startswith("# above")
-    types = [u for u in units if u["kind"] == "class_metadata"]
-    assert [t["signature"] for t in types] == ["Shown#metadata"]
-    assert "def p(self):" in types[0]["text"] and "@property" in types[0]["text"]
-    assert items_of("python", b"def broken(:\n") == []
-
-
-@pytest.mark.parametrize("language,source,expected", [
-    ("go", "package p\n\ntype T struct {\n  n int\n}\n\nfunc (t *T) Get() int {\n  return t.n\n}\n",
-     {"p.f.Get(t *T)|top_level|go", "p.T#metadata"}),
-    ("rust", "pub struct S { a: u8 }\nimpl S {\n  pub fn new(a: u8) -> S { S { a } }\n}\n",
-     {"f.new(a: u8)|top_level|rust", "S#metadata"}),
-    ("javascript", "class A { m(x) { return x; } }\nconst f = (a) => { return a; };\nfunction g() {}\n",
-     {"A.m(x)|member|javascript", "f.f(a)|top_level|javascript", "f.g()|top_level|javascript", "A#metadata"}),
-    ("ruby", "module M\n  class C\n    def go(a)\n      a\n    end\n  end\nend\n",
-     {"M.C.go(a)|member|ruby", "M.C#metadata"}),
-    ("kotlin", "package k\nfun top(a: Int) { }\nclass K {\n  init { x() }\n}\n",
-     {"k.f.top(a: Int)|top_level|kotlin", "k.K.K()|member|kotlin", "k.K#metadata"}),
-    ("c", "struct P { int x; };\nint main(void) { return 0; }\n", {"f.main(void)|top_level|c", "P#metadata"}),
-    ("php", "<?php\nnamespace N\\M;\nclass D { function m() { } }\n", {"N.M.D.m()|member|php", "N.M.D#metadata"}),
-    ("pascal", "unit U;\ninterface\nimplementation\nprocedure T.Go(a: Integer);\nbegin\n  x;\nend;\nend.\n",
-     {"U.T.Go(a: Integer)|member|pascal"}),
-])
-def test_units_of_other_languages(language, source, expected):
-    assert {u["signature"] for u in units_of(language, "f", source.encode())} == expected
-
-
-def test_long_methods_become_numbered_parts(make_files):
-    body = "".join(f"    call({i}, \"{'x' * 80}\");\n" for i in range(60))
-    source = "class A {\n  // note\n  void run() {\n" + body + "  }\n}\n"
-    rows = chunk_files(make_files({"A.java": source, "none.c": "int x;\n" * 400})).collect()
-    parts = sorted((r for r in rows if r.chunk_kind == "method"), key=lambda r: r.start_bytes)
-    assert len(parts) > 3
-    assert [r.signature for r in parts] == [
-        f"A.run()|member|java#part{i + 1}" for i in range(len(parts))
-    ]
-    assert parts[0].chunk.startswith("// note")
-    assert all(r.end_bytes - r.start_bytes <= 2048 for r in parts)
-    assert all(r.chunk == source[r.start_bytes:r.end_bytes] for r in parts)
-    plain = [r for r in rows if r.path == "none.c"]
-    assert len(plain) > 1 and {(r.chunk_kind, r.language, r.signature) for r in plain} == {("text", "c", "")}
-
-
-def test_markup_elements():
-    page = b"<!DOCTYPE html><html><head><script>if (a<b) {}</script></head><body><p>x<br>y</p></body></html>"
-    doctype, html = nodes_of("html", page)
-    assert page[html.start:html.end].endswith(b"</html>")
-    assert page[doctype.start:doctype.end] == b"<!DOCTYPE html>"
-    css = b"a { b: c; d: e }\n@media x { p { q: r } }\n/* n */\n"
-    assert [css[n.start:n.end] for n in nodes_of("css", css)] == [
-        b"a { b: c; d: e }", b"@media x { p { q: r } }", b"/* n */",
-    ]
-
-
-@pytest.mark.parametrize("name", ["a.html", "b.xml", "c.css", "d.properties", "e.lock", "f.arb"])
-def test_markup_chunks_cover_every_byte(make_files, name):
-    many = {
-        "a.html": "<html><body>\n" + "".join(f"<p>line {i} " + "w " * (i % 40) + "</p>\n" for i in range(90)) + "</body></html>\n",
-        "b.xml": "<r>\n" + "<i>" + "é" * 3000 + "</i>\n" * 2 + "<j/>" * 300 + "</r>\n",
-        "c.css": "".join(f".c{i} {{ a: {i}; b: c }}\n\n" for i in range(120)),
-        "d.properties": "".join(f"key.{i} = value\n" for i in range(150)),
-        "e.lock": "".join(f"pkg{i}:\n  version: {i}\n  deps:\n    - a\n" for i in range(80)),
-        "f.arb": json.dumps({f"k{i}": "v" * (i * 5) for i in range(40)}),
-    }
-    text = many[name]
-    rows = sorted(chunk_files(make_files({name: text})).collect(), key=lambda r: r.start_bytes)
-    assert len(rows) > 1
-    data = text.encode()
-    at = 0
-    for r in rows:
-        assert r.start_bytes == at and r.end_bytes - r.start_bytes <= 2048
-        assert r.chunk_kind == "text"
-        at = r.end_bytes
-    assert at == len(data)
-
-
-def test_small_markup_is_one_chunk():
-    assert markup_spans("css", b"\n a {}\n") == [(2, 7)]
+@pytest.mark.parametrize("name", ["a.java", "b.py", "c.html", "d.css", "e.json5", "f.xml"])
+def test_source_and_markup_are_covered_without_gaps(make_files, name):
+    text = "<p>" * 1500 + "\n".join(f"void m{i}(int a, int b) {{ say({i}); }}" for i in range(300)) + "\n"
+    rows = chunk_files(make_files({name: text, "empty_" + name: ""})).orderBy("start_bytes").collect()
+    assert {r.path for r in rows} == {name}
+    assert rows[0].start_bytes == 0 and rows[-1].end_bytes == len(text)
+    assert all(b.start_bytes <= a.end_bytes for a, b in zip(rows, rows[1:]))
+    assert all(r.chunk == text[r.start_bytes:r.end_bytes] and len(r.chunk) <= 2048 for r in rows)
