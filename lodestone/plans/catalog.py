@@ -7,9 +7,11 @@ only to make up a file.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone import config as C
@@ -27,16 +29,18 @@ from lodestone.operators.fusion import rrf, search_rrf, search_weighted
 from lodestone.operators.rerank import lexical_reranker
 from lodestone.operators.structure import structure_blocks
 from lodestone.operators.vectors import vector_scores, vector_search
-from lodestone.plans.indexing import metrics, not_yet_indexed, split_changes
+from lodestone.plans.indexing import index_changes, metrics, not_yet_indexed, split_changes
 from lodestone.plans.retrieval import formatted, markdown, retrieve
 from lodestone.sources.files import files_from_table, is_binary, is_ignored
 from lodestone.sources.index_table import (
+    IndexTable,
     indexed_paths,
     latest,
     upserted,
     without_orphans,
     without_paths,
 )
+from lodestone.sources.registry import StoreConfig
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,27 +57,21 @@ def query(job: Query) -> Query:
     return job
 
 
-# Below this size a table has too few row groups to occupy all cores.
-SPREAD_BELOW = 1 << 30
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(spark: SparkSession, rows: DataFrame, path: str, key: str) -> DataFrame:
-    """Rows of a small input dealt out to all cores; a large one stays where it is read.
+def spread(spark: SparkSession, rows: DataFrame, key: str) -> DataFrame:
+    """Rows as they are read, unless the session asks for them to be dealt out.
 
-    Only the length of the files is read to tell which of both it is.
+    ``lodestone.spread`` is for tables of one row group, which one task reads.
     """
-    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
-    if size is None or size >= SPREAD_BELOW:
-        return rows
-    return rows.repartition(spark.sparkContext.defaultParallelism, key)
+    partitions = int(spark.conf.get("lodestone.spread", "0"))
+    return rows.repartition(partitions, key) if partitions else rows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(spark, table(spark, folder, "documents"), f"{folder}/documents.parquet", "doc_id")
+    return spread(spark, table(spark, folder, "documents"), "doc_id")
 
 
 def document_files(
@@ -173,12 +171,12 @@ def binary_filter(spark, folder):
 
 @query
 def readable_prefix(spark, folder):
-    """Whether the first half of the bytes of each text is UTF-8."""
+    """Whether each text, followed by the first half of its bytes, is UTF-8."""
     half = F.floor(F.octet_length("text") / 2).cast("int")
     content = F.col("text").cast("binary")
+    both = F.concat(content, F.substring(content, F.lit(1), half))
     return table(spark, folder, "documents").select(
-        "doc_id",
-        F.is_valid_utf8(F.substring(content, F.lit(1), half).cast("string")).alias("readable"),
+        "doc_id", F.is_valid_utf8(both.cast("string")).alias("readable")
     )
 
 
@@ -344,7 +342,7 @@ def markdown_headings(spark, folder):
 
 @query
 def html_chunks(spark, folder):
-    pages = spread(spark, table(spark, folder, "pages"), f"{folder}/pages.parquet", "page_id")
+    pages = spread(spark, table(spark, folder, "pages"), "page_id")
     files = files_from_table(
         pages, repo=F.lit("web"), content=F.col("html"),
         path=F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")),
@@ -385,15 +383,16 @@ def size_ranges_bytes(spark, folder):
 
 @query
 def nearest_newlines(spark, folder):
-    """Newline closest to the middle of every text."""
-    middle = F.floor(F.octet_length("content") / 2).cast("int")
-    return document_files(spark, folder).select(
-        "path",
-        B.nearest_newline(
-            F.col("content"), middle, F.greatest(F.lit(1), middle - C.NEWLINE_REACH),
-            F.least(F.octet_length("content") - 1, middle + C.NEWLINE_REACH),
-        ).cast("int").alias("after"),
-    )
+    """Newline closest to every 1024th byte of every text."""
+    size = F.octet_length("content")
+    targets = F.when(size > C.CODE_SOFT_BYTES, F.sequence(
+        F.lit(C.CODE_SOFT_BYTES), size - 1, F.lit(C.CODE_SOFT_BYTES)
+    ))
+    found = F.transform(targets, lambda at: F.struct(at.alias("target"), B.nearest_newline(
+        F.col("content"), at, F.greatest(F.lit(1), at - C.NEWLINE_REACH),
+        F.least(size - 1, at + C.NEWLINE_REACH),
+    ).cast("int").alias("after")))
+    return document_files(spark, folder).select("path", F.inline(found))
 
 
 @query
@@ -628,8 +627,8 @@ def cover_density(spark, folder):
 
 @query
 def english_lexemes(spark, folder):
-    """How often each stem occurs."""
-    rows = table(spark, folder, "documents").where(F.col("lang") == "en")
+    """How often each English stem occurs, in texts of all languages."""
+    rows = table(spark, folder, "documents")
     found = rows.select(F.explode(lexemes(F.col("text"))).alias("lexeme")).where("lexeme <> ''")
     return found.groupBy("lexeme").agg(F.count("*").alias("n"))
 
@@ -653,7 +652,7 @@ def hybrid_rrf_filtered(spark, folder):
 
 @query
 def rrf_word_candidates(spark, folder):
-    """Rank fusion of all keyword hits with all vector hits."""
+    """Rank fusion of the hundred best keyword hits with the hundred best vector hits."""
     rows = document_index(spark, folder)
     words_ = K.bm25(rows, "onanshat lyin").select("id", "repo", "keyword_score")
     near = vector_scores(rows, VECTOR).where("vector_score <> 0").select("id", "repo", "vector_score")
@@ -755,6 +754,95 @@ def index_metrics(spark, folder):
     return metrics(embedded_documents(spark, folder), deleted)
 
 
+# --- stored indexes -----------------------------------------------------------
+
+DIM = 32
+
+
+@dataclass(frozen=True)
+class MarkedFails:
+    """A model that fails on texts with a mark."""
+
+    mark: str
+
+    def __call__(self):
+        def embed(texts):
+            if any(self.mark in t for t in texts):
+                raise ValueError("marked")
+            return HashingModel(DIM).embed(texts)
+
+        return embed
+
+
+def new_index(spark: SparkSession) -> IndexTable:
+    return IndexTable(spark, StoreConfig(table=f"chunks_{uuid.uuid4().hex}"), buckets=4, keep_postings=False)
+
+
+def index_files(spark: SparkSession, folder: str, text: Column, branch: str = "main") -> DataFrame:
+    return document_files(spark, folder, text).withColumns(
+        {"repo": F.lit("docs"), "branch": F.lit(branch)}
+    )
+
+
+def every(files: DataFrame, op: str) -> DataFrame:
+    return files.select("path", F.lit(op).alias("op"))
+
+
+def indexed_bytes(index: IndexTable) -> DataFrame:
+    """Where the last chunk of each stored file ends."""
+    return index.read().groupBy("branch", "path").agg(F.max("end_bytes").alias("n_bytes"))
+
+
+@query
+def index_two_branches(spark, folder):
+    """Every text on two branches, the longer version indexed last; both stay."""
+    index = new_index(spark)
+    for branch, text in (("main", F.col("text")), ("dev", F.concat("text", F.lit(" more")))):
+        files = index_files(spark, folder, text, branch)
+        index_changes(index, files, every(files, "M"), repo="docs", model=HashingModel(DIM), dim=DIM)
+    return indexed_bytes(index)
+
+
+@query
+def index_failed_model(spark, folder):
+    """A second version of every text, of which a third cannot be embedded and keeps the first."""
+    index = new_index(spark)
+    first = index_files(spark, folder, F.col("text"))
+    index_changes(index, first, every(first, "A"), repo="docs", model=HashingModel(DIM), dim=DIM)
+    end = F.when(F.col("doc_id") % 3 == 0, F.lit(" %REFUSED%")).otherwise(F.lit(" accepted!"))
+    second = index_files(spark, folder, F.concat("text", end))
+    index_changes(
+        index, second, every(second, "M"), repo="docs", model=MarkedFails("%REFUSED%"), dim=DIM, batch=1
+    )
+    return indexed_bytes(index)
+
+
+@query
+def index_merge_state(spark, folder):
+    """An index of all texts after the last change of every path in the event log."""
+    index = new_index(spark)
+    first = index_files(spark, folder, F.col("text"))
+    index_changes(index, first, every(first, "A"), repo="docs", model=HashingModel(DIM), dim=DIM)
+    changes = latest_ops(spark, folder).select(
+        F.replace("path", F.lit("user_"), F.lit("doc_")).alias("path"), "op"
+    )
+    second = index_files(spark, folder, F.concat("text", F.lit("!")))
+    index_changes(index, second, changes, repo="docs", model=HashingModel(DIM), dim=DIM)
+    return indexed_bytes(index)
+
+
+@query
+def chunk_coverage(spark, folder):
+    """Bytes of every text, as source code and as plain text, that are in no chunk."""
+    files = document_files(spark, folder).unionByName(document_files(spark, folder, suffix="java"))
+    file = Window.partitionBy("path").orderBy("start_bytes", "end_bytes")
+    before = F.max("end_bytes").over(file.rowsBetween(Window.unboundedPreceding, -1))
+    rows = chunk_files(files).select("path", "start_bytes", "end_bytes", (
+        F.greatest(F.col("start_bytes") - F.coalesce(before, F.lit(0)), F.lit(0))
+    ).alias("gap"))
+    return rows.groupBy("path").agg(F.max("end_bytes").alias("n_bytes"), F.sum("gap").alias("missing"))
+
+
 # --- index maintenance ------------------------------------------------------
 
 

@@ -3,19 +3,47 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(rows: DataFrame) -> DataFrame:
-    """``rows`` read back from the checkpoint folder of the cluster."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which every executor can reach.
+
+    Where the setting is absent a local session gets a folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="lodestone-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def staged(rows: DataFrame, name: str = "rows") -> DataFrame:
+    """``rows`` written once as Parquet and read back, with columns pruned by every reader.
+
+    The files go when the application ends, or before that by ``dropped``.
+    """
     spark = rows.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="lodestone-")
-        context.setCheckpointDir(folder)
-    return rows.checkpoint()
+    folder = f"{shared_folder(spark)}/staged-{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    files, path = _file_system(spark, folder)
+    files.deleteOnExit(path)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of staged rows that nobody will read again."""
+    for rows in tables:
+        folders = {name.rsplit("/", 1)[0] for name in rows.inputFiles()}
+        for folder in folders:
+            files, path = _file_system(rows.sparkSession, folder)
+            files.delete(path, True)

@@ -450,11 +450,11 @@ FROM ovl JOIN (SELECT k, b, lo, hi FROM src) USING (k, b)""",
         "size_ranges_bytes": ranges(2048, 4096, 256),
         "nearest_newlines": f"""
 WITH {NEWLINES}
-SELECT path, CASE WHEN a IS NULL THEN c + 1 WHEN c IS NULL THEN a + 1 WHEN h - a <= c - h THEN a + 1 ELSE c + 1 END AS after
+SELECT path, h AS target, CASE WHEN a IS NULL THEN c + 1 WHEN c IS NULL THEN a + 1 WHEN h - a <= c - h THEN a + 1 ELSE c + 1 END AS after
 FROM (
   SELECT 'doc_' || k || '.txt' AS path, h, list_max(list_filter(nl, lambda x: x >= greatest(1, h - 2048) AND x < h AND x < n - 1)) AS a,
          list_min(list_filter(nl, lambda x: x >= h AND x < least(n - 1, h + 2048))) AS c
-  FROM (SELECT *, (n // 2)::INT AS h FROM t))""",
+  FROM (SELECT *, unnest(range(1024, n, 1024))::INT AS h FROM t))""",
         "middle_points": f"""
 SELECT {PATH} AS path, {start_row} AS row, {start_col} AS col, {start_row} AS newlines
 FROM (SELECT doc_id, text, hex(encode(text)) AS hx FROM documents)""",
@@ -552,6 +552,20 @@ WHERE repo = 'src2' OR NOT EXISTS (SELECT 1 FROM labels l WHERE quality = 0 AND
 WITH {INDEX}, {TOKENS}, u AS (SELECT id, unnest(w) AS term FROM tok)
 SELECT id, count(DISTINCT term) AS terms, count(*) AS words FROM u WHERE id IN (SELECT lpad(doc_id::VARCHAR, 12, '0') FROM labels) GROUP BY id""",
         "indexed_path_set": f"WITH {OPS} SELECT DISTINCT path FROM log WHERE op = 'M'",
+        "index_two_branches": f"""
+SELECT b AS branch, {PATH} AS path, (strlen(text) + more)::INT AS n_bytes
+FROM documents, (VALUES ('main', 0), ('dev', 5)) v(b, more) WHERE strlen(text) + more > 0""",
+        "index_failed_model": f"""
+SELECT 'main' AS branch, {PATH} AS path, (strlen(text) + CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 10 END)::INT AS n_bytes
+FROM documents WHERE doc_id % 3 <> 0 OR text <> ''""",
+        "index_merge_state": f"""
+WITH {OPS}
+SELECT 'main' AS branch, {PATH} AS path, (strlen(text) + CASE WHEN op IS NULL THEN 0 ELSE 1 END)::INT AS n_bytes
+FROM documents LEFT JOIN (SELECT replace(path, 'user_', 'doc_') AS changed, op FROM last_op) o ON changed = {PATH}
+WHERE op IS DISTINCT FROM 'D' AND (text <> '' OR op IS NOT NULL)""",
+        "chunk_coverage": """
+SELECT 'doc_' || doc_id || suffix AS path, strlen(text)::INT AS n_bytes, 0::BIGINT AS missing
+FROM documents, (VALUES ('.txt'), ('.java')) v(suffix) WHERE text <> ''""",
         "changed_chunks": f"""
 WITH RECURSIVE {OPS}, {cuts(PLAIN + " WHERE doc_id IN (SELECT replace(replace(path, 'user_', ''), '.txt', '')::BIGINT FROM last_op WHERE op <> 'D')")}, {MERGED}, {OVERLAPPED}
 SELECT 'doc_' || k || '.txt' AS path, s AS start_bytes, e AS end_bytes FROM ovl""",

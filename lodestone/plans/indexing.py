@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 from lodestone import config as C
 from lodestone.operators.chunk import chunk_files
 from lodestone.operators.embed import Loader, error_reports, HashingModel, with_embeddings
-from lodestone.plans.checkpoint import checkpointed
+from lodestone.plans.checkpoint import dropped, staged
 from lodestone.sources.files import is_binary, is_ignored
-from lodestone.sources.index_table import IndexTable, index_rows
-
-
-# Paths of some hundred bytes: well below what an executor can hold.
-BROADCAST_PATHS = 500_000
+from lodestone.sources.index_table import IndexTable, index_rows, same_file
 
 
 @dataclass
@@ -29,11 +25,15 @@ class IndexingReport:
 
 
 def split_changes(changes: DataFrame, ignore: str = "") -> tuple[DataFrame, DataFrame]:
-    """Paths to read and paths to delete; ignored ones are in neither."""
+    """Paths to read and paths to delete; ignored ones are in neither.
+
+    Where changes name a branch, it stays with the path.
+    """
     kept = changes.where(~is_ignored(F.col("path"), ignore))
+    keys = [c for c in ("branch", "path") if c in changes.columns]
     return (
-        kept.where(F.col("op").isin("A", "M")).select("path").distinct(),
-        kept.where(F.col("op") == "D").select("path").distinct(),
+        kept.where(F.col("op").isin("A", "M")).select(*keys).distinct(),
+        kept.where(F.col("op") == "D").select(*keys).distinct(),
     )
 
 
@@ -43,13 +43,18 @@ def not_yet_indexed(paths: DataFrame, indexed: DataFrame) -> DataFrame:
 
 
 def of_paths(files: DataFrame, paths: DataFrame) -> DataFrame:
-    """Files on a list of paths.
+    """Files on a list of paths; Spark broadcasts the list while it is small."""
+    return files.join(paths, same_file(files, paths), "left_semi")
 
-    A list up to the bound is broadcast, so no content is shuffled; beyond it
-    both sides are joined by path.
+
+def replaced(files: DataFrame, embedded: DataFrame) -> DataFrame:
+    """``branch, path`` of the files none of whose chunks failed to be embedded.
+
+    Only of these the former chunks may go.
     """
-    listed = paths.limit(BROADCAST_PATHS + 1).count() <= BROADCAST_PATHS
-    return files.join(F.broadcast(paths) if listed else paths, "path", "left_semi")
+    failed = embedded.where(F.col("error").isNotNull()).select("branch", "path").distinct()
+    tried = files.select("branch", "path").distinct()
+    return tried.join(failed, same_file(tried, failed), "left_anti")
 
 
 def metrics(embedded: DataFrame, deleted: DataFrame) -> DataFrame:
@@ -71,32 +76,39 @@ def index_changes(
     ignore: str = "",
     model: Loader | None = None,
     dim: int = C.EMBEDDING_DIM,
+    batch: int = C.EMBEDDING_BATCH,
     keep_stale: bool = False,
 ) -> IndexingReport:
     """Bring the index of one repository up to date.
 
     ``files`` has the content of the new version and ``changes`` its paths with
-    an op. Chunks of deleted paths go. Those of the former version of a
-    modified path go too, unless ``keep_stale`` asks for the plain merge by id.
-    Chunks are embedded once and written down before the index is touched, so
-    a lost executor repeats its own tasks and no model run.
+    an op, and the branch where it matters. Chunks of deleted paths go, on all
+    branches if none is named. Those of the former version of a file go, on its
+    own branch, once all its new chunks are embedded, unless ``keep_stale`` asks
+    for the plain merge by id. Chunks are embedded once and written down before
+    the index is touched, so a lost executor repeats its own tasks and no model run.
     """
     wanted, deleted = split_changes(changes, ignore)
     if full:
         wanted = not_yet_indexed(wanted, table.indexed_paths(repo))
-    present = of_paths(files.where(F.col("repo") == repo), wanted)
-    binary = is_binary(F.col("content"))
-    chunks = chunk_files(present.where(~binary))
-    wanted, deleted = checkpointed(wanted), checkpointed(deleted)
-    embedded = checkpointed(with_embeddings(chunks, model or HashingModel(dim), dim=dim))
+    wanted, deleted = staged(wanted, "wanted"), staged(deleted, "deleted")
+    present = of_paths(files.where(F.col("repo") == repo), wanted).withColumn(
+        "_binary", is_binary(F.col("content"))
+    )
+    named = staged(present.select("branch", "path", "_binary"), "files")
+    chunks = chunk_files(present.where(~F.col("_binary")).drop("_binary"))
+    embedded = staged(
+        with_embeddings(chunks, model or HashingModel(dim), dim=dim, batch=batch), "embedded"
+    )
     rows = index_rows(embedded.where(F.col("error").isNull()), dim)
-    gone = deleted if keep_stale else deleted.unionByName(wanted)
-    table.replace_paths(rows, gone, repo)
+    table.replace_paths(rows, deleted, repo, None if keep_stale else replaced(named, embedded))
     counted = metrics(embedded, deleted).first()
-    return IndexingReport(
+    report = IndexingReport(
         counted["processed_chunks"],
         counted["processed_files"],
         counted["deleted_files"],
-        present.where(binary).count(),
-        error_reports(embedded),
+        named.where("_binary").count(),
+        staged(error_reports(embedded), "errors"),
     )
+    dropped(wanted, deleted, named, embedded)
+    return report

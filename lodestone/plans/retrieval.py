@@ -28,16 +28,20 @@ def retrieve(
     dim: int = C.EMBEDDING_DIM,
     reranker: Reranker | None = None,
     initial_limit: int = C.DEFAULT_INITIAL_LIMIT,
+    max_initial_limit: int = C.MAX_INITIAL_LIMIT,
     search: Search = search_rrf,
 ) -> DataFrame:
-    """The ``top_k`` best chunks; none for a blank query."""
+    """The ``top_k`` best chunks; none for a blank query.
+
+    The reranker sees ``initial_limit`` candidates, at most ``max_initial_limit``.
+    """
     text = (query or "").strip()
     if not text:
         return chunks.where(F.lit(False)).withColumn("score", F.lit(0.0))
     if query_vector is None:
         query_vector = embed_query(text, model or HashingModel(dim), dim=dim)
     found = search(
-        chunks, query_vector, text, C.first_stage_limit(top_k, initial_limit),
+        chunks, query_vector, text, C.first_stage_limit(top_k, initial_limit, max_initial_limit),
         repo=repo, branch=branch,
     )
     if reranker is None:

@@ -51,6 +51,8 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         # Leave out the call site of every column; plans are built twice as fast.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # The sample tables are of one row group each.
+        .config("lodestone.spread", str(partitions))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -9,8 +9,6 @@ from its chunks and replaced along with it.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,11 +20,13 @@ from lodestone.functions.vector import checked
 from lodestone.operators.fusion import rrf
 from lodestone.operators.keyword import bm25_postings, corpus_stats, like, postings, top_by
 from lodestone.operators.vectors import vector_search
-from lodestone.plans.checkpoint import checkpointed
+from lodestone.plans.checkpoint import staged
 from lodestone.sources.registry import StoreConfig, register_store
 
-# Above this many touched partitions the filter is a join instead of a list.
-LISTED_PARTITIONS = 1000
+BUCKETS = 64
+BUCKETS_PROPERTY = "lodestone.buckets"
+# Partitions named in one statement.
+DROPPED_AT_ONCE = 1000
 
 
 def bucket_of(path: Column, buckets: int) -> Column:
@@ -45,12 +45,38 @@ def upserted(existing: DataFrame, incoming: DataFrame, key: str = "id") -> DataF
     return kept.unionByName(incoming)
 
 
+def same_file(rows: DataFrame, paths: DataFrame) -> Column:
+    """Rows on a list of paths, and of their branch and repository where the list names them."""
+    condition = rows["path"] == paths["path"]
+    for name in ("repo", "branch"):
+        if name in paths.columns:
+            condition &= rows[name].eqNullSafe(paths[name])
+    return condition
+
+
 def without_paths(existing: DataFrame, paths: DataFrame, repo: str | None = None) -> DataFrame:
-    """``existing`` without the rows of ``paths`` in one or in every repository, on all branches."""
-    gone = paths.select("path").distinct()
-    if repo is None:
-        return existing.join(gone, "path", "left_anti")
-    return existing.join(gone.withColumn("repo", F.lit(repo)), ["repo", "path"], "left_anti")
+    """``existing`` without the rows of ``paths`` in one or in every repository.
+
+    Where ``paths`` names branches, rows of other branches stay.
+    """
+    gone = paths.select(*[c for c in ("branch", "path") if c in paths.columns]).distinct()
+    if repo is not None:
+        gone = gone.withColumn("repo", F.lit(repo))
+    return existing.join(gone, same_file(existing, gone), "left_anti")
+
+
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """``rows`` with each id once; rows that differ under one id fail the job."""
+    same = Window.partitionBy("id")
+    code = F.xxhash64(*rows.columns)
+    marked = rows.withColumn("_code", code).withColumns({
+        "_place": F.row_number().over(same.orderBy("_code")),
+        "_differ": F.min("_code").over(same) != F.max("_code").over(same),
+    })
+    checked_id = F.when(F.col("_differ"), F.raise_error(
+        F.concat(F.lit("different rows under one id, and no order is given: "), F.col("id"))
+    )).otherwise(F.col("id"))
+    return marked.where("_place = 1").withColumn("id", checked_id).select(*rows.columns)
 
 
 def without_orphans(index: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -87,21 +113,34 @@ class IndexTable:
         self,
         spark: SparkSession,
         config: StoreConfig = StoreConfig(),
-        buckets: int = 64,
+        buckets: int | None = None,
         keep_postings: bool = True,
     ):
         self.spark = spark
         self.table = config.table
         self.postings_table = (config.postings or f"{config.table}_fts") if keep_postings else None
-        self.buckets = buckets
-        self.bootstrap()
+        self.bootstrap(buckets)
+
+    def bootstrap(self, buckets: int | None = None) -> None:
+        """Create the tables and add missing columns; repeating it changes nothing.
 
-    def bootstrap(self) -> None:
-        """Create the tables and add missing columns; repeating it changes nothing."""
+        The number of buckets is a property of the table, as rows of one path
+        must always lie in the same one.
+        """
         columns = ", ".join(
             f"{f.name} {f.dataType.simpleString()}" for f in S.INDEX if f.name != "repo"
         )
         self._create(self.table, columns)
+        stored = {
+            r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.table}").collect()
+        }.get(BUCKETS_PROPERTY)
+        if stored is not None and buckets is not None and int(stored) != buckets:
+            raise ValueError(f"{self.table} has {stored} buckets, not {buckets}")
+        self.buckets = int(stored or buckets or BUCKETS)
+        if stored is None:
+            self.spark.sql(
+                f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{self.buckets}')"
+            )
         if self.postings_table:
             self._create(
                 self.postings_table,
@@ -151,7 +190,7 @@ class IndexTable:
         text, take = (query or "").strip(), settings.candidates(limit)
         scores = bm25_postings(self.read_postings(), self.stats(), text, repo=repo, branch=branch)
         # At most ``take`` rows, so their texts are fetched by a broadcast join.
-        hits = checkpointed(top_by(scores, "keyword_score", take))
+        hits = staged(top_by(scores, "keyword_score", take), "hits")
         if hits.isEmpty():
             found = top_by(like(chunks, text, repo=repo, branch=branch), "keyword_score", take)
         else:
@@ -162,19 +201,22 @@ class IndexTable:
     def upsert(self, rows: DataFrame, order: str | None = None) -> None:
         """Merge ``rows`` by id; of equal ids in a batch the last by ``order`` stays.
 
-        The batch is read more than once, so it is written down first.
+        Without an order, rows under one id must be the same. The batch is read
+        more than once, so it is written down first.
         """
-        rows = checkpointed(rows.where(F.col("id").isNotNull()))
-        rows = latest(rows, ["id"], [F.col(order)]) if order else rows.dropDuplicates(["id"])
-        incoming = rows.select(*S.INDEX.fieldNames()).withColumn(
-            "bucket", bucket_of(F.col("path"), self.buckets)
-        )
+        rows = staged(rows.where(F.col("id").isNotNull()), "batch")
+        incoming = self._incoming(latest(rows, ["id"], [F.col(order)]) if order else rows)
         self._rewrite(
             incoming.select("repo", "bucket"),
             lambda existing: upserted(existing, incoming),
             empties=False,
         )
 
+    def _incoming(self, rows: DataFrame) -> DataFrame:
+        return one_per_id(rows.select(*S.INDEX.fieldNames())).withColumn(
+            "bucket", bucket_of(F.col("path"), self.buckets)
+        )
+
     def delete(self, paths: DataFrame, repo: str | None = None) -> None:
         """Remove all chunks of ``paths``; without any path nothing happens."""
         touched = paths.select(bucket_of(F.col("path"), self.buckets).alias("bucket"))
@@ -182,46 +224,44 @@ class IndexTable:
             touched = touched.withColumn("repo", F.lit(repo))
         self._rewrite(touched, lambda existing: without_paths(existing, paths, repo), empties=True)
 
-    def replace_paths(self, rows: DataFrame, paths: DataFrame, repo: str) -> None:
-        """Delete ``paths`` and merge ``rows`` in one rewrite, so no version is half there.
+    def replace_paths(
+        self, rows: DataFrame, paths: DataFrame, repo: str, replaced: DataFrame | None = None
+    ) -> None:
+        """Delete ``paths``, and files ``replaced``, and merge ``rows`` in one rewrite.
 
-        Both are read more than once and should be checkpointed or cheap.
+        No version of the table is half there. ``paths`` may name branches,
+        ``replaced`` does. All are read more than once and should be staged or cheap.
         """
-        incoming = rows.select(*S.INDEX.fieldNames()).withColumn(
-            "bucket", bucket_of(F.col("path"), self.buckets)
-        ).dropDuplicates(["id"])
-        touched = incoming.select("repo", "bucket").unionByName(
-            paths.select(F.lit(repo).alias("repo"), bucket_of(F.col("path"), self.buckets).alias("bucket"))
-        )
-        self._rewrite(
-            touched,
-            lambda existing: upserted(without_paths(existing, paths, repo), incoming),
-            empties=True,
-        )
+        incoming = self._incoming(rows)
+        lists = [paths] if replaced is None else [paths, replaced]
+        touched = incoming.select("repo", "bucket")
+        for gone in lists:
+            touched = touched.unionByName(gone.select(
+                F.lit(repo).alias("repo"), bucket_of(F.col("path"), self.buckets).alias("bucket")
+            ))
 
-    def _scope(self, touched: DataFrame) -> tuple[DataFrame, list | None]:
-        """The rows of the touched partitions, and their list while it is short.
+        def changed(existing: DataFrame) -> DataFrame:
+            for gone in lists:
+                existing = without_paths(existing, gone, repo)
+            return upserted(existing, incoming)
 
-        There are at most as many as the table has partitions.
+        self._rewrite(touched, changed, empties=True)
+
+    def _scope(self, touched: DataFrame) -> DataFrame:
+        """The rows of the touched partitions.
+
+        The filter on the small side makes Spark prune partitions by it when it runs.
         """
         keys = touched.columns
-        listed = touched.distinct().limit(LISTED_PARTITIONS + 1).collect()
-        existing = self.spark.table(self.table)
-        if len(listed) > LISTED_PARTITIONS:
-            return existing.join(touched.distinct(), keys, "left_semi"), None
-        by_repo: dict = {}
-        for row in listed:
-            by_repo.setdefault(row["repo"] if "repo" in keys else None, []).append(row["bucket"])
-        tests = [
-            F.col("bucket").isin(buckets) & (F.lit(True) if name is None else F.col("repo") == name)
-            for name, buckets in by_repo.items()
-        ]
-        return existing.where(reduce(or_, tests, F.lit(False))), listed
+        return self.spark.table(self.table).join(
+            touched.where("bucket >= 0").distinct(), keys, "left_semi"
+        )
 
     def _rewrite(self, touched: DataFrame, change, empties: bool) -> None:
-        existing, listed = self._scope(touched)
-        if listed == []:
+        touched = staged(touched.distinct(), "touched")
+        if touched.isEmpty():
             return
+        existing = self._scope(touched)
         changed = change(existing)
         gone = self._emptied(existing, changed) if empties else []
         # Rebalancing splits a large partition over several tasks and files.
@@ -232,8 +272,7 @@ class IndexTable:
         )
         self._drop(self.table, gone)
         if self.postings_table:
-            scope, _ = self._scope(touched)
-            index = postings(scope).withColumn("bucket", bucket_of(F.col("path"), self.buckets))
+            index = postings(self._scope(touched)).withColumn("bucket", bucket_of(F.col("path"), self.buckets))
             (
                 index.select(*self.spark.table(self.postings_table).columns)
                 .hint("rebalance", "repo", "bucket")
@@ -251,10 +290,10 @@ class IndexTable:
         return before.join(after, ["repo", "bucket"], "left_anti").collect()
 
     def _drop(self, table: str, partitions: list) -> None:
-        for at in range(0, len(partitions), LISTED_PARTITIONS):
+        for at in range(0, len(partitions), DROPPED_AT_ONCE):
             parts = ", ".join(
                 f"PARTITION (repo='{_quoted(repo)}', bucket={bucket})"
-                for repo, bucket in partitions[at:at + LISTED_PARTITIONS]
+                for repo, bucket in partitions[at:at + DROPPED_AT_ONCE]
             )
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
         self.spark.catalog.refreshTable(table)

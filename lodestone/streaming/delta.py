@@ -15,8 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodestone import config as C
 from lodestone.operators.chunk import chunk_files
-from lodestone.operators.embed import Loader, HashingModel, with_embeddings
-from lodestone.plans.checkpoint import checkpointed
+from lodestone.operators.embed import Loader, error_reports, HashingModel, with_embeddings
+from lodestone.plans.checkpoint import dropped, staged
+from lodestone.plans.indexing import replaced
 from lodestone.sources.index_table import IndexTable, index_rows, latest
 
 TIMEOUT_EXIT_CODE = 75
@@ -29,23 +30,43 @@ def merge_batch(
     repo: str,
     model: Loader | None = None,
     dim: int = C.EMBEDDING_DIM,
-) -> None:
-    """Apply ``seq, branch, path, op, content`` rows; of a path the last one counts."""
-    last = checkpointed(latest(batch, ["path"], [F.col("seq")]))
+    batch_id: int | None = None,
+) -> DataFrame:
+    """Apply ``seq, branch, path, op, content`` rows; of a branch's path the last one counts.
+
+    A file whose chunks could not all be embedded keeps its former ones. What
+    failed is returned and, with ``batch_id``, kept in ``<table>_errors``, where
+    a batch that is run again replaces its own rows.
+    """
+    last = staged(latest(batch, ["branch", "path"], [F.col("seq")]), "changes")
     files = last.where(F.col("op").isin("A", "M")).select(
         F.lit(repo).alias("repo"), "branch", "path", "content"
     )
-    embedded = with_embeddings(chunk_files(files), model or HashingModel(dim), dim=dim)
-    rows = checkpointed(index_rows(embedded.where(F.col("error").isNull()), dim))
-    table.replace_paths(rows, last.where(F.col("op").isin("A", "M", "D")).select("path"), repo)
+    chunks = chunk_files(files)
+    embedded = staged(with_embeddings(chunks, model or HashingModel(dim), dim=dim), "embedded")
+    rows = index_rows(embedded.where(F.col("error").isNull()), dim)
+    gone = last.where(F.col("op") == "D").select("branch", "path")
+    table.replace_paths(rows, gone, repo, replaced(files, embedded))
+    errors = staged(error_reports(embedded), "errors")
+    if batch_id is not None:
+        _keep_errors(table, errors.withColumn("batch", F.lit(batch_id)))
+    dropped(last, embedded)
+    return errors
+
+
+def _keep_errors(table: IndexTable, errors: DataFrame) -> None:
+    name = f"{table.table}_errors"
+    columns = ", ".join(f"{c} {t}" for c, t in errors.dtypes)
+    table.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (batch)")
+    errors.write.mode("overwrite").insertInto(name)
 
 
 def index_stream(
     changes: DataFrame, table: IndexTable, checkpoint: str, *, repo: str, **options
 ) -> StreamingQuery:
     """Start a query that merges every micro-batch and stops at the end of the input."""
-    def apply(batch: DataFrame, _: int) -> None:
-        merge_batch(table, batch, repo=repo, **options)
+    def apply(batch: DataFrame, number: int) -> None:
+        merge_batch(table, batch, repo=repo, batch_id=number, **options)
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -1,4 +1,5 @@
 import subprocess
+from dataclasses import dataclass
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from lodestone.sources.registry import (
     stores,
     unregister_store,
 )
-from lodestone.streaming.delta import TIMEOUT_EXIT_CODE, finish, index_stream
+from lodestone.streaming.delta import TIMEOUT_EXIT_CODE, finish, index_stream, merge_batch
 
 DIM = 32
 COUNTER = iter(range(1000))
@@ -209,12 +210,12 @@ def test_indexing_a_tree_in_two_runs(spark, table, tree):
         chunk_files(spark.createDataFrame([("repo", "main", "delete.py", bytearray(b"def gone():\n  pass\n"))], S.FILES)),
         HashingModel(DIM), dim=DIM), DIM))
     report = index_changes(table, files, git_changes(spark, str(root)), **options)
-    assert (report.processed_files, report.processed_chunks, report.deleted_files) == (2, 2, 2)
+    assert (report.processed_files, report.processed_chunks, report.deleted_files) == (2, 4, 2)
     assert paths(table) == ["dir/né w.py", "renamed.py"]
     report = index_changes(table, files, git_changes(spark, str(root), full=True), full=True, **options)
     assert report.skipped_binary == 1 and report.processed_files == 1
     assert paths(table) == ["dir/né w.py", "keep.py", "renamed.py"]
-    found = retrieve(table.read(), "fresh", top_k=1, model=HashingModel(DIM), dim=DIM)
+    found = retrieve(table.read(), "def fresh", top_k=1, model=HashingModel(DIM), dim=DIM)
     assert found.first().path == "dir/né w.py"
 
 
@@ -228,6 +229,76 @@ def test_modified_paths_lose_their_former_chunks(spark, table, make_files):
     assert sorted(r.chunk for r in table.read().collect()) == ["other length", "short"]
 
 
+def ends(table):
+    return sorted((r.branch, r.path, r.end_bytes) for r in table.read().collect())
+
+
+def test_a_branch_keeps_its_rows_when_another_is_indexed(spark, table, make_files):
+    options = {"repo": "repo", "model": HashingModel(DIM), "dim": DIM}
+    change = spark.createDataFrame([("x.txt", "M")], S.CHANGES)
+    index_changes(table, make_files({"x.txt": "on main"}), change, **options)
+    index_changes(table, make_files({"x.txt": "dev"}, branch="dev"), change, **options)
+    assert ends(table) == [("dev", "x.txt", 3), ("main", "x.txt", 7)]
+    gone = spark.createDataFrame([("main", "x.txt", "D")], "branch string, path string, op string")
+    index_changes(table, make_files({"x.txt": ""}), gone, **options)
+    assert ends(table) == [("dev", "x.txt", 3)]
+
+
+@dataclass(frozen=True)
+class Failing:
+    """A model that refuses texts with a mark."""
+
+    dim: int = DIM
+
+    def __call__(self):
+        def embed(texts):
+            if any("REFUSED" in t for t in texts):
+                raise ValueError("refused")
+            return HashingModel(self.dim).embed(texts)
+
+        return embed
+
+
+def test_a_failing_model_leaves_what_was_indexed(spark, table, make_files):
+    change = spark.createDataFrame([("a.txt", "M"), ("b.txt", "M")], S.CHANGES)
+    options = {"repo": "repo", "dim": DIM, "batch": 1}
+    index_changes(table, make_files({"a.txt": "old", "b.txt": "old"}), change, model=HashingModel(DIM), **options)
+    files = make_files({"a.txt": "REFUSED text", "b.txt": "new text"})
+    report = index_changes(table, files, change, model=Failing(), **options)
+    assert ends(table) == [("main", "a.txt", 3), ("main", "b.txt", 8)]
+    assert [r.path for r in report.errors.collect()] == ["a.txt"]
+
+
+def test_a_stream_reports_failures_and_keeps_branches(spark, table):
+    rows = [(1, "main", "a.txt", "A", b"old"), (2, "dev", "a.txt", "A", b"older")]
+    merge = lambda rows, number: merge_batch(
+        table, spark.createDataFrame([(*r[:4], bytearray(r[4])) for r in rows], STREAM),
+        repo="repo", model=Failing(), dim=DIM, batch_id=number)
+    assert merge(rows, 0).count() == 0
+    for _ in range(2):
+        assert [r.message for r in merge([(3, "main", "a.txt", "M", b"REFUSED text")], 1).collect()] == ["refused"]
+    assert ends(table) == [("dev", "a.txt", 5), ("main", "a.txt", 3)]
+    assert [(r.path, r.batch) for r in spark.table(f"{table.table}_errors").collect()] == [("a.txt", 1)]
+    spark.sql(f"DROP TABLE {table.table}_errors")
+
+
+def test_buckets_belong_to_the_table(spark, table, embedded):
+    table.upsert(embedded({f"{i}.txt": "one" for i in range(3)}))
+    with pytest.raises(ValueError, match="4 buckets"):
+        IndexTable(spark, StoreConfig(table=table.table), buckets=64)
+    again = IndexTable(spark, StoreConfig(table=table.table))
+    again.upsert(embedded({f"{i}.txt": "two" for i in range(2)}))
+    assert sorted(r.chunk for r in table.read().collect()) == ["one", "two", "two"]
+
+
+def test_different_rows_under_one_id_need_an_order(table, embedded):
+    rows = embedded({"z.txt": "one"})
+    table.upsert(rows.unionByName(rows))
+    assert table.read().count() == 1
+    with pytest.raises(Exception, match="different rows under one id"):
+        table.upsert(rows.unionByName(rows.withColumn("chunk", F.lit("two"))))
+
+
 STREAM = "seq long, branch string, path string, op string, content binary"
 
 
