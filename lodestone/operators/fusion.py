@@ -22,6 +22,7 @@ from lodestone.operators.keyword import (
     web_query,
 )
 from lodestone.operators.vectors import vector_scores, vector_search
+from lodestone.plans.checkpoint import staged
 
 
 def _ranked(rows: DataFrame, score: str, name: str) -> DataFrame:
@@ -69,6 +70,19 @@ def rrf(
     )
 
 
+def fetched(chunks: DataFrame, fused: DataFrame) -> DataFrame:
+    """The rows of fused ids, best first.
+
+    The ids are written down first, so Spark knows how few they are and reads
+    the rows by a broadcast of them.
+    """
+    scores = staged(fused.select(
+        "id", "keyword_score", "vector_score", "keyword_rank", "vector_rank", "score"
+    ), "fused")
+    # With equal scores, the order of the keyword list comes first.
+    return chunks.join(scores, "id").orderBy(F.col("score").desc(), "keyword_rank")
+
+
 def search_rrf(
     chunks: DataFrame,
     query_vector: Sequence[float],
@@ -79,13 +93,20 @@ def search_rrf(
     branch: str | None = None,
     settings: SearchSettings = SearchSettings(),
     id_words: int = 1,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
-    """Hybrid search by rank."""
+    """Hybrid search by rank.
+
+    Words are searched on the texts and vectors on ``id, repo, branch, embedding``
+    alone, from ``vectors`` where they are stored apart. Whole rows are read for
+    the fused ids only.
+    """
     text = (query or "").strip()
     take = settings.candidates(limit)
     words = keyword_search(chunks, text, take, repo=repo, branch=branch, id_words=id_words)
-    near = vector_search(chunks, query_vector, take, repo=repo, branch=branch)
-    return rrf(words, near, limit, settings)
+    apart = (chunks if vectors is None else vectors).select("id", "repo", "branch", "embedding")
+    near = vector_search(apart, query_vector, take, repo=repo, branch=branch)
+    return fetched(chunks, rrf(words, near.select("id", "vector_score"), limit, settings))
 
 
 def search_weighted(

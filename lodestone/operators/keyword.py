@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from lodestone import config as C
 from lodestone.functions.analysis import WORD, fold_text, lexeme, query_phrases, words
 from lodestone.functions.bytesops import let
+from lodestone.plans.checkpoint import staged
 
 
 def in_scope(rows: DataFrame, repo: str | None = None, branch: str | None = None) -> DataFrame:
@@ -72,7 +73,7 @@ def saturation(count: Column, length: Column, mean: Column) -> Column:
     return count * (k1 + 1) / (count + k1 * (1 - b + b * length / mean))
 
 
-def bm25(
+def bm25_scores(
     chunks: DataFrame,
     query: str,
     *,
@@ -80,17 +81,20 @@ def bm25(
     branch: str | None = None,
     id_words: int = 1,
 ) -> DataFrame:
-    """Rows that hold any phrase of ``query``, with their ``keyword_score``.
+    """``id, repo, branch, keyword_score`` of the rows that hold any phrase of ``query``.
 
     Statistics cover the whole table, also when the hits are restricted.
     ``id_words`` is what the indexed id column adds to the length of a row.
-    Both passes count words where the row lies: what moves is one row of
-    statistics per task, and the total comes back as a constant.
+    Words are counted once, where the row lies; the counts are written down, and
+    statistics and scores come from them.
     """
     phrases = query_phrases(query)
+    narrow = chunks.select("id", "repo", "branch")
     if not phrases:
-        return chunks.where(F.lit(False)).withColumn("keyword_score", F.lit(0.0))
-    counted = chunks.withColumn("_t", term_counts(F.col("chunk"), phrases))
+        return narrow.where(F.lit(False)).withColumn("keyword_score", F.lit(0.0))
+    counted = staged(
+        chunks.select("id", "repo", "branch", term_counts(F.col("chunk"), phrases).alias("_t")), "counts"
+    )
     stats = counted.agg(
         F.struct(
             F.count("*").cast("double").alias("total"),
@@ -116,7 +120,12 @@ def bm25(
         F.lit(0.0),
         lambda total, x: total + x,
     )
-    return known.withColumn("keyword_score", score).drop("_t", "_s")
+    return known.select("id", "repo", "branch", score.alias("keyword_score"))
+
+
+def bm25(chunks: DataFrame, query: str, **scope) -> DataFrame:
+    """``chunks`` that hold any phrase of ``query``, with their ``keyword_score``."""
+    return chunks.join(bm25_scores(chunks, query, **scope).select("id", "keyword_score"), "id")
 
 
 # --- postings ---------------------------------------------------------------
@@ -272,15 +281,14 @@ def keyword_search(
     branch: str | None = None,
     id_words: int = 1,
 ) -> DataFrame:
-    """The best BM25 rows, or rows that contain the query when no word matches."""
+    """``id, keyword_score`` of the best BM25 rows, or of rows that contain the query when no word matches."""
     if query_phrases(query):
-        hits = bm25(chunks, query, repo=repo, branch=branch, id_words=id_words)
-        # Whether any row has a searched word needs no statistics.
-        tokens = words(F.col("chunk"))
-        some = reduce(or_, [phrase_count(tokens, p) > 0 for p in query_phrases(query)])
-        if not in_scope(chunks, repo, branch).where(some).isEmpty():
-            return top_by(hits, "keyword_score", limit)
-    return top_by(like(chunks, query, repo=repo, branch=branch), "keyword_score", limit)
+        hits = bm25_scores(chunks, query, repo=repo, branch=branch, id_words=id_words)
+        best = staged(top_by(hits.select("id", "keyword_score"), "keyword_score", limit), "hits")
+        if not best.isEmpty():
+            return best
+    found = like(chunks, query, repo=repo, branch=branch).select("id", "keyword_score")
+    return top_by(found, "keyword_score", limit)
 
 
 # --- English text match -----------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from lodestone.operators.fusion import rrf, search_rrf, search_weighted
 from lodestone.operators.rerank import lexical_reranker
 from lodestone.operators.structure import structure_blocks
 from lodestone.operators.vectors import vector_scores, vector_search
+from lodestone.plans.checkpoint import staged
 from lodestone.plans.indexing import index_changes, metrics, not_yet_indexed, split_changes
 from lodestone.plans.retrieval import formatted, markdown, retrieve
 from lodestone.sources.files import files_from_table, is_binary, is_ignored
@@ -112,6 +114,13 @@ def document_index(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def document_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """``id, repo, branch, embedding`` of all documents, without their texts."""
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    rows = table(spark, folder, "documents").select("doc_id", "source", "lang")
+    return rows.join(vectors, "doc_id", "left").selectExpr(*_INDEX_ROW[:3], "embedding")
+
+
 def op_log(spark: SparkSession, folder: str) -> DataFrame:
     """``events`` as a log of file changes, one path per user."""
     kind = F.col("event_type")
@@ -564,13 +573,13 @@ def fts_terms(spark, folder):
 
 @query
 def bm25_topk(spark, folder):
-    found = K.top_by(K.bm25(document_texts(spark, folder), WORDS), "keyword_score", 50)
+    found = K.top_by(K.bm25_scores(document_texts(spark, folder), WORDS), "keyword_score", 50)
     return found.select("id", rounded("keyword_score"))
 
 
 @query
 def bm25_filtered(spark, folder):
-    found = K.bm25(document_texts(spark, folder), WORDS, repo="src8", branch="en")
+    found = K.bm25_scores(document_texts(spark, folder), WORDS, repo="src8", branch="en")
     return found.select("id", "repo", "branch", rounded("keyword_score"))
 
 
@@ -583,7 +592,7 @@ def bm25_postings(spark, folder):
 
 @query
 def phrase_match(spark, folder):
-    found = K.bm25(document_texts(spark, folder), PHRASE)
+    found = K.bm25_scores(document_texts(spark, folder), PHRASE)
     return found.select("id", rounded("keyword_score"))
 
 
@@ -605,23 +614,27 @@ def keyword_fallback(spark, folder):
     return K.keyword_search(document_texts(spark, folder), SUBSTRING, 50).select("id", "keyword_score")
 
 
-def lexeme_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return document_index(spark, folder).withColumn(
+def with_lexemes(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(
         "lexemes", F.regexp_extract_all(F.lower("chunk"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     )
 
 
+def lexeme_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return with_lexemes(document_index(spark, folder))
+
+
 @query
 def text_match_web(spark, folder):
     wanted = K.web_query('"of the" lyin or shor -onanshat', english=False)
-    rows = lexeme_rows(spark, folder)
+    rows = with_lexemes(document_texts(spark, folder))
     return rows.where(K.text_matches(F.col("lexemes"), wanted)).select("id")
 
 
 @query
 def cover_density(spark, folder):
     wanted = K.web_query("lyin the", english=False)
-    rows = lexeme_rows(spark, folder).where(K.text_matches(F.col("lexemes"), wanted))
+    rows = with_lexemes(document_texts(spark, folder)).where(K.text_matches(F.col("lexemes"), wanted))
     return rows.select("id", F.round(K.cover_rank(F.col("lexemes"), wanted), 6).alias("rank"))
 
 
@@ -640,22 +653,23 @@ SCORES = ["keyword_score", "vector_score", "score"]
 
 @query
 def hybrid_rrf(spark, folder):
-    found = search_rrf(document_index(spark, folder), VECTOR, WORDS, 40)
+    found = search_rrf(document_texts(spark, folder), VECTOR, WORDS, 40, vectors=document_vectors(spark, folder))
     return found.select("id", "keyword_rank", "vector_rank", *map(rounded, SCORES))
 
 
 @query
 def hybrid_rrf_filtered(spark, folder):
-    found = search_rrf(document_index(spark, folder), VECTOR, WORDS, 4, branch="en")
+    found = search_rrf(
+        document_texts(spark, folder), VECTOR, WORDS, 4, branch="en", vectors=document_vectors(spark, folder)
+    )
     return found.select("id", "branch", "keyword_rank", "vector_rank", *map(rounded, SCORES))
 
 
 @query
 def rrf_word_candidates(spark, folder):
     """Rank fusion of the hundred best keyword hits with the hundred best vector hits."""
-    rows = document_index(spark, folder)
-    words_ = K.bm25(rows, "onanshat lyin").select("id", "repo", "keyword_score")
-    near = vector_scores(rows, VECTOR).where("vector_score <> 0").select("id", "repo", "vector_score")
+    words_ = K.bm25_scores(document_texts(spark, folder), "onanshat lyin").select("id", "repo", "keyword_score")
+    near = vector_scores(document_vectors(spark, folder), VECTOR).where("vector_score <> 0").select("id", "repo", "vector_score")
     found = rrf(K.top_by(words_, "keyword_score", 100), K.top_by(near, "vector_score", 100), 200)
     return found.select("id", "repo", "keyword_rank", "vector_rank", rounded("score"))
 
@@ -672,16 +686,22 @@ def hybrid_empty_query(spark, folder):
     return found.select("id", rounded("vector_score"), rounded("keyword_score"))
 
 
+def apart(spark: SparkSession, folder: str):
+    """Hybrid search with the vectors in a table of their own."""
+    return partial(search_rrf, vectors=document_vectors(spark, folder))
+
+
 @query
 def retrieve_topk(spark, folder):
-    found = retrieve(document_index(spark, folder), f" {WORDS} ", top_k=10, query_vector=VECTOR)
+    found = retrieve(document_texts(spark, folder), f" {WORDS} ", top_k=10, query_vector=VECTOR, search=apart(spark, folder))
     return found.select("id", "path", rounded("score"))
 
 
 @query
 def rerank_lexical(spark, folder):
     found = retrieve(
-        document_index(spark, folder), WORDS, top_k=10, query_vector=VECTOR, reranker=lexical_reranker
+        document_texts(spark, folder), WORDS, top_k=10, query_vector=VECTOR, reranker=lexical_reranker,
+        search=apart(spark, folder),
     )
     return found.select("id", rounded("rerank_score"))
 
@@ -696,7 +716,7 @@ def render_results(spark, folder):
 
 @query
 def render_markdown(spark, folder):
-    found = retrieve(document_index(spark, folder), WORDS, top_k=5, query_vector=VECTOR)
+    found = retrieve(document_texts(spark, folder), WORDS, top_k=5, query_vector=VECTOR, search=apart(spark, folder))
     return markdown(found)
 
 
@@ -706,8 +726,11 @@ def passage_search(spark, folder):
     vectors = table(spark, folder, "embeddings").select(
         F.concat(F.lit("doc_"), F.col("vec_id").cast("string"), F.lit(".txt")).alias("path"), "embedding"
     )
-    chunks = chunk_plaintext(document_files(spark, folder)).join(vectors, "path", "left")
-    found = search_rrf(chunks, VECTOR, WORDS, 20)
+    chunks = staged(chunk_plaintext(document_files(spark, folder)).select(
+        "id", "repo", "branch", "path", "start_bytes", "end_bytes", "chunk"
+    ), "chunks")
+    near = chunks.select("id", "repo", "branch", "path").join(vectors, "path", "left")
+    found = search_rrf(chunks, VECTOR, WORDS, 20, vectors=near)
     return found.select("id", "path", "start_bytes", "end_bytes", rounded("score"))
 
 
@@ -873,7 +896,7 @@ def delete_paths(spark, folder):
     gone = table(spark, folder, "labels").where("quality = 0").select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path")
     )
-    rows = document_index(spark, folder).select("id", "repo", "branch", "path")
+    rows = document_texts(spark, folder).select("id", "repo", "branch", "path")
     kept = without_paths(rows.where("repo <> 'src2'"), gone)
     return kept.unionByName(without_paths(rows.where("repo = 'src2'"), gone, repo="src3"))
 

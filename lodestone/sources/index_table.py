@@ -17,7 +17,7 @@ from lodestone import schema as S
 from lodestone.config import SearchSettings
 from lodestone.functions.analysis import lexemes, words
 from lodestone.functions.vector import checked
-from lodestone.operators.fusion import rrf
+from lodestone.operators.fusion import fetched, rrf
 from lodestone.operators.keyword import bm25_postings, corpus_stats, like, postings, top_by
 from lodestone.operators.vectors import vector_search
 from lodestone.plans.checkpoint import staged
@@ -189,14 +189,13 @@ class IndexTable:
         """
         text, take = (query or "").strip(), settings.candidates(limit)
         scores = bm25_postings(self.read_postings(), self.stats(), text, repo=repo, branch=branch)
-        # At most ``take`` rows, so their texts are fetched by a broadcast join.
-        hits = staged(top_by(scores, "keyword_score", take), "hits")
-        if hits.isEmpty():
-            found = top_by(like(chunks, text, repo=repo, branch=branch), "keyword_score", take)
-        else:
-            found = chunks.join(F.broadcast(hits), "id")
-        near = vector_search(chunks, query_vector, take, repo=repo, branch=branch)
-        return rrf(found, near, limit, settings)
+        found = staged(top_by(scores, "keyword_score", take), "hits")
+        if found.isEmpty():
+            matching = like(chunks, text, repo=repo, branch=branch).select("id", "keyword_score")
+            found = top_by(matching, "keyword_score", take)
+        apart = chunks.select("id", "repo", "branch", "embedding")
+        near = vector_search(apart, query_vector, take, repo=repo, branch=branch)
+        return fetched(chunks, rrf(found, near.select("id", "vector_score"), limit, settings))
 
     def upsert(self, rows: DataFrame, order: str | None = None) -> None:
         """Merge ``rows`` by id; of equal ids in a batch the last by ``order`` stays.
