@@ -1,13 +1,12 @@
-"""Helpers the operators share: staged tables, integer keys, words and components."""
+"""Helpers the operators share: tables, words, held-out rows and components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.plans.checkpoint import shared_folder, staged  # noqa: F401 - used by the operators
+
 # White space of the word rule: space, tab, LF, VT, FF, CR.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,36 +16,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which every executor can reach.
-
-    Where the setting is absent a local session gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="lodestone-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def staged(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written once as Parquet to the shared folder and read back.
-
-    Later steps read it instead of repeating the work, with columns pruned, also
-    after an executor is lost. As Spark knows the size of the files, a join with
-    a small staged table is broadcast by Spark's own limit and shuffled beyond
-    it. The files go when the application ends.
-    """
-    spark = rows.sparkSession
-    folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(rows.schema).parquet(folder)
-
-
 def held_out(key: Column, folds: int, fold: int) -> Column:
     """Whether a row belongs to the fold that no model learns from."""
     return F.coalesce(F.crc32(key.cast("string")) % folds == fold, F.lit(False))
