@@ -29,7 +29,7 @@ from lodestone.operators.embed import error_reports, HashingModel, with_embeddin
 from lodestone.operators.fusion import rrf, search_rrf, search_weighted
 from lodestone.operators.rerank import lexical_reranker
 from lodestone.operators.structure import structure_blocks
-from lodestone.operators.vectors import vector_scores, vector_search
+from lodestone.operators.vectors import vector_scores, vector_search, vector_search_many
 from lodestone.plans.checkpoint import staged
 from lodestone.plans.indexing import index_changes, metrics, not_yet_indexed, split_changes
 from lodestone.plans.retrieval import formatted, markdown, retrieve
@@ -519,6 +519,14 @@ def vector_topk(spark, folder):
     return found.select("id", rounded("vector_score"))
 
 
+@query
+def vector_topk_many(spark, folder):
+    """The ten nearest vectors of every fiftieth one, searched in one job."""
+    rows = vector_rows(spark, folder)
+    found = vector_search_many(rows, rows.where(F.col("id").cast("long") % 50 == 0), 10)
+    return found.select("query_id", "id", rounded("vector_score"))
+
+
 @query
 def vector_filtered(spark, folder):
     found = vector_search(vector_rows(spark, folder), VECTOR, 20, repo="label_3", branch="main")

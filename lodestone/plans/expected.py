@@ -483,6 +483,11 @@ SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'a.b'
   ELSE trim(line) END AS heading
 FROM (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents)""",
         "vector_topk": f"SELECT lpad(vec_id::VARCHAR, 12, '0') AS id, round({COSINE}, 6) AS vector_score FROM embeddings ORDER BY {COSINE} DESC, id LIMIT 50",
+        "vector_topk_many": """
+SELECT lpad(q.vec_id::VARCHAR, 12, '0') AS query_id, lpad(r.vec_id::VARCHAR, 12, '0') AS id,
+       round(list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 6) AS vector_score
+FROM embeddings q, embeddings r WHERE q.vec_id % 50 = 0
+QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]) DESC, r.vec_id) <= 10""",
         "vector_filtered": f"SELECT lpad(vec_id::VARCHAR, 12, '0') AS id, 'label_3' AS repo, round({COSINE}, 6) AS vector_score FROM embeddings WHERE label = 3 ORDER BY {COSINE} DESC, id LIMIT 20",
         "vector_mismatch_zero": f"SELECT lpad(vec_id::VARCHAR, 12, '0') AS id, CASE WHEN vec_id % 5 <= 2 THEN 0.0::DOUBLE ELSE round({COSINE}, 6) END AS vector_score FROM embeddings",
         "cosine_expression": "SELECT lpad(vec_id::VARCHAR, 12, '0') AS id, round(list_cosine_similarity(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 6) AS score FROM embeddings",

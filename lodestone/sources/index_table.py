@@ -195,7 +195,8 @@ class IndexTable:
             found = top_by(matching, "keyword_score", take)
         apart = chunks.select("id", "repo", "branch", "embedding")
         near = vector_search(apart, query_vector, take, repo=repo, branch=branch)
-        return fetched(chunks, rrf(found, near.select("id", "vector_score"), limit, settings))
+        narrow = chunks.select(*[c for c in S.RESULT_COLUMNS if c in chunks.columns])
+        return fetched(narrow, rrf(found, near.select("id", "vector_score"), limit, settings))
 
     def upsert(self, rows: DataFrame, order: str | None = None) -> None:
         """Merge ``rows`` by id; of equal ids in a batch the last by ``order`` stays.

@@ -19,6 +19,7 @@ from lodestone.operators.embed import (
 )
 from lodestone.operators.fusion import rrf, search_rrf, search_weighted
 from lodestone.operators.rerank import lexical_reranker, model_reranker
+from lodestone.operators.vectors import vector_search_many
 from lodestone.plans.retrieval import as_chunks, retrieve, search_code
 
 # The models below live in this file, which workers cannot import.
@@ -212,3 +213,22 @@ def test_hybrid_search_over_hashed_vectors(rows):
     embedded = with_embeddings(rows.drop("embedding"), HashingModel(64), dim=64)
     found = search_rrf(embedded, embed_query("quick fox", HashingModel(64), dim=64, prefix=""), "quick fox", 3)
     assert {r.id for r in found.limit(2).collect()} == {"a", "c"}
+
+
+def test_many_queries_find_what_one_by_one_finds(spark):
+    import numpy as np
+
+    chosen = np.random.default_rng(3)
+    rows = [(f"{i:03}", chosen.normal(size=6).tolist()) for i in range(300)]
+    rows += [("n", None), ("e", []), ("z", [0.0] * 6), ("w", [1.0] * 4), ("d", rows[7][1])]
+    table = spark.createDataFrame(rows, "id string, embedding array<float>")
+    queries = table.where("id < '040' or id in ('n', 'z', 'w')")
+    found = {}
+    for r in vector_search_many(table, queries, 5).collect():
+        found.setdefault(r.query_id, []).append((-round(r.vector_score, 6), r.id))
+    units = {k: np.float32(v) / np.linalg.norm(np.float32(v)) for k, v in rows if v and any(v)}
+    assert set(found) == {k for k in units if k < "040"} | {"w"}
+    for key, got in found.items():
+        want = sorted((-round(float(units[key] @ v), 6), k) for k, v in units.items() if len(v) == len(units[key]))[:5]
+        assert [k for _, k in sorted(got)] == [k for _, k in want]
+    assert vector_search_many(table, table.where("false"), 5).count() == 0
