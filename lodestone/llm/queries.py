@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, pii, quality, toxicity, vector_dedup
+from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, pii, quality, token_counts, toxicity, vector_dedup
 from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
@@ -60,6 +60,24 @@ def op5_toxicity(spark, folder):
     )
 
 
+@query()
+def op6_token_counts(spark, folder):
+    """Tokens of every document before and after three edits, and what was encoded for each."""
+    state = token_counts.counted(table(spark, folder, "documents"))
+    size = F.length("text")
+    edits = F.array(*[
+        F.struct(F.floor(start).cast("int").alias("start"), F.floor(stop).cast("int").alias("stop"), text.alias("text"))
+        for start, stop, text in (
+            (size / 2, size / 2 + 10, F.lit("")), (F.lit(0), F.lit(0), F.lit("Edited: ")),
+            (size * 3 / 4, size * 3 / 4, F.substring("text", 1, 20)),
+        )
+    ])
+    return token_counts.edited(state, edits).select(
+        "doc_id", "n_tokens_before", F.col("n_tokens").alias("n_tokens_edited"),
+        F.length("text").cast("long").alias("n_chars_edited"), F.col("n_encoded").alias("n_chars_encoded"),
+    )
+
+
 @query()
 def op7_quality(spark, folder):
     """Quality of every document by preference pairs."""

@@ -8,8 +8,9 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, html_text, mixing
+from lodestone.llm import bpe, exact_dedup, html_text, mixing, token_counts
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, copies int, row int, id string"
 
@@ -66,6 +67,52 @@ def test_digests_and_empty_table(make_docs):
     assert bpe.digests(bpe.encode_decode(docs.where("false"))).count() == 0
 
 
+# --- counts under edits ----------------------------------------------------------
+
+@pytest.mark.parametrize("size", [4, 256])
+def test_counts_follow_edits(monkeypatch, size):
+    monkeypatch.setattr(token_counts, "SEGMENT_CHARS", size)
+    library = bpe.encoding(public_tokenizers.path(bpe.RANKS))
+    chosen = random.Random(size)
+    parts = ["a", "b", " ", "  ", "\n", "don't", "1", "é😀", "!", "\t", " x"]
+    for _ in range(300):
+        text = "".join(chosen.choice(parts) for _ in range(chosen.randrange(60)))
+        tree = token_counts.Counted(token_counts.segments(text, library), library)
+        for _ in range(4):
+            start = chosen.randrange(-2, len(text) + 3)
+            stop, new = start + chosen.randrange(-1, 12), chosen.choice(parts) * chosen.randrange(3)
+            tree.edit(start, stop, new)
+            a = min(max(start, 0), len(text))
+            text = text[:a] + new + text[min(max(stop, a), len(text)):]
+            assert "".join(leaf.text for leaf in token_counts.leaves_of(tree.tree)) == text
+            assert tree.tokens == len(library.encode_ordinary(text))
+
+
+def test_edits_touch_a_part_of_a_long_text():
+    library = bpe.encoding(public_tokenizers.path(bpe.RANKS))
+    tree = token_counts.Counted(token_counts.segments("some words " * 20_000, library), library)
+    for i in range(100):
+        tree.edit(i * 2000, i * 2000 + 3, "other")
+    assert tree.encoded < 100 * 1200 and tree.tree.depth <= 80
+
+
+def test_edited_table(spark, make_docs):
+    docs = make_docs(AWKWARD)
+    library = bpe.encoding(public_tokenizers.path(bpe.RANKS))
+    state = token_counts.counted(docs)
+    edits = F.when(F.col("doc_id") != 2, F.expr(
+        "array(named_struct('start', 3, 'stop', 5, 'text', ' new'), named_struct('start', null, 'stop', null, 'text', null))"))
+    got = token_counts.edited(state, edits).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in AWKWARD)
+    texts = {i: t or "" for i, t, _ in AWKWARD}
+    for r in got:
+        old = texts[r.doc_id]
+        assert r.text == (old if r.doc_id in (2, None) else old[:3] + " new" + old[5:])
+        assert r.n_tokens == len(bpe.encode(r.text, library)) == sum(r.leaf_tokens)
+        assert r.n_tokens_before == len(bpe.encode(old, library)) and sum(r.leaf_chars) == len(r.text)
+    assert token_counts.edited(state.where("false"), edits).count() == 0
+
+
 # --- exact copies --------------------------------------------------------------
 
 def plain_groups(rows):
@@ -90,8 +137,6 @@ def test_exact_groups(make_docs, seed):
 
 
 def test_equal_hashes_do_not_make_equal_texts(spark, make_docs):
-    from pyspark.sql import functions as F
-
     docs = make_docs([(i, t, "s") for i, t in enumerate(["abc", "abd", "a bc", "xyz", "abd"])]).repartition(3)
     got = exact_dedup.text_owners(docs, code=lambda c: F.lit(1)).collect()
     assert sorted((r.keep_id, r.group_size) for r in got) == [(1, 2), (2, 2), (3, 1)]
