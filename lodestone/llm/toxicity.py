@@ -64,7 +64,7 @@ class Model:
 
     word: dict          # word -> log ratio
     prefix: tuple       # per length: beginning -> log ratio
-    pair: dict          # (word before, word) -> log ratio
+    pair: dict          # word before -> word -> log ratio
     slope: float = 1.0
     shift: float = 0.0
 
@@ -74,14 +74,15 @@ class Model:
         if not found:
             return 0.0
         before = dict(zip(reversed(found), reversed([_START, *found[:-1]])))
+        none: dict = {}
+        single, pairs = self.word.get, self.pair.get
         ratios = []
         for w in dict.fromkeys(found):
-            v = before[w]
-            ratio = self.pair.get((v, w))
+            ratio = pairs(before[w], none).get(w)
             if ratio is None:
-                ratio = self.word.get(w)
-            if ratio is None:
-                ratio = self.beginning(w)
+                ratio = single(w)
+                if ratio is None:
+                    ratio = self.beginning(w)
             ratios.append(ratio)
         size = min(len(ratios), PASSAGE)
         total = np.concatenate([[0.0], np.cumsum(ratios)])
@@ -97,27 +98,33 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * passages + self.shift, -30, 30)))
 
 
+class _Classes(dict):
+    """The class of each word, worked out once while it is kept."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word) % CONTEXT_CLASSES
+        return found
+
+
 def _contexts(batches, ids: dict):
     """Per word the classes of words it follows in this task, as bits of four longs."""
-    bits = np.zeros((len(ids), CONTEXT_CLASSES // 64), np.uint64)
-    code = {}
+    seen = np.zeros((len(ids), CONTEXT_CLASSES), bool)
+    classes = _Classes()
     for batch in batches:
         for value in batch.column("text"):
             found = words(value.as_py())
-            before = [_START, *found[:-1]]
-            pairs = [(ids[w], v) for v, w in set(zip(before, found)) if w in ids]
-            for at, v in pairs:
-                c = code.get(v)
-                if c is None:
-                    if len(code) > 200_000:
-                        code.clear()
-                    c = code[v] = xxhash.xxh3_64_intdigest(v) % CONTEXT_CLASSES
-                bits[at, c >> 6] |= np.uint64(1 << (c & 63))
-    seen = np.flatnonzero(bits.any(axis=1))
-    if len(seen):
-        found = bits[seen].view(np.int64)
+            pairs = set(zip([_START, *found], found))
+            at = np.array([ids.get(w, -1) for _, w in pairs], np.int64)
+            of = np.array([classes[v] for v, _ in pairs], np.int64)
+            known = at >= 0
+            seen[at[known], of[known]] = True
+    rows = np.flatnonzero(seen.any(axis=1))
+    if len(rows):
+        found = np.packbits(seen[rows], axis=1).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int32()), *(pa.array(found[:, i].copy()) for i in range(found.shape[1]))],
+            [pa.array(rows, pa.int32()), *(pa.array(found[:, i].copy()) for i in range(found.shape[1]))],
             ["word", *(f"b{i}" for i in range(found.shape[1]))],
         )
 
@@ -211,15 +218,12 @@ def fit(docs: DataFrame, sample: DataFrame, toxic_rows: int) -> Model:
     for v, w, t, o in bigrams:
         if w in single:
             by_first.setdefault(v, []).append((w, t, o))
-    pair = {}
-    for v, rows in by_first.items():
-        for w, both in mixed(rows, single.__getitem__, extra=cut).items():
-            pair[v, w] = both
+    pair = {v: mixed(rows, single.__getitem__, extra=cut) for v, rows in by_first.items()}
     log = lambda x: float(np.log(x[0] / x[1])) if min(x) > 0 else 0.0
     return Model(
         {w: log(p) for w, p in single.items()},
         tuple({p: log(x) for p, x in rows.items()} for rows in begin),
-        {key: log(x) for key, x in pair.items()},
+        {v: {w: log(x) for w, x in rows.items()} for v, rows in pair.items()},
     )
 
 
