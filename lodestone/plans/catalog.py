@@ -795,12 +795,13 @@ class MarkedFails:
     """A model that fails on texts with a mark."""
 
     mark: str
+    dim: int = DIM
 
     def __call__(self):
         def embed(texts):
             if any(self.mark in t for t in texts):
                 raise ValueError("marked")
-            return HashingModel(DIM).embed(texts)
+            return HashingModel(self.dim).embed(texts)
 
         return embed
 

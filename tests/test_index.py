@@ -1,5 +1,4 @@
 import subprocess
-from dataclasses import dataclass
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +8,7 @@ from lodestone.operators import keyword as K
 from lodestone.operators.chunk import chunk_files, chunk_plaintext
 from lodestone.operators.embed import HashingModel, with_embeddings
 from lodestone.operators.fusion import search_rrf, search_weighted
+from lodestone.plans.catalog import MarkedFails
 from lodestone.plans.indexing import index_changes
 from lodestone.plans.retrieval import retrieve
 from lodestone.sources.files import files_from_directory
@@ -244,27 +244,12 @@ def test_a_branch_keeps_its_rows_when_another_is_indexed(spark, table, make_file
     assert ends(table) == [("dev", "x.txt", 3)]
 
 
-@dataclass(frozen=True)
-class Failing:
-    """A model that refuses texts with a mark."""
-
-    dim: int = DIM
-
-    def __call__(self):
-        def embed(texts):
-            if any("REFUSED" in t for t in texts):
-                raise ValueError("refused")
-            return HashingModel(self.dim).embed(texts)
-
-        return embed
-
-
 def test_a_failing_model_leaves_what_was_indexed(spark, table, make_files):
     change = spark.createDataFrame([("a.txt", "M"), ("b.txt", "M")], S.CHANGES)
     options = {"repo": "repo", "dim": DIM, "batch": 1}
     index_changes(table, make_files({"a.txt": "old", "b.txt": "old"}), change, model=HashingModel(DIM), **options)
     files = make_files({"a.txt": "REFUSED text", "b.txt": "new text"})
-    report = index_changes(table, files, change, model=Failing(), **options)
+    report = index_changes(table, files, change, model=MarkedFails("REFUSED", DIM), **options)
     assert ends(table) == [("main", "a.txt", 3), ("main", "b.txt", 8)]
     assert [r.path for r in report.errors.collect()] == ["a.txt"]
 
@@ -273,10 +258,10 @@ def test_a_stream_reports_failures_and_keeps_branches(spark, table):
     rows = [(1, "main", "a.txt", "A", b"old"), (2, "dev", "a.txt", "A", b"older")]
     merge = lambda rows, number: merge_batch(
         table, spark.createDataFrame([(*r[:4], bytearray(r[4])) for r in rows], STREAM),
-        repo="repo", model=Failing(), dim=DIM, batch_id=number)
+        repo="repo", model=MarkedFails("REFUSED", DIM), dim=DIM, batch_id=number)
     assert merge(rows, 0).count() == 0
     for _ in range(2):
-        assert [r.message for r in merge([(3, "main", "a.txt", "M", b"REFUSED text")], 1).collect()] == ["refused"]
+        assert [r.message for r in merge([(3, "main", "a.txt", "M", b"REFUSED text")], 1).collect()] == ["marked"]
     assert ends(table) == [("dev", "a.txt", 5), ("main", "a.txt", 3)]
     assert [(r.path, r.batch) for r in spark.table(f"{table.table}_errors").collect()] == [("a.txt", 1)]
     spark.sql(f"DROP TABLE {table.table}_errors")
