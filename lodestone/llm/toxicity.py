@@ -9,9 +9,10 @@ corpus, after how many different classes of words a word occurs. So are the weig
 of falling back, which come from both classes together. Counts below
 a cut-off that follows the size of the sample are left to the lower levels.
 
-A text scores by its passage of six different words with the greatest difference
+A text scores by its passage of six consecutive words with the greatest difference
 of toxic and ordinary log-likelihood per word, so the length of a text does not
-dilute it. A logistic curve fitted on the training rows maps that to 0..1.
+dilute it. Every position is read after the word that stands before it; a word
+repeated within a passage counts once there. A logistic curve fitted on the training rows maps that to 0..1.
 
 The class counts come from at most ``per_label`` labelled rows of either class,
 those with the smallest hash of their id. The shared counts come from all rows,
@@ -21,7 +22,7 @@ and all rows are scored.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 
 import numpy as np
@@ -58,35 +59,72 @@ def _trigrams(batches):
                 })
 
 
+def pair_key(before, word, count: int):
+    """One number for a word after a word; the start of a text has the number ``count``."""
+    return before * (count + 1) + word
+
+
+def best_window(ratios: np.ndarray, at: np.ndarray) -> float:
+    """The greatest mean of ``ratios`` over PASSAGE consecutive positions.
+
+    A word ``at`` several positions of a window counts once there, with its greatest ratio.
+    """
+    size = min(len(at), PASSAGE)
+    total = np.concatenate([[0.0], np.cumsum(ratios)])
+    sums = total[size:] - total[:-size]
+    marks = np.zeros(len(sums) + 1, np.int64)
+    for gap in range(1, size):
+        first = np.flatnonzero(at[gap:] == at[:-gap])
+        np.add.at(marks, np.maximum(first + gap - size + 1, 0), 1)
+        np.add.at(marks, np.minimum(first, len(sums) - 1) + 1, -1)
+    again = np.flatnonzero(np.cumsum(marks[:-1]))
+    if len(again):
+        places = again[:, None] + np.arange(size)
+        of, value = at[places], ratios[places]
+        kept = np.ones(of.shape, bool)
+        for i in range(size):
+            for j in range(i + 1, size):
+                same, low = of[:, i] == of[:, j], value[:, i] < value[:, j]
+                kept[:, i] &= ~(same & low)
+                kept[:, j] &= ~(same & ~low)
+        sums[again] = (value * kept).sum(axis=1)
+    return float(sums.max() / PASSAGE)
+
+
 @dataclass(frozen=True)
 class Model:
     """Log ratios of the levels, and the logistic curve."""
 
-    word: dict          # word -> log ratio
+    word: dict          # word -> its number
+    single: np.ndarray  # by number: log ratio
     prefix: tuple       # per length: beginning -> log ratio
-    pair: dict          # word before -> word -> log ratio
+    pairs: np.ndarray   # numbers of a word before and a word, as one sorted key
+    after: np.ndarray   # by place in pairs: log ratio
     slope: float = 1.0
     shift: float = 0.0
 
     def passage(self, text: str | None) -> float:
-        """The greatest mean log ratio over consecutive different words; 0 without words."""
+        """The greatest mean log ratio over consecutive words; 0 without words."""
         found = words(text)
         if not found:
             return 0.0
-        before = dict(zip(reversed(found), reversed([_START, *found[:-1]])))
-        none: dict = {}
-        single, pairs = self.word.get, self.pair.get
-        ratios = []
-        for w in dict.fromkeys(found):
-            ratio = pairs(before[w], none).get(w)
-            if ratio is None:
-                ratio = single(w)
-                if ratio is None:
-                    ratio = self.beginning(w)
-            ratios.append(ratio)
-        size = min(len(ratios), PASSAGE)
-        total = np.concatenate([[0.0], np.cumsum(ratios)])
-        return float((total[size:] - total[:-size]).max() / PASSAGE)
+        ratios, at = self.ratios(found)
+        return best_window(ratios, at)
+
+    def ratios(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The log ratio at every position, after the word that stands before it, and which word it is."""
+        own = {w: i for i, w in enumerate(dict.fromkeys(found))}
+        number = np.array([self.word.get(w, -1) for w in own], np.int64)
+        alone = np.array([self.single[n] if n >= 0 else self.beginning(w) for w, n in zip(own, number, strict=True)])
+        at = np.fromiter(map(own.__getitem__, found), np.int64, len(found))
+        ratios = alone[at]
+        if len(self.pairs):
+            here = number[at]
+            before = np.concatenate([[len(self.word)], here[:-1]])
+            key = np.where((here >= 0) & (before >= 0), pair_key(before, here, len(self.word)), -1)
+            place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+            ratios = np.where(self.pairs[place] == key, self.after[place], ratios)
+        return ratios, at
 
     def beginning(self, w: str) -> float:
         for length, ratios in zip(PREFIXES, self.prefix, strict=False):
@@ -98,6 +136,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * passages + self.shift, -30, 30)))
 
 
+def nothing(shift: float) -> Model:
+    """A model that knows no word."""
+    return Model({}, np.zeros(0), (), np.zeros(0, np.int64), np.zeros(0), 0.0, shift)
+
+
 class _Classes(dict):
     """The class of each word, worked out once while it is kept."""
 
@@ -220,10 +263,15 @@ def fit(docs: DataFrame, sample: DataFrame, toxic_rows: int) -> Model:
             by_first.setdefault(v, []).append((w, t, o))
     pair = {v: mixed(rows, single.__getitem__, extra=cut) for v, rows in by_first.items()}
     log = lambda x: float(np.log(x[0] / x[1])) if min(x) > 0 else 0.0
+    number = {w: i for i, w in enumerate(single)}
+    found = sorted(
+        (pair_key(number.get(v, len(number)), number[w], len(number)), log(x))
+        for v, rows in pair.items() if v == _START or v in number for w, x in rows.items()
+    )
     return Model(
-        {w: log(p) for w, p in single.items()},
+        number, np.array([log(x) for x in single.values()]),
         tuple({p: log(x) for p, x in rows.items()} for rows in begin),
-        {v: {w: log(x) for w, x in rows.items()} for v, rows in pair.items()},
+        np.array([k for k, _ in found], np.int64), np.array([x for _, x in found]),
     )
 
 
@@ -261,7 +309,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     )
     counts = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
     if len(counts) < 2:
-        return Model({}, (), {}, 0.0, -30.0)
+        return nothing(-30.0)
     code = F.xxhash64("doc_id")
     chosen = [
         # About twice the rows asked for pass the hash, so that little is sorted.
@@ -276,7 +324,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     )
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
-        return Model({}, (), {}, 0.0, -30.0)
+        return nothing(-30.0)
     model = fit(docs, sample, sizes[1])
     rows = sample.mapInArrow(
         partial(_passages, model=model, extra=["toxic"]), "toxic int, score double"
@@ -284,7 +332,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     toxic = np.array([r["toxic"] for r in rows], float)
     weights = np.array([counts[r["toxic"]] / sizes[r["toxic"]] for r in rows])
     slope, shift = _curve(np.array([r["score"] for r in rows]), toxic, weights)
-    return Model(model.word, model.prefix, model.pair, slope, shift)
+    return replace(model, slope=slope, shift=shift)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -218,6 +218,33 @@ def test_toxicity(labelled):
     assert toxicity.train(docs, labels.where("toxic = 0"), F.lit(True)).scores(np.array([0.0]))[0] < 0.5
 
 
+def small_model(words, pairs=()):
+    number = {w: i for i, w in enumerate(words)}
+    keys = sorted((toxicity.pair_key(number[v], number[w], len(number)), x) for v, w, x in pairs)
+    return toxicity.Model(
+        number, np.array(list(words.values()), float), ({}, {}),
+        np.array([k for k, _ in keys], np.int64), np.array([x for _, x in keys], float))
+
+
+def test_every_position_is_scored():
+    model = small_model({"pathetic": 0.0, "trash": 0.0, "a": 1.0, "b": 2.0}, [("pathetic", "trash", 9.0)])
+    apart = "take out the trash " + "plain words stand here " * 50 + "pathetic "
+    assert model.passage(apart + "trash") == model.passage("x y z u pathetic trash") > model.passage(apart + "waste") == 0
+    # Words that lie far apart are no passage, and one that is repeated counts once.
+    assert model.passage("a " + "x " * 20 + "b") == model.passage("x y z u v b") < model.passage("x y z u a b")
+    assert model.passage("x y b z b u") == model.passage("x y b z v u")
+    chosen = random.Random(4)
+    model = small_model({w: chosen.gauss(0, 1) for w in "abcdefghij"}, [
+        (v, w, chosen.gauss(0, 2)) for v in "abcdefghij" for w in "abcdefghij" if chosen.random() < 0.4])
+    for _ in range(200):
+        found = [chosen.choice("abcdefghijxy") for _ in range(chosen.randrange(6, 40))]
+        ratios, _ = model.ratios(found)
+        best = max(sum(
+            max(r for r, w in zip(ratios[i:i + 6], found[i:i + 6]) if w == x) for x in set(found[i:i + 6])
+        ) for i in range(len(found) - 5))
+        assert abs(model.passage(" ".join(found)) - best / 6) < 1e-9
+
+
 # --- personal data -------------------------------------------------------------
 
 PATTERNS = {
