@@ -5,7 +5,7 @@ after a word, a word, and the first six and four letters of a word. All levels c
 continuations, that is, in how many different contexts something follows, so that
 words of a text that was copied many times count once. The last level, into which
 both models fall back for rare expressions, is shared: over all texts of the
-corpus, after how many different classes of words a word occurs. So are the weights
+corpus, after how many different words a word occurs, for every word there is. So are the weights
 of falling back, which come from both classes together. Counts below
 a cut-off that follows the size of the sample are left to the lower levels.
 
@@ -27,6 +27,7 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,11 @@ PER_LABEL = 4000
 PREFIXES = (6, 4)
 PASSAGE = 6
 DISCOUNT = 0.75
-CONTEXT_CLASSES = 256
+# Of distribution alone: pairs a task holds, rows of a batch, and from how many pairs in the sample a word is dealt out.
+HELD_PAIRS = 4_000_000
+LIST_ROWS = 100_000
+HOT_PAIRS = 1000
+SPREAD = 16
 _WORD = re.compile(r"\w+")
 _START = "^"
 
@@ -141,54 +146,64 @@ def nothing(shift: float) -> Model:
     return Model({}, np.zeros(0), (), np.zeros(0, np.int64), np.zeros(0), 0.0, shift)
 
 
-class _Classes(dict):
-    """The class of each word, worked out once while it is kept."""
+class _Numbers(dict):
+    """A number for each word, in the order in which they come."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word) % CONTEXT_CLASSES
+        found = self[word] = len(self)
         return found
 
 
-def _contexts(batches, ids: dict):
-    """Per word the classes of words it follows in this task, as bits of four longs."""
-    seen = np.zeros((len(ids), CONTEXT_CLASSES), bool)
-    classes = _Classes()
+def _followers(batches, hot: frozenset, bound: int):
+    """Per word of this task the hashes of the different words before it, those of hot words dealt out."""
+    number, keys, held = _Numbers(), [], 0
     for batch in batches:
         for value in batch.column("text"):
-            found = words(value.as_py())
-            pairs = set(zip([_START, *found], found))
-            at = np.array([ids.get(w, -1) for _, w in pairs], np.int64)
-            of = np.array([classes[v] for v, _ in pairs], np.int64)
-            known = at >= 0
-            seen[at[known], of[known]] = True
-    rows = np.flatnonzero(seen.any(axis=1))
-    if len(rows):
-        found = np.packbits(seen[rows], axis=1).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int32()), *(pa.array(found[:, i].copy()) for i in range(found.shape[1]))],
-            ["word", *(f"b{i}" for i in range(found.shape[1]))],
-        )
-
-
-def shared_counts(docs: DataFrame, vocabulary: list[str]) -> np.ndarray:
-    """After how many classes of words each word occurs in all of ``docs``.
-
-    A task gives one row per word it has seen, and Spark merges their bits, so
-    what is shuffled grows with the corpus but holds no text.
+            found = [_START, *words(value.as_py())]
+            at = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+            keys.append(at[:-1] << 32 | at[1:])
+            held += len(at)
+            if held > bound:
+                keys = [np.unique(np.concatenate(keys))]
+                held = len(keys[0])
+                if held > bound // 2:
+                    yield from _lists(number, keys[0], hot)
+                    number, keys, held = _Numbers(), [], 0
+    if keys:
+        yield from _lists(number, np.unique(np.concatenate(keys)), hot)
+
+
+def _lists(number: dict, keys: np.ndarray, hot: frozenset):
+    if not len(keys):
+        return
+    code = np.array([xxhash.xxh3_64_intdigest(w) for w in number], np.uint64).view(np.int64)
+    spread = np.array([SPREAD if w in hot else 1 for w in number], np.int64)
+    word, before = keys & 0xFFFFFFFF, code[keys >> 32]
+    deal = before % spread[word]
+    order = np.lexsort((deal, word))
+    word, before, deal = word[order], before[order], deal[order]
+    first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (deal[1:] != deal[:-1])]))
+    ends = np.append(first, len(word))
+    texts = pa.array(number, pa.string())
+    for at in range(0, len(first), LIST_ROWS):
+        rows = ends[at:at + LIST_ROWS + 1]
+        yield pa.RecordBatch.from_arrays([
+            texts.take(pa.array(word[rows[:-1]])), pa.array(deal[rows[:-1]], pa.int32()),
+            pa.ListArray.from_arrays(pa.array(rows - rows[0], pa.int32()), pa.array(before[rows[0]:rows[-1]])),
+        ], ["w", "deal", "before"])
+
+
+def shared_counts(docs: DataFrame, hot: frozenset = frozenset(), bound: int = HELD_PAIRS) -> DataFrame:
+    """``w, n``: after how many different words each word of ``docs`` occurs, as a stored table.
+
+    A task gives each pair once, as 64-bit hashes of the words before a word. Words of
+    ``hot``, which follow very many, are dealt to several tasks.
     """
-    longs = [f"b{i}" for i in range(CONTEXT_CLASSES // 64)]
-    ids = {w: i for i, w in enumerate(vocabulary)}
     rows = docs.where("text is not null").select("text").mapInArrow(
-        partial(_contexts, ids=ids), "word int, " + ", ".join(f"{c} long" for c in longs)
+        partial(_followers, hot=hot, bound=bound), "w string, deal int, before array<long>"
     )
-    merged = rows.groupBy("word").agg(*[F.bit_or(c).alias(c) for c in longs])
-    counted = merged.select("word", reduce(lambda a, b: a + b, [F.bit_count(c) for c in longs]).alias("n"))
-    counts = np.zeros(len(vocabulary))
-    for row in counted.collect():
-        counts[row["word"]] = row["n"]
-    return counts
+    pairs = rows.repartition("w", "deal").select("w", "deal", F.explode("before").alias("v")).distinct()
+    return staged(pairs.groupBy("w").agg(F.count("*").alias("n")), "shared")
 
 
 def _both(rows: DataFrame, *keys: str) -> DataFrame:
@@ -197,84 +212,74 @@ def _both(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def fit(docs: DataFrame, sample: DataFrame, toxic_rows: int) -> Model:
-    """A model from ``sample`` rows of ``toxic, text``; without both classes it knows no difference.
+def _smoothed(t, o, low, group=None, extra=0.0) -> np.ndarray:
+    """Both classes' probabilities of counts ``t, o``: discounted shares of each class
+    over ``low``, with one weight of falling back for both in each ``group``."""
+    group = np.zeros(len(t), np.int64) if group is None else group
+    sums = lambda x: np.bincount(group, x)[group]
+    kept = sums(np.maximum(t + o - DISCOUNT, 0)) / np.maximum(sums(t + o) + extra, 1)
+    out = np.empty((2, len(t)))
+    for c, n in enumerate((t, o)):
+        rest = np.maximum(n - DISCOUNT, 0)
+        total = sums(rest)
+        out[c] = kept * np.where(total > 0, rest / np.where(total > 0, total, 1), low[c]) + (1 - kept) * low[c]
+    return out
+
+
+def _columns(rows: DataFrame) -> list:
+    """The columns of rows as numpy arrays, a first column of strings as a list."""
+    found = rows.toArrow()
+    return [c.to_pylist() if pa.types.is_string(c.type) else c.to_numpy().astype(float) for c in found.columns]
+
+
+def fit(grams: DataFrame, shared: DataFrame, toxic_rows: int) -> Model:
+    """A model from ``toxic, u, v, w`` of labelled rows, and the continuations of all words.
 
     What reaches the driver are counts of words above the cut-off, bounded by the sample.
     """
     cut = max(4, round(toxic_rows ** 0.5 / 4))
-    grams = staged(sample.mapInArrow(_trigrams, "toxic int, u string, v string, w string").distinct(), "grams")
-    pairs = grams.groupBy("toxic", "v", "w").agg(F.count("*").alias("n"))
+    pairs = staged(grams.groupBy("toxic", "v", "w").agg(F.count("*").alias("n")), "pairs")
     enough = F.col("t") + F.col("o") >= cut
-    beginnings = [
-        _both(pairs.select("toxic", "v", F.substring("w", 1, length).alias("p")).distinct(), "p")
-        for length in PREFIXES
-    ]
-    unigrams = [tuple(r) for r in _both(pairs, "w").where(enough).collect()]
-    prefixes = [[tuple(r) for r in rows.where(enough).collect()] for rows in beginnings]
-    bigrams = [tuple(r) for r in pairs.groupBy("v", "w").agg(
+    total = shared.agg(F.sum("n")).first()[0] or 1
+    # From the shortest beginning to the word: both classes' probabilities, and the shared count.
+    upper: dict = {}
+    begin, low, count = [], None, None
+    for length in (*sorted(PREFIXES), None):
+        key = F.substring("w", 1, length) if length else F.col("w")
+        own = _both(pairs.select("toxic", "v", key.alias("p")).distinct(), "p").where(enough)
+        sums = shared.groupBy(key.alias("p")).agg(F.sum("n").alias("n")) if length else shared.withColumnRenamed("w", "p")
+        names, t, o, n = _columns(own.join(sums, "p").orderBy("p"))
+        if begin:
+            at = np.array([upper[p[:last]] for p in names], np.int64)
+            base = low[:, at] * (n / count[at])
+        else:
+            base = np.tile(n / total, (2, 1))
+        low, count, last = _smoothed(t, o, base), n, length
+        upper = dict(zip(names, range(len(names)), strict=True))
+        begin.append((upper, _log(low)))
+    number = upper
+    rows = pairs.groupBy("v", "w").agg(
         F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("o")
-    ).where(enough).collect()]
-    unigrams.sort()
-    vocabulary = [w for w, _, _ in unigrams]
-    shared = dict(zip(vocabulary, shared_counts(docs, vocabulary) + 0.5, strict=True)) if vocabulary else {}
-    # Shared counts of every word and beginning, from the shortest to the whole word.
-    below: list[dict[str, float]] = [{} for _ in PREFIXES]
-    for w, n in shared.items():
-        for length, sums in zip(PREFIXES, below, strict=True):
-            sums[w[:length]] = sums.get(w[:length], 0.5) + n
-
-    def mixed(rows, base, extra=0.0):
-        """Both classes' probabilities of ``key, t, o`` rows: discounted shares of
-        each class over ``base``, with one weight of falling back for both."""
-        total = sum(r[-2] + r[-1] for r in rows) + extra
-        kept = sum(max(r[-2] + r[-1] - DISCOUNT, 0) for r in rows) / max(total, 1)
-        sums = [sum(max(r[c] - DISCOUNT, 0) for r in rows) for c in (-2, -1)]
-        out = {}
-        for key, *n in rows:
-            low = base(key)
-            out[key] = tuple(
-                kept * (max(n[c] - DISCOUNT, 0) / sums[c] if sums[c] else low[c]) + (1 - kept) * low[c] for c in (0, 1)
-            )
-        return out
-
-    flat = 1 / (sum(below[-1].values()) + 1)
-    begin: list[dict] = [{} for _ in PREFIXES]
-    begin[-1] = mixed(prefixes[-1], lambda p: (below[-1].get(p, 0.5) * flat,) * 2)
-    for at in range(len(PREFIXES) - 2, -1, -1):
-        def shorter(p, at=at):
-            upper = p[:PREFIXES[at + 1]]
-            both, share = begin[at + 1].get(upper, (flat, flat)), below[at].get(p, 0.5) / below[at + 1].get(upper, 0.5)
-            return both[0] * share, both[1] * share
-
-        begin[at] = mixed(prefixes[at], shorter)
-
-    def from_prefix(w):
-        at = next((i for i, n in enumerate(PREFIXES) if w[:n] in begin[i]), None)
-        if at is None:
-            return flat, flat
-        both, share = begin[at][w[:PREFIXES[at]]], shared[w] / below[at][w[:PREFIXES[at]]]
-        return both[0] * share, both[1] * share
-
-    single = mixed(unigrams, from_prefix)
-    by_first: dict[str, list] = {}
-    for v, w, t, o in bigrams:
-        if w in single:
-            by_first.setdefault(v, []).append((w, t, o))
-    pair = {v: mixed(rows, single.__getitem__, extra=cut) for v, rows in by_first.items()}
-    log = lambda x: float(np.log(x[0] / x[1])) if min(x) > 0 else 0.0
-    number = {w: i for i, w in enumerate(single)}
-    found = sorted(
-        (pair_key(number.get(v, len(number)), number[w], len(number)), log(x))
-        for v, rows in pair.items() if v == _START or v in number for w, x in rows.items()
-    )
+    ).where(enough).toArrow()
+    known = pa.array([*number, _START], pa.string())
+    v, w = (pc.index_in(rows[c], known).combine_chunks() for c in ("v", "w"))
+    both = pc.and_(pc.is_valid(v), pc.is_valid(w)).to_numpy(zero_copy_only=False)
+    v, w = (pc.fill_null(x, -1).to_numpy()[both].astype(np.int64) for x in (v, w))
+    t, o = (rows[c].to_numpy()[both].astype(float) for c in ("t", "o"))
+    after = _log(_smoothed(t, o, low[:, w], group=v, extra=cut)) if len(v) else np.zeros(0)
+    keys = pair_key(v, w, len(number))
+    order = np.argsort(keys)
     return Model(
-        number, np.array([log(x) for x in single.values()]),
-        tuple({p: log(x) for p, x in rows.items()} for rows in begin),
-        np.array([k for k, _ in found], np.int64), np.array([x for _, x in found]),
+        number, begin[-1][1],
+        tuple(dict(zip(names, ratios.tolist(), strict=True)) for names, ratios in begin[-2::-1]),
+        keys[order], after[order],
     )
 
 
+def _log(both: np.ndarray) -> np.ndarray:
+    return np.log(both[0] / both[1])
+
+
 def _curve(x: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a weighted logistic fit with a small ridge on the slope."""
     a = np.array([1.0, 0.0])
@@ -325,7 +330,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return nothing(-30.0)
-    model = fit(docs, sample, sizes[1])
+    grams = staged(sample.mapInArrow(_trigrams, "toxic int, u string, v string, w string").distinct(), "grams")
+    hot = grams.groupBy("w").agg(F.count_distinct("v").alias("n")).where(F.col("n") >= HOT_PAIRS)
+    model = fit(grams, shared_counts(docs, frozenset(r["w"] for r in hot.collect())), sizes[1])
     rows = sample.mapInArrow(
         partial(_passages, model=model, extra=["toxic"]), "toxic int, score double"
     ).collect()

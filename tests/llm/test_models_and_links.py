@@ -245,6 +245,18 @@ def test_every_position_is_scored():
         assert abs(model.passage(" ".join(found)) - best / 6) < 1e-9
 
 
+@pytest.mark.parametrize("held", [4_000_000, 50])
+def test_shared_counts_are_all_continuations(make_docs, held):
+    rows = [(i, f"w{i} common Tail" + " once" * (i == 7)) for i in range(700)] * 2 + [(None, "common"), (1, None), (2, "")]
+    pairs = set()
+    for _, text in rows:
+        found = (text or "").lower().split()
+        pairs |= set(zip(["^", *found], found))
+    for hot in (frozenset(), frozenset(["common"])):
+        got = {r.w: r.n for r in toxicity.shared_counts(make_docs(rows), hot, held).collect()}
+        assert got == Counter(w for _, w in pairs) and got["common"] == 701 and got["w5"] == 1
+
+
 # --- personal data -------------------------------------------------------------
 
 PATTERNS = {
