@@ -6,13 +6,16 @@ continuations, that is, in how many different contexts something follows, so tha
 words of a text that was copied many times count once. The last level, into which
 both models fall back for rare expressions, is shared: over all texts of the
 corpus, after how many different words a word occurs, for every word there is. So are the weights
-of falling back, which come from both classes together. Counts below
-a cut-off that follows the size of the sample are left to the lower levels.
+of falling back, which come from both classes together, so a word that no level
+knows is as likely in both. No count is left out; discounts and shared counts damp
+rare ones.
 
 A text scores by its passage of six consecutive words with the greatest difference
 of toxic and ordinary log-likelihood per word, so the length of a text does not
 dilute it. Every position is read after the word that stands before it; a word
-repeated within a passage counts once there. A logistic curve fitted on the training rows maps that to 0..1.
+repeated within a passage counts once there. A logistic curve maps that to 0..1. It is fitted on the training
+rows, each half of them scored by a model of the other half, as rare words of a
+text tell its own class by heart.
 
 The class counts come from at most ``per_label`` labelled rows of either class,
 those with the smallest hash of their id. The shared counts come from all rows,
@@ -38,6 +41,7 @@ PER_LABEL = 4000
 PREFIXES = (6, 4)
 PASSAGE = 6
 DISCOUNT = 0.75
+UNSEEN = 8  # contexts that weigh as much as what the levels below say
 # Of distribution alone: pairs a task holds, rows of a batch, and from how many pairs in the sample a word is dealt out.
 HELD_PAIRS = 4_000_000
 LIST_ROWS = 100_000
@@ -53,14 +57,14 @@ def words(text: str | None) -> list[str]:
 
 def _trigrams(batches):
     for batch in batches:
-        for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for label, half, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "half", "text")), strict=True):
             found = words(text)
             before = [_START, *found]
             rows = list(set(zip([_START, *before], before, found)))
             if rows:
                 u, v, w = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_pydict({
-                    "toxic": pa.array([label] * len(rows), pa.int32()), "u": u, "v": v, "w": w,
+                    "half": pa.array([half] * len(rows), pa.int32()), "toxic": pa.array([label] * len(rows), pa.int32()), "u": u, "v": v, "w": w,
                 })
 
 
@@ -212,16 +216,15 @@ def _both(rows: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _smoothed(t, o, low, group=None, extra=0.0) -> np.ndarray:
-    """Both classes' probabilities of counts ``t, o``: discounted shares of each class
-    over ``low``, with one weight of falling back for both in each ``group``."""
+def _smoothed(t, o, low, group=None) -> np.ndarray:
+    """Both classes' probabilities of counts ``t, o``: discounted shares of each class in
+    its ``group`` over ``low``, with one weight of falling back for both, by all contexts seen."""
     group = np.zeros(len(t), np.int64) if group is None else group
-    sums = lambda x: np.bincount(group, x)[group]
-    kept = sums(np.maximum(t + o - DISCOUNT, 0)) / np.maximum(sums(t + o) + extra, 1)
+    kept = (t + o) / (t + o + UNSEEN)
     out = np.empty((2, len(t)))
     for c, n in enumerate((t, o)):
         rest = np.maximum(n - DISCOUNT, 0)
-        total = sums(rest)
+        total = np.bincount(group, rest)[group]
         out[c] = kept * np.where(total > 0, rest / np.where(total > 0, total, 1), low[c]) + (1 - kept) * low[c]
     return out
 
@@ -232,21 +235,19 @@ def _columns(rows: DataFrame) -> list:
     return [c.to_pylist() if pa.types.is_string(c.type) else c.to_numpy().astype(float) for c in found.columns]
 
 
-def fit(grams: DataFrame, shared: DataFrame, toxic_rows: int) -> Model:
+def fit(grams: DataFrame, shared: DataFrame) -> Model:
     """A model from ``toxic, u, v, w`` of labelled rows, and the continuations of all words.
 
-    What reaches the driver are counts of words above the cut-off, bounded by the sample.
+    What reaches the driver are all counts of the sample, as arrays.
     """
-    cut = max(4, round(toxic_rows ** 0.5 / 4))
     pairs = staged(grams.groupBy("toxic", "v", "w").agg(F.count("*").alias("n")), "pairs")
-    enough = F.col("t") + F.col("o") >= cut
     total = shared.agg(F.sum("n")).first()[0] or 1
     # From the shortest beginning to the word: both classes' probabilities, and the shared count.
     upper: dict = {}
     begin, low, count = [], None, None
     for length in (*sorted(PREFIXES), None):
         key = F.substring("w", 1, length) if length else F.col("w")
-        own = _both(pairs.select("toxic", "v", key.alias("p")).distinct(), "p").where(enough)
+        own = _both(pairs.select("toxic", "v", key.alias("p")).distinct(), "p")
         sums = shared.groupBy(key.alias("p")).agg(F.sum("n").alias("n")) if length else shared.withColumnRenamed("w", "p")
         names, t, o, n = _columns(own.join(sums, "p").orderBy("p"))
         if begin:
@@ -260,13 +261,18 @@ def fit(grams: DataFrame, shared: DataFrame, toxic_rows: int) -> Model:
     number = upper
     rows = pairs.groupBy("v", "w").agg(
         F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("o")
-    ).where(enough).toArrow()
+    ).toArrow()
     known = pa.array([*number, _START], pa.string())
     v, w = (pc.index_in(rows[c], known).combine_chunks() for c in ("v", "w"))
     both = pc.and_(pc.is_valid(v), pc.is_valid(w)).to_numpy(zero_copy_only=False)
     v, w = (pc.fill_null(x, -1).to_numpy()[both].astype(np.int64) for x in (v, w))
     t, o = (rows[c].to_numpy()[both].astype(float) for c in ("t", "o"))
-    after = _log(_smoothed(t, o, low[:, w], group=v, extra=cut)) if len(v) else np.zeros(0)
+    if len(v):
+        # A word after a word falls back to its share in both classes, parted as the word is.
+        share = (t + o) / np.bincount(v, t + o)[v]
+        after = _log(_smoothed(t, o, share * low[:, w] / low[:, w].mean(axis=0), group=v))
+    else:
+        after = np.zeros(0)
     keys = pair_key(v, w, len(number))
     order = np.argsort(keys)
     return Model(
@@ -330,12 +336,19 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return nothing(-30.0)
-    grams = staged(sample.mapInArrow(_trigrams, "toxic int, u string, v string, w string").distinct(), "grams")
+    half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
+    grams = staged(sample.select("toxic", "text", half).mapInArrow(
+        _trigrams, "half int, toxic int, u string, v string, w string"
+    ).distinct(), "grams")
     hot = grams.groupBy("w").agg(F.count_distinct("v").alias("n")).where(F.col("n") >= HOT_PAIRS)
-    model = fit(grams, shared_counts(docs, frozenset(r["w"] for r in hot.collect())), sizes[1])
-    rows = sample.mapInArrow(
-        partial(_passages, model=model, extra=["toxic"]), "toxic int, score double"
-    ).collect()
+    shared = shared_counts(docs, frozenset(r["w"] for r in hot.collect()))
+    model = fit(grams.drop("half").distinct(), shared)
+    rows = []
+    for other in (0, 1):
+        part = fit(grams.where(F.col("half") != other).drop("half"), shared)
+        rows += sample.where(half == other).mapInArrow(
+            partial(_passages, model=part, extra=["toxic"]), "toxic int, score double"
+        ).collect()
     toxic = np.array([r["toxic"] for r in rows], float)
     weights = np.array([counts[r["toxic"]] / sizes[r["toxic"]] for r in rows])
     slope, shift = _curve(np.array([r["score"] for r in rows]), toxic, weights)

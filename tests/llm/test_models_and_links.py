@@ -257,6 +257,16 @@ def test_shared_counts_are_all_continuations(make_docs, held):
         assert got == Counter(w for _, w in pairs) and got["common"] == 701 and got["w5"] == 1
 
 
+def test_rare_expressions_are_kept(spark):
+    rows = [(k % 2, f"u{k}", f"v{k}", "plain") for k in range(60)] + [(1, "a", f"b{k}", "rare") for k in range(2)]
+    rows += [(1, "c", "once", "seldom"), (0, "c", "d", "calm")]
+    grams = spark.createDataFrame(rows, "toxic int, u string, v string, w string")
+    model = toxicity.fit(grams, grams.groupBy("w").agg(F.count_distinct("v").alias("n")))
+    assert set(model.word) == {"plain", "rare", "seldom", "calm"} and len(model.pairs) == 0
+    ratio = {w: model.single[i] for w, i in model.word.items()}
+    assert ratio["rare"] > ratio["seldom"] > 0 > ratio["calm"] and model.beginning("unseen") == 0
+
+
 # --- personal data -------------------------------------------------------------
 
 PATTERNS = {
