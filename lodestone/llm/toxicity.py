@@ -13,7 +13,9 @@ rare ones.
 A text scores by its passage of six consecutive words with the greatest difference
 of toxic and ordinary log-likelihood per word, so the length of a text does not
 dilute it. Every position is read after the word that stands before it; a word
-repeated within a passage counts once there. A logistic curve maps that to 0..1. It is fitted on the training
+repeated within a passage counts once there, and the mean is over the words that
+count, however few. A logistic curve maps that, and how many words the passage is
+short of six, to 0..1. It is fitted on the training
 rows, each half of them scored by a model of the other half, as rare words of a
 text tell its own class by heart.
 
@@ -73,14 +75,15 @@ def pair_key(before, word, count: int):
     return before * (count + 1) + word
 
 
-def best_window(ratios: np.ndarray, at: np.ndarray) -> float:
-    """The greatest mean of ``ratios`` over PASSAGE consecutive positions.
+def best_window(ratios: np.ndarray, at: np.ndarray) -> tuple[float, int]:
+    """The greatest mean of ``ratios`` over PASSAGE consecutive positions, and of how many words it is.
 
     A word ``at`` several positions of a window counts once there, with its greatest ratio.
     """
     size = min(len(at), PASSAGE)
     total = np.concatenate([[0.0], np.cumsum(ratios)])
     sums = total[size:] - total[:-size]
+    different = np.full(len(sums), size)
     marks = np.zeros(len(sums) + 1, np.int64)
     for gap in range(1, size):
         first = np.flatnonzero(at[gap:] == at[:-gap])
@@ -97,7 +100,10 @@ def best_window(ratios: np.ndarray, at: np.ndarray) -> float:
                 kept[:, i] &= ~(same & low)
                 kept[:, j] &= ~(same & ~low)
         sums[again] = (value * kept).sum(axis=1)
-    return float(sums.max() / PASSAGE)
+        different[again] = kept.sum(axis=1)
+    means = sums / different
+    best = int(np.argmax(means))
+    return float(means[best]), int(different[best])
 
 
 @dataclass(frozen=True)
@@ -111,14 +117,19 @@ class Model:
     after: np.ndarray   # by place in pairs: log ratio
     slope: float = 1.0
     shift: float = 0.0
+    short: float = 0.0
 
     def passage(self, text: str | None) -> float:
         """The greatest mean log ratio over consecutive words; 0 without words."""
+        return self.read(text)[0]
+
+    def read(self, text: str | None) -> tuple[float, float]:
+        """That mean, and which share of a passage its words are short of."""
         found = words(text)
         if not found:
-            return 0.0
-        ratios, at = self.ratios(found)
-        return best_window(ratios, at)
+            return 0.0, 1.0
+        mean, size = best_window(*self.ratios(found))
+        return mean, 1 - size / PASSAGE
 
     def ratios(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The log ratio at every position, after the word that stands before it, and which word it is."""
@@ -141,8 +152,8 @@ class Model:
                 return ratios[w[:length]]
         return 0.0
 
-    def scores(self, passages: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * passages + self.shift, -30, 30)))
+    def scores(self, passages: np.ndarray, missing: np.ndarray | float = 0.0) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * passages + self.short * missing + self.shift, -30, 30)))
 
 
 def nothing(shift: float) -> Model:
@@ -286,26 +297,27 @@ def _log(both: np.ndarray) -> np.ndarray:
     return np.log(both[0] / both[1])
 
 
-def _curve(x: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a weighted logistic fit with a small ridge on the slope."""
-    a = np.array([1.0, 0.0])
-    rows = np.stack([x, np.ones(len(x))], axis=1)
+def _curve(x: np.ndarray, missing: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[float, float, float]:
+    """Slope, shift and weight of ``missing`` of a weighted logistic fit with a small ridge on the slopes."""
+    a = np.array([1.0, 0.0, 0.0])
+    rows = np.stack([x, np.ones(len(x)), missing], axis=1)
+    ridge = np.array([1e-4, 1e-7, 1e-4])
     weights = weights / weights.sum()
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(rows @ a, -30, 30)))
-        slope = rows.T @ (weights * (toxic - p)) - np.array([1e-4, 1e-7]) * a
-        curve = (rows * (weights * p * (1 - p))[:, None]).T @ rows + np.diag([1e-4, 1e-7])
+        slope = rows.T @ (weights * (toxic - p)) - ridge * a
+        curve = (rows * (weights * p * (1 - p))[:, None]).T @ rows + np.diag(ridge)
         step = np.linalg.solve(curve, slope)
         a += step * min(1.0, 4 / max(np.abs(step).max(), 1e-9))
-    return float(a[0]), float(a[1])
+    return tuple(map(float, a))
 
 
 def _passages(batches, model: Model, extra: list[str]):
     for batch in batches:
-        found = np.array([model.passage(v.as_py()) for v in batch.column("text")])
+        found = np.array([model.read(v.as_py()) for v in batch.column("text")]).reshape(-1, 2)
+        columns = [model.scores(*found.T)] if extra == ["doc_id"] else list(found.T.copy())
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in extra), pa.array(model.scores(found) if extra == ["doc_id"] else found)],
-            [*extra, "score"],
+            [*(batch.column(c) for c in extra), *map(pa.array, columns)], [*extra, "score", "missing"][:len(extra) + len(columns)]
         )
 
 
@@ -347,12 +359,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     for other in (0, 1):
         part = fit(grams.where(F.col("half") != other).drop("half"), shared)
         rows += sample.where(half == other).mapInArrow(
-            partial(_passages, model=part, extra=["toxic"]), "toxic int, score double"
+            partial(_passages, model=part, extra=["toxic"]), "toxic int, score double, missing double"
         ).collect()
     toxic = np.array([r["toxic"] for r in rows], float)
     weights = np.array([counts[r["toxic"]] / sizes[r["toxic"]] for r in rows])
-    slope, shift = _curve(np.array([r["score"] for r in rows]), toxic, weights)
-    return replace(model, slope=slope, shift=shift)
+    score, missing = (np.array([r[c] for r in rows]) for c in ("score", "missing"))
+    slope, shift, short = _curve(score, missing, toxic, weights)
+    return replace(model, slope=slope, shift=shift, short=short)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

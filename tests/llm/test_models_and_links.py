@@ -231,18 +231,24 @@ def test_every_position_is_scored():
     apart = "take out the trash " + "plain words stand here " * 50 + "pathetic "
     assert model.passage(apart + "trash") == model.passage("x y z u pathetic trash") > model.passage(apart + "waste") == 0
     # Words that lie far apart are no passage, and one that is repeated counts once.
-    assert model.passage("a " + "x " * 20 + "b") == model.passage("x y z u v b") < model.passage("x y z u a b")
-    assert model.passage("x y b z b u") == model.passage("x y b z v u")
+    assert model.passage("a " + "p q r s t x y z " * 3 + "b") == model.passage("x y z u v b") < model.passage("x y z u a b")
     chosen = random.Random(4)
     model = small_model({w: chosen.gauss(0, 1) for w in "abcdefghij"}, [
         (v, w, chosen.gauss(0, 2)) for v in "abcdefghij" for w in "abcdefghij" if chosen.random() < 0.4])
     for _ in range(200):
         found = [chosen.choice("abcdefghijxy") for _ in range(chosen.randrange(6, 40))]
         ratios, _ = model.ratios(found)
-        best = max(sum(
+        best = max(np.mean([
             max(r for r, w in zip(ratios[i:i + 6], found[i:i + 6]) if w == x) for x in set(found[i:i + 6])
-        ) for i in range(len(found) - 5))
-        assert abs(model.passage(" ".join(found)) - best / 6) < 1e-9
+        ]) for i in range(len(found) - 5))
+        assert abs(model.passage(" ".join(found)) - best) < 1e-9
+
+
+def test_short_texts_have_their_mean():
+    model = small_model({"a": 3.0, "b": 1.0})
+    assert model.read("a") == (3.0, 1 - 1 / 6) and model.passage("a " * 100) == 3.0
+    assert model.read("a b") == (2.0, 1 - 2 / 6) and model.read("") == model.read(None) == (0.0, 1.0)
+    assert model.read("a b x y z u") == (4 / 6, 0.0)
 
 
 @pytest.mark.parametrize("held", [4_000_000, 50])
