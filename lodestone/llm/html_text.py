@@ -46,8 +46,11 @@ OTHER_ROLES = frozenset(
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|audio|video)\b"
-    r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*>|\Z)"
+    # Only what a browser reads as raw text runs to the end of a page that does not close it.
+    r"|<(script|style)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(?:svg|math)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?<=/)>"
+    r"|<(noscript|template|svg|math|iframe|object|canvas|textarea|select|audio|video)(?=[\s/>])"
+    r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?</\2\s*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)([^<>]*)>"
     r"|<[!?/][^<>]*>",
@@ -218,7 +221,7 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             parts.append((page[at:token.start()], link > 0))
         at = token.end()
         closing, tag, attributes = (
-            (token[2], token[3], token[4]) if token[3] else (token[5], token[6], token[7])
+            (token[3], token[4], token[5]) if token[4] else (token[6], token[7], token[8])
         )
         if not tag:
             continue

@@ -255,3 +255,12 @@ def test_extract_table(spark):
     got = html_text.extract(pages).collect()
     assert sorted(r.n_chars for r in got) == [0, 0, 51, 51] and all(r.n_chars == len(r.text) for r in got)
     assert html_text.extract(pages.where("false")).count() == 0
+
+
+def test_raw_elements_take_no_text_after_them():
+    text = " ".join(["The ship left the harbour early and came back with fish for the market."] * 4)
+    for tag in ("<svg-icon name='a'>", "<video-js>", "<svg viewBox='0 0 1 1'/>", "<math/>", "<audio>", "<template>"):
+        page = f"<html><body><article><p>{text}</p>{tag}<p>{text} End.</p></article></body></html>"
+        assert html_text.main_text(page) == f"{text}\n{text} End.", tag
+    page = f"<article><p>{text}</p><svg><title>no</title></svg><script>no<p>no</p></article>"
+    assert html_text.main_text(page) == text
