@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import staged
+from lodestone.plans.checkpoint import dropped
 
 PER_LABEL = 4000
 PREFIXES = (6, 4)
@@ -284,6 +285,7 @@ def fit(grams: DataFrame, shared: DataFrame) -> Model:
         after = _log(_smoothed(t, o, share * low[:, w] / low[:, w].mean(axis=0), group=v))
     else:
         after = np.zeros(0)
+    dropped(pairs)
     keys = pair_key(v, w, len(number))
     order = np.argsort(keys)
     return Model(
@@ -351,13 +353,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
     grams = staged(sample.select("toxic", "text", half).mapInArrow(
         _trigrams, "half int, toxic int, u string, v string, w string"
-    ).distinct(), "grams")
+    ).groupBy("toxic", "u", "v", "w").agg(F.bit_or(F.expr("shiftleft(1, half)")).alias("halves")), "grams")
     hot = grams.groupBy("w").agg(F.count_distinct("v").alias("n")).where(F.col("n") >= HOT_PAIRS)
     shared = shared_counts(docs, frozenset(r["w"] for r in hot.collect()))
-    model = fit(grams.drop("half").distinct(), shared)
+    model = fit(grams, shared)
     rows = []
     for other in (0, 1):
-        part = fit(grams.where(F.col("half") != other).drop("half"), shared)
+        part = fit(grams.where(F.col("halves").bitwiseAND(2 - other) > 0), shared)
         rows += sample.where(half == other).mapInArrow(
             partial(_passages, model=part, extra=["toxic"]), "toxic int, score double, missing double"
         ).collect()
