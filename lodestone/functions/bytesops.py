@@ -160,16 +160,29 @@ def point_col(content: Column, at: Column) -> Column:
     return at - end_of_last(slice_raw(content, F.lit(0), at))
 
 
+def running(values: Column) -> Column:
+    """The sum of ``values``, longs, up to and with each of them; blocks keep the fold linear."""
+    empty = F.array().cast("array<long>")
+
+    def last_of(sums: Column) -> Column:
+        return F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0).cast("long"))
+
+    def joined(parts: Column) -> Column:
+        ends = F.aggregate(parts, empty, lambda out, part: F.array_append(out, last_of(out) + last_of(part)))
+        return let(ends, lambda all_: F.flatten(F.transform(parts, lambda part, i: F.transform(
+            part, lambda n: n + F.when(i > 0, F.get(all_, i - 1)).otherwise(F.lit(0)),
+        ))))
+
+    sums = F.transform(blocks_of(values), lambda block: F.aggregate(
+        block, empty, lambda out, n: F.array_append(out, last_of(out) + n)
+    ))
+    return let(sums, joined)
+
+
 def newlines_in(content: Column, lo: Column, hi: Column) -> Column:
     """Offsets of all newlines in ``[lo, hi)``."""
-    lines = F.split(slice_raw(content, lo, hi), LF)
-    lengths = F.transform(lines, lambda line: F.octet_length(line) + 1)
-    running = F.aggregate(
-        F.slice(lengths, 1, F.greatest(F.size(lengths) - 1, F.lit(0))),
-        F.struct(lo.cast("int").alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, n: F.struct(
-            (acc["at"] + n).cast("int").alias("at"),
-            F.array_append(acc["out"], (acc["at"] + n - 1).cast("int")).alias("out"),
-        ),
+    lengths = F.transform(
+        F.split(slice_raw(content, lo, hi), LF), lambda line: (F.octet_length(line) + 1).cast("long")
     )
-    return running["out"]
+    ends = let(lengths, lambda n: running(F.slice(n, 1, F.greatest(F.size(n) - 1, F.lit(0)))))
+    return F.transform(ends, lambda end: (lo + end - 1).cast("int"))
