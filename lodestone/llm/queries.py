@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, exact_dedup, html_text, minhash, mixing, pii, quality, token_counts, toxicity, vector_dedup
+from lodestone.llm import (
+    bpe, chat, exact_dedup, html_text, importance, minhash, mixing, pii, quality, token_counts, toxicity,
+    vector_dedup, whitening,
+)
 from lodestone.llm.common import held_out, table
 from lodestone.session import configure
 
@@ -116,3 +119,21 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 def op10_exact_dedup(spark, folder):
     """The group of equal texts of every document."""
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
+
+
+@query(chat.SQL)
+def op11_chat_format(spark, folder):
+    """What is read back from every formatted conversation and its loss mask."""
+    return chat.digests(chat.formatted(chat.with_hostile(table(spark, folder, "conversations"))))
+
+
+@query()
+def op12_importance(spark, folder):
+    """Weight, score and rank of every document towards the benchmark's texts."""
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op13_whitening(spark, folder):
+    """Every vector on the leading components of all vectors, whitened."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
