@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -43,12 +44,38 @@ def test_json_members_cover_their_text():
 
 
 @pytest.mark.parametrize("text,expected", [
-    ("{invalid json}", [(0, 1, [])]), ("", []), ("  ", []), ("nope", []), (" 12 ", [(1, 4, [])]),
-    ("{}", [(0, 2, [])]), ("[]", [(0, 2, [])]), ('{"a":1, "b" 2}', [(0, 8, ["a"])]),
-    ('[1, oops, 3]', [(0, 4, ["[0]"])]),
+    ("{invalid json}", [("{invalid json}", [])]), ("", []), ("  ", []), ("nope", []), ("12 13", []), (" 12 ", [("12 ", [])]),
+    ("{}", [("{}", [])]), ("[]", [("[]", [])]), ('{"a":1, "b" 2}', [('{"a":1,', ["a"]), (' "b" 2}', [])]),
+    ("[1, oops, 3]", [("[1,", ["[0]"]), (" oops,", ["[1]"]), (" 3]", ["[2]"])]),
+    ('{"a": "open,\n "b": 2,\n "c": 3}', [('{"a": "open,', ["a"]), (' "b": 2,', ["b"]), (' "c": 3}', ["c"])]),
+    ('{"a": [1, 2, "b": 3}\n[4]', [('{"a": [1, 2, "b": 3}\n', ["a"]), ("[4]", ["[0]"])]),
+    ('{"a":1}\n{"b":2}', [('{"a":1}\n', ["a"]), ('{"b":2}', ["b"])]),
+    ('{"a":1} rest\nmore\n[1]\n', [('{"a":1} ', ["a"]), ("rest\nmore\n", []), ("[1]\n", ["[0]"])]),
+    ('{"a": 1}}', [('{"a": 1}', ["a"]), ("}", [])]), ('{"a', [('{"a', [])]), ('{"a":1,}', [('{"a":1,}', ["a"])]),
+    ('{"a\\"b": "x,}", "c": {"d": [1,2]}, }', [('{"a\\"b": "x,}",', ['a"b']), (' "c": {"d": [1,2]}, }', ["c"])]),
 ])
-def test_malformed_json_keeps_what_was_read(text, expected):
-    assert json_spans(text) == expected
+def test_json_spans_of_sound_and_broken_text(text, expected):
+    assert [(text[a:b], crumb) for a, b, crumb in json_spans(text)] == expected
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_no_json_text_is_lost(seed):
+    chosen = random.Random(seed)
+    value = {f"k{i}": chosen.choice([i, "s, {[" * 3, [1, {"x": None}], {"y": [[]]}]) for i in range(8)}
+    text = json.dumps(value if seed % 2 else list(value.values()), indent=chosen.choice([None, 2]))
+    for _ in range(seed):
+        at = chosen.randrange(len(text))
+        text = text[:at] + chosen.choice(["", '"', "}", "]", "{", "[", ",", "\n", "\\"]) + text[at + 1:]
+    spans = json_spans(text)
+    if spans:
+        assert all(a < b <= c for (a, b, _), (c, _, _) in zip(spans, spans[1:]))
+        edges = [0, *[x for span in spans for x in span[:2]], len(text)]
+        assert not "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])).strip()
+
+
+def test_deep_brackets_take_linear_time():
+    text = "[" * 200_000 + "}" * 200_000 + "]" * 10
+    assert json_spans(text)[-1][1] == len(text)
 
 
 def test_json_lines_keep_their_numbers():
