@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.config import SearchSettings
-from lodestone.functions.vector import cosine_to, unit
 from lodestone.operators.keyword import (
     cover_rank,
     in_scope,
@@ -119,38 +118,38 @@ def search_weighted(
     branch: str | None = None,
     settings: SearchSettings = SearchSettings(),
     english: bool = True,
+    vectors: DataFrame | None = None,
 ) -> DataFrame:
     """Hybrid search by weighted scores, over rows that carry ``lexemes``.
 
-    Each list takes the other score for the rows it keeps, so both scores are
-    known for every candidate without reading the table a third time. An empty
+    Texts are matched and ranked once, without vectors, which are scored apart, from
+    ``vectors`` where they are stored apart. Each candidate of either list takes its other
+    score as well, and whole rows are read for the best candidates only. An empty
     query ranks by vector alone.
     """
     text = (query or "").strip()
-    vector = unit(query_vector)
-    near_all = vector_scores(chunks, query_vector, repo=repo, branch=branch)
+    apart = (chunks if vectors is None else vectors).select("id", "repo", "branch", "embedding")
+    near = top_by(
+        vector_scores(apart, query_vector, repo=repo, branch=branch), "vector_score",
+        settings.candidates(limit) if text else settings.limit(limit),
+    ).select("id", "vector_score")
     if not text:
-        return top_by(near_all, "vector_score", settings.limit(limit)).withColumn(
-            "keyword_score", F.lit(0.0)
-        ).withColumn("score", F.col("vector_score") * settings.vector_weight)
-    wanted = web_query(text, english)
-    take = settings.candidates(limit)
-    near = top_by(near_all, "vector_score", take)
-    near = near.withColumn(
-        "keyword_score",
-        F.when(text_matches(F.col("lexemes"), wanted), cover_rank(F.col("lexemes"), wanted)).otherwise(F.lit(0.0)),
-    )
-    matching = in_scope(chunks, repo, branch).where(text_matches(F.col("lexemes"), wanted))
-    words = top_by(
-        matching.withColumn("keyword_score", cover_rank(F.col("lexemes"), wanted)),
-        "keyword_score",
-        take,
-    )
-    words = words.withColumn("vector_score", cosine_to(F.col("embedding"), vector))
-    both = near.unionByName(words).dropDuplicates(["id"])
-    fused = both.withColumn(
+        scored = near.withColumn("keyword_score", F.lit(0.0))
+    else:
+        wanted = web_query(text, english)
+        rows = in_scope(chunks, repo, branch).where(text_matches(F.col("lexemes"), wanted))
+        matching = staged(rows.select("id", cover_rank(F.col("lexemes"), wanted).alias("keyword_score")), "matching")
+        words = top_by(matching, "keyword_score", settings.candidates(limit))
+        ids = staged(near.select("id").unionByName(words.select("id")).distinct(), "candidates")
+        scored = (
+            ids.join(vector_scores(apart.join(ids, "id", "left_semi"), query_vector).select("id", "vector_score"), "id", "left")
+            .join(matching, "id", "left")
+            .select("id", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("vector_score", "keyword_score")])
+        )
+    fused = scored.withColumn(
         "score",
         F.col("vector_score") * settings.vector_weight
         + F.col("keyword_score") * settings.keyword_weight,
     )
-    return top_by(fused, "score", settings.limit(limit))
+    best = staged(top_by(fused, "score", settings.limit(limit)), "best")
+    return chunks.join(best, "id").orderBy(F.col("score").desc(), "id")

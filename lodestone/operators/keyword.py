@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from itertools import accumulate
 from operator import and_, or_
 
 import pyarrow as pa
@@ -347,44 +348,53 @@ def text_matches(lexemes: Column, query: list[list[tuple[list[str], bool]]]) ->
 COVER_WEIGHT = 0.1
 
 
-def _phrase_spans(row: list[str], stems: list[str]) -> list[tuple[int, int]]:
-    width = len(stems)
-    return [
-        (i, i + width - 1)
-        for i in range(len(row) - width + 1)
-        if all(not s or row[i + k] == s for k, s in enumerate(stems))
-    ]
+def _phrase_ends(row: list[str], phrases: list[tuple[str, ...]]) -> dict[int, list[int]]:
+    """By position, which of ``phrases`` end there; an empty word of a phrase stands for any."""
+    by_last: dict[str, list[int]] = {}
+    for n, words_ in enumerate(phrases):
+        by_last.setdefault(words_[-1], []).append(n)
+    found: dict[int, list[int]] = {}
+    for at, word in enumerate(row):
+        for n in by_last.get(word, ()):
+            first = at - len(phrases[n]) + 1
+            if first >= 0 and all(not w or row[first + k] == w for k, w in enumerate(phrases[n])):
+                found.setdefault(at, []).append(n)
+    return found
 
 
 def cover_density(row: list[str] | None, query: list[list[tuple[list[str], bool]]]) -> float:
-    """Sum over the shortest stretches that satisfy the query; closer words weigh more."""
-    wanted = [[s for s, excluded in a if not excluded] for a in query]
-    if not row:
-        return 0.0
-    spans = sorted(
-        {(lo, hi, tuple(s)) for a in wanted for s in a for lo, hi in _phrase_spans(row, s)}
-    )
-    if not spans:
+    """Sum over the shortest stretches that satisfy the query; closer words weigh more.
+
+    One walk over the places where phrases end. Where each phrase began last is known, so
+    the shortest stretch to here begins where the earliest of an alternative's phrases does; it
+    counts if it begins behind the start of the one before. Time is linear in the text.
+    """
+    wanted = [[tuple(s) for s, excluded in a if not excluded] for a in query]
+    phrases = sorted({s for a in wanted for s in a})
+    if not row or not phrases:
         return 0.0
-    ends = sorted({hi for _, hi, _ in spans})
-    starts = sorted({lo for lo, _, _ in spans})
-    places = sorted({
-        lo + k for lo, hi, s in spans for k, word in enumerate(s) if word
-    })
-
-    def satisfied(lo: int, hi: int) -> bool:
-        inside = {s for a, b, s in spans if lo <= a and b <= hi}
-        return any(all(tuple(s) in inside for s in a) for a in wanted if a)
-
-    total, lo = 0.0, starts[0]
-    while True:
-        hi = next((e for e in ends if e >= lo and satisfied(lo, e)), None)
-        if hi is None:
-            return total
-        begin = next(s for s in reversed(starts) if s <= hi and satisfied(s, hi))
-        entries = sum(begin <= p <= hi for p in places)
-        total += COVER_WEIGHT / (1 + (hi - begin) - (entries - 1))
-        lo = begin + 1
+    number = {s: n for n, s in enumerate(phrases)}
+    alternatives = [[number[s] for s in a] for a in wanted if a]
+    ends = _phrase_ends(row, phrases)
+    marked = bytearray(len(row))
+    for at, found in ends.items():
+        for n in found:
+            for k, word in enumerate(phrases[n]):
+                if word:
+                    marked[at - len(phrases[n]) + 1 + k] = 1
+    # How many words of any phrase stand before each position.
+    before = [0, *accumulate(marked)]
+    began = [-1] * len(phrases)
+    total, last = 0.0, -1
+    for at, found in ends.items():
+        for n in found:
+            began[n] = at - len(phrases[n]) + 1
+        begin = max(min(began[n] for n in a) for a in alternatives)
+        if begin > last:
+            entries = before[at + 1] - before[begin]
+            total += COVER_WEIGHT / (1 + (at - begin) - (entries - 1))
+            last = begin
+    return total
 
 
 def cover_rank(lexemes: Column, query: list[list[tuple[list[str], bool]]]) -> Column:

@@ -51,6 +51,7 @@ QUERIES: dict[str, Query] = {}
 WORDS = "the onanshat blely"
 PHRASE = "of_the lyin"
 SUBSTRING = "ndthe"
+WEB_QUERY = '"of the" lyin -blely or shor onanshat'
 VECTOR = [((i * 37) % 64 - 31.5) / 64 for i in range(64)]
 
 
@@ -628,10 +629,6 @@ def with_lexemes(rows: DataFrame) -> DataFrame:
     )
 
 
-def lexeme_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return with_lexemes(document_index(spark, folder))
-
-
 @query
 def text_match_web(spark, folder):
     wanted = K.web_query('"of the" lyin or shor -onanshat', english=False)
@@ -641,7 +638,8 @@ def text_match_web(spark, folder):
 
 @query
 def cover_density(spark, folder):
-    wanted = K.web_query("lyin the", english=False)
+    """Nearness of the words of a phrase and a word, or of two words, without texts of another word."""
+    wanted = K.web_query(WEB_QUERY, english=False)
     rows = with_lexemes(document_texts(spark, folder)).where(K.text_matches(F.col("lexemes"), wanted))
     return rows.select("id", F.round(K.cover_rank(F.col("lexemes"), wanted), 6).alias("rank"))
 
@@ -684,13 +682,18 @@ def rrf_word_candidates(spark, folder):
 
 @query
 def hybrid_weighted(spark, folder):
-    found = search_weighted(lexeme_rows(spark, folder), VECTOR, "lyin the", 20, english=False)
+    found = search_weighted(
+        with_lexemes(document_texts(spark, folder)), VECTOR, WEB_QUERY, 20, english=False,
+        vectors=document_vectors(spark, folder),
+    )
     return found.select("id", *map(rounded, SCORES))
 
 
 @query
 def hybrid_empty_query(spark, folder):
-    found = search_weighted(lexeme_rows(spark, folder), VECTOR, "  ", 20)
+    found = search_weighted(
+        document_texts(spark, folder), VECTOR, "  ", 20, vectors=document_vectors(spark, folder)
+    )
     return found.select("id", rounded("vector_score"), rounded("keyword_score"))
 
 

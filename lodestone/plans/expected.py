@@ -271,13 +271,35 @@ def r6(*columns: str) -> str:
 
 
 LEXEMES = f"lex AS (SELECT id, regexp_extract_all(lower(chunk), {WORD}) AS w FROM idx)"
+# A phrase with a word, or two words, and an exclusion: ``WEB_QUERY`` of the jobs.
 COVER = """
+hit AS (
+  SELECT * FROM lex WHERE
+    (len(list_filter(range(1, len(w)), lambda x: w[x] = 'of' AND w[x + 1] = 'the')) > 0
+     AND list_contains(w, 'lyin') AND NOT list_contains(w, 'blely'))
+    OR (list_contains(w, 'shor') AND list_contains(w, 'onanshat'))),
 occ AS (
-  SELECT id, unnest(w) AS term, generate_subscripts(w, 1) AS pos FROM lex),
-adj AS (
-  SELECT id, term, pos, lag(term) OVER o AS pt, lag(pos) OVER o AS pp
-  FROM occ WHERE term IN ('lyin', 'the') WINDOW o AS (PARTITION BY id ORDER BY pos)),
-cov AS (SELECT id, sum(0.1::DOUBLE / (pos - pp)) AS rank FROM adj WHERE pt <> term GROUP BY id)"""
+  SELECT id, term, pos, lag(term) OVER (PARTITION BY id ORDER BY pos) AS pt FROM (
+    SELECT id, unnest(w) AS term, generate_subscripts(w, 1) AS pos FROM hit)),
+ends AS (
+  SELECT id, pos AS hi, max(CASE WHEN term = 'the' AND pt = 'of' THEN pos - 1 END) OVER o AS p1,
+         max(CASE WHEN term = 'lyin' THEN pos END) OVER o AS p2,
+         max(CASE WHEN term = 'shor' THEN pos END) OVER o AS p3,
+         max(CASE WHEN term = 'onanshat' THEN pos END) OVER o AS p4
+  FROM occ WHERE (term = 'the' AND pt = 'of') OR term IN ('lyin', 'shor', 'onanshat')
+  WINDOW o AS (PARTITION BY id ORDER BY pos)),
+begun AS (
+  SELECT id, hi, greatest(coalesce(CASE WHEN p1 < p2 THEN p1 ELSE p2 + 0 * p1 END, 0),
+                          coalesce(CASE WHEN p3 < p4 THEN p3 ELSE p4 + 0 * p3 END, 0)) AS lo FROM ends),
+covers AS (
+  SELECT * FROM (SELECT *, max(lo) OVER (PARTITION BY id ORDER BY hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM begun)
+  WHERE lo > coalesce(prior, 0)),
+marks AS (
+  SELECT DISTINCT id, unnest(CASE WHEN term = 'the' THEN [pos - 1, pos] ELSE [pos] END) AS at
+  FROM occ WHERE (term = 'the' AND pt = 'of') OR term IN ('lyin', 'shor', 'onanshat')),
+counted AS (
+  SELECT c.id, c.hi, c.lo, count(*) AS n FROM covers c JOIN marks m ON m.id = c.id AND m.at BETWEEN c.lo AND c.hi GROUP BY ALL),
+cov AS (SELECT id, sum(0.1::DOUBLE / (1 + (hi - lo) - (n - 1))) AS rank FROM counted GROUP BY id)"""
 
 ESCAPED = "replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
 

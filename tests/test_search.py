@@ -1,6 +1,8 @@
 import math
+import random
 import re
 import sys
+import time
 
 import numpy as np
 import pytest
@@ -123,6 +125,49 @@ def test_web_queries():
     assert K.cover_density("a b a b".split(), phrase) == pytest.approx(0.2)
 
 
+def plain_cover(row, query):
+    """The same by its definition: from each start on, the first end and then the last begin that satisfy the query."""
+    wanted = [[tuple(s) for s, excluded in a if not excluded] for a in query]
+    spans = sorted({(i, i + len(s) - 1, s) for a in wanted for s in a for i in range(len(row) - len(s) + 1)
+                    if all(not w or row[i + k] == w for k, w in enumerate(s))})
+    places = {lo + k for lo, _, s in spans for k, w in enumerate(s) if w}
+
+    def holds(lo, hi):
+        inside = {s for a, b, s in spans if lo <= a and b <= hi}
+        return any(a and set(a) <= inside for a in wanted)
+
+    total, lo = 0.0, 0
+    while True:
+        hi = next((h for h in range(lo, len(row)) if holds(lo, h)), None)
+        if hi is None:
+            return total
+        begin = next(b for b in range(hi, -1, -1) if holds(b, hi))
+        total += 0.1 / (1 + (hi - begin) - (sum(begin <= p <= hi for p in places) - 1))
+        lo = begin + 1
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_cover_density_is_its_definition(seed):
+    chosen = random.Random(seed)
+    row = [chosen.choice(["a", "b", "c", "of", "", "x", "y"]) for _ in range(chosen.randrange(40))]
+    lines = ["a b", '"a b" c', "a or b c", '"a of b" or "b c" -x', 'a "b a" y or c', "a a", '"of of"', '"of of" or of']
+    query = K.web_query(chosen.choice(lines), english=False)
+    assert K.cover_density(row, query) == pytest.approx(plain_cover(row, query))
+    stopped = [[(["a", "", "b"], False), (["c"], False)], [(["x"], True), (["y"], False)]]
+    assert K.cover_density(row, stopped) == pytest.approx(plain_cover(row, stopped))
+
+
+def test_cover_density_takes_linear_time():
+    query = K.web_query('a b or "a c"', english=False)
+    times = []
+    for n in (20_000, 80_000):
+        row = ["a", "b", "c", "a"] * n
+        began = time.perf_counter()
+        K.cover_density(row, query)
+        times.append(time.perf_counter() - began)
+    assert times[1] < 12 * times[0]
+
+
 def test_limits():
     assert (first_stage_limit(10), first_stage_limit(80), first_stage_limit(5, 20)) == (50, 80, 20)
     assert SearchSettings().candidates(0) == 5 and SearchSettings.limit("7") == 7
