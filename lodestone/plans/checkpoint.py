@@ -22,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
@@ -35,7 +35,7 @@ def staged(rows: DataFrame, name: str = "rows") -> DataFrame:
     spark = rows.sparkSession
     folder = f"{shared_folder(spark)}/staged-{name}-{uuid.uuid4().hex}"
     rows.write.parquet(folder)
-    files, path = _file_system(spark, folder)
+    files, path = file_system(spark, folder)
     files.deleteOnExit(path)
     return spark.read.schema(rows.schema).parquet(folder)
 
@@ -45,5 +45,5 @@ def dropped(*tables: DataFrame) -> None:
     for rows in tables:
         folders = {name.rsplit("/", 1)[0] for name in rows.inputFiles()}
         for folder in folders:
-            files, path = _file_system(rows.sparkSession, folder)
+            files, path = file_system(rows.sparkSession, folder)
             files.delete(path, True)
