@@ -20,8 +20,11 @@ rows, each half of them scored by a model of the other half, as rare words of a
 text tell its own class by heart.
 
 The class counts come from at most ``per_label`` labelled rows of either class,
-those with the smallest hash of their id. The shared counts come from all rows,
-and all rows are scored.
+those with the smallest hash of their id. Their words are numbered once; one aggregation
+counts, per pair of words, the contexts in each class and in each half of the rows, and the
+models of all rows and of either half follow from these arrays on the driver. The shared
+counts come from all rows: a task gives each of its pairs once, packed by hash of the
+word, and the packed pairs are merged without being unpacked to rows. All rows are scored.
 """
 
 from __future__ import annotations
@@ -32,7 +35,6 @@ from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,10 +48,11 @@ PASSAGE = 6
 DISCOUNT = 0.75
 UNSEEN = 8  # contexts that weigh as much as what the levels below say
 # Of distribution alone: pairs a task holds, rows of a batch, and from how many pairs in the sample a word is dealt out.
-HELD_PAIRS = 4_000_000
-LIST_ROWS = 100_000
+HELD_PAIRS = 8_000_000
 HOT_PAIRS = 1000
 SPREAD = 16
+# Bits of a word's hash that tell it from others before the same word.
+BEFORE_BITS = 40
 _WORD = re.compile(r"\w+")
 _START = "^"
 
@@ -58,17 +61,44 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def _trigrams(batches):
+def _distinct_words(batches):
+    found = {w for batch in batches for text in batch.column("text") for w in words(text.as_py())}
+    if found:
+        yield pa.RecordBatch.from_pydict({"w": sorted(found)})
+
+
+def _trigrams(batches, number: dict[str, int], bound: int):
+    """``pair, u, mask``: each word before a pair of words once per task, with a bit per class and half."""
+    start, parts, held = len(number), [], 0
+
+    def rows():
+        pair, u, mask = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((u, pair))
+        pair, u, mask = pair[order], u[order], mask[order]
+        first = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (u[1:] != u[:-1])]))
+        return pair[first], u[first], np.bitwise_or.reduceat(mask, first)
+
     for batch in batches:
         for label, half, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "half", "text")), strict=True):
             found = words(text)
-            before = [_START, *found]
-            rows = list(set(zip([_START, *before], before, found)))
-            if rows:
-                u, v, w = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_pydict({
-                    "half": pa.array([half] * len(rows), pa.int32()), "toxic": pa.array([label] * len(rows), pa.int32()), "u": u, "v": v, "w": w,
-                })
+            if not found:
+                continue
+            at = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+            before = np.concatenate([[start, start], at])
+            parts.append((pair_key(before[1:-1], at, start), before[:-2], np.full(len(at), 1 << (2 * label + half))))
+            held += len(at)
+            if held > bound:
+                parts = [rows()]
+                held = len(parts[0][0])
+                if held > bound // 2:
+                    yield _trigram_batch(*parts[0])
+                    parts, held = [], 0
+    if parts:
+        yield _trigram_batch(*rows())
+
+
+def _trigram_batch(pair, u, mask):
+    return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(u, pa.int32()), pa.array(mask, pa.int32())], ["pair", "u", "mask"])
 
 
 def pair_key(before, word, count: int):
@@ -170,8 +200,33 @@ class _Numbers(dict):
         return found
 
 
-def _followers(batches, hot: frozenset, bound: int):
-    """Per word of this task the hashes of the different words before it, those of hot words dealt out."""
+def _code(found) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """The words of the sample with their numbers, and the beginnings they have: the longer ones' numbers come first."""
+
+    names: list
+    long: dict   # beginning of the longer length -> its number
+    short: dict  # of the shorter length -> its number
+
+    @staticmethod
+    def of(names: list[str]) -> Vocabulary:
+        size, least = PREFIXES
+        long = {p: i for i, p in enumerate(sorted({w[:size] for w in names}))}
+        return Vocabulary(names, long, {p: len(long) + i for i, p in enumerate(sorted({w[:least] for w in names}))})
+
+    def begin(self, word: str) -> int:
+        """The number of the longest beginning of ``word`` that is known, or -1."""
+        size, least = PREFIXES
+        found = self.long.get(word[:size])
+        return self.short.get(word[:least], -1) if found is None else found
+
+
+def _followers(batches, known: Vocabulary, hot: frozenset, buckets: int, bound: int):
+    """Per bucket of words of this task the different words before each, packed."""
     number, keys, held = _Numbers(), [], 0
     for batch in batches:
         for value in batch.column("text"):
@@ -183,49 +238,128 @@ def _followers(batches, hot: frozenset, bound: int):
                 keys = [np.unique(np.concatenate(keys))]
                 held = len(keys[0])
                 if held > bound // 2:
-                    yield from _lists(number, keys[0], hot)
+                    yield from _packed(number, keys[0], known, hot, buckets)
                     number, keys, held = _Numbers(), [], 0
     if keys:
-        yield from _lists(number, np.unique(np.concatenate(keys)), hot)
+        yield from _packed(number, np.unique(np.concatenate(keys)), known, hot, buckets)
 
 
-def _lists(number: dict, keys: np.ndarray, hot: frozenset):
+def _packed(number: dict, keys: np.ndarray, known: Vocabulary, hot: frozenset, buckets: int):
+    """One row per bucket; of a hot word, which follows very many, the words before it are dealt to several buckets."""
     if not len(keys):
         return
-    code = np.array([xxhash.xxh3_64_intdigest(w) for w in number], np.uint64).view(np.int64)
-    spread = np.array([SPREAD if w in hot else 1 for w in number], np.int64)
-    word, before = keys & 0xFFFFFFFF, code[keys >> 32]
-    deal = before % spread[word]
-    order = np.lexsort((deal, word))
-    word, before, deal = word[order], before[order], deal[order]
-    first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (deal[1:] != deal[:-1])]))
-    ends = np.append(first, len(word))
-    texts = pa.array(number, pa.string())
-    for at in range(0, len(first), LIST_ROWS):
-        rows = ends[at:at + LIST_ROWS + 1]
-        yield pa.RecordBatch.from_arrays([
-            texts.take(pa.array(word[rows[:-1]])), pa.array(deal[rows[:-1]], pa.int32()),
-            pa.ListArray.from_arrays(pa.array(rows - rows[0], pa.int32()), pa.array(before[rows[0]:rows[-1]])),
-        ], ["w", "deal", "before"])
-
-
-def shared_counts(docs: DataFrame, hot: frozenset = frozenset(), bound: int = HELD_PAIRS) -> DataFrame:
-    """``w, n``: after how many different words each word of ``docs`` occurs, as a stored table.
-
-    A task gives each pair once, as 64-bit hashes of the words before a word. Words of
-    ``hot``, which follow very many, are dealt to several tasks.
+    code = _code(number)
+    begin = np.fromiter(map(known.begin, number), np.int32, len(number))
+    spread = np.fromiter((SPREAD if w in hot else 1 for w in number), np.uint64, len(number))
+    word, before = keys & 0xFFFFFFFF, code[keys >> 32] & np.uint64((1 << BEFORE_BITS) - 1)
+    bucket = ((code[word] >> np.uint64(8)) + before % spread[word]) % np.uint64(buckets)
+    order = np.lexsort((before, word, bucket))
+    word, before, bucket = word[order], before[order], bucket[order]
+    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist() + [len(word)]
+    for at, stop in zip(edges, edges[1:]):
+        own = word[at:stop]
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        some = own[first]
+        data = b"".join([
+            np.uint32(len(some)).tobytes(), code[some].tobytes(), begin[some].tobytes(),
+            np.diff(np.append(first, len(own))).astype(np.uint32).tobytes(),
+            before[at:stop].view(np.uint8).reshape(-1, 8)[:, :BEFORE_BITS // 8].tobytes(),
+        ])
+        yield pa.RecordBatch.from_arrays([pa.array([int(bucket[at])], pa.int64()), pa.array([data], pa.binary())], ["bucket", "data"])
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The word, its beginning and the word before it of every pair."""
+    n = int(np.frombuffer(data, np.uint32, 1)[0])
+    code = np.frombuffer(data, np.uint64, n, 4)
+    begin = np.frombuffer(data, np.int32, n, 4 + 8 * n)
+    sizes = np.frombuffer(data, np.uint32, n, 4 + 12 * n)
+    low = np.frombuffer(data, np.uint8, offset=4 + 16 * n).reshape(-1, BEFORE_BITS // 8)
+    before = np.zeros((len(low), 8), np.uint8)
+    before[:, :low.shape[1]] = low
+    return np.repeat(code, sizes), np.repeat(begin, sizes), before.view(np.uint64).ravel()
+
+
+def _once(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    code, begin, before = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((before, code))
+    code, begin, before = code[order], begin[order], before[order]
+    first = np.concatenate([[True], (code[1:] != code[:-1]) | (before[1:] != before[:-1])])
+    return code[first], begin[first], before[first]
+
+
+def _counted(batches, bound: int):
+    """``w, begin, n`` from packed rows in order of their buckets: after how many different words a word occurs."""
+    last, parts, held, limit = None, [], 0, 2 * bound
+
+    def counts():
+        code, begin, _ = _once(parts)
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        return pa.RecordBatch.from_arrays([
+            pa.array(code[first].view(np.int64)), pa.array(begin[first]), pa.array(np.diff(np.append(first, len(code)))),
+        ], ["w", "begin", "n"])
+
+    for batch in batches:
+        for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data"), strict=True):
+            if bucket != last and parts:
+                yield counts()
+                parts, held, limit = [], 0, 2 * bound
+            last = bucket
+            parts.append(_unpacked(data.as_py()))
+            held += len(parts[-1][0])
+            if held > limit:
+                parts = [_once(parts)]
+                # What is left are different pairs; the next look comes when they have doubled.
+                held = len(parts[0][0])
+                limit = max(limit, 2 * held)
+    if parts:
+        yield counts()
+
+
+def shared_counts(
+    docs: DataFrame, known: Vocabulary, hot: frozenset = frozenset(), buckets: int | None = None, bound: int = HELD_PAIRS
+) -> DataFrame:
+    """``w, begin, n``: after how many different words each word of ``docs`` occurs, as a stored table.
+
+    Words go by 64-bit hashes, ``begin`` is the longest beginning of the sample they have. The
+    counts of a hot word come in several rows. There are four buckets to a shuffle partition.
     """
-    rows = docs.where("text is not null").select("text").mapInArrow(
-        partial(_followers, hot=hot, bound=bound), "w string, deal int, before array<long>"
+    texts = docs.where("text is not null").select("text")
+    # As many partitions as the session is set up for its data with.
+    buckets = buckets or max(256, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = texts.mapInArrow(
+        partial(_followers, known=known, hot=hot, buckets=buckets, bound=bound), "bucket long, data binary"
     )
-    pairs = rows.repartition("w", "deal").select("w", "deal", F.explode("before").alias("v")).distinct()
-    return staged(pairs.groupBy("w").agg(F.count("*").alias("n")), "shared")
+    merged = rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        partial(_counted, bound=bound), "w long, begin int, n long"
+    )
+    return staged(merged, "shared")
 
 
-def _both(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o")
-    )
+@dataclass(frozen=True)
+class Shared:
+    """Shared counts of the sample's words and beginnings, by number, and of all words together."""
+
+    words: np.ndarray
+    begins: np.ndarray
+    total: float
+
+
+def of_sample(shared: DataFrame, known: Vocabulary) -> Shared:
+    """What the sample needs of ``shared_counts``: a row per word and beginning of the sample."""
+    counts = np.zeros(len(known.names))
+    code = _code(known.names).view(np.int64)
+    order = np.argsort(code)
+    asked = shared.sparkSession.createDataFrame(pa.table({"w": code}))
+    for w, n in zip(*_columns(shared.join(asked, "w").groupBy("w").agg(F.sum("n").alias("n"))), strict=True):
+        counts[order[np.searchsorted(code[order], w)]] = n
+    begins = np.zeros(len(known.long) + len(known.short))
+    at, n = _columns(shared.where("begin >= 0").groupBy("begin").agg(F.sum("n").alias("n")))
+    begins[at.astype(np.int64)] = n
+    # Words are counted under the longest beginning; a shorter one has those of its longer ones too.
+    for p, i in known.long.items():
+        begins[known.short[p[:PREFIXES[1]]]] += begins[i]
+    return Shared(counts, begins, float(shared.agg(F.sum("n")).first()[0] or 1))
 
 
 def _smoothed(t, o, low, group=None) -> np.ndarray:
@@ -241,58 +375,59 @@ def _smoothed(t, o, low, group=None) -> np.ndarray:
     return out
 
 
-def _columns(rows: DataFrame) -> list:
-    """The columns of rows as numpy arrays, a first column of strings as a list."""
-    found = rows.toArrow()
-    return [c.to_pylist() if pa.types.is_string(c.type) else c.to_numpy().astype(float) for c in found.columns]
+def _columns(rows: DataFrame) -> list[np.ndarray]:
+    return [c.to_numpy() for c in rows.toArrow().columns]
+
 
+def _different(key: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
+    """How many different keys each group has."""
+    return np.bincount(np.unique(group << 32 | key) >> 32, minlength=size).astype(float)
 
-def fit(grams: DataFrame, shared: DataFrame) -> Model:
-    """A model from ``toxic, u, v, w`` of labelled rows, and the continuations of all words.
 
-    What reaches the driver are all counts of the sample, as arrays.
+def fit(known: Vocabulary, v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.ndarray, shared: Shared) -> Model:
+    """A model from pairs ``v, w`` of numbered words and in how many contexts of either class each occurs.
+
+    The number of the start of a text is the number of words.
     """
-    pairs = staged(grams.groupBy("toxic", "v", "w").agg(F.count("*").alias("n")), "pairs")
-    total = shared.agg(F.sum("n")).first()[0] or 1
-    # From the shortest beginning to the word: both classes' probabilities, and the shared count.
-    upper: dict = {}
-    begin, low, count = [], None, None
-    for length in (*sorted(PREFIXES), None):
-        key = F.substring("w", 1, length) if length else F.col("w")
-        own = _both(pairs.select("toxic", "v", key.alias("p")).distinct(), "p")
-        sums = shared.groupBy(key.alias("p")).agg(F.sum("n").alias("n")) if length else shared.withColumnRenamed("w", "p")
-        names, t, o, n = _columns(own.join(sums, "p").orderBy("p"))
-        if begin:
-            at = np.array([upper[p[:last]] for p in names], np.int64)
-            base = low[:, at] * (n / count[at])
-        else:
-            base = np.tile(n / total, (2, 1))
-        low, count, last = _smoothed(t, o, base), n, length
-        upper = dict(zip(names, range(len(names)), strict=True))
-        begin.append((upper, _log(low)))
-    number = upper
-    rows = pairs.groupBy("v", "w").agg(
-        F.sum(F.expr("if(toxic = 1, n, 0)")).alias("t"), F.sum(F.expr("if(toxic = 0, n, 0)")).alias("o")
-    ).toArrow()
-    known = pa.array([*number, _START], pa.string())
-    v, w = (pc.index_in(rows[c], known).combine_chunks() for c in ("v", "w"))
-    both = pc.and_(pc.is_valid(v), pc.is_valid(w)).to_numpy(zero_copy_only=False)
-    v, w = (pc.fill_null(x, -1).to_numpy()[both].astype(np.int64) for x in (v, w))
-    t, o = (rows[c].to_numpy()[both].astype(float) for c in ("t", "o"))
+    seen = t + o > 0
+    v, w, t, o = (x[seen] for x in (v, w, t, o))
+    names, n_words = known.names, len(known.names)
+    size, least = PREFIXES
+    long = np.fromiter((known.long[x[:size]] for x in names), np.int64, n_words)
+    short = np.fromiter((known.short[x[:least]] for x in names), np.int64, n_words) - len(known.long)
+    short_of_long = np.fromiter((known.short[p[:least]] for p in known.long), np.int64, len(known.long)) - len(known.long)
+    levels = [
+        (short, None, shared.begins[len(known.long):]), (long, short_of_long, shared.begins[:len(known.long)]),
+        (np.arange(n_words), long, shared.words),
+    ]
+    low = count = None
+    ratios, there = [], []
+    for of_word, above, n in levels:
+        group = of_word[w]
+        own = [_different(v[c > 0], group[c > 0], len(n)) for c in (t, o)]
+        base = np.tile(n / shared.total, (2, 1)) if above is None else low[:, above] * (n / np.maximum(count[above], 1e-300))
+        low, count = _smoothed(*own, base), n
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratios.append(_log(low))
+        there.append(own[0] + own[1] > 0)
+    prefix = tuple(
+        {p: float(ratios[level][i - first]) for p, i in begins.items() if there[level][i - first]}
+        for level, begins, first in ((1, known.long, 0), (0, known.short, len(known.long)))
+    )
+    # A word of the sample that these rows do not hold is told by its beginning, as any other.
+    begun = np.where(there[1][long], ratios[1][long], np.where(there[0][short], ratios[0][short], 0.0))
+    single = np.where(there[2], ratios[2], begun)
     if len(v):
+        both = (v < n_words) & there[2][np.minimum(v, n_words - 1)] | (v == n_words)
+        v, w, t, o = (x[both] for x in (v, w, t, o))
         # A word after a word falls back to its share in both classes, parted as the word is.
-        share = (t + o) / np.bincount(v, t + o)[v]
-        after = _log(_smoothed(t, o, share * low[:, w] / low[:, w].mean(axis=0), group=v))
+        share = (t + o) / np.bincount(v, t + o)[v] if len(v) else t
+        after = _log(_smoothed(t, o, share * low[:, w] / low[:, w].mean(axis=0), group=v)) if len(v) else np.zeros(0)
     else:
         after = np.zeros(0)
-    dropped(pairs)
-    keys = pair_key(v, w, len(number))
+    keys = pair_key(v, w, n_words)
     order = np.argsort(keys)
-    return Model(
-        number, begin[-1][1],
-        tuple(dict(zip(names, ratios.tolist(), strict=True)) for names, ratios in begin[-2::-1]),
-        keys[order], after[order],
-    )
+    return Model({x: i for i, x in enumerate(names)}, single, prefix, keys[order], after[order])
 
 
 def _log(both: np.ndarray) -> np.ndarray:
@@ -314,6 +449,27 @@ def _curve(x: np.ndarray, missing: np.ndarray, toxic: np.ndarray, weights: np.nd
     return tuple(map(float, a))
 
 
+def pair_counts(sample: DataFrame, known: Vocabulary, bound: int = HELD_PAIRS) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Numbers of the words of each pair, and its contexts in toxic and ordinary rows: of all rows and of each half.
+
+    ``sample`` has ``toxic, half, text``. One shuffle of each task's different contexts; what
+    reaches the driver is a row per pair of the sample.
+    """
+    number = {x: i for i, x in enumerate(known.names)}
+    rows = sample.mapInArrow(partial(_trigrams, number=number, bound=bound), "pair long, u int, mask int")
+    contexts = rows.repartition("pair").groupBy("pair", "u").agg(F.bit_or("mask").alias("mask"))
+
+    def having(bits: int):
+        return F.sum((F.col("mask").bitwiseAND(bits) > 0).cast("int")).cast("int")
+
+    pair, *found = _columns(contexts.groupBy("pair").agg(*[
+        having(bits).alias(f"n{bits}") for bits in (12, 3, 4, 1, 8, 2)
+    ]))
+    found = [c.astype(float) for c in found]
+    step = len(known.names) + 1
+    return pair // step, pair % step, {"all": found[:2], 0: found[2:4], 1: found[4:]}
+
+
 def _passages(batches, model: Model, extra: list[str]):
     for batch in batches:
         found = np.array([model.read(v.as_py()) for v in batch.column("text")]).reshape(-1, 2)
@@ -351,18 +507,21 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     if len(sizes) < 2:
         return nothing(-30.0)
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
-    grams = staged(sample.select("toxic", "text", half).mapInArrow(
-        _trigrams, "half int, toxic int, u string, v string, w string"
-    ).groupBy("toxic", "u", "v", "w").agg(F.bit_or(F.expr("shiftleft(1, half)")).alias("halves")), "grams")
-    hot = grams.groupBy("w").agg(F.count_distinct("v").alias("n")).where(F.col("n") >= HOT_PAIRS)
-    shared = shared_counts(docs, frozenset(r["w"] for r in hot.collect()))
-    model = fit(grams, shared)
+    named = sample.select("text").mapInArrow(_distinct_words, "w string").distinct().toArrow()
+    known = Vocabulary.of(sorted(named["w"].to_pylist()))
+    v, w, contexts = pair_counts(sample.select("toxic", "text", half), known)
+    hot = np.flatnonzero(np.bincount(w, minlength=len(known.names)) >= HOT_PAIRS)
+    table = shared_counts(docs, known, frozenset(known.names[i] for i in hot))
+    shared = of_sample(table, known)
+    dropped(table)
+    model = fit(known, v, w, *contexts["all"], shared)
     rows = []
     for other in (0, 1):
-        part = fit(grams.where(F.col("halves").bitwiseAND(2 - other) > 0), shared)
+        part = fit(known, v, w, *contexts[1 - other], shared)
         rows += sample.where(half == other).mapInArrow(
             partial(_passages, model=part, extra=["toxic"]), "toxic int, score double, missing double"
         ).collect()
+    dropped(sample)
     toxic = np.array([r["toxic"] for r in rows], float)
     weights = np.array([counts[r["toxic"]] / sizes[r["toxic"]] for r in rows])
     score, missing = (np.array([r[c] for r in rows]) for c in ("score", "missing"))

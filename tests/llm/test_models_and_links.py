@@ -1,6 +1,7 @@
 """Near copies, vectors, trained models and the pipeline against plain readings."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -258,21 +259,108 @@ def test_shared_counts_are_all_continuations(make_docs, held):
     for _, text in rows:
         found = (text or "").lower().split()
         pairs |= set(zip(["^", *found], found))
+    want = Counter(w for _, w in pairs)
+    known = toxicity.Vocabulary.of(["common", "tailored", "w12", "absent"])
+    named = dict(zip(toxicity._code(list(want)).view(np.int64).tolist(), want, strict=True))
     for hot in (frozenset(), frozenset(["common"])):
-        got = {r.w: r.n for r in toxicity.shared_counts(make_docs(rows), hot, held).collect()}
-        assert got == Counter(w for _, w in pairs) and got["common"] == 701 and got["w5"] == 1
-
-
-def test_rare_expressions_are_kept(spark):
+        found = toxicity.shared_counts(make_docs(rows).repartition(3), known, hot, buckets=7, bound=held)
+        got = Counter()
+        for r in found.collect():
+            got[named[r.w]] += r.n
+            assert r.begin == known.begin(named[r.w])
+        assert got == want and got["common"] == 701 and got["w5"] == 1
+        shared = toxicity.of_sample(found, known)
+        assert shared.total == len(pairs)
+        assert dict(zip(known.names, shared.words, strict=True)) == {"common": 701, "tailored": 0, "w12": 1, "absent": 0}
+        assert shared.begins[known.short["comm"]] == 701 and shared.begins[known.short["tail"]] == want["tail"]
+        assert shared.begins[known.long["w12"]] == shared.begins[known.short["w12"]] == 1
+
+
+def test_rare_expressions_are_kept():
+    # Words before a word that occur nowhere else have a number as well, but are no pairs.
     rows = [(k % 2, f"u{k}", f"v{k}", "plain") for k in range(60)] + [(1, "a", f"b{k}", "rare") for k in range(2)]
     rows += [(1, "c", "once", "seldom"), (0, "c", "d", "calm")]
-    grams = spark.createDataFrame(rows, "toxic int, u string, v string, w string")
-    model = toxicity.fit(grams, grams.groupBy("w").agg(F.count_distinct("v").alias("n")))
+    known = toxicity.Vocabulary.of(["calm", "plain", "rare", "seldom"])
+    seen = sorted({(v, w) for _, _, v, w in rows})
+    number = {w: i for i, w in enumerate(known.names)}
+    words = Counter(w for _, w in seen)
+    shared = toxicity.Shared(
+        np.array([float(words[w]) for w in known.names]),
+        np.array([float(words[w]) for size, names in ((6, known.long), (4, known.short)) for p in names
+                  for w in known.names if w[:size] == p]), float(len(seen)))
+    # Each word before counts once; other numbers than those of words stand for them.
+    v = np.arange(len(seen)) + len(known.names) + 1
+    w = np.array([number[w] for _, w in seen])
+    t, o = (np.array([float(sum(c == label and (a, b) == p for c, _, a, b in rows)) for p in seen]) for label in (1, 0))
+    model = toxicity.fit(known, v, w, t, o, shared)
     assert set(model.word) == {"plain", "rare", "seldom", "calm"} and len(model.pairs) == 0
     ratio = {w: model.single[i] for w, i in model.word.items()}
     assert ratio["rare"] > ratio["seldom"] > 0 > ratio["calm"] and model.beginning("unseen") == 0
 
 
+def plain_ratios(grams):
+    """Log ratios by the definition, level by level, with dictionaries."""
+    follows = {(v, w) for _, _, v, w in grams}
+
+    def smoothed(t, o, low, all_t, all_o):
+        kept = (t + o) / (t + o + toxicity.UNSEEN)
+        return [kept * (max(n - 0.75, 0) / all_n if all_n else lo) + (1 - kept) * lo
+                for n, all_n, lo in ((t, all_t, low[0]), (o, all_o, low[1]))]
+
+    levels = []
+    for size in (4, 6, None):
+        shared = Counter(w[:size] for _, w in follows)
+        own = [Counter(w[:size] for v, w in {(v, w[:size]) for c, _, v, w in grams if c == label}) for label in (1, 0)]
+        totals = [sum(max(n - 0.75, 0) for n in c.values()) for c in own]
+        low = {}
+        for p in shared:
+            if not levels:
+                base = [shared[p] / len(follows)] * 2
+            else:
+                before, above = levels[-1]
+                base = [x * shared[p] / before[p[:above]] for x in low_above[p[:above]]]
+            low[p] = smoothed(own[0][p], own[1][p], base, *totals)
+        levels.append((shared, size))
+        low_above = low
+    contexts = [Counter((v, w) for c, _, v, w in set(grams) if c == label) for label in (1, 0)]
+    after = {}
+    for v, w in follows:
+        mine = {x: (contexts[0][v, x], contexts[1][v, x]) for y, x in follows if y == v}
+        share = sum(mine[w]) / sum(map(sum, mine.values()))
+        totals = [sum(max(n[c] - 0.75, 0) for n in mine.values()) for c in (0, 1)]
+        mean = sum(low_above[w]) / 2
+        after[v, w] = smoothed(*mine[w], [share * x / mean for x in low_above[w]], *totals)
+    return {p: math.log(a / b) for p, (a, b) in low_above.items()}, {p: math.log(a / b) for p, (a, b) in after.items()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_probabilities_of_a_small_corpus(spark, seed):
+    chosen = random.Random(seed)
+    names = ["insulted", "insulting", "insults", "kind", "kindly", "you", "are", "é", "kindness"]
+    texts = [(k % 2, k % 3 % 2, " ".join(chosen.choices(names, [3 + 2 * (k % 2)] * 3 + [2] * 6, k=chosen.randrange(1, 9))))
+             for k in range(80)]
+    grams = [(c, *g) for c, _, text in texts for g in
+             zip(["^", "^", *text.split()], ["^", *text.split()], text.split())]
+    single, after = plain_ratios(grams)
+    known = toxicity.Vocabulary.of(sorted({w for *_, w in grams}))
+    rows = spark.createDataFrame(texts, "toxic int, half int, text string").repartition(3)
+    v, w, counts = toxicity.pair_counts(rows, known, bound=(10 ** 6 if seed % 2 else 20))
+    docs = rows.select(F.lit(1).alias("doc_id"), "text")
+    shared = toxicity.of_sample(toxicity.shared_counts(docs, known, buckets=5), known)
+    model = toxicity.fit(known, v, w, *counts["all"], shared)
+    assert {x: model.single[i] for x, i in model.word.items()} == pytest.approx(single)
+    by_key = dict(zip(model.pairs.tolist(), model.after.tolist(), strict=True))
+    number = model.word | {"^": len(model.word)}
+    assert by_key == pytest.approx({toxicity.pair_key(number[a], number[b], len(model.word)): x for (a, b), x in after.items()})
+    for half in (0, 1):
+        own = {(c, *g) for c, h, text in texts if h == half for g in
+               zip(["^", "^", *text.split()], ["^", *text.split()], text.split())}
+        for label in (1, 0):
+            want = Counter((number[a], number[b]) for c, _, a, b in own if c == label)
+            got = {(a, b): n for a, b, n in zip(v.tolist(), w.tolist(), counts[half][1 - label].tolist(), strict=True) if n}
+            assert got == want
+
+
 # --- personal data -------------------------------------------------------------
 
 PATTERNS = {
