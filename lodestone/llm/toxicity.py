@@ -351,8 +351,8 @@ def of_sample(shared: DataFrame, known: Vocabulary) -> Shared:
     code = _code(known.names).view(np.int64)
     order = np.argsort(code)
     asked = shared.sparkSession.createDataFrame(pa.table({"w": code}))
-    for w, n in zip(*_columns(shared.join(asked, "w").groupBy("w").agg(F.sum("n").alias("n"))), strict=True):
-        counts[order[np.searchsorted(code[order], w)]] = n
+    w, n = _columns(shared.join(asked, "w").groupBy("w").agg(F.sum("n").alias("n")))
+    counts[order[np.searchsorted(code[order], w)]] = n
     begins = np.zeros(len(known.long) + len(known.short))
     at, n = _columns(shared.where("begin >= 0").groupBy("begin").agg(F.sum("n").alias("n")))
     begins[at.astype(np.int64)] = n
