@@ -6,6 +6,11 @@ within an article, within something that announces itself as no content (a
 menu, a form, an element named sidebar or comments ...), or as a heading. A
 decision tree, grown here from the small labelled table below, tells blocks of
 the article from the rest.
+
+Place decides alone in elements whose tag, role or whole name says that they are no
+content, and outside of the article on a page that has one. A name that only holds such a
+word (``has-sidebar``, ``share-price``) is a hint: words and links decide there, and an article
+inside such an element is one like any other.
 """
 
 from __future__ import annotations
@@ -38,6 +43,15 @@ OTHER_NAMES = frozenset(
     "recommended related respond share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription tags teaser toolbar widget".split()
 )
+# Words beside these in a name that leave its meaning as it is, and names of content, which make it a hint.
+PLAIN_PARTS = frozenset(
+    "area articles bar bottom box button buttons block container entries form global group inner item items left links list "
+    "main page panel posts primary right row section secondary site slot stories top unit user wrap wrapper".split()
+)
+CONTENT_NAMES = frozenset(
+    "article article-body article-content body-content content entry entry-content hentry main-content post post-body "
+    "post-content story story-body".split()
+)
 # Of these, an article may have its own, with its title in it.
 HEADER_NAMES = frozenset("header masthead".split())
 OTHER_ROLES = frozenset(
@@ -49,8 +63,11 @@ _TOKEN = re.compile(
     # Only what a browser reads as raw text runs to the end of a page that does not close it.
     r"|<(script|style)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</\1\s*>|\Z)"
     r"|<(?:svg|math)(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+(?<=/)>"
-    r"|<(noscript|template|svg|math|iframe|object|canvas|textarea|select|audio|video)(?=[\s/>])"
-    r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?</\2\s*>"
+    # One that is not closed before the next of its kind, or a choice before text begins, is a tag alone.
+    r"|<(noscript|template|svg|math|iframe|object|canvas|textarea|audio|video)(?=[\s/>])"
+    r"(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>(?:[^<]++|<(?!\2[\s/>]))*?</\2\s*>"
+    r"|<select(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>"
+    r"(?:[^<]++|<(?!/?(?:select|p|div|h[1-6]|article|section|main|ul|ol|table|form)[\s/>]))*+</select\s*>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)((?:\"[^\"]*\"|'[^']*'|[^<>\"'])*+)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:_-]*)([^<>]*)>"
     r"|<[!?/][^<>]*>",
@@ -62,7 +79,7 @@ _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 FEATURES = (
     "words", "links", "words_before", "links_before", "words_after", "links_after",
     "article",  # 1 within an article, 0 if the page has none, -1 outside of it
-    "other",    # within an element that announces no content
+    "other",    # 1 within an element that announces no content, a half where its name hints at that
     "heading",
 )
 # Labelled blocks in the order of FEATURES, with 1 for blocks of the article.
@@ -82,6 +99,13 @@ LABELLED = (
     (40, 0, 60, 0, 50, 0, 1, 1, 0, 0), (75, 0, 14, 0, 80, 0, 1, 1, 0, 0), (3, 0, 80, 0, 40, 0, 1, 1, 1, 0),
     (25, .2, 90, 0, 3, 0, 1, 1, 0, 0), (120, 0, 4, 0, 6, 0, -1, 1, 0, 0), (35, 0, 3, 1, 40, 0, 0, 1, 0, 0),
     (60, 0, 35, 0, 8, 1, 0, 1, 0, 0), (4, 0, 1, 1, 35, 0, 0, 1, 1, 0), (1, 1, 1, 1, 30, 0, 0, 1, 0, 0),
+    # where a name hints at no content: text with few links is content, short or linked blocks are not
+    (40, 0, 60, 0, 50, 0, 1, .5, 0, 1), (15, 0, 30, 0, 30, .1, 1, .5, 0, 1), (90, .1, 4, 1, 60, 0, 1, .5, 0, 1),
+    (12, 0, 70, 0, 3, 1, 1, .5, 0, 1), (60, .05, 8, 0, 45, 0, 0, .5, 0, 1), (24, .1, 50, 0, 30, 0, 0, .5, 0, 1),
+    (130, 0, 3, 1, 4, 1, 0, .5, 0, 1), (20, 0, 40, 0, 3, 0, 0, .5, 0, 1),
+    (3, .9, 60, 0, 40, 0, 1, .5, 0, 0), (2, 0, 50, 0, 3, 1, 1, .5, 0, 0), (9, .8, 60, 0, 5, 1, 1, .5, 0, 0),
+    (5, 0, 3, 1, 45, 0, 1, .5, 1, 0), (30, .9, 40, 0, 30, .9, 1, .5, 0, 0), (4, 1, 4, 1, 60, 0, 0, .5, 0, 0),
+    (5, 0, 50, 0, 4, .9, 0, .5, 0, 0), (3, 0, 60, 0, 60, 0, 0, .5, 1, 0), (25, .8, 6, 1, 60, 0, 0, .5, 0, 0),
     # outside of an article on a page that has one
     (9, 0, 2, 1, 12, 0, -1, 0, 0, 0), (40, 0, 110, 0, 6, 1, -1, 0, 0, 0), (90, 0, 30, 0, 20, 0, -1, 0, 0, 0),
     (5, 0, 9, 0, 60, 0, -1, 0, 1, 0), (22, .9, 40, 0, 5, 1, -1, 0, 0, 0), (3, 1, 3, 1, 3, 1, -1, 0, 0, 0),
@@ -122,10 +146,10 @@ def grow(rows: np.ndarray, depth: int = TREE_DEPTH) -> tuple:
 
 
 def varied(labelled: tuple) -> np.ndarray:
-    """The table with, for rows whose place alone decides, other sizes of the block and its neighbours."""
+    """The table with, for rows outside of the content, other sizes of the block and its neighbours."""
     rows = list(labelled)
     for row in labelled:
-        if (row[6] == -1 or row[7]) or (row[6] == 1 and row[1] < 0.9):
+        if row[6] == -1 or row[7] == 1:
             rows += [
                 (own, row[1], before, row[3], after, row[5], *row[6:])
                 for own in (1, 12, 400) for before in (0, 8, 90, 400) for after in (0, 8, 90, 400)
@@ -145,61 +169,83 @@ def _is_content(tree: tuple, row: tuple) -> bool:
     return bool(tree[0])
 
 
+@cache
+def _named(token: str) -> int:
+    """-2 for a name that announces no content, -1 for one that hints at it, 1 for one of content, else 0."""
+    low = token.lower()
+    if low in CONTENT_NAMES:
+        return 1
+    parts = {p.lower() for p in _NAME_PART.findall(token)}
+    if low in OTHER_NAMES:
+        return -2
+    if parts & OTHER_NAMES:
+        return -2 if parts <= OTHER_NAMES | PLAIN_PARTS else -1
+    return 0
+
+
 def _place(tag: str, attributes: str, in_article: bool) -> int:
-    """1 for an element that starts an article, -1 for one that is no content, else 0."""
+    """1 for an element that starts an article, -2 for one that is no content, -1 for a hint at that, else 0."""
     if tag in OTHER_TAGS or (tag == "header" and not in_article):
-        return -1
+        return -2
     if "=" in attributes or "hidden" in attributes:
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
         bare = _ATTRIBUTE.sub(" ", attributes).lower().split()
         if "hidden" in bare or found.get("aria-hidden") == "true" or re.search(
             r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", "")
         ):
-            return -1
+            return -2
         if tag not in ("html", "body", "article", "main") and tag not in HEADINGS:
-            names = f"{found.get('class', '')} {found.get('id', '')}"
-            parts = {p.lower() for p in _NAME_PART.findall(names)}
-            if found.get("role", "") in OTHER_ROLES or parts & OTHER_NAMES:
-                return -1
-            if parts & HEADER_NAMES and not in_article:
-                return -1
+            tokens = f"{found.get('class', '')} {found.get('id', '')}".split()
+            if found.get("role", "") in OTHER_ROLES:
+                return -2
+            said = [_named(t) for t in tokens]
+            if min(said, default=0) < 0:
+                # A name of content beside another makes that a hint, and a hint nothing.
+                return min(min(said) + (1 in said), 0)
+            if not in_article and any({p.lower() for p in _NAME_PART.findall(t)} & HEADER_NAMES for t in tokens):
+                return -2
         elif tag in ARTICLE_TAGS and {p.lower() for p in _NAME_PART.findall(found.get("class", ""))} & {
             "comment", "teaser", "related"
         }:
-            return -1
+            return -2
         if found.get("role") in ("main", "article") or found.get("itemprop") == "articleBody":
             return 1
     return int(tag in ARTICLE_TAGS)
 
 
 class _Open:
-    """The open block elements, with how many of them are articles or no content."""
+    """The open block elements, with how many of them are articles, no content, or hint at that."""
 
     def __init__(self):
-        self.stack: list[tuple[str, int]] = []
+        self.stack: list[tuple[str, int, int]] = []
         self.count: Counter = Counter()
-        self.article = self.other = 0
+        self.article = self.other = self.hints = 0
 
     def push(self, tag: str, place: int) -> None:
-        self.stack.append((tag, place))
+        self.stack.append((tag, place, self.hints))
         self.count[tag] += 1
         self.article += place == 1
-        self.other += place == -1
+        self.other += place == -2
+        # What surrounds an article hints at nothing inside it.
+        self.hints = 0 if place == 1 else self.hints + (place == -1)
 
     def pop(self) -> str:
-        tag, place = self.stack.pop()
+        tag, place, self.hints = self.stack.pop()
         self.count[tag] -= 1
         self.article -= place == 1
-        self.other -= place == -1
+        self.other -= place == -2
         return tag
 
+    def outside(self) -> float:
+        return 1 if self.other else 0.5 if self.hints else 0
+
     def close(self, tag: str) -> None:
         if self.count[tag]:
             while self.pop() != tag:
                 pass
 
 
-def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
+def blocks(page: str) -> list[tuple[str, float, int, float, int]]:
     """Flat blocks ``(text, link share, article, other, heading)`` of a page in order."""
     found: list = []
     parts: list[tuple[str, bool]] = []
@@ -212,7 +258,7 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
             if text:
                 linked = " ".join(p for p, a in parts if a)
                 share = min(1.0, len(linked.split()) / len(text.split())) if linked else 0.0
-                found.append((text, share, int(state.article > 0), int(state.other > 0), int(heading > 0)))
+                found.append((text, share, int(state.article > 0), state.outside(), int(heading > 0)))
             parts = []
 
     # No tag ends behind the last ">".
@@ -240,6 +286,8 @@ def blocks(page: str) -> list[tuple[str, float, int, int, int]]:
                 continue
             if state.count["p"]:
                 state.close("p")
+            if state.count["option"] and tag != "option":
+                state.close("option")
             if tag in ("li", "option", "dt", "dd", "tr", "td", "th") and state.stack and state.stack[-1][0] == tag:
                 state.pop()
             if tag == "body":

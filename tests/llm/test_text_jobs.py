@@ -264,3 +264,41 @@ def test_raw_elements_take_no_text_after_them():
         assert html_text.main_text(page) == f"{text}\n{text} End.", tag
     page = f"<article><p>{text}</p><svg><title>no</title></svg><script>no<p>no</p></article>"
     assert html_text.main_text(page) == text
+
+
+PROSE = " ".join(["Long words of the article stand here."] * 24)
+
+
+@pytest.mark.parametrize("name", [
+    "content has-sidebar", "content-sidebar-wrap", "post nav-below", "widget-area content", "article-tags",
+    "entry-content related-posts-enabled", "content",
+])
+def test_an_article_in_a_named_wrapper_stays(name):
+    page = (f'<html><body><nav><a href="/">Home</a></nav><div class="{name}"><article><h1>Title</h1><p>{PROSE}</p>'
+            "</article></div><footer>c</footer></body></html>")
+    assert html_text.main_text(page) == f"Title\n{PROSE}"
+
+
+def test_names_that_hint_leave_the_say_to_words_and_links():
+    page = f'<html><body><div class="post comment-enabled"><h1>Title</h1><p>{PROSE}</p></div></body></html>'
+    assert PROSE in html_text.main_text(page)
+    inside = (f'<article><h1>T</h1><p>{PROSE}</p><section class="share-price"><p>{PROSE}</p></section>'
+              f'<div class="figure alert-level"><p>{PROSE}</p></div><div class="share-this"><a href="/s">Share it</a></div></article>')
+    assert html_text.main_text(f"<html><body>{inside}</body></html>") == f"T\n{PROSE}\n{PROSE}\n{PROSE}"
+
+
+@pytest.mark.parametrize("name", [
+    "comments", "comment-list", "related-posts", "cookie-banner", "sidebar", "site-footer", "newsletter-signup", "ad-slot",
+    "main-nav", "user-comments",
+])
+def test_long_text_in_what_is_no_content_goes(name):
+    page = (f'<html><body><div class="text"><h1>Title</h1><p>{PROSE}</p></div><div class="{name}"><p>{PROSE}</p></div>'
+            "</body></html>")
+    assert html_text.main_text(page) == f"Title\n{PROSE}"
+
+
+@pytest.mark.parametrize("tag", ["select", "textarea", "object", "video", "svg", "canvas"])
+def test_an_element_left_open_takes_no_text(tag):
+    page = (f"<html><body><article><p>one two three</p><{tag}><option>a<p>{PROSE}</p></article>"
+            f"<form><{tag}><option>b</{tag}></form></body></html>")
+    assert PROSE in html_text.main_text(page)
