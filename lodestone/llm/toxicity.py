@@ -390,7 +390,7 @@ def fit(known: Vocabulary, v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.nd
     The number of the start of a text is the number of words.
     """
     seen = t + o > 0
-    v, w, t, o = (x[seen] for x in (v, w, t, o))
+    v, w, t, o = v[seen].astype(np.int64), w[seen].astype(np.int64), t[seen], o[seen]
     names, n_words = known.names, len(known.names)
     size, least = PREFIXES
     long = np.fromiter((known.long[x[:size]] for x in names), np.int64, n_words)
@@ -427,7 +427,7 @@ def fit(known: Vocabulary, v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.nd
         after = np.zeros(0)
     keys = pair_key(v, w, n_words)
     order = np.argsort(keys)
-    return Model({x: i for i, x in enumerate(names)}, single, prefix, keys[order], after[order])
+    return Model({x: i for i, x in enumerate(names)}, single, prefix, keys[order], after[order].astype(np.float32))
 
 
 def _log(both: np.ndarray) -> np.ndarray:
@@ -449,25 +449,39 @@ def _curve(x: np.ndarray, missing: np.ndarray, toxic: np.ndarray, weights: np.nd
     return tuple(map(float, a))
 
 
-def pair_counts(sample: DataFrame, known: Vocabulary, bound: int = HELD_PAIRS) -> tuple[np.ndarray, np.ndarray, dict]:
-    """Numbers of the words of each pair, and its contexts in toxic and ordinary rows: of all rows and of each half.
+@dataclass(frozen=True)
+class Contexts:
+    """Pairs of words ``v, w`` by number, and for each set of classes and halves in how many contexts they occur in it."""
+
+    v: np.ndarray
+    w: np.ndarray
+    of: np.ndarray    # by row: the place of its pair
+    mask: np.ndarray  # by row: a bit per class and half
+    n: np.ndarray
+
+    def counts(self, half: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts of every pair in toxic and in ordinary rows, of all rows or of one half."""
+        each = 3 if half is None else 1 << half
+        return tuple(
+            np.bincount(self.of, self.n * (self.mask & bits > 0), len(self.v)) for bits in (each << 2, each)
+        )
+
 
-    ``sample`` has ``toxic, half, text``. One shuffle of each task's different contexts; what
-    reaches the driver is a row per pair of the sample.
+def pair_counts(sample: DataFrame, known: Vocabulary, bound: int = HELD_PAIRS) -> Contexts:
+    """``Contexts`` of the words of ``sample``, rows of ``toxic, half, text``.
+
+    One shuffle of each task's different contexts; what reaches the driver is little more
+    than a row per pair of the sample.
     """
     number = {x: i for i, x in enumerate(known.names)}
     rows = sample.mapInArrow(partial(_trigrams, number=number, bound=bound), "pair long, u int, mask int")
     contexts = rows.repartition("pair").groupBy("pair", "u").agg(F.bit_or("mask").alias("mask"))
-
-    def having(bits: int):
-        return F.sum((F.col("mask").bitwiseAND(bits) > 0).cast("int")).cast("int")
-
-    pair, *found = _columns(contexts.groupBy("pair").agg(*[
-        having(bits).alias(f"n{bits}") for bits in (12, 3, 4, 1, 8, 2)
-    ]))
-    found = [c.astype(float) for c in found]
+    pair, mask, n = _columns(contexts.groupBy("pair", "mask").agg(F.count("*").cast("int").alias("n")).select(
+        "pair", F.col("mask").cast("tinyint").alias("mask"), "n"
+    ))
+    pair, of = np.unique(pair, return_inverse=True)
     step = len(known.names) + 1
-    return pair // step, pair % step, {"all": found[:2], 0: found[2:4], 1: found[4:]}
+    return Contexts((pair // step).astype(np.int32), (pair % step).astype(np.int32), of.astype(np.int32), mask, n)
 
 
 def _passages(batches, model: Model, extra: list[str]):
@@ -509,15 +523,15 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     half = F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half")
     named = sample.select("text").mapInArrow(_distinct_words, "w string").distinct().toArrow()
     known = Vocabulary.of(sorted(named["w"].to_pylist()))
-    v, w, contexts = pair_counts(sample.select("toxic", "text", half), known)
-    hot = np.flatnonzero(np.bincount(w, minlength=len(known.names)) >= HOT_PAIRS)
+    contexts = pair_counts(sample.select("toxic", "text", half), known)
+    hot = np.flatnonzero(np.bincount(contexts.w, minlength=len(known.names)) >= HOT_PAIRS)
     table = shared_counts(docs, known, frozenset(known.names[i] for i in hot))
     shared = of_sample(table, known)
     dropped(table)
-    model = fit(known, v, w, *contexts["all"], shared)
+    model = fit(known, contexts.v, contexts.w, *contexts.counts(), shared)
     rows = []
     for other in (0, 1):
-        part = fit(known, v, w, *contexts[1 - other], shared)
+        part = fit(known, contexts.v, contexts.w, *contexts.counts(1 - other), shared)
         rows += sample.where(half == other).mapInArrow(
             partial(_passages, model=part, extra=["toxic"]), "toxic int, score double, missing double"
         ).collect()
