@@ -109,6 +109,9 @@ def _valid() -> Column:
 def candidates(docs: DataFrame) -> DataFrame:
     """``doc_id, row_key, kind, start, end, found, before, valid``: one row per match of any pattern.
 
+    A text without a match of the first kind has a row of that kind without ``found``, so each
+    row of ``docs`` is there.
+
     Only matches leave the scan of the texts. Places follow from running sums of
     the lengths of pieces and matches, over the matches of one kind in one row.
     """
@@ -119,8 +122,8 @@ def candidates(docs: DataFrame) -> DataFrame:
         for i, k in enumerate(KINDS)
     ])
     hits = texts.select("doc_id", "row_key", F.explode(kinds).alias("k")).select(
-        "doc_id", "row_key", "k.kind", "k.rank", F.posexplode("k.rows").alias("at", "m")
-    ).select(
+        "doc_id", "row_key", "k.kind", "k.rank", F.posexplode_outer("k.rows").alias("at", "m")
+    ).where("m is not null or rank = 0").select(
         "doc_id", "row_key", "kind", "rank", "at", F.col("m.found").alias("found"),
         F.length("m.piece").cast("long").alias("gap"),
         F.right("m.piece", F.lit(BEFORE_CHARS)).alias("before"),
@@ -207,11 +210,12 @@ def _logit(p: float) -> float:
 def spans(docs: DataFrame) -> DataFrame:
     """``doc_id, row_key, kind, rank, start, end, base``: all spans of all rows, from the operator's model.
 
-    Of added spans those that overlap a base span, or one of an earlier kind
+    A row of ``docs`` is named by its ``row_key``, and has a row without a span as well. Of added spans those that overlap a base span, or one of an earlier kind
     that was added, are left out, as they say the same twice.
     """
     votes = _votes()
-    rows = staged(candidates(docs).withColumns(votes), "candidates")
+    every = staged(candidates(docs).withColumns(votes), "candidates")
+    rows = every.where("found is not null")
     patterns = staged(rows.groupBy(*votes).agg(F.count("*").alias("n")), "votes")
     weights = _weights(patterns, list(votes)) if patterns.head(1) else {"bias": 0.0}
     z = reduce(lambda a, b: a + b, [
@@ -234,14 +238,14 @@ def spans(docs: DataFrame) -> DataFrame:
     )
     return placed.where(F.col("valid") | clear).select(
         "doc_id", "row_key", "kind", "rank", "start", "end", F.col("valid").alias("base")
-    )
+    ).unionByName(every.where("rank = 0").select("doc_id", "row_key").distinct(), allowMissingColumns=True)
 
 
 def span_digests(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` the counts and digest of its base spans, and all its spans.
 
-    Null and empty texts have none. Rows repeated under one id have the spans of
-    each text once.
+    Null and empty texts have none. Rows under one id, or without one, have the spans
+    of their own text each.
     """
     def listed(condition: Column) -> Column:
         items = F.array_sort(F.collect_set(F.when(condition, F.struct("rank", "start", "end", "kind"))))
@@ -249,15 +253,9 @@ def span_digests(docs: DataFrame) -> DataFrame:
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
         )), ",")
 
-    found = spans(docs)
-    by_row = found.groupBy("doc_id").agg(
-        *[F.count_distinct(F.when(F.col("base") & (F.col("kind") == k), F.struct("start", "end"))).alias(f"n_{k}") for k in BASE],
-        listed(F.col("base")).alias("base_spans"), listed(F.lit(True)).alias("spans"),
-    )
-    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
-    joined = ids.join(by_row, F.col("id").eqNullSafe(F.col("doc_id")), "left")
-    return joined.select(
-        F.col("id").alias("doc_id"), *[F.coalesce(f"n_{k}", F.lit(0).cast("long")).alias(f"n_{k}") for k in BASE],
-        F.sha2(F.coalesce("base_spans", F.lit("")), 256).alias("base_sha256"),
-        F.coalesce("spans", F.lit("")).alias("spans"),
-    )
+    is_base = F.coalesce("base", F.lit(False))
+    return spans(docs).groupBy("row_key").agg(
+        F.max("doc_id").alias("doc_id"),
+        *[F.count_distinct(F.when(is_base & (F.col("kind") == k), F.struct("start", "end"))).alias(f"n_{k}") for k in BASE],
+        F.sha2(listed(is_base), 256).alias("base_sha256"), listed(F.col("kind").isNotNull()).alias("spans"),
+    ).drop("row_key")
