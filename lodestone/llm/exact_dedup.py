@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import SPACES
+from lodestone.llm.common import SPACES, staged
 
 SPILL_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
-OWNERS = "length long, content_hash long, normal binary, chars long, doc_id long, n long"
+OWNERS = "length long, content_hash long, normal binary, chars long, doc_id long, n long, ties long"
 
 
 class Node:
@@ -35,12 +35,16 @@ class Node:
 
 
 def _better(a: list, b: list) -> list:
-    """Of two owners ``[chars, id, n]`` the longer original, then the smaller id, with both counts."""
+    """Of two owners ``[chars, id, n, ties]`` the longer original, then the smaller id, with both counts.
+
+    Ties are rows of the owner's own length and id; those of equal owners add up.
+    """
     def order(x):
         return -x[0], x[1] is None, x[1] or 0
 
     best = a if order(a) <= order(b) else b
-    return [best[0], best[1], a[2] + b[2]]
+    ties = a[3] + b[3] if order(a) == order(b) else best[3]
+    return [best[0], best[1], a[2] + b[2], ties]
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -98,8 +102,8 @@ class Trie:
 
 
 def _batches(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["length", "content_hash", "normal", "chars", "doc_id", "n"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["length", "content_hash", "normal", "chars", "doc_id", "n", "ties"]
     rows, size = [], 0
     for row in found:
         rows.append(row)
@@ -120,7 +124,7 @@ def _batch(rows, types, names):
 def _read(batches):
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in
-                   ("length", "content_hash", "normal", "chars", "doc_id", "n")]
+                   ("length", "content_hash", "normal", "chars", "doc_id", "n", "ties")]
         yield from zip(*columns, strict=True)
 
 
@@ -129,10 +133,10 @@ def _owners_of_task(batches, spill: int = SPILL_BYTES):
     def found():
         tries: dict[tuple, Trie] = {}
         held = 0
-        for length, code, normal, chars, key, n in _read(batches):
+        for length, code, normal, *owner in _read(batches):
             trie = tries.setdefault((length, code), Trie())
             before = trie.size
-            trie.insert(normal, [chars, key, n])
+            trie.insert(normal, owner)
             held += trie.size - before
             while held > spill:
                 part, trie = tries.popitem()
@@ -150,12 +154,12 @@ def _merged(batches):
     """Rows sorted by partition to one row per distinct text."""
     def found():
         part, trie = None, Trie()
-        for length, code, normal, chars, key, n in _read(batches):
+        for length, code, normal, *found_owner in _read(batches):
             if (length, code) != part:
                 for text, owner in trie.cut():
                     yield (*part, text, *owner)
                 part = (length, code)
-            trie.insert(normal, [chars, key, n])
+            trie.insert(normal, found_owner)
         for text, owner in trie.cut():
             yield (*part, text, *owner)
 
@@ -167,7 +171,7 @@ def normalised(column: str = "text"):
 
 
 def text_owners(docs: DataFrame, code=F.xxhash64) -> DataFrame:
-    """``text_sha256, keep_id, keep_chars, group_size`` for every distinct text of ``docs``.
+    """``text_sha256, keep_id, keep_chars, group_size, ties`` for every distinct text of ``docs``.
 
     ``code`` is the hash that deals texts out; any will do. A null text is an
     empty one, and a null id comes after all others.
@@ -180,7 +184,7 @@ def text_owners(docs: DataFrame, code=F.xxhash64) -> DataFrame:
         F.octet_length("t").cast("long").alias("length"),
         code("t").cast("long").alias("content_hash"),
         F.col("t").cast("binary").alias("normal"),
-        "chars", "doc_id", F.lit(1).cast("long").alias("n"),
+        "chars", "doc_id", F.lit(1).cast("long").alias("n"), F.lit(1).cast("long").alias("ties"),
     )
     parts = rows.mapInArrow(_owners_of_task, OWNERS).repartition("length", "content_hash")
     merged = parts.sortWithinPartitions("length", "content_hash").mapInArrow(_merged, OWNERS)
@@ -189,6 +193,7 @@ def text_owners(docs: DataFrame, code=F.xxhash64) -> DataFrame:
         F.col("doc_id").alias("keep_id"),
         F.col("chars").alias("keep_chars"),
         F.col("n").alias("group_size"),
+        "ties",
     )
 
 
@@ -210,11 +215,28 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    keys = text_owners(docs).select("text_sha256", F.col("keep_id").alias("id"))
+    """One row of each group of equal texts, with all its columns: the one ``exact_groups`` keeps.
+
+    Of rows that share the owner's id, or have none like it, those of a shorter original go.
+    Rows that are the owner's in id, length and text are told apart by nothing that
+    counts; any one of them stays, found by an aggregation over such groups alone.
+    """
+    keys = staged(text_owners(docs).select(
+        "text_sha256", F.col("keep_id").alias("id"), F.col("keep_chars").alias("chars"), "ties"
+    ), "owners")
     rows = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"),
         F.sha2(normalised(), 256).alias("text_sha256"),
     )
-    same = (rows.text_sha256 == keys.text_sha256) & rows.id.eqNullSafe(keys.id)
-    return rows.join(keys, same, "left_semi").select("row.*")
+
+    def owned(keys: DataFrame) -> DataFrame:
+        same = (rows.text_sha256 == keys.text_sha256) & rows.id.eqNullSafe(keys.id) & (rows.chars == keys.chars)
+        return rows.join(keys, same, "left_semi")
+
+    tied = keys.where("ties > 1")
+    if tied.isEmpty():
+        return owned(keys).select("row.*")
+    single = owned(keys.where("ties = 1")).select("row")
+    first = owned(tied).groupBy("text_sha256").agg(F.first("row").alias("row")).select("row")
+    return single.unionByName(first).select("row.*")

@@ -344,20 +344,21 @@ def test_probabilities_of_a_small_corpus(spark, seed):
     single, after = plain_ratios(grams)
     known = toxicity.Vocabulary.of(sorted({w for *_, w in grams}))
     rows = spark.createDataFrame(texts, "toxic int, half int, text string").repartition(3)
-    v, w, counts = toxicity.pair_counts(rows, known, bound=(10 ** 6 if seed % 2 else 20))
+    contexts = toxicity.pair_counts(rows, known, bound=(10 ** 6 if seed % 2 else 20))
+    v, w = contexts.v, contexts.w
     docs = rows.select(F.lit(1).alias("doc_id"), "text")
     shared = toxicity.of_sample(toxicity.shared_counts(docs, known, buckets=5), known)
-    model = toxicity.fit(known, v, w, *counts["all"], shared)
+    model = toxicity.fit(known, v, w, *contexts.counts(), shared)
     assert {x: model.single[i] for x, i in model.word.items()} == pytest.approx(single)
     by_key = dict(zip(model.pairs.tolist(), model.after.tolist(), strict=True))
     number = model.word | {"^": len(model.word)}
-    assert by_key == pytest.approx({toxicity.pair_key(number[a], number[b], len(model.word)): x for (a, b), x in after.items()})
+    assert by_key == pytest.approx({toxicity.pair_key(number[a], number[b], len(model.word)): x for (a, b), x in after.items()}, rel=1e-5)
     for half in (0, 1):
         own = {(c, *g) for c, h, text in texts if h == half for g in
                zip(["^", "^", *text.split()], ["^", *text.split()], text.split())}
         for label in (1, 0):
             want = Counter((number[a], number[b]) for c, _, a, b in own if c == label)
-            got = {(a, b): n for a, b, n in zip(v.tolist(), w.tolist(), counts[half][1 - label].tolist(), strict=True) if n}
+            got = {(a, b): n for a, b, n in zip(v.tolist(), w.tolist(), contexts.counts(half)[1 - label].tolist(), strict=True) if n}
             assert got == want
 
 
@@ -400,6 +401,12 @@ def test_base_spans_are_those_of_plain_patterns(make_docs):
         assert spans == sorted(spans, key=lambda s: (pii.KINDS.index(s.split(":")[0]), int(s.split(":")[1])))
 
 
+def test_rows_under_one_id_have_their_own_spans(make_docs):
+    rows = [(5, "a@b.co"), (5, "nothing here at all"), (None, "1.2.3.4"), (None, None), (None, "x@y.zz"), (5, "a@b.co")]
+    got = Counter((r.doc_id, r.n_email, r.n_ip, r.spans) for r in pii.span_digests(make_docs(rows).repartition(3)).collect())
+    assert got == {(5, 1, 0, "email:0:6"): 2, (5, 0, 0, ""): 1, (None, 0, 1, "ip:0:7"): 1, (None, 0, 0, ""): 1, (None, 1, 0, "email:0:6"): 1}
+
+
 def test_spans_added_by_the_model(make_docs):
     rows = [(i, f"write to u{i}@mail.example.com or password=b7db7aa4a5fcc78{i:03d} page 12-10-20{i % 90 + 10}") for i in range(80)]
     got = pii.span_digests(make_docs(rows)).collect()

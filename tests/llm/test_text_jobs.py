@@ -146,8 +146,8 @@ def test_equal_hashes_do_not_make_equal_texts(spark, make_docs):
 def test_trie_owns_every_string(texts):
     trie = exact_dedup.Trie()
     for i, text in enumerate(texts):
-        trie.insert(text, [len(text), i, 1])
-    want = {t: [len(t), texts.index(t), n] for t, n in Counter(texts).items()}
+        trie.insert(text, [len(text), i, 1, 1])
+    want = {t: [len(t), texts.index(t), n, 1] for t, n in Counter(texts).items()}
     assert dict(trie.terminals()) == want
     assert dict(trie.cut()) == want and trie.size == 0 and not list(trie.terminals())
 
@@ -155,13 +155,13 @@ def test_trie_owns_every_string(texts):
 def test_spilled_subtrees_meet_again():
     import pyarrow as pa
 
-    rows = [(3, 1, b"abc", 3, i, 1) for i in range(5)] + [(3, 1, b"abd", 3, 9, 1)] * 4
-    names = ["length", "content_hash", "normal", "chars", "doc_id", "n"]
+    rows = [(3, 1, b"abc", 3, i, 1, 1) for i in range(5)] + [(3, 1, b"abd", 3, 9, 1, 1)] * 4
+    names = ["length", "content_hash", "normal", "chars", "doc_id", "n", "ties"]
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
     parts = list(exact_dedup._owners_of_task([batch], spill=2))
     merged = [r for b in exact_dedup._merged(parts) for r in b.to_pylist()]
     assert sum(b.num_rows for b in parts) > 2
-    assert {(r["normal"], r["doc_id"], r["n"]) for r in merged} == {(b"abc", 0, 5), (b"abd", 9, 4)}
+    assert {(r["normal"], r["doc_id"], r["n"], r["ties"]) for r in merged} == {(b"abc", 0, 5, 1), (b"abd", 9, 4, 4)}
 
 
 def test_without_copies_keeps_all_columns(make_docs):
@@ -172,6 +172,16 @@ def test_without_copies_keeps_all_columns(make_docs):
     assert exact_dedup.without_copies(docs.where("false")).count() == 0
 
 
+def test_one_row_of_each_group_stays(make_docs):
+    rows = [(1, "a b", "s")] * 3 + [(None, "c d", "s")] * 2 + [(1, "ab", "s"), (2, "a  b", "t"), (None, "cd", "s"), (3, "e", "s"), (3, "e f", "s")]
+    docs = make_docs(rows).repartition(4)
+    kept = exact_dedup.without_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("2", "a  b"), ("3", "e"), ("3", "e f"), ("None", "c d")]
+    tied = exact_dedup.without_copies(make_docs([(1, "a b", "s")] * 3 + [(None, "c", "s")] * 2))
+    assert sorted((str(r.doc_id), r.text) for r in tied.collect()) == [("1", "a b"), ("None", "c")]
+
+
 # --- mixing --------------------------------------------------------------------
 
 def plain_targets(sizes):
