@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from lodestone.operators.fusion import rrf, search_rrf, search_weighted
 from lodestone.operators.rerank import lexical_reranker
 from lodestone.operators.structure import structure_blocks
 from lodestone.operators.vectors import vector_scores, vector_search, vector_search_many
-from lodestone.plans.checkpoint import staged
+from lodestone.plans.checkpoint import file_system, shared_folder, staged
 from lodestone.plans.indexing import index_changes, metrics, not_yet_indexed, split_changes
 from lodestone.plans.retrieval import formatted, markdown, retrieve
 from lodestone.sources.files import files_from_table, is_binary, is_ignored
@@ -42,7 +42,10 @@ from lodestone.sources.index_table import (
     without_orphans,
     without_paths,
 )
+from lodestone.sources.postings_store import PostingsStore
 from lodestone.sources.registry import StoreConfig
+from lodestone.sources.vector_index import VectorIndex
+from lodestone.streaming.delta import merge_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -568,6 +571,70 @@ def vector_bytes(spark, folder):
     )
 
 
+# --- stored searches --------------------------------------------------------
+
+
+def stored(spark: SparkSession, folder: str, name: str, kind, fill):
+    """A store filled from a table once per application, and again when the table's files change."""
+    files, at = file_system(spark, f"{folder}/{name}.parquet")
+    state = f"{files.getFileStatus(at).getModificationTime()} {files.getContentSummary(at).getLength()}"
+    key = uuid.uuid5(uuid.NAMESPACE_URL, f"{spark.sparkContext.applicationId} {folder} {name} {kind.__name__} {state}").hex
+    place = f"{shared_folder(spark)}/store-{key}"
+    found = kind(spark, place)
+    if not found.segments.log():
+        fill(found)
+        files, at = file_system(spark, place)
+        files.deleteOnExit(at)
+    return found
+
+
+def stored_words(spark: SparkSession, folder: str) -> PostingsStore:
+    return stored(spark, folder, "documents", PostingsStore, lambda store: store.commit(document_texts(spark, folder)))
+
+
+def stored_vectors(spark: SparkSession, folder: str) -> VectorIndex:
+    rows = vector_rows(spark, folder).select("id", "embedding")
+    return stored(spark, folder, "embeddings", VectorIndex, lambda index: index.build(rows))
+
+
+@query
+def vector_topk_ann(spark, folder):
+    """Ten neighbours of every fiftieth vector by the inverted file, held against the exact scan."""
+    rows = vector_rows(spark, folder).select("id", "embedding")
+    asked = rows.where(F.col("id").cast("long") % 50 == 0)
+    near = staged(stored_vectors(spark, folder).search_many(asked, 10), "near")
+    exact = vector_search_many(rows, asked, 10)
+    hit = near.select("query_id", "id", F.lit(1).alias("hit"))
+    return exact.join(hit, ["query_id", "id"], "left").agg(
+        F.count_distinct("query_id").alias("queries"), F.count("*").alias("neighbours"),
+        (F.sum(F.coalesce("hit", F.lit(0))) >= 0.95 * F.count("*")).alias("recall_reached"),
+    )
+
+
+@query
+def stored_postings_search(spark, folder):
+    """The best chunks by stored postings, with ranges passed over that cannot reach them."""
+    found = stored_words(spark, folder).top(WORDS, 50).rows
+    return found.select("id", rounded("keyword_score"))
+
+
+@query
+def postings_after_changes(spark, folder):
+    """Scores after a build of all texts, three deltas and a compaction in between."""
+    rows = document_texts(spark, folder)
+    store = PostingsStore(spark, f"{shared_folder(spark)}/changed-{uuid.uuid4().hex}")
+    store.commit(rows)
+    key = F.col("id").cast("long")
+    for step in range(3):
+        changed = rows.where(key % 7 == step).withColumn("chunk", F.concat("chunk", F.lit(" the lyin" * (step + 1))))
+        store.commit(changed, rows.where(key % 11 == step).where(key % 7 != step).select("id"))
+        if step == 1:
+            store.compact()
+    found = staged(store.scores(WORDS).select("id", rounded("keyword_score")), "scores")
+    store.drop()
+    return found
+
+
 # --- keyword search ---------------------------------------------------------
 
 
@@ -594,8 +661,8 @@ def bm25_filtered(spark, folder):
 
 @query
 def bm25_postings(spark, folder):
-    rows = document_texts(spark, folder)
-    found = K.bm25_postings(K.postings(rows), K.corpus_stats(rows), WORDS)
+    """Every chunk that holds a word of the query, by stored postings."""
+    found = stored_words(spark, folder).scores(WORDS)
     return found.select("id", rounded("keyword_score"))
 
 
@@ -607,8 +674,7 @@ def phrase_match(spark, folder):
 
 @query
 def phrase_postings(spark, folder):
-    rows = document_texts(spark, folder)
-    found = K.bm25_postings(K.postings(rows), K.corpus_stats(rows), PHRASE)
+    found = stored_words(spark, folder).scores(PHRASE)
     return found.select("id", rounded("keyword_score"))
 
 
@@ -810,7 +876,7 @@ class MarkedFails:
 
 
 def new_index(spark: SparkSession) -> IndexTable:
-    return IndexTable(spark, StoreConfig(table=f"chunks_{uuid.uuid4().hex}"), buckets=4, keep_postings=False)
+    return IndexTable(spark, StoreConfig(table=f"chunks_{uuid.uuid4().hex}"), buckets=4)
 
 
 def index_files(spark: SparkSession, folder: str, text: Column, branch: str = "main") -> DataFrame:
@@ -824,8 +890,10 @@ def every(files: DataFrame, op: str) -> DataFrame:
 
 
 def indexed_bytes(index: IndexTable) -> DataFrame:
-    """Where the last chunk of each stored file ends."""
-    return index.read().groupBy("branch", "path").agg(F.max("end_bytes").alias("n_bytes"))
+    """Where the last chunk of each stored file ends; the index is deleted."""
+    found = staged(index.read().groupBy("branch", "path").agg(F.max("end_bytes").alias("n_bytes")), "indexed")
+    index.drop()
+    return found
 
 
 @query
@@ -866,6 +934,25 @@ def index_merge_state(spark, folder):
     return indexed_bytes(index)
 
 
+@query
+def stream_late_changes(spark, folder):
+    """The event log as changes in three batches that each hold early and late ones, and one batch twice."""
+    index = new_index(spark)
+    log = op_log(spark, folder).select(
+        (F.unix_micros("ts") * 1000 + F.col("event_id") % 1000).alias("seq"), "op",
+        F.replace("path", F.lit("user_"), F.lit("doc_")).alias("path"), "event_id",
+    )
+    docs = table(spark, folder, "documents").select(
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), "text")
+    changes = staged(log.join(docs, "path").select(
+        "seq", F.lit("main").alias("branch"), "path", "op", (F.col("event_id") % 3).alias("part"),
+        F.when(F.col("op") != "D", F.concat("text", F.lit(" at "), F.col("seq").cast("string"))).cast("binary").alias("content"),
+    ), "log")
+    for part in (2, 0, 2, 1):
+        merge_batch(index, changes.where(F.col("part") == part).drop("part"), repo="docs", model=HashingModel(DIM), dim=DIM)
+    return indexed_bytes(index)
+
+
 @query
 def chunk_coverage(spark, folder):
     """Bytes of every text, as source code and as plain text, that are in no chunk."""
@@ -878,6 +965,30 @@ def chunk_coverage(spark, folder):
     return rows.groupBy("path").agg(F.max("end_bytes").alias("n_bytes"), F.sum("gap").alias("missing"))
 
 
+@query
+def structured_coverage(spark, folder):
+    """Bytes of every text, in each structured family and in broken JSON, that are in no chunk and not blank."""
+    text = F.col("text")
+    forms = {
+        "json": F.to_json(F.struct(text.alias("body"), F.split(text, "\n").alias("lines"))),
+        "broken.json": F.concat(F.lit('{"first": 1, second: two, "third": '), text, F.lit('\n "last": [1, 2}')),
+        "two.json": F.concat(F.to_json(F.struct(text.alias("one"))), F.lit(" and\n"), F.to_json(F.array(text))),
+        "jsonl": text, "yaml": sectioned(text), "toml": text, "md": text, "csv": text,
+    }
+    files = [document_files(spark, folder, form, suffix) for suffix, form in forms.items()]
+    files = reduce(DataFrame.unionByName, files).where("octet_length(content) > 0")
+    spans = staged(chunk_files(files).select("path", "start_bytes", "end_bytes"), "spans")
+    ends = files.select("path", F.octet_length("content").alias("start_bytes"), F.octet_length("content").alias("end_bytes"))
+    file = Window.partitionBy("path").orderBy("start_bytes", "end_bytes").rowsBetween(Window.unboundedPreceding, -1)
+    gaps = spans.unionByName(ends).withColumn("before", F.coalesce(F.max("end_bytes").over(file), F.lit(0)))
+    gaps = staged(gaps.where("before < start_bytes").select("path", "before", "start_bytes"), "gaps")
+    left = files.join(gaps, "path").select("path", F.octet_length(F.regexp_replace(
+        B.slice_text(F.col("content"), F.col("before"), F.col("start_bytes")), r"\s", ""
+    )).cast("long").alias("n"))
+    every_path = spans.select("path").distinct()
+    return every_path.join(left, "path", "left").groupBy("path").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("missing"))
+
+
 # --- index maintenance ------------------------------------------------------
 
 

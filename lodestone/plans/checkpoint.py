@@ -47,3 +47,17 @@ def dropped(*tables: DataFrame) -> None:
         for folder in folders:
             files, path = file_system(rows.sparkSession, folder)
             files.delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = file_system(spark, path)
+    return files.exists(at)
+
+
+def children(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """The numbers behind ``prefix`` in the names of what a folder holds."""
+    files, at = file_system(spark, folder)
+    if not files.exists(at):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(at)]
+    return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix))

@@ -313,7 +313,7 @@ def markdown() -> str:
     """Headings and the prose below them, packed in order up to 2048 bytes."""
     src = f"""
 SELECT k, b, t, lo, CASE WHEN head OR piped THEN least(hi, lo + strlen(first) + 1) ELSE hi END::INT AS hi, head, piped, title FROM (
-  SELECT *, first LIKE '## %' AS head, regexp_matches(first, '^\s*\|.*\|\s*$') AS piped,
+  SELECT *, first LIKE '## %' AS head, regexp_matches(first, '^\\s*\\|.*\\|\\s*$') AS piped,
          last_value(CASE WHEN first LIKE '## %' THEN trim(rtrim(trim(substr(first, 4)), '#')) END IGNORE NULLS)
            OVER (PARTITION BY k ORDER BY lo) AS title
   FROM (
@@ -593,6 +593,30 @@ WHERE op IS DISTINCT FROM 'D' AND (text <> '' OR op IS NOT NULL)""",
         "chunk_coverage": """
 SELECT 'doc_' || doc_id || suffix AS path, strlen(text)::INT AS n_bytes, 0::BIGINT AS missing
 FROM documents, (VALUES ('.txt'), ('.java')) v(suffix) WHERE text <> ''""",
+        "structured_coverage": """
+SELECT 'doc_' || doc_id || suffix AS path, 0::BIGINT AS missing
+FROM documents, (VALUES ('.json'), ('.broken.json'), ('.two.json'), ('.jsonl'), ('.yaml'), ('.toml'), ('.md'), ('.csv')) v(suffix)
+WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
+        "stream_late_changes": """
+WITH log AS (
+  SELECT 'doc_' || user_id || '.txt' AS path, event_type, epoch_us(ts) * 1000 + event_id % 1000 AS seq FROM events),
+last AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY path ORDER BY seq DESC) = 1)
+SELECT 'main' AS branch, path, strlen(text || ' at ' || seq)::INT AS n_bytes
+FROM last JOIN documents ON path = 'doc_' || doc_id || '.txt'
+WHERE event_type IN ('signup', 'view', 'click', 'purchase')""",
+        "vector_topk_ann": """
+SELECT count(*) AS queries, sum(least(10, (SELECT count(*) FROM embeddings)))::BIGINT AS neighbours, true AS recall_reached
+FROM embeddings WHERE vec_id % 50 = 0""",
+        "stored_postings_search": f"WITH {INDEX}, {bm25(WORDS)} SELECT id, {r6('keyword_score')} FROM kw ORDER BY keyword_score DESC, id LIMIT 50",
+        "postings_after_changes": f"""
+WITH base AS ({INDEX.split(' AS (', 1)[1]},
+turns AS (
+  SELECT base.*, id::BIGINT % 7 AS seven, id::BIGINT % 11 AS eleven FROM base),
+idx AS (
+  SELECT * EXCLUDE (seven, eleven) REPLACE (CASE WHEN seven < 3 THEN chunk || repeat(' the lyin', (seven + 1)::INT) ELSE chunk END AS chunk)
+  FROM turns WHERE NOT (eleven < 3 AND seven <> eleven AND NOT (seven < 3 AND seven > eleven))),
+{bm25(WORDS)}
+SELECT id, {r6('keyword_score')} FROM kw""",
         "changed_chunks": f"""
 WITH RECURSIVE {OPS}, {cuts(PLAIN + " WHERE doc_id IN (SELECT replace(replace(path, 'user_', ''), '.txt', '')::BIGINT FROM last_op WHERE op <> 'D')")}, {MERGED}, {OVERLAPPED}
 SELECT 'doc_' || k || '.txt' AS path, s AS start_bytes, e AS end_bytes FROM ovl""",

@@ -2,12 +2,19 @@
 
 Rows lie in partitions by repository and by a hash of their path, so a batch
 rewrites the partitions of the paths it touches and nothing else, also when one
-repository holds a third of all rows. The postings of a partition are derived
-from its chunks and replaced along with it.
+repository holds a third of all rows. The postings of the chunks are kept by word in a
+``PostingsStore``, to which a batch adds one delta.
+
+A batch is one commit for both. Its rows, what it deletes and which chunks go by it are
+written to a folder of its own first, and a marker there makes it a batch. Then the
+chunks are rewritten, the postings get their delta, and the folder goes. Each step may be
+repeated, so a batch that was cut short is finished by the next writer, or by ``recover``.
+There is one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,13 +25,19 @@ from lodestone.config import SearchSettings
 from lodestone.functions.analysis import lexemes, words
 from lodestone.functions.vector import checked
 from lodestone.operators.fusion import fetched, rrf
-from lodestone.operators.keyword import bm25_postings, corpus_stats, like, postings, top_by
+from lodestone.operators.keyword import corpus_stats, like, top_by
 from lodestone.operators.vectors import vector_search
-from lodestone.plans.checkpoint import staged
+from lodestone.plans.checkpoint import children, exists, file_system, staged
+from lodestone.sources.postings_store import PostingsStore
 from lodestone.sources.registry import StoreConfig, register_store
+from lodestone.sources.segments import warehouse_folder
 
 BUCKETS = 64
 BUCKETS_PROPERTY = "lodestone.buckets"
+# Folders of a table carry a mark of their own, so that a new table of an old name finds none.
+FOLDER_PROPERTY = "lodestone.folder"
+# Deltas of the postings after which they are compacted.
+MOST_DELTAS = 16
 # Partitions named in one statement.
 DROPPED_AT_ONCE = 1000
 
@@ -118,11 +131,13 @@ class IndexTable:
     ):
         self.spark = spark
         self.table = config.table
-        self.postings_table = (config.postings or f"{config.table}_fts") if keep_postings else None
         self.bootstrap(buckets)
+        name = config.postings or f"{config.table}_fts"
+        self.store = PostingsStore(spark, warehouse_folder(spark, f"{name}_{self._mark}")) if keep_postings else None
+        self.batches = warehouse_folder(spark, f"{self.table}_batches_{self._mark}")
 
     def bootstrap(self, buckets: int | None = None) -> None:
-        """Create the tables and add missing columns; repeating it changes nothing.
+        """Create the table and add missing columns; repeating it changes nothing.
 
         The number of buckets is a property of the table, as rows of one path
         must always lie in the same one.
@@ -130,22 +145,21 @@ class IndexTable:
         columns = ", ".join(
             f"{f.name} {f.dataType.simpleString()}" for f in S.INDEX if f.name != "repo"
         )
-        self._create(self.table, columns)
-        stored = {
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.table} ({columns}, repo string, bucket int) "
+            "USING parquet PARTITIONED BY (repo, bucket)"
+        )
+        properties = {
             r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.table}").collect()
-        }.get(BUCKETS_PROPERTY)
+        }
+        stored, mark = properties.get(BUCKETS_PROPERTY), properties.get(FOLDER_PROPERTY)
         if stored is not None and buckets is not None and int(stored) != buckets:
             raise ValueError(f"{self.table} has {stored} buckets, not {buckets}")
-        self.buckets = int(stored or buckets or BUCKETS)
-        if stored is None:
+        self.buckets, self._mark = int(stored or buckets or BUCKETS), mark or uuid.uuid4().hex[:12]
+        if stored is None or mark is None:
             self.spark.sql(
-                f"ALTER TABLE {self.table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{self.buckets}')"
-            )
-        if self.postings_table:
-            self._create(
-                self.postings_table,
-                "term string, id string, branch string, path string, tf int, "
-                "positions array<int>, length int",
+                f"ALTER TABLE {self.table} SET TBLPROPERTIES "
+                f"('{BUCKETS_PROPERTY}' = '{self.buckets}', '{FOLDER_PROPERTY}' = '{self._mark}')"
             )
         present = set(self.spark.table(self.table).columns)
         for field in S.INDEX:
@@ -154,17 +168,20 @@ class IndexTable:
                     f"ALTER TABLE {self.table} ADD COLUMNS ({field.name} {field.dataType.simpleString()})"
                 )
 
-    def _create(self, name: str, columns: str) -> None:
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({columns}, repo string, bucket int) "
-            "USING parquet PARTITIONED BY (repo, bucket)"
-        )
+    def drop(self) -> None:
+        """Delete the table, its postings and what is left of batches."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        if self.store:
+            self.store.drop()
+        files, at = file_system(self.spark, self.batches)
+        files.delete(at, True)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table).select(*S.INDEX.fieldNames())
 
     def read_postings(self) -> DataFrame:
-        return self.spark.table(self.postings_table)
+        """The living postings, a row per chunk and word."""
+        return self.store.read()
 
     def indexed_paths(self, repo: str | None = None) -> DataFrame:
         return indexed_paths(self.read(), repo)
@@ -188,8 +205,7 @@ class IndexTable:
         To be passed to ``retrieve`` as its ``search``, with the rows of ``read()``.
         """
         text, take = (query or "").strip(), settings.candidates(limit)
-        scores = bm25_postings(self.read_postings(), self.stats(), text, repo=repo, branch=branch)
-        found = staged(top_by(scores, "keyword_score", take), "hits")
+        found = staged(self.store.top(text, take, repo=repo, branch=branch).rows, "hits")
         if found.isEmpty():
             matching = like(chunks, text, repo=repo, branch=branch).select("id", "keyword_score")
             found = top_by(matching, "keyword_score", take)
@@ -201,51 +217,98 @@ class IndexTable:
     def upsert(self, rows: DataFrame, order: str | None = None) -> None:
         """Merge ``rows`` by id; of equal ids in a batch the last by ``order`` stays.
 
-        Without an order, rows under one id must be the same. The batch is read
-        more than once, so it is written down first.
+        Without an order, rows under one id must be the same.
         """
-        rows = staged(rows.where(F.col("id").isNotNull()), "batch")
-        incoming = self._incoming(latest(rows, ["id"], [F.col(order)]) if order else rows)
-        self._rewrite(
-            incoming.select("repo", "bucket"),
-            lambda existing: upserted(existing, incoming),
-            empties=False,
-        )
-
-    def _incoming(self, rows: DataFrame) -> DataFrame:
-        return one_per_id(rows.select(*S.INDEX.fieldNames())).withColumn(
-            "bucket", bucket_of(F.col("path"), self.buckets)
-        )
+        rows = rows.where(F.col("id").isNotNull())
+        self._apply(latest(rows, ["id"], [F.col(order)]) if order else rows, None)
 
     def delete(self, paths: DataFrame, repo: str | None = None) -> None:
         """Remove all chunks of ``paths``; without any path nothing happens."""
-        touched = paths.select(bucket_of(F.col("path"), self.buckets).alias("bucket"))
-        if repo is not None:
-            touched = touched.withColumn("repo", F.lit(repo))
-        self._rewrite(touched, lambda existing: without_paths(existing, paths, repo), empties=True)
+        self._apply(None, self._deletions(paths, repo))
 
     def replace_paths(
         self, rows: DataFrame, paths: DataFrame, repo: str, replaced: DataFrame | None = None
     ) -> None:
-        """Delete ``paths``, and files ``replaced``, and merge ``rows`` in one rewrite.
+        """Delete ``paths``, and files ``replaced``, and merge ``rows`` in one commit.
 
-        No version of the table is half there. ``paths`` may name branches,
-        ``replaced`` does. All are read more than once and should be staged or cheap.
+        ``paths`` may name branches, ``replaced`` does.
         """
-        incoming = self._incoming(rows)
-        lists = [paths] if replaced is None else [paths, replaced]
-        touched = incoming.select("repo", "bucket")
-        for gone in lists:
-            touched = touched.unionByName(gone.select(
-                F.lit(repo).alias("repo"), bucket_of(F.col("path"), self.buckets).alias("bucket")
-            ))
-
-        def changed(existing: DataFrame) -> DataFrame:
-            for gone in lists:
-                existing = without_paths(existing, gone, repo)
-            return upserted(existing, incoming)
+        gone = self._deletions(paths, repo)
+        if replaced is not None:
+            gone = gone.unionByName(self._deletions(replaced, repo))
+        self._apply(rows, gone)
+
+    def _deletions(self, paths: DataFrame, repo: str | None) -> DataFrame:
+        """``repo, path, branch, any_branch`` of files that go; without a repository, in each that has the path's bucket."""
+        named = "branch" in paths.columns
+        rows = paths.select(
+            "path", (F.col("branch") if named else F.lit(None)).cast("string").alias("branch"),
+            F.lit(not named).alias("any_branch"), bucket_of(F.col("path"), self.buckets).alias("bucket"),
+        ).distinct()
+        if repo is not None:
+            return rows.withColumn("repo", F.lit(repo))
+        return rows.join(self.spark.table(self.table).select("repo", "bucket").distinct(), "bucket")
+
+    # --- batches ---------------------------------------------------------------
+
+    def _apply(self, rows: DataFrame | None, deletions: DataFrame | None) -> None:
+        self.recover()
+        if rows is None:
+            rows = self.spark.createDataFrame([], S.INDEX)
+        number = max(self.store.last_batch() if self.store else 0, 0) + 1
+        folder = f"{self.batches}/batch={number}"
+        incoming = one_per_id(rows.select(*S.INDEX.fieldNames())).withColumn(
+            "bucket", bucket_of(F.col("path"), self.buckets)
+        )
+        incoming.write.mode("overwrite").parquet(f"{folder}/rows")
+        if deletions is None:
+            deletions = self._deletions(self.spark.createDataFrame([], "path string"), "")
+        deletions.write.mode("overwrite").parquet(f"{folder}/deletions")
+        rows, gone, touched = self._batch(folder)
+        if self.store:
+            existing = self._scope(touched)
+            dead = existing.join(gone, self._goes(existing, gone), "left_semi").select("id").unionByName(
+                existing.join(rows.select("id"), "id", "left_semi").select("id"))
+            dead.distinct().write.mode("overwrite").parquet(f"{folder}/dead")
+        self.spark.range(1).write.mode("overwrite").parquet(f"{folder}/ready")
+        self._finish(number)
+
+    def recover(self) -> None:
+        """Finish a batch that was cut short; one that was not complete yet has changed nothing and goes."""
+        for number in children(self.spark, self.batches, "batch="):
+            folder = f"{self.batches}/batch={number}"
+            if exists(self.spark, f"{folder}/ready/_SUCCESS"):
+                self._finish(number)
+            else:
+                self._forget(folder)
+
+    def _batch(self, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Rows and deletions of a stored batch, and the partitions they touch."""
+        rows, gone = (self.spark.read.parquet(f"{folder}/{name}") for name in ("rows", "deletions"))
+        touched = staged(rows.select("repo", "bucket").unionByName(gone.select("repo", "bucket")).distinct(), "touched")
+        return rows, gone, touched
+
+    def _finish(self, number: int) -> None:
+        folder = f"{self.batches}/batch={number}"
+        rows, gone, touched = self._batch(folder)
+        self._rewrite(rows, gone, touched)
+        if self.store and self.store.last_batch() < number:
+            self.store.commit(rows, self.spark.read.schema("id string").parquet(f"{folder}/dead"), number)
+        self._forget(folder)
+        if self.store and len(self.store.segments.log()) > MOST_DELTAS:
+            self.store.compact()
+
+    def _forget(self, folder: str) -> None:
+        # The marker goes first, so that no half-deleted batch is finished again.
+        for path in (f"{folder}/ready", folder):
+            files, at = file_system(self.spark, path)
+            files.delete(at, True)
 
-        self._rewrite(touched, changed, empties=True)
+    @staticmethod
+    def _goes(rows: DataFrame, gone: DataFrame) -> Column:
+        """Rows on a list of deletions."""
+        return (rows["path"] == gone["path"]) & (rows["repo"] == gone["repo"]) & (
+            gone["any_branch"] | rows["branch"].eqNullSafe(gone["branch"]))
 
     def _scope(self, touched: DataFrame) -> DataFrame:
         """The rows of the touched partitions.
@@ -257,30 +320,20 @@ class IndexTable:
             touched.where("bucket >= 0").distinct(), keys, "left_semi"
         )
 
-    def _rewrite(self, touched: DataFrame, change, empties: bool) -> None:
-        touched = staged(touched.distinct(), "touched")
+    def _rewrite(self, rows: DataFrame, gone: DataFrame, touched: DataFrame) -> None:
+        """Merge a batch into the chunks; a second time it changes nothing."""
         if touched.isEmpty():
             return
         existing = self._scope(touched)
-        changed = change(existing)
-        gone = self._emptied(existing, changed) if empties else []
+        changed = upserted(existing.join(gone, self._goes(existing, gone), "left_anti"), rows)
+        emptied = self._emptied(existing, changed)
         # Rebalancing splits a large partition over several tasks and files.
         (
             changed.select(*self.spark.table(self.table).columns)
             .hint("rebalance", "repo", "bucket")
             .write.mode("overwrite").insertInto(self.table)
         )
-        self._drop(self.table, gone)
-        if self.postings_table:
-            index = postings(self._scope(touched)).withColumn("bucket", bucket_of(F.col("path"), self.buckets))
-            (
-                index.select(*self.spark.table(self.postings_table).columns)
-                .hint("rebalance", "repo", "bucket")
-                # Sorted files let a search skip row groups by their word range.
-                .sortWithinPartitions("repo", "bucket", "term")
-                .write.mode("overwrite").insertInto(self.postings_table)
-            )
-            self._drop(self.postings_table, gone)
+        self._drop(self.table, emptied)
 
     @staticmethod
     def _emptied(existing: DataFrame, changed: DataFrame) -> list:

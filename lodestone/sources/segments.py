@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.plans.checkpoint import file_system
+from lodestone.plans.checkpoint import children, exists, file_system
 
 FRESH = -1  # the part of rows that no compaction has placed yet
 _LOG = "segment long, base boolean, facts map<string,long>"
@@ -40,17 +40,9 @@ class Segments:
             for name, columns in {**parts, **(plain or {}), "gone": "id string"}.items()
         }
 
-    def _exists(self, path: str) -> bool:
-        files, at = file_system(self.spark, path)
-        return files.exists(at)
-
     def _children(self, path: str) -> list[int]:
         """Numbers of the segments that have files, or an entry, in a folder."""
-        files, at = file_system(self.spark, path)
-        if not files.exists(at):
-            return []
-        names = [status.getPath().getName() for status in files.listStatus(at)]
-        return sorted(int(n.removeprefix("segment=")) for n in names if n.startswith("segment="))
+        return children(self.spark, path, "segment=")
 
     def log(self) -> list[T.Row]:
         """The visible segments: the last base and the deltas behind it, one row each."""
@@ -68,7 +60,7 @@ class Segments:
     def read(self, name: str, segments: list[int] | None = None) -> DataFrame:
         """Rows of a table in the visible segments, dead ones included."""
         wanted = [r["segment"] for r in self.log()] if segments is None else segments
-        paths = [p for p in (f"{self.folder}/{name}/segment={s}" for s in wanted) if self._exists(p)]
+        paths = [p for p in (f"{self.folder}/{name}/segment={s}" for s in wanted) if exists(self.spark, p)]
         if not paths:
             return self.spark.createDataFrame([], self.kinds[name])
         return self.spark.read.schema(self.kinds[name]).option("basePath", f"{self.folder}/{name}").parquet(*paths)

@@ -1,3 +1,4 @@
+import random
 import subprocess
 
 import pytest
@@ -13,7 +14,9 @@ from lodestone.plans.indexing import index_changes
 from lodestone.plans.retrieval import retrieve
 from lodestone.sources.files import files_from_directory
 from lodestone.sources.git import GitChanges, git_changes, resolve_range
+from lodestone.sources import index_table as index_module
 from lodestone.sources.index_table import IndexTable, index_rows
+from lodestone.sources.postings_store import PostingsStore
 from lodestone.sources.registry import (
     StoreConfig,
     get_store,
@@ -23,7 +26,8 @@ from lodestone.sources.registry import (
     stores,
     unregister_store,
 )
-from lodestone.streaming.delta import TIMEOUT_EXIT_CODE, finish, index_stream, merge_batch
+from lodestone.sources.segments import Segments
+from lodestone.streaming.delta import TIMEOUT_EXIT_CODE, LastChanges, finish, index_stream, merge_batch
 
 DIM = 32
 COUNTER = iter(range(1000))
@@ -31,10 +35,9 @@ COUNTER = iter(range(1000))
 
 @pytest.fixture
 def table(spark):
-    name = f"chunks_{next(COUNTER)}"
-    yield IndexTable(spark, StoreConfig(table=name), buckets=4)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}_fts")
+    made = IndexTable(spark, StoreConfig(table=f"chunks_{next(COUNTER)}"), buckets=4)
+    yield made
+    made.drop()
 
 
 @pytest.fixture
@@ -284,6 +287,42 @@ def test_different_rows_under_one_id_need_an_order(table, embedded):
         table.upsert(rows.unionByName(rows.withColumn("chunk", F.lit("two"))))
 
 
+STEPS = [
+    ("one_per_id", index_module), ("_rewrite", IndexTable), ("_drop", IndexTable), ("commit", PostingsStore), ("write", Segments),
+    ("commit", Segments), ("_forget", IndexTable),
+]
+
+
+@pytest.mark.parametrize("name,where", STEPS)
+def test_a_batch_cut_short_is_finished(spark, table, embedded, monkeypatch, name, where):
+    """A batch stops before and right after a step; the next writer finds the table of an unbroken run."""
+    first = embedded({"a.txt": "alpha old", "b.txt": "beta", "c.txt": "gamma"})
+    second = embedded({"a.txt": "alpha new words", "d.txt": "delta"})
+    table.upsert(first)
+    whole = getattr(where, name)
+    for after in (False, True):
+        def stop(*args, **kwargs):
+            if after:
+                whole(*args, **kwargs)
+            raise RuntimeError("lost")
+
+        monkeypatch.setattr(where, name, stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            table.replace_paths(second, path_rows(spark, "b.txt", "a.txt"), "repo")
+        monkeypatch.setattr(where, name, whole)
+        opened = IndexTable(spark, StoreConfig(table=table.table))
+        opened.recover()
+        finished = paths(opened) == ["a.txt", "c.txt", "d.txt"]
+        assert finished or paths(opened) == ["a.txt", "b.txt", "c.txt"]
+        live = {(r.path, t) for r in opened.read().collect() for t in r.chunk.lower().split()}
+        by_id = {r.id: r.path for r in opened.read().collect()}
+        assert {(by_id[r.id], r.term) for r in opened.read_postings().collect()} == live
+        assert opened.store.stats().first() == opened.stats().first()
+    table.replace_paths(second, path_rows(spark, "b.txt", "a.txt"), "repo")
+    assert sorted(r.chunk for r in table.read().collect()) == ["alpha new words", "delta", "gamma"]
+    assert terms(table) == {"alpha", "new", "words", "delta", "gamma"}
+
+
 STREAM = "seq long, branch string, path string, op string, content binary"
 
 
@@ -304,6 +343,30 @@ def test_stream_equals_batch(spark, table, make_files, tmp_path):
     assert sorted(r.id for r in table.read().collect()) == sorted(r.id for r in expected.collect())
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_changes_in_any_order_and_split(spark, table, seed):
+    chosen = random.Random(seed)
+    log = [(n, chosen.choice(["main", "dev"]), f"{chosen.choice('abc')}.txt", chosen.choice("AAMDT"), f"v{n} text".encode()) for n in range(24)]
+    last = {}
+    for n, branch, path, op, content in log:
+        if op != "T":
+            last[branch, path] = None if op == "D" else content.decode()
+    chosen.shuffle(log)
+    cuts = sorted(chosen.sample(range(1, 24), 3))
+    parts = [log[a:b] for a, b in zip([0, *cuts], [*cuts, 24])]
+    for part in [*parts, parts[chosen.randrange(4)]]:
+        merge_batch(table, spark.createDataFrame([(*r[:4], bytearray(r[4])) for r in part], STREAM),
+                    repo="repo", model=HashingModel(DIM), dim=DIM)
+    if seed:
+        LastChanges(table).compact()
+        merge_batch(table, spark.createDataFrame([(-1, "main", "a.txt", "A", bytearray(b"older")), (None, "main", "b.txt", "A", bytearray(b"no number"))], STREAM),
+                    repo="repo", model=HashingModel(DIM), dim=DIM)
+    want = {k: v for k, v in last.items() if v is not None}
+    seen = set(last)
+    got = {(r.branch, r.path): r.chunk for r in table.read().collect()}
+    assert {k: v for k, v in got.items() if k in seen} == want
+
+
 def test_deadline_gives_the_retry_code():
     class Slow:
         stopped = False
