@@ -51,8 +51,11 @@ UNSEEN = 8  # contexts that weigh as much as what the levels below say
 HELD_PAIRS = 8_000_000
 HOT_PAIRS = 1000
 SPREAD = 16
-# Bits of a word's hash that tell it from others before the same word.
-BEFORE_BITS = 40
+# Words before a word are told apart by 32 bits of their hashes; counts allow for those that fall together.
+BEFORE = 1 << 32
+# Words that are scored at a time, and different ones a reader remembers.
+BLOCK_WORDS = 300_000
+REMEMBERED = 2_000_000
 _WORD = re.compile(r"\w+")
 _START = "^"
 
@@ -137,6 +140,29 @@ def best_window(ratios: np.ndarray, at: np.ndarray) -> tuple[float, int]:
     return float(means[best]), int(different[best])
 
 
+def windows(ratios: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mean of each window of PASSAGE positions, and of how many different words; see ``best_window``."""
+    n = len(at) - PASSAGE + 1
+    sums, different = sum(ratios[i:i + n] for i in range(PASSAGE)), np.full(n, PASSAGE)
+    marks = np.zeros(n + 1, np.int64)
+    for gap in range(1, PASSAGE):
+        first = np.flatnonzero(at[gap:] == at[:-gap])
+        marks += np.bincount(np.minimum(np.maximum(first + gap - PASSAGE + 1, 0), n), minlength=n + 1)
+        marks -= np.bincount(np.minimum(first, n - 1) + 1, minlength=n + 1)
+    again = np.flatnonzero(np.cumsum(marks[:-1]))
+    if len(again):
+        of, value = ([x[again + i] for i in range(PASSAGE)] for x in (at, ratios))
+        kept = [np.ones(len(again), bool) for _ in range(PASSAGE)]
+        for i in range(PASSAGE):
+            for j in range(i + 1, PASSAGE):
+                same, low = of[i] == of[j], value[i] < value[j]
+                kept[i] &= ~(same & low)
+                kept[j] &= ~same | low
+        sums[again] = sum(v * k for v, k in zip(value, kept, strict=True))
+        different[again] = sum(k.astype(np.int64) for k in kept)
+    return sums / different, different
+
+
 @dataclass(frozen=True)
 class Model:
     """Log ratios of the levels, and the logistic curve."""
@@ -192,6 +218,87 @@ def nothing(shift: float) -> Model:
     return Model({}, np.zeros(0), (), np.zeros(0, np.int64), np.zeros(0), 0.0, shift)
 
 
+class Reader(dict):
+    """Reads texts in blocks by one model; the numbers of words it has met stay with it."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.number, self.alone = model, [], []
+
+    def __missing__(self, word: str) -> int:
+        n = self.model.word.get(word, -1)
+        self.number.append(n)
+        self.alone.append(float(self.model.single[n]) if n >= 0 else self.model.beginning(word))
+        found = self[word] = len(self.alone) - 1
+        return found
+
+    def read(self, texts: list[str | None]) -> np.ndarray:
+        """A row per text, as ``Model.read`` gives it."""
+        out = np.tile([-np.inf, 1.0], (len(texts), 1))
+        parts: list[tuple[int, np.ndarray, bool]] = []
+        held = 0
+        for doc, text in enumerate(texts):
+            found = words(text)
+            at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+            if not len(at):
+                out[doc, 0] = 0.0
+            # A text longer than a block goes on with the six words before: windows reach back five, pairs one more.
+            for start in range(0, len(at), BLOCK_WORDS):
+                parts.append((doc, at[max(start - PASSAGE, 0):start + BLOCK_WORDS], start == 0))
+                held += len(parts[-1][1])
+                if held >= BLOCK_WORDS:
+                    self._block(parts, out)
+                    parts, held = [], 0
+        if parts:
+            self._block(parts, out)
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.number, self.alone = [], []
+        return out
+
+    def _block(self, parts: list[tuple[int, np.ndarray, bool]], out: np.ndarray) -> None:
+        sizes = np.array([len(at) for _, at, _ in parts])
+        starts = np.cumsum(sizes) - sizes
+        at = np.concatenate([p[1] for p in parts])
+        ratios = self._ratios(at, starts[[p[2] for p in parts]])
+        long = sizes >= PASSAGE
+        for n in np.flatnonzero(~long).tolist():
+            some = slice(starts[n], starts[n] + sizes[n])
+            if parts[n][2]:
+                self._better(out, parts[n][0], *best_window(ratios[some], at[some]))
+        if long.any():
+            means, different = windows(ratios, at)
+            # Windows lie in one part; a part that goes on has no word before its first.
+            whole = np.repeat(starts + sizes, sizes)[:len(means)] >= np.arange(len(means)) + PASSAGE
+            whole[starts[long & ~np.array([p[2] for p in parts])]] = False
+            means = np.where(whole, means, -np.inf)
+            best = np.maximum.reduceat(means, starts[long])
+            group = np.searchsorted(starts[long], np.arange(len(means)), side="right") - 1
+            tops = np.flatnonzero(whole & (group >= 0) & (means == best[np.maximum(group, 0)]))
+            which, first = np.unique(group[tops], return_index=True)
+            docs = [p[0] for p, is_long in zip(parts, long, strict=True) if is_long]
+            for n, place in zip(which.tolist(), tops[first].tolist(), strict=True):
+                self._better(out, docs[n], float(means[place]), int(different[place]))
+
+    @staticmethod
+    def _better(out: np.ndarray, doc: int, mean: float, size: int) -> None:
+        if mean > out[doc, 0]:
+            out[doc] = mean, 1 - size / PASSAGE
+
+    def _ratios(self, at: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        model = self.model
+        ratios, here = np.array(self.alone)[at], np.array(self.number, np.int64)[at]
+        if len(model.pairs):
+            before = np.concatenate([[-1], here[:-1]])
+            before[firsts] = len(model.word)
+            some = np.flatnonzero((here >= 0) & (before >= 0))
+            key, back = np.unique(pair_key(before[some], here[some], len(model.word)), return_inverse=True)
+            place = np.minimum(np.searchsorted(model.pairs, key), len(model.pairs) - 1)
+            known = (model.pairs[place] == key)[back]
+            ratios[some[known]] = model.after[place][back[known]]
+        return ratios
+
+
 class _Numbers(dict):
     """A number for each word, in the order in which they come."""
 
@@ -251,8 +358,9 @@ def _packed(number: dict, keys: np.ndarray, known: Vocabulary, hot: frozenset, b
     code = _code(number)
     begin = np.fromiter(map(known.begin, number), np.int32, len(number))
     spread = np.fromiter((SPREAD if w in hot else 1 for w in number), np.uint64, len(number))
-    word, before = keys & 0xFFFFFFFF, code[keys >> 32] & np.uint64((1 << BEFORE_BITS) - 1)
-    bucket = ((code[word] >> np.uint64(8)) + before % spread[word]) % np.uint64(buckets)
+    word, other = keys & 0xFFFFFFFF, code[keys >> 32]
+    before = other.astype(np.uint32)
+    bucket = ((code[word] >> np.uint64(8)) + (other >> np.uint64(40)) % spread[word]) % np.uint64(buckets)
     order = np.lexsort((before, word, bucket))
     word, before, bucket = word[order], before[order], bucket[order]
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist() + [len(word)]
@@ -263,7 +371,7 @@ def _packed(number: dict, keys: np.ndarray, known: Vocabulary, hot: frozenset, b
         data = b"".join([
             np.uint32(len(some)).tobytes(), code[some].tobytes(), begin[some].tobytes(),
             np.diff(np.append(first, len(own))).astype(np.uint32).tobytes(),
-            before[at:stop].view(np.uint8).reshape(-1, 8)[:, :BEFORE_BITS // 8].tobytes(),
+            before[at:stop].tobytes(),
         ])
         yield pa.RecordBatch.from_arrays([pa.array([int(bucket[at])], pa.int64()), pa.array([data], pa.binary())], ["bucket", "data"])
 
@@ -274,10 +382,7 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code = np.frombuffer(data, np.uint64, n, 4)
     begin = np.frombuffer(data, np.int32, n, 4 + 8 * n)
     sizes = np.frombuffer(data, np.uint32, n, 4 + 12 * n)
-    low = np.frombuffer(data, np.uint8, offset=4 + 16 * n).reshape(-1, BEFORE_BITS // 8)
-    before = np.zeros((len(low), 8), np.uint8)
-    before[:, :low.shape[1]] = low
-    return np.repeat(code, sizes), np.repeat(begin, sizes), before.view(np.uint64).ravel()
+    return np.repeat(code, sizes), np.repeat(begin, sizes), np.frombuffer(data, np.uint32, offset=4 + 16 * n)
 
 
 def _once(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -295,9 +400,11 @@ def _counted(batches, bound: int):
     def counts():
         code, begin, _ = _once(parts)
         first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        return pa.RecordBatch.from_arrays([
-            pa.array(code[first].view(np.int64)), pa.array(begin[first]), pa.array(np.diff(np.append(first, len(code)))),
-        ], ["w", "begin", "n"])
+        told = np.minimum(np.diff(np.append(first, len(code))) / BEFORE, 1 - 1 / BEFORE)
+        n = np.rint(-BEFORE * np.log1p(-told)).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(code[first].view(np.int64)), pa.array(begin[first]), pa.array(n)], ["w", "begin", "n"]
+        )
 
     for batch in batches:
         for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("data"), strict=True):
@@ -485,8 +592,9 @@ def pair_counts(sample: DataFrame, known: Vocabulary, bound: int = HELD_PAIRS) -
 
 
 def _passages(batches, model: Model, extra: list[str]):
+    reader = Reader(model)
     for batch in batches:
-        found = np.array([model.read(v.as_py()) for v in batch.column("text")]).reshape(-1, 2)
+        found = reader.read(batch.column("text").to_pylist())
         columns = [model.scores(*found.T)] if extra == ["doc_id"] else list(found.T.copy())
         yield pa.RecordBatch.from_arrays(
             [*(batch.column(c) for c in extra), *map(pa.array, columns)], [*extra, "score", "missing"][:len(extra) + len(columns)]

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -245,6 +246,23 @@ def test_every_position_is_scored():
         assert abs(model.passage(" ".join(found)) - best) < 1e-9
 
 
+@pytest.mark.parametrize("block", [toxicity.BLOCK_WORDS, 40, 7])
+def test_blocks_read_as_single_texts(monkeypatch, block):
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", block)
+    chosen = random.Random(block)
+    names = "abcdefghij"
+    model = small_model({w: chosen.gauss(0, 1) for w in names}, [
+        (v, w, chosen.gauss(0, 2)) for v in names for w in names if chosen.random() < 0.4])
+    keys = np.concatenate([model.pairs, [toxicity.pair_key(len(names), 3, len(names))]])
+    model = replace(model, pairs=np.sort(keys), after=np.append(model.after, 2.5)[np.argsort(keys)])
+    texts = [" ".join(chosen.choice(names + "xyz") for _ in range(chosen.choice([0, 1, 3, 5, 6, 7, 30, 200]))) for _ in range(120)]
+    texts += [None, "d", "d d d", "a " * 100]
+    reader = toxicity.Reader(model)
+    for part in (texts[:50], texts[50:]):
+        want = np.array([model.read(t) for t in part])
+        np.testing.assert_allclose(reader.read(part), want, atol=1e-9)
+
+
 def test_short_texts_have_their_mean():
     model = small_model({"a": 3.0, "b": 1.0})
     assert model.read("a") == (3.0, 1 - 1 / 6) and model.passage("a " * 100) == 3.0
