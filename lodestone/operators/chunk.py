@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.bytesops import let
 from lodestone.functions.text import chunk_id
-from lodestone.operators.dispatch import STRUCTURED, dispatch
+from lodestone.operators.dispatch import dispatch
 from lodestone.operators.document import byte_spans, describe, document_spans, whole_block
+from lodestone.operators.lines import line_blocks
 from lodestone.operators.pieces import place_spans, unit_tag, with_line_ending
 from lodestone.operators.ranges import plain_ranges
 from lodestone.operators.structure import structure_blocks
@@ -38,7 +39,9 @@ def document_blocks(files: DataFrame) -> DataFrame:
     """
     content, family = F.col("content"), F.col("family")
     found = files.withColumn(
-        "blocks", structure_blocks(family, F.when(family.isin(*STRUCTURED), content))
+        "blocks", F.coalesce(
+            line_blocks(content, family), structure_blocks(family, F.when(family.isin("markdown", "json"), content))
+        )
     )
     empty = F.size("blocks") == 0
     return found.withColumns({
@@ -126,8 +129,7 @@ def chunk_files(files: DataFrame) -> DataFrame:
     """Chunks of any files.
 
     All files pass once. The function that looks at structure gets the content
-    of the families that have one only, so text, tables, source code and markup
-    never go to Python. Source and markup files are cut near line ends with an
+    of Markdown and JSON only, so all other files never go to Python. Source and markup files are cut near line ends with an
     overlap; every byte of a file is in some chunk.
     """
     scanned = document_blocks(dispatch(files))

@@ -188,6 +188,13 @@ def corpus_stats(chunks: DataFrame, id_words: int = 1) -> DataFrame:
     )
 
 
+def aligned(starts: str, size: Column) -> Column:
+    """How many values occur ``size`` times, which is the most there can be: where a phrase's words line up."""
+    return let(F.array_sort(starts), lambda s: F.size(F.filter(
+        F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.get(s, i) == F.get(s, i + size - 1)
+    )))
+
+
 def bm25_postings(
     index: DataFrame,
     stats: DataFrame,
@@ -228,17 +235,7 @@ def bm25_postings(
             .agg(F.flatten(F.collect_list("starts")).alias("starts"))
             .withColumn(
                 "n",
-                F.when(F.col("size") == 1, F.size("starts")).otherwise(
-                    let(
-                        F.array_sort("starts"),
-                        lambda s: F.size(
-                            F.filter(
-                                F.array_distinct(s),
-                                lambda at: F.size(F.filter(s, lambda x: x == at)) == F.col("size"),
-                            )
-                        ),
-                    )
-                ),
+                F.when(F.col("size") == 1, F.size("starts")).otherwise(aligned("starts", F.col("size"))),
             )
             .where("n > 0")
         )

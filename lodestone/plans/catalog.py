@@ -27,9 +27,11 @@ from lodestone.operators.dispatch import dispatch
 from lodestone.operators.document import SEGMENT, cut_blocks, group_segments
 from lodestone.operators.embed import error_reports, HashingModel, with_embeddings
 from lodestone.operators.fusion import rrf, search_rrf, search_weighted
+from lodestone.operators.lines import line_blocks
 from lodestone.operators.rerank import lexical_reranker
 from lodestone.operators.structure import structure_blocks
 from lodestone.operators.vectors import vector_scores, vector_search, vector_search_many
+from lodestone.plans.batch_retrieval import retrieve_many
 from lodestone.plans.checkpoint import file_system, shared_folder, staged
 from lodestone.plans.indexing import index_changes, metrics, not_yet_indexed, split_changes
 from lodestone.plans.retrieval import formatted, markdown, retrieve
@@ -305,7 +307,7 @@ def sectioned(text: Column) -> Column:
 def yaml_blocks(spark, folder):
     files = document_files(spark, folder, sectioned(F.col("text")), "yaml")
     found = files.select(
-        "path", F.explode(structure_blocks(F.lit("yaml"), F.col("content"))).alias("b")
+        "path", F.explode(line_blocks(F.col("content"), F.lit("yaml"))).alias("b")
     )
     return found.select(
         "path", F.col("b.start").alias("start_bytes"), F.col("b.end").alias("end_bytes"),
@@ -497,10 +499,11 @@ def chunk_ids(spark, folder):
 
 @query
 def section_headings(spark, folder):
+    """The name of every block of every text, behind a comment and a section or an item."""
     text = F.concat(F.lit(" # note\n"), F.when(F.col("doc_id") % 2 == 0, F.lit(" [ a.b ]\n")).otherwise(F.lit("\n - ")), F.col("text"))
-    blocks = structure_blocks(F.lit("toml"), text.cast("binary"))
-    rows = documents(spark, folder).select("doc_id", F.get(blocks, F.lit(0)).alias("b"))
-    return rows.select("doc_id", F.array_join("b.crumb", "/").alias("heading"))
+    rows = documents(spark, folder).select("doc_id", line_blocks(text.cast("binary"), F.lit("toml")).alias("blocks"))
+    found = rows.select("doc_id", F.posexplode("blocks").alias("block", "b"))
+    return found.select("doc_id", "block", F.array_join("b.crumb", "/").alias("heading"))
 
 
 # --- vectors ----------------------------------------------------------------
@@ -635,6 +638,19 @@ def postings_after_changes(spark, folder):
     return found
 
 
+@query
+def retrieve_many_titles(spark, folder):
+    """The first three words of every fiftieth text, with its vector, as search lines of one job."""
+    line = F.array_join(F.slice(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), 1, 3), " ")
+    asked = table(spark, folder, "documents").where("doc_id % 50 = 0").select("doc_id", line.alias("query"))
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    lines = asked.join(vectors, "doc_id").select(doc_key().alias("query_id"), "query", "embedding")
+    found = retrieve_many(
+        document_texts(spark, folder), lines, stored_words(spark, folder), vectors=document_vectors(spark, folder)
+    )
+    return found.select("query_id", "id", "place", rounded("score"))
+
+
 # --- keyword search ---------------------------------------------------------
 
 

@@ -499,11 +499,24 @@ FROM documents""",
         "chunk_kinds": f"SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'fence' WHEN len({sentences}) > 0 THEN 'req' ELSE 'doc' END AS kind FROM documents",
         "chunk_ids": "SELECT doc_id, sha256(source || '::' || CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END || '::doc_' || doc_id || '::0::' || strlen(text)) AS id FROM documents",
         "section_headings": r"""
-SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'a.b'
-  WHEN contains(line, ':') THEN trim(string_split('- ' || line, ':')[1])
-  WHEN contains(line, '=') THEN trim(string_split('- ' || line, '=')[1])
-  ELSE trim(line) END AS heading
-FROM (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents)""",
+WITH lines AS (
+  SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (
+    SELECT doc_id, string_split(chr(10) || CASE WHEN doc_id % 2 = 0 THEN ' [ a.b ]' ELSE '' END || chr(10)
+                                || CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' - ' END || text, chr(10)) AS ls FROM documents)),
+flush AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS t,
+         trim(line, ' ' || chr(9) || chr(13)) <> '' AND line[1] <> ' ' AND left(trim(line, ' ' || chr(9) || chr(13)), 1) <> '#' AS starts
+  FROM lines),
+named AS (
+  SELECT doc_id, i, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS block,
+         CASE WHEN t = '' OR t[1] = '#' THEN NULL
+              WHEN t[1] = '[' AND contains(t, ']') THEN trim(trim(t, '[]'), ' ' || chr(9))
+              WHEN contains(t, ':') THEN trim(string_split(t, ':')[1], ' ' || chr(9))
+              WHEN contains(t, '=') THEN trim(string_split(t, '=')[1], ' ' || chr(9))
+              WHEN t[1] = '-' THEN CASE WHEN trim(t[2:]) = '' THEN '-' ELSE trim(t[2:], ' ' || chr(9)) END END AS name
+  FROM flush),
+found AS (SELECT doc_id, block, arg_min(name, i) FILTER (WHERE name IS NOT NULL) AS name FROM named GROUP BY ALL)
+SELECT doc_id, block::INT AS block, coalesce(name, '') AS heading FROM found""",
         "vector_topk": f"SELECT lpad(vec_id::VARCHAR, 12, '0') AS id, round({COSINE}, 6) AS vector_score FROM embeddings ORDER BY {COSINE} DESC, id LIMIT 50",
         "vector_topk_many": """
 SELECT lpad(q.vec_id::VARCHAR, 12, '0') AS query_id, lpad(r.vec_id::VARCHAR, 12, '0') AS id,
@@ -617,6 +630,40 @@ idx AS (
   FROM turns WHERE NOT (eleven < 3 AND seven <> eleven AND NOT (seven < 3 AND seven > eleven))),
 {bm25(WORDS)}
 SELECT id, {r6('keyword_score')} FROM kw""",
+        "retrieve_many_titles": f"""
+WITH {INDEX}, {TOKENS},
+lines AS (
+  SELECT lpad(d.doc_id::VARCHAR, 12, '0') AS query_id, array_to_string(list_slice(regexp_extract_all(text, '[A-Za-z]+'), 1, 3), ' ') AS query, embedding
+  FROM documents d JOIN embeddings e ON e.vec_id = d.doc_id WHERE d.doc_id % 50 = 0),
+asked AS (
+  SELECT query_id, term, count(*) AS times FROM (
+    SELECT query_id, unnest(string_split(lower(query), ' ')) AS term FROM lines WHERE query <> '') GROUP BY ALL),
+st AS (SELECT count(*)::DOUBLE AS total, avg(len(w) + 1) AS mean FROM tok),
+tf AS (
+  SELECT id, term, dl, count(*) AS n FROM (SELECT id, len(w) + 1 AS dl, unnest(w) AS term FROM tok)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+df AS (SELECT term, count(*)::DOUBLE AS df FROM tf GROUP BY term),
+kw AS (
+  SELECT query_id, id, sum(times * CASE WHEN ln((total - df + 0.5) / (df + 0.5)) > 0 THEN ln((total - df + 0.5) / (df + 0.5)) ELSE 1e-6 END
+        * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * dl / mean))) AS keyword_score
+  FROM asked JOIN tf USING (term) JOIN df USING (term) CROSS JOIN st GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY keyword_score DESC, id) AS kp FROM kw QUALIFY kp <= 250),
+vs AS (
+  SELECT query_id, id, coalesce(list_cosine_similarity(idx.embedding::DOUBLE[], lines.embedding::DOUBLE[]), 0.0) AS vector_score
+  FROM lines CROSS JOIN idx WHERE query <> ''),
+v AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY vector_score DESC, id) AS vp FROM vs QUALIFY vp <= 250),
+m AS (
+  SELECT query_id, id, coalesce(keyword_score, 0.0) AS keyword_score, coalesce(vector_score, 0.0) AS vector_score,
+         CASE WHEN kp IS NULL THEN 1000000 + vp ELSE kp END AS pos
+  FROM k FULL OUTER JOIN v USING (query_id, id)),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY keyword_score DESC, pos) - 1 AS keyword_rank,
+            row_number() OVER (PARTITION BY query_id ORDER BY vector_score DESC, pos) - 1 AS vector_rank FROM m),
+s AS (
+  SELECT *, 1.0::DOUBLE / (60 + keyword_rank) + 1.0::DOUBLE / (60 + vector_rank) AS score FROM f
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY 1.0::DOUBLE / (60 + keyword_rank) + 1.0::DOUBLE / (60 + vector_rank) DESC, pos) <= 50)
+SELECT query_id, id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id))::INT AS place, {r6('score')} FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 10""",
         "changed_chunks": f"""
 WITH RECURSIVE {OPS}, {cuts(PLAIN + " WHERE doc_id IN (SELECT replace(replace(path, 'user_', ''), '.txt', '')::BIGINT FROM last_op WHERE op <> 'D')")}, {MERGED}, {OVERLAPPED}
 SELECT 'doc_' || k || '.txt' AS path, s AS start_bytes, e AS end_bytes FROM ovl""",

@@ -192,6 +192,14 @@ class PostingsStore:
         log = self.segments.log()
         return self._entries(self._words(terms, log), log)
 
+    def read_many(self, terms: DataFrame) -> DataFrame:
+        """The same rows for a table of words; the filter on the small side prunes parts when the job runs."""
+        log = self.segments.log()
+        named = terms.select("term").where("term is not null").distinct()
+        keys = named.withColumn("part", part_of(F.col("term"), self.buckets)).unionByName(
+            named.withColumn("part", F.lit(FRESH))).where(F.col("part") >= FRESH)
+        return self._entries(self._words(None, log).join(keys, ["part", "term"], "left_semi"), log)
+
     def _entries(self, blocks: DataFrame, log: list) -> DataFrame:
         single = blocks.where("n > 0").select("segment", "range", "term", F.explode("entries").alias("e"))
         flat = single.select("segment", "range", "term", "e.*")

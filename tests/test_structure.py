@@ -2,9 +2,11 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodestone.operators.chunk import chunk_files
-from lodestone.operators.structure import blocks_of, json_spans, markdown_blocks
+from lodestone.operators.lines import line_blocks
+from lodestone.operators.structure import json_spans, markdown_blocks
 
 MARKDOWN = (
     "Title\n=====\n\n## Section\n\n```python\nprint('x')\n```\n\n|a|b|\n|1|2|\n\n"
@@ -78,22 +80,67 @@ def test_deep_brackets_take_linear_time():
     assert json_spans(text)[-1][1] == len(text)
 
 
-def test_json_lines_keep_their_numbers():
-    found = blocks_of("jsonl", b'{"a":1}\n\n{"b":2}\n')
-    assert [(b["start"], b["end"], b["crumb"]) for b in found] == [(0, 8, ["line 1"]), (9, 17, ["line 3"])]
+@pytest.fixture
+def lined(spark):
+    def blocks(family, *texts):
+        rows = spark.createDataFrame([(i, bytearray(t.encode())) for i, t in enumerate(texts)], "i int, content binary")
+        found = rows.select("i", line_blocks(F.col("content"), F.lit(family)).alias("b")).orderBy("i").collect()
+        return [r.b for r in found]
 
+    return blocks
 
-def test_sections_absorb_blank_indented_and_comment_lines():
+
+def test_json_lines_keep_their_numbers(lined):
+    found, = lined("jsonl", '{"a":1}\n\n{"b":2}\n')
+    assert [(b.start, b.end, b.crumb) for b in found] == [(0, 8, ["line 1"]), (9, 17, ["line 3"])]
+
+
+def test_sections_absorb_blank_indented_and_comment_lines(lined):
     text = "\n# lead\nserver:\n  port: 1\n\n# note\nlist:\n- a\n\tb\n"
-    found = blocks_of("yaml", text.encode())
-    assert [text[b["start"]:b["end"]] for b in found] == [
+    found, = lined("yaml", text)
+    assert [text[b.start:b.end] for b in found] == [
         "# lead\n", "server:\n  port: 1\n\n# note\n", "list:\n", "- a\n", "\tb\n",
     ]
+    assert [b.crumb for b in found] == [[], ["server"], ["list"], ["a"], []]
 
 
-def test_offsets_count_bytes():
-    found = blocks_of("jsonl", '{"é":"漢"}\n{"b":1}\n'.encode())
-    assert [(b["start"], b["end"]) for b in found] == [(0, 13), (13, 21)]
+@pytest.mark.parametrize("text,name", [
+    ("[a.b]\nx = 1", "a.b"), ("[[ t ]]", "t"), ("[a] # note", "a] # note"), ("[open\n  k: v", "k"), ("key : v = 2", "key"), ("k= v", "k"),
+    ("- item", "item"), ("-", "-"), ("- a: b", "- a"), ("--- \nreal: 1", "--"), (": x", None), ("# c\n  # d: e\n  f: g", "f"), ("plain\n  k: v", "k"), ("plain", None),
+])
+def test_section_names(lined, text, name):
+    found, = lined("toml", text)
+    assert found[0].crumb == ([name] if name else [])
+
+
+def test_offsets_count_bytes(lined):
+    found, = lined("jsonl", '{"é":"漢"}\n{"b":1}\n')
+    assert [(b.start, b.end) for b in found] == [(0, 13), (13, 21)]
+
+
+def plain_sections(text):
+    """The rule read line by line."""
+    lines, at, out = text.splitlines(keepends=True), 0, []
+    places = []
+    for line in lines:
+        places.append((at, at + len(line.encode()), line))
+        at += len(line.encode())
+    written = [i for i, p in enumerate(places) if p[2].strip()]
+    starts = [i for i in written if i == written[0] or (not places[i][2].startswith(" ") and not places[i][2].lstrip().startswith("#"))]
+    for a, b in zip(starts, [*starts[1:], len(lines)]):
+        out.append((places[a][0], places[b - 1][1]))
+    return out
+
+
+def test_lines_end_where_python_ends_them(lined):
+    chosen = random.Random(5)
+    ends = ["\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x85", "\u2028", "", "\n\n", " \u3000\n"]
+    texts = ["".join(chosen.choice(["a: é", "  b", "# c", "-", "", "\xa0x", "漢"]) + chosen.choice(ends) for _ in range(chosen.randrange(400)))
+             for _ in range(25)]
+    for text, found in zip(texts, lined("yaml", *texts), strict=True):
+        assert [(b.start, b.end) for b in found] == plain_sections(text)
+    for text, found in zip(texts, lined("jsonl", *texts), strict=True):
+        assert [int(b.crumb[0].split()[1]) for b in found] == [i for i, line in enumerate(text.splitlines(), 1) if line.strip()]
 
 
 def test_document_chunks_of_all_families(make_files):
