@@ -316,6 +316,7 @@ class Vocabulary:
     """The words of the sample with their numbers, and the beginnings they have: the longer ones' numbers come first."""
 
     names: list
+    number: dict
     long: dict   # beginning of the longer length -> its number
     short: dict  # of the shorter length -> its number
 
@@ -323,7 +324,7 @@ class Vocabulary:
     def of(names: list[str]) -> Vocabulary:
         size, least = PREFIXES
         long = {p: i for i, p in enumerate(sorted({w[:size] for w in names}))}
-        return Vocabulary(names, long, {p: len(long) + i for i, p in enumerate(sorted({w[:least] for w in names}))})
+        return Vocabulary(names, {w: i for i, w in enumerate(names)}, long, {p: len(long) + i for i, p in enumerate(sorted({w[:least] for w in names}))})
 
     def begin(self, word: str) -> int:
         """The number of the longest beginning of ``word`` that is known, or -1."""
@@ -469,15 +470,17 @@ def of_sample(shared: DataFrame, known: Vocabulary) -> Shared:
     return Shared(counts, begins, float(shared.agg(F.sum("n")).first()[0] or 1))
 
 
-def _smoothed(t, o, low, group=None) -> np.ndarray:
-    """Both classes' probabilities of counts ``t, o``: discounted shares of each class in
-    its ``group`` over ``low``, with one weight of falling back for both, by all contexts seen."""
-    group = np.zeros(len(t), np.int64) if group is None else group
-    kept = (t + o) / (t + o + UNSEEN)
+def _smoothed(t, o, low, totals=None) -> np.ndarray:
+    """Both classes' probabilities of counts ``t, o``: discounted shares of each class over
+    ``low``, with one weight of falling back for both, by all contexts seen.
+
+    A share is of the sum of discounted counts, or of ``totals`` for each class.
+    """
     out = np.empty((2, len(t)))
+    kept = (t + o) / (t + o + UNSEEN)
     for c, n in enumerate((t, o)):
         rest = np.maximum(n - DISCOUNT, 0)
-        total = np.bincount(group, rest)[group]
+        total = np.full(len(n), rest.sum()) if totals is None else totals[c]
         out[c] = kept * np.where(total > 0, rest / np.where(total > 0, total, 1), low[c]) + (1 - kept) * low[c]
     return out
 
@@ -488,7 +491,7 @@ def _columns(rows: DataFrame) -> list[np.ndarray]:
 
 def _different(key: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
     """How many different keys each group has."""
-    return np.bincount(np.unique(group << 32 | key) >> 32, minlength=size).astype(float)
+    return np.bincount(np.unique(group.astype(np.int64) << 32 | key) >> 32, minlength=size).astype(float)
 
 
 def fit(known: Vocabulary, v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.ndarray, shared: Shared) -> Model:
@@ -497,7 +500,7 @@ def fit(known: Vocabulary, v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.nd
     The number of the start of a text is the number of words.
     """
     seen = t + o > 0
-    v, w, t, o = v[seen].astype(np.int64), w[seen].astype(np.int64), t[seen], o[seen]
+    v, w, t, o = v[seen], w[seen], t[seen], o[seen]
     names, n_words = known.names, len(known.names)
     size, least = PREFIXES
     long = np.fromiter((known.long[x[:size]] for x in names), np.int64, n_words)
@@ -524,17 +527,32 @@ def fit(known: Vocabulary, v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.nd
     # A word of the sample that these rows do not hold is told by its beginning, as any other.
     begun = np.where(there[1][long], ratios[1][long], np.where(there[0][short], ratios[0][short], 0.0))
     single = np.where(there[2], ratios[2], begun)
-    if len(v):
-        both = (v < n_words) & there[2][np.minimum(v, n_words - 1)] | (v == n_words)
-        v, w, t, o = (x[both] for x in (v, w, t, o))
-        # A word after a word falls back to its share in both classes, parted as the word is.
-        share = (t + o) / np.bincount(v, t + o)[v] if len(v) else t
-        after = _log(_smoothed(t, o, share * low[:, w] / low[:, w].mean(axis=0), group=v)) if len(v) else np.zeros(0)
-    else:
-        after = np.zeros(0)
-    keys = pair_key(v, w, n_words)
-    order = np.argsort(keys)
-    return Model({x: i for i, x in enumerate(names)}, single, prefix, keys[order], after[order].astype(np.float32))
+    both = (v < n_words) & there[2][np.minimum(v, n_words - 1)] | (v == n_words)
+    v, w, t, o = v[both], w[both], t[both], o[both]
+    keys, after = pair_key(v.astype(np.int64), w, n_words), _after(v, w, t, o, low)
+    if (keys[1:] < keys[:-1]).any():
+        order = np.argsort(keys)
+        keys, after = keys[order], after[order]
+    return Model(known.number, single, prefix, keys, after)
+
+
+def _after(v: np.ndarray, w: np.ndarray, t: np.ndarray, o: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """Log ratios of words after a word. Each falls back to its share in both classes, parted as the word is.
+
+    Sums per word before come first, so that the pairs go through in blocks.
+    """
+    out = np.empty(len(v), np.float32)
+    if not len(v):
+        return out
+    size = int(v.max()) + 1
+    totals = [np.bincount(v, np.maximum(n - DISCOUNT, 0), size) for n in (t, o)]
+    everything = np.bincount(v, t + o, size)
+    for at in range(0, len(v), BLOCK_WORDS):
+        some = slice(at, at + BLOCK_WORDS)
+        group, share = v[some], (t[some] + o[some]) / everything[v[some]]
+        base = share * low[:, w[some]] / low[:, w[some]].mean(axis=0)
+        out[some] = _log(_smoothed(t[some], o[some], base, [total[group] for total in totals]))
+    return out
 
 
 def _log(both: np.ndarray) -> np.ndarray:
@@ -570,7 +588,7 @@ class Contexts:
         """Contexts of every pair in toxic and in ordinary rows, of all rows or of one half."""
         each = 3 if half is None else 1 << half
         return tuple(
-            np.bincount(self.of, self.n * (self.mask & bits > 0), len(self.v)) for bits in (each << 2, each)
+            np.bincount(self.of, self.n * (self.mask & bits > 0), len(self.v)).astype(np.float32) for bits in (each << 2, each)
         )
 
 
@@ -580,8 +598,7 @@ def pair_counts(sample: DataFrame, known: Vocabulary, bound: int = HELD_PAIRS) -
     One shuffle of each task's different contexts; what reaches the driver is little more
     than a row per pair of the sample.
     """
-    number = {x: i for i, x in enumerate(known.names)}
-    rows = sample.mapInArrow(partial(_trigrams, number=number, bound=bound), "pair long, u int, mask int")
+    rows = sample.mapInArrow(partial(_trigrams, number=known.number, bound=bound), "pair long, u int, mask int")
     contexts = rows.repartition("pair").groupBy("pair", "u").agg(F.bit_or("mask").alias("mask"))
     pair, mask, n = _columns(contexts.groupBy("pair", "mask").agg(F.count("*").cast("int").alias("n")).select(
         "pair", F.col("mask").cast("tinyint").alias("mask"), "n"
@@ -636,13 +653,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PE
     table = shared_counts(docs, known, frozenset(known.names[i] for i in hot))
     shared = of_sample(table, known)
     dropped(table)
-    model = fit(known, contexts.v, contexts.w, *contexts.counts(), shared)
     rows = []
     for other in (0, 1):
         part = fit(known, contexts.v, contexts.w, *contexts.counts(1 - other), shared)
         rows += sample.where(half == other).mapInArrow(
             partial(_passages, model=part, extra=["toxic"]), "toxic int, score double, missing double"
         ).collect()
+        del part
+    model = fit(known, contexts.v, contexts.w, *contexts.counts(), shared)
     dropped(sample)
     toxic = np.array([r["toxic"] for r in rows], float)
     weights = np.array([counts[r["toxic"]] / sizes[r["toxic"]] for r in rows])
