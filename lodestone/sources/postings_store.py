@@ -209,7 +209,7 @@ class PostingsStore:
         """One row: number of chunks and mean length, from the log alone."""
         facts = [r["facts"] or {} for r in self.segments.log()]
         n, words = (sum(f.get(name, 0) for f in facts) for name in ("docs", "words"))
-        mean = words / n + id_words if n else None
+        mean = (words + id_words * n) / n if n else None
         return self.spark.createDataFrame([(float(n), mean)], "total double, mean double")
 
     def scores(self, query: str, *, repo: str | None = None, branch: str | None = None, id_words: int = 1) -> DataFrame:
