@@ -955,7 +955,7 @@ def stream_late_changes(spark, folder):
     """The event log as changes in three batches that each hold early and late ones, and one batch twice."""
     index = new_index(spark)
     log = op_log(spark, folder).select(
-        (F.unix_micros("ts") * 1000 + F.col("event_id") % 1000).alias("seq"), "op",
+        (F.unix_micros(F.col("ts").cast("timestamp")) * 1000 + F.col("event_id") % 1000).alias("seq"), "op",
         F.replace("path", F.lit("user_"), F.lit("doc_")).alias("path"), "event_id",
     )
     docs = table(spark, folder, "documents").select(

@@ -14,7 +14,6 @@ from lodestone.plans.indexing import index_changes
 from lodestone.plans.retrieval import retrieve
 from lodestone.sources.files import files_from_directory
 from lodestone.sources.git import GitChanges, git_changes, resolve_range
-from lodestone.sources import index_table as index_module
 from lodestone.sources.index_table import IndexTable, index_rows
 from lodestone.sources.postings_store import PostingsStore
 from lodestone.sources.registry import (
@@ -287,10 +286,7 @@ def test_different_rows_under_one_id_need_an_order(table, embedded):
         table.upsert(rows.unionByName(rows.withColumn("chunk", F.lit("two"))))
 
 
-STEPS = [
-    ("one_per_id", index_module), ("_rewrite", IndexTable), ("_drop", IndexTable), ("commit", PostingsStore), ("write", Segments),
-    ("commit", Segments), ("_forget", IndexTable),
-]
+STEPS = [("_rewrite", IndexTable), ("commit", PostingsStore), ("commit", Segments), ("_forget", IndexTable)]
 
 
 @pytest.mark.parametrize("name,where", STEPS)
@@ -343,7 +339,7 @@ def test_stream_equals_batch(spark, table, make_files, tmp_path):
     assert sorted(r.id for r in table.read().collect()) == sorted(r.id for r in expected.collect())
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_changes_in_any_order_and_split(spark, table, seed):
     chosen = random.Random(seed)
     log = [(n, chosen.choice(["main", "dev"]), f"{chosen.choice('abc')}.txt", chosen.choice("AAMDT"), f"v{n} text".encode()) for n in range(24)]
