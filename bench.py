@@ -19,7 +19,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINES = [
     "plaintext_chunks", "plaintext_chunk_text", "csv_chunks", "jsonl_chunks", "yaml_chunks",
     "toml_chunks", "markdown_chunks", "html_chunks", "code_chunks", "size_ranges_code",
-    "requirement_sentences", "bm25_topk", "bm25_postings", "phrase_match", "fts_terms",
+    "requirement_sentences", "bm25_topk", "bm25_postings", "stored_postings_search", "phrase_match", "fts_terms",
     "like_match", "vector_topk", "vector_filtered", "hybrid_rrf", "hybrid_weighted",
     "retrieve_topk", "rerank_lexical", "passage_search", "upsert_merge", "upsert_latest",
     "delete_paths", "changes_latest", "changed_chunks",
