@@ -4,7 +4,8 @@
    five-word shingles: hashed in bands of four for finding candidates, and the low
    four bits of each packed into eight longs for estimates. Two sets of similarity
    0.75 share no band with a chance of 5e-6.
-2. Documents with the same set are one class from here on.
+2. Documents with the same set are one class from here on, numbered by itself, so
+   different texts under one id are each judged by their own set.
 3. In every band bucket all members are paired with the smallest one. Pairs whose
    estimate, corrected for chance agreement of four bits, is far below the bound
    are left out; the others are confirmed on full sets.
@@ -15,7 +16,7 @@
 5. Components of all confirmed links.
 
 No partner or candidate is capped. What a block holds is bounded by its shingles;
-a larger bucket is dealt out over pairs of blocks.
+a larger bucket is dealt out over pairs of blocks, and joined where its rows lie.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ NEEDED, OF = 75, 100
 LEAST_ESTIMATE = 0.57
 LEAST_EQUAL = int(HASHES * (LEAST_ESTIMATE * (1 - 2.0 ** -BITS) + 2.0 ** -BITS))
 BLOCK_SHINGLES = 1 << 18
+# A key with more than this share of all rows is joined by broadcast: there are at most so many.
+HEAVY = 2000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0x1111111111111111)
 _CHUNK = 2048
@@ -125,7 +128,7 @@ def _lists(rows: list[np.ndarray], width: int) -> pa.Array:
 
 
 def _signed(batches):
-    """``doc_id, n_shingles, set_a, set_b, bands, bits`` of every row; no set, no bands."""
+    """``doc_id, mark, n_shingles, set_a, set_b, bands, bits`` of every row; no set, no bands."""
     nothing = np.zeros(BANDS, np.uint64), np.zeros(LONGS, np.uint64)
     for batch in batches:
         n, digest, keys, bits = [], [], [], []
@@ -138,9 +141,9 @@ def _signed(batches):
             bits.append(nothing[1] if least is None else packed(least))
         halves = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(halves[:, 0].copy()),
+            [batch.column("doc_id"), batch.column("mark"), pa.array(n, pa.int64()), pa.array(halves[:, 0].copy()),
              pa.array(halves[:, 1].copy()), _lists(keys, BANDS), _lists(bits, LONGS)],
-            ["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"],
+            ["doc_id", "mark", "n_shingles", "set_a", "set_b", "bands", "bits"],
         )
 
 
@@ -150,8 +153,8 @@ def _sets(batches):
         at = np.concatenate([[0], np.cumsum([len(x) for x in found])])
         flat = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
-            ["doc_id", "codes"],
+            [batch.column("node"), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))],
+            ["node", "codes"],
         )
 
 
@@ -223,7 +226,7 @@ def _blocks(batches):
     last, rows, found = None, [], []
     for batch in batches:
         keys = list(zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high")), strict=True))
-        ids, groups, own = (batch.column(c).to_pylist() for c in ("doc_id", "component_id", "block"))
+        ids, groups, own = (batch.column(c).to_pylist() for c in ("node", "component_id", "block"))
         for i, key in enumerate(keys):
             if key != last:
                 found += flush(rows) if len(rows) > 1 else []
@@ -239,18 +242,22 @@ def _blocks(batches):
         yield pa.RecordBatch.from_pydict({"a": [x for x, _ in found], "b": [y for _, y in found]})
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """Id and text of every row, with a mark that tells texts under one id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """The staged signature of every row of ``docs``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return staged(rows.mapInArrow(
-        _signed, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
+    return staged(_marked(docs).mapInArrow(
+        _signed, "doc_id long, mark long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
     ), "minhash")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("codes").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("codes").alias("y"))
+    left = sets.select(F.col("node").alias("a"), F.col("codes").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("codes").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     joined = pairs.join(left, "a").join(right, "b")
     return joined.where(
@@ -258,88 +265,139 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).select("a", "b")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+def on_key(rows: DataFrame, keyed: DataFrame, of: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the staged ``keyed`` (``key, members, ...``) by key.
 
-    Null, empty and blank texts have no shingles, link with nothing and are
-    their own component. Rows repeated under one id are one document. A row
-    without an id can be named by no component: it has none and stays.
+    ``of`` is the number of all members of all keys. Fewer than ``HEAVY`` keys can hold
+    more than their ``HEAVY``-th part each: these are broadcast, and their rows stay spread.
+    """
+    heavy = F.col("members") * HEAVY > of
+    few = F.broadcast(keyed.where(heavy))
+    spread = rows.join(few, "key", how)
+    rest = rows.join(F.broadcast(keyed.where(heavy).select("key")), "key", "left_anti")
+    return spread.unionByName(rest.join(keyed.where(~heavy), "key", how))
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """``doc_id, mark, n_shingles, root, found`` of every row; rows of one component share ``root``.
+
+    ``found`` is the smallest id of the component. Both are null without a set or an id.
     """
     rows = signed(docs)
     usable = rows.where("n_shingles > 0 and doc_id is not null")
     # One row per set, found by a partial aggregation, so copies never meet in a task.
-    classes = staged(
-        usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc_id")), "classes"
-    )
-    reps = usable.join(classes.select("doc_id", "set_a"), ["doc_id", "set_a"], "left_semi")
-    reps = reps.dropDuplicates(["doc_id"])
-    buckets = reps.select("doc_id", "n_shingles", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(
-        F.min("doc_id").alias("pivot"), F.count("*").alias("members"), F.sum("n_shingles").alias("total")
-    ).where("members > 1")
-    shared = staged(buckets.select("doc_id", "key").join(shared, "key"), "buckets")
-
-    wanted = shared.select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    classes = usable.groupBy("set_a", "set_b", "n_shingles").agg(F.min(F.struct("doc_id", "mark")).alias("own"))
+    classes = staged(classes.select(
+        "set_a", "set_b", "n_shingles", "own.doc_id", "own.mark", F.monotonically_increasing_id().alias("node")
+    ), "classes")
+    name = ["doc_id", "mark", "set_a", "set_b"]
+    reps = usable.join(classes.select(*name, "node"), name).dropDuplicates(name)
+    reps = staged(reps.select("node", "n_shingles", "bands", "bits"), "reps")
+    buckets = reps.select("node", "n_shingles", F.explode("bands").alias("key"))
+    entries = reps.count() * BANDS
+    keyed = staged(buckets.groupBy("key").agg(
+        F.min("node").alias("pivot"), F.count("*").alias("members"), F.sum("n_shingles").alias("total")
+    ).where("members > 1"), "keys")
+    shared = staged(on_key(buckets.select("node", "key"), keyed, entries), "buckets")
+
+    wanted = shared.select("node").distinct()
+    places = classes.select("doc_id", "mark", "node").join(wanted, "node", "left_semi")
     # Aggregated where the join has put them, so repeated rows multiply nothing.
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    sets = staged(texts.mapInArrow(_sets, "doc_id long, codes array<long>"), "sets")
-    bits = staged(reps.select("doc_id", "bits").join(wanted, "doc_id"), "bits")
+    texts = _marked(docs).join(places, ["doc_id", "mark"]).groupBy("doc_id", "mark", "node").agg(
+        F.min("text").alias("text")
+    )
+    sets = staged(texts.select("node", "text").mapInArrow(_sets, "node long, codes array<long>"), "sets")
+    bits = staged(reps.select("node", "bits").join(wanted, "node"), "bits")
 
-    pairs = shared.where("doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).distinct()
+    pairs = shared.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
     likely = (
-        pairs.join(bits.select(F.col("doc_id").alias("a"), F.col("bits").alias("p")), "a")
-        .join(bits.select(F.col("doc_id").alias("b"), F.col("bits").alias("q")), "b")
+        pairs.join(bits.select(F.col("node").alias("a"), F.col("bits").alias("p")), "a")
+        .join(bits.select(F.col("node").alias("b"), F.col("bits").alias("q")), "b")
         .where(_equal("p", "q") >= LEAST_EQUAL).select("a", "b")
     )
     first = staged(confirmed(likely, sets), "links")
-    links = first.unionByName(staged(_open_links(shared, connected(first), sets, bits), "links"))
-    component = connected(links)
-
-    own = classes.select("set_a", "set_b", "n_shingles", F.col("doc_id").alias("node"))
-    of_set = own.join(component, "node", "left").select(
-        "set_a", "set_b", "n_shingles", F.coalesce("component_id", "node").alias("found")
+    links = first.unionByName(staged(_open_links(shared, connected(first), sets, bits, entries), "links"))
+    linked = classes.select("node", "doc_id").join(connected(links), "node")
+    least = linked.groupBy("component_id").agg(F.min("doc_id").alias("found"))
+    linked = linked.select("node", "component_id").join(least, "component_id")
+    of_set = classes.join(linked, "node", "left").select(
+        "set_a", "set_b", "n_shingles",
+        F.coalesce("component_id", "node").alias("root"), F.coalesce("found", "doc_id").alias("found"),
     )
-    joined = rows.select("doc_id", "n_shingles", "set_a", "set_b").join(
+    joined = rows.select("doc_id", "mark", "n_shingles", "set_a", "set_b").join(
         of_set, ["set_a", "set_b", "n_shingles"], "left"
     )
-    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
+    named = F.col("doc_id").isNotNull()
     return joined.select(
+        "doc_id", "mark", "n_shingles", F.when(named, F.col("root")).alias("root"),
+        F.when(named, F.col("found")).alias("found"),
+    )
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    Null, empty and blank texts have no shingles, link with nothing and are
+    their own component. Different texts under one id are judged each by itself: a row's
+    component follows the links of its own text. A row without an id can be named by
+    no component: it has none and stays.
+    """
+    component_id = F.coalesce("found", "doc_id")
+    return _judged(docs).select(
         "doc_id", "n_shingles", component_id.alias("component_id"),
         F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"),
     )
 
 
-def _open_links(shared: DataFrame, component: DataFrame, sets: DataFrame, bits: DataFrame) -> DataFrame:
+def _open_links(shared: DataFrame, component: DataFrame, sets: DataFrame, bits: DataFrame, entries: int) -> DataFrame:
     """Links between components that meet in a bucket of three or more."""
-    members = shared.where("members > 2").join(
-        component.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-    ).withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    members = staged(members.select("key", "doc_id", "component_id", "total"), "members")
-    still = members.groupBy("key").agg(
-        F.min("component_id").alias("_least"), F.max("component_id").alias("_most")
-    ).where("_least < _most").select("key")
+    members = shared.where("members > 2").join(component, "node", "left").withColumn(
+        "component_id", F.coalesce("component_id", "node")
+    )
+    members = staged(members.select("key", "node", "component_id", "members", "total"), "members")
+    still = staged(members.groupBy("key").agg(
+        F.min("component_id").alias("_least"), F.max("component_id").alias("_most"),
+        F.first("members").alias("members"),
+    ).where("_least < _most").select("key", "members"), "open")
     blocks = F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")
     placed = (
-        members.join(still, "key", "left_semi")
+        on_key(members.drop("members"), still, entries, "left_semi")
         .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "key", "doc_id", "component_id", "block",
+            "key", "node", "component_id", "block",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         )
     )
-    filled = placed.join(bits, "doc_id").join(sets, "doc_id")
+    filled = placed.join(bits, "node").join(sets, "node")
     dealt = filled.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return dealt.mapInArrow(_blocks, "a long, b long").distinct()
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each component, with all columns."""
-    gone = near_groups(docs).where("not kept").select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
-    return rows.join(gone, "id", "left_anti").select("row.*")
+    """One row of each component, with all its columns: one under the component's smallest id.
+
+    Where several rows of a component have that id, the one of the least mark stays, and any one of
+    rows that are the same in id and text. Rows without a set or without an id stay.
+    """
+    rows = staged(_judged(docs).where("root is not null").select("doc_id", "mark", "root", "found"), "judged")
+    own = rows.where("doc_id = found")
+    more = staged(own.groupBy("root", "doc_id").agg(
+        F.min("mark").alias("least"), F.count("*").alias("n")
+    ).where("n > 1"), "more")
+    others = own.join(more.select("root", "least"), "root").where("mark <> least")
+    gone = rows.where("doc_id <> found").select("doc_id", "mark").unionByName(others.select("doc_id", "mark"))
+    gone = gone.distinct().toDF("id", "mark")
+    kept = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("mark")
+    ).join(gone, ["id", "mark"], "left_anti")
+    if more.isEmpty():
+        return kept.select("row.*")
+    tied = more.select(F.col("doc_id").alias("id"), F.col("least").alias("mark"))
+    single = kept.join(tied, ["id", "mark"], "left_anti").select("row")
+    first = kept.join(tied, ["id", "mark"], "left_semi").groupBy("id", "mark").agg(F.first("row").alias("row"))
+    return single.unionByName(first.select("row")).select("row.*")
 
 
 SQL = r"""
