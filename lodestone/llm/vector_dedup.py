@@ -8,7 +8,9 @@ close vectors that a border parts still meet. Keys are made as long as keeps
 buckets small for the number of vectors, and tables as many as the measured
 chance of meeting at the bound asks for.
 
-Vectors of a bucket are compared in blocks, in double precision. A pair counts
+Members of a bucket are first compared by 128 signs of random projections, in blocks;
+those without a partner at a likely distance leave it, so that vectors travel only
+to buckets in which they may link. There they are compared in double precision. A pair counts
 in the first bucket it shares, so no pair is ever written out: a block yields the
 number of links per vector and the links that join its components. Equal
 vectors are one class from the start.
@@ -29,7 +31,8 @@ from lodestone.llm.common import connected, staged
 BOUND = 0.95
 MISSED = 1e-6
 BLOCK = 1024
-MOST_TABLES = 64
+# Of 128 signs, a pair at the bound differs in more than this many with a chance of 1e-9.
+SIGNS, MOST_APART = 128, 36
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -66,20 +69,34 @@ def axes(units: np.ndarray, rotation: int, rotations: int) -> np.ndarray:
     ], axis=1).astype(np.uint64)
 
 
-def keys(units: np.ndarray, length: int, tables: int) -> np.ndarray:
+def all_axes(units: np.ndarray, length: int, tables: int) -> np.ndarray:
+    """``rows x tables x length x 2``: the best and second-best axes of all rotations."""
+    found = [axes(units, k, tables * length) for k in range(tables * length)]
+    return np.stack(found, axis=1).reshape(len(units), tables, length, 2)
+
+
+def keys_of(found: np.ndarray) -> np.ndarray:
     """``rows x tables x probes`` bucket keys; probes swap one axis for the second best."""
-    out = np.zeros((len(units), tables, length + 1), np.uint64)
-    for t in range(tables):
-        found = [axes(units, t * length + k, tables * length) for k in range(length)]
-        for probe in range(length + 1):
-            key = np.full(len(units), t + 1, np.uint64)
-            for k in range(length):
-                key = (key ^ found[k][:, int(probe == k + 1)]) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
-            out[:, t, probe] = key
+    rows, tables, length, _ = found.shape
+    out = np.zeros((rows, tables, length + 1), np.uint64)
+    for probe in range(length + 1):
+        key = np.tile(np.arange(1, tables + 1, dtype=np.uint64), (rows, 1))
+        for k in range(length):
+            key = (key ^ found[:, :, k, int(probe == k + 1)]) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        out[:, :, probe] = key
     return out
 
 
+def keys(units: np.ndarray, length: int, tables: int) -> np.ndarray:
+    return keys_of(all_axes(units, length, tables))
+
+
+@cache
+def _planes(width: int) -> np.ndarray:
+    return np.random.default_rng(47).normal(size=(width, SIGNS))
+
+
 @cache
 def settings(n: int, width: int) -> tuple[int, int]:
     """Length of keys and number of tables for ``n`` vectors.
@@ -98,8 +115,9 @@ def settings(n: int, width: int) -> tuple[int, int]:
     tries = 8
     x, y = (keys(v, length, tries) for v in (a, BOUND * a + np.sqrt(1 - BOUND ** 2) * b))
     meet = (x[:, :, :, None] == y[:, :, None, :]).any(axis=(2, 3)).mean()
-    meet = min(max(meet, 0.05), 0.99)
-    return length, min(max(ceil(log(MISSED) / log(1 - meet)), 4), MOST_TABLES)
+    if not meet:
+        raise ValueError(f"no pair at the bound meets in {tries} tables of keys of {length} axes")
+    return length, max(ceil(log(MISSED) / log(1 - min(meet, 0.99))), 4)
 
 
 def _unit(batch) -> np.ndarray:
@@ -112,15 +130,58 @@ def _unit(batch) -> np.ndarray:
 
 
 def _keyed(batches, length: int, tables: int):
+    """``vec_id, signs_a, signs_b, axes, keys`` of every vector."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        found = keys(_unit(batch), length, tables).view(np.int64)
-        flat = found.reshape(len(found), -1)
+        units = _unit(batch)
+        found = all_axes(units, length, tables)
+        flat = keys_of(found).view(np.int64).reshape(len(found), -1)
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(len(flat) + 1) * flat.shape[1], pa.int32()), pa.array(flat.ravel())
         )
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), lists], ["vec_id", "keys"])
+        signs = np.packbits(units @ _planes(units.shape[1]) > 0, axis=1).view(np.int64)
+        small = found.astype(np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("vec_id"), pa.array(signs[:, 0].copy()), pa.array(signs[:, 1].copy()),
+             pa.array([row.tobytes() for row in small], pa.binary()), lists],
+            ["vec_id", "signs_a", "signs_b", "axes", "keys"],
+        )
+
+
+def _likely(batches):
+    """The members of every run of ``key, low, high`` that have one at a likely distance."""
+    names = ["key", "low", "high", "block", "vec_id", "signs_a", "signs_b"]
+
+    def near(rows: np.ndarray):
+        changes = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
+        ends = np.append(np.flatnonzero(changes), len(rows) - 1)
+        after = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(rows))
+        marked = np.zeros(len(rows), bool)
+        step, live = 1, np.flatnonzero(after >= 1)
+        while len(live):
+            other = live + step
+            apart = np.bitwise_count((rows[live, 5:] ^ rows[other, 5:]).view(np.uint64)).sum(axis=1)
+            inside = (rows[live, 1] == rows[live, 2]) | (rows[live, 3] != rows[other, 3])
+            found = live[(apart <= MOST_APART) & inside]
+            marked[found] = marked[found + step] = True
+            step += 1
+            live = live[after[live] >= step]
+        return pa.RecordBatch.from_arrays([pa.array(rows[marked, c].copy()) for c in range(5)], names[:5])
+
+    kept = np.empty((0, len(names)), np.int64)
+    for batch in batches:
+        rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names], axis=1)
+        kept = np.concatenate([kept, rows])
+        if not len(kept):
+            continue
+        # The last run may go on in the next batch.
+        last = (kept[:, :3] != kept[-1, :3]).any(axis=1).sum()
+        if last:
+            yield near(kept[:last])
+            kept = kept[last:]
+    if len(kept):
+        yield near(kept)
 
 
 def _first_shared(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +228,7 @@ def _linked(batches, tables: int):
         ids = np.array([r[0] for r in rows])
         units = np.stack([r[1] for r in rows])
         weights = np.array([r[2] for r in rows])
-        sets = np.stack([r[3] for r in rows]).reshape(len(rows), tables, -1)
+        sets = np.stack([r[3] for r in rows])
         own = np.array([r[4] for r in rows])
         links = np.zeros(len(rows), np.int64)
         parent = _compare(key, ids, units, weights, sets, own if len(set(own.tolist())) > 1 else None, links)
@@ -181,11 +242,13 @@ def _linked(batches, tables: int):
         marks = list(zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high")), strict=True))
         ids, weights, own = (batch.column(c).to_pylist() for c in ("vec_id", "size", "block"))
         units = _unit(batch)
+        flat = np.frombuffer(b"".join(batch.column("axes").to_pylist()), np.uint32).astype(np.uint64)
+        sets = keys_of(flat.reshape(len(units), tables, -1, 2)).view(np.int64)
         for i, mark in enumerate(marks):
             if mark != last:
                 found += flush(last[0], rows) if len(rows) > 1 else []
                 last, rows = mark, []
-            rows.append((ids[i], units[i], weights[i], batch.column("keys")[i].values.to_numpy(), own[i]))
+            rows.append((ids[i], units[i], weights[i], sets[i], own[i]))
         if found:
             yield _out(found)
             found = []
@@ -209,8 +272,10 @@ def vector_groups(rows: DataFrame) -> DataFrame:
     one id are linked like other equal vectors. A row without an id has no
     component and stays.
     """
+    # Components keep single precision only where they came in it.
+    kind = "float" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     vectors = rows.select(
-        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding")
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding")
     )
     sound = F.coalesce(
         F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -218,7 +283,7 @@ def vector_groups(rows: DataFrame) -> DataFrame:
     )
     usable = vectors.where(F.col("vec_id").isNotNull() & sound)
     # Equal vectors: a class under its smallest id, by a partial aggregation. -0.0 is 0.0.
-    zeroed = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))
+    zeroed = F.transform("embedding", lambda x: F.when(x == 0, F.lit(0.0).cast(kind)).otherwise(x))
     digest = F.sha2(F.array_join(F.transform(zeroed, lambda x: x.cast("string")), ","), 256)
     named = usable.select("vec_id", "embedding", digest.alias("digest"))
     classes = staged(
@@ -257,21 +322,35 @@ def vector_groups(rows: DataFrame) -> DataFrame:
 def _width_links(reps: DataFrame, width: int, n: int) -> DataFrame:
     length, tables = settings(1 << max(n - 1, 1).bit_length(), width)
     keyed = staged(reps.select("vec_id", "embedding").mapInArrow(
-        partial(_keyed, length=length, tables=tables), "vec_id long, keys array<long>"
+        partial(_keyed, length=length, tables=tables),
+        "vec_id long, signs_a long, signs_b long, axes binary, keys array<long>",
     ), "keys")
-    buckets = keyed.select("vec_id", F.explode(F.array_distinct("keys")).alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = (
-        buckets.join(shared, "key")
-        .withColumn("blocks", blocks)
+    entries = keyed.select("vec_id", "signs_a", "signs_b", F.explode(F.array_distinct("keys")).alias("key"))
+    # Only buckets of more than a block need their size; the members of others meet by their key.
+    large = staged(entries.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > BLOCK), "large")
+    one = F.lit(0).cast("int")
+    whole = entries.join(large, "key", "left_anti").select(
+        "*", one.alias("block"), one.alias("low"), one.alias("high")
+    )
+    parts = (
+        entries.join(large, "key")
+        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "vec_id", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+        .drop("members", "blocks", "other")
+    )
+    run = ["key", "low", "high"]
+    likely = staged(
+        whole.unionByName(parts).repartition(*run).sortWithinPartitions(*run)
+        .mapInArrow(_likely, "key long, low long, high long, block long, vec_id long"), "likely"
+    )
+    filled = likely.join(keyed.select("vec_id", "axes"), "vec_id").join(
+        reps.select("vec_id", "embedding", "size"), "vec_id"
+    )
+    return filled.repartition(*run).sortWithinPartitions(*run).mapInArrow(
+        partial(_linked, tables=tables), "a long, links long, b long"
     )
-    filled = placed.join(keyed, "vec_id").join(reps.select("vec_id", "embedding", "size"), "vec_id")
-    dealt = filled.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt.mapInArrow(partial(_linked, tables=tables), "a long, links long, b long")
 
 
 SQL = """
