@@ -9,6 +9,7 @@ from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,32 @@ def test_near_groups(make_docs, monkeypatch, block):
     assert {r.doc_id for r in kept.collect()} == {i for i in sets if want[i] == i} | {None}
 
 
+@pytest.mark.parametrize("heavy", [0, 2000, 1 << 40])
+def test_texts_under_one_id_are_judged_by_themselves(make_docs, monkeypatch, heavy):
+    """``heavy`` sends no bucket, some, or every bucket through the broadcast."""
+    monkeypatch.setattr(minhash, "HEAVY", heavy)
+    texts = near_texts(4)[:60]
+    chosen = random.Random(6)
+    rows = [(chosen.randrange(25), t) for t in texts]
+    rows += [(5, "one two three four five six"), (5, "ONE two three four five six"), (5, "one two three four five six")]
+    rows += [rows[3], rows[3], (None, texts[0]), (None, texts[0])]
+    named = [k for k, (i, _) in enumerate(rows) if i is not None]
+    sets = {k: plain_shingles(rows[k][1]) for k in named}
+    links = [(a, b) for a in named for b in named if a < b and sets[a]
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    root = components(sets, links)
+    least = {}
+    for k in named:
+        least[root[k]] = min(least.get(root[k], rows[k][0]), rows[k][0])
+    docs = make_docs(rows)
+    got = minhash.near_groups(docs).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got if r.doc_id is not None) == Counter(
+        (rows[k][0], len(sets[k]), least[root[k]], rows[k][0] == least[root[k]]) for k in named)
+    kept = Counter(r.doc_id for r in minhash.without_near_copies(docs).collect())
+    assert kept == Counter(least[k] for k in set(root.values()) if sets[k]) + Counter(
+        rows[k][0] for k in named if not sets[k]) + Counter({None: 2})
+
+
 def test_near_groups_of_nothing(make_docs):
     assert minhash.near_groups(make_docs([(1, "a")]).where("false")).count() == 0
     assert [r.kept for r in minhash.near_groups(make_docs([(1, None), (2, "")])).collect()] == [True, True]
@@ -146,6 +173,48 @@ def test_vector_groups(spark, monkeypatch, block):
         (r[0], n[i], want[r[0]], want[r[0]] == r[0]) for i, r in enumerate(rows))
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    """Two pairs that single precision makes equal, and one at either side of the bound."""
+    edge = [0.95, (1 - 0.95 ** 2) ** 0.5]
+    rows = [(1, [1.0, 0.0]), (2, [edge[0] + 1e-9, edge[1]]), (3, [edge[0] - 1e-9, edge[1]]), (4, [-1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vector_dedup.vector_groups(table).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 0}
+
+
+def test_keys_follow_from_stored_axes():
+    chosen = np.random.default_rng(2)
+    units = chosen.normal(size=(50, 20))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    found = vector_dedup.all_axes(units, 2, 5)
+    again = np.frombuffer(found.astype(np.uint32).tobytes(), np.uint32).astype(np.uint64).reshape(found.shape)
+    assert (vector_dedup.keys_of(again) == vector_dedup.keys(units, 2, 5)).all()
+    assert vector_dedup.keys(units, 2, 5).shape == (50, 5, 3)
+
+
+@pytest.mark.parametrize("cut", [1, 7, 64])
+def test_members_without_a_likely_partner_leave(cut):
+    chosen = np.random.default_rng(9)
+    rows = []
+    for key in range(12):
+        for block in range(1 + key % 2):
+            for _ in range(chosen.integers(1, 9)):
+                signs = chosen.integers(-2 ** 62, 2 ** 62, 2)
+                rows.append((key, 0, key % 2, block, len(rows), *signs.tolist()))
+        rows.append((*rows[-1][:4], len(rows), rows[-1][5] ^ 0b1011, rows[-1][6]))
+        if key % 2:
+            rows.append((key, 0, 1, 0, len(rows), *rows[-1][5:]))
+    rows.sort(key=lambda r: r[0])
+    apart = lambda a, b: sum(((a[c] ^ b[c]) & (2 ** 64 - 1)).bit_count() for c in (5, 6))
+    want = {a[4] for a in rows for b in rows if a[4] != b[4] and a[:3] == b[:3]
+            and (a[1] == a[2] or a[3] != b[3]) and apart(a, b) <= vector_dedup.MOST_APART}
+    names = ["key", "low", "high", "block", "vec_id", "signs_a", "signs_b"]
+    batches = [pa.RecordBatch.from_pydict(dict(zip(names, zip(*rows[at:at + cut]))))
+               for at in range(0, len(rows), cut)]
+    got = [i for batch in vector_dedup._likely(batches) for i in batch.column("vec_id").to_pylist()]
+    assert sorted(got) == sorted(want) and want
+
+
 def test_vector_groups_of_nothing(spark):
     table = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in vector_dedup.vector_groups(table).collect()] == [(1, 0, 1, True)]
