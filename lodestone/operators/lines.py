@@ -6,6 +6,9 @@ where each begins. Blocks are runs of lines between borders.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,11 +18,28 @@ LINE_FAMILIES = ("jsonl", "yaml", "toml")
 BLOCK = "struct<start:int,end:int,type:string,crumb:array<string>,anchors:array<string>,fence:string>"
 _ENDS = r"\n\r\x0B\f\x1C-\x1E\x85  "
 _LINE = rf"[^{_ENDS}]*+(?:\r\n|[{_ENDS}])|[^{_ENDS}]++"
-_BLANK = r"\s\x1C-\x1F\x85\p{Z}"
+# Line ends besides the line feed, each as it is written in a text.
+_RARE_ENDS = [chr(code) for code in (0x0D, 0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x85, 0x2028, 0x2029)]
+_BLANK = "".join(map(chr, [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]))
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{_BLANK}]+|[{_BLANK}]+$", "")
+    return F.btrim(text, F.lit(_BLANK))
+
+
+def split_lines(text: Column) -> Column:
+    """Lines with their ends. A text with no other end than the line feed, as most are, is split there."""
+    def split(own: Column) -> Column:
+        fed = let(F.split(own, "\n"), lambda parts: F.transform(parts, lambda part, i: F.when(
+            i < F.size(parts) - 1, F.concat(part, F.lit("\n"))
+        ).otherwise(part)))
+        rare = reduce(or_, [F.contains(own, F.lit(end)) for end in _RARE_ENDS])
+        return F.when(rare, F.regexp_extract_all(own, F.lit(_LINE), F.lit(0))).otherwise(
+            F.filter(fed, lambda line: line != ""))
+
+    return let(text, split)
 
 
 def line_table(content: Column) -> Column:
@@ -31,7 +51,7 @@ def line_table(content: Column) -> Column:
             F.startswith(line, F.lit(" ")).alias("inner"), stripped(line).alias("text"),
         ))
 
-    return let(F.regexp_extract_all(content.cast("string"), F.lit(_LINE), F.lit(0)), placed)
+    return let(split_lines(content.cast("string")), placed)
 
 
 def line_name(text: Column) -> Column:

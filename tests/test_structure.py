@@ -190,3 +190,18 @@ def test_source_and_markup_are_covered_without_gaps(make_files, name):
     assert rows[0].start_bytes == 0 and rows[-1].end_bytes == len(text)
     assert all(b.start_bytes <= a.end_bytes for a, b in zip(rows, rows[1:]))
     assert all(r.chunk == text[r.start_bytes:r.end_bytes] and len(r.chunk) <= 2048 for r in rows)
+
+
+def test_lines_are_split_at_the_same_places_with_and_without_rare_ends(spark):
+    from lodestone.operators.lines import split_lines, stripped
+
+    chosen = random.Random(11)
+    ends = ["\n", "\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", " ", " "]
+    blanks = [" ", "\t", "\x1f", "\xa0", " ", " ", " ", " ", "　", "a", "é", "​"]
+    texts = ["", "\n", "a", "a\n", "\n\na"] + [
+        "".join(chosen.choices(blanks + (["\n"] if n % 2 else ends), k=chosen.randrange(40))) for n in range(400)]
+    rows = spark.createDataFrame(enumerate(texts), "n int, s string")
+    found = rows.select("n", split_lines(F.col("s")).alias("lines"), stripped(F.col("s")).alias("bare")).collect()
+    python = {n: t.splitlines(keepends=True) for n, t in enumerate(texts)}
+    assert {r.n: r.lines for r in found} == python
+    assert {r.n: r.bare for r in found} == {n: t.strip() for n, t in enumerate(texts)}
