@@ -58,15 +58,20 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block_tops(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    # One pair of blocks at a time, its numbers where the batch holds them: a batch is not copied.
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["width"] != row["query_width"]:
+        columns = {name: batch.column(name) for name in batch.schema.names}
+        for at in range(batch.num_rows):
+            width = columns["width"][at].as_py()
+            if width != columns["query_width"][at].as_py():
                 continue
-            left, right = (np.frombuffer(row[c]).reshape(-1, row["width"]) for c in ("query_data", "data"))
-            scores, ids = left @ right.T, np.array(row["ids"])
+            left, right = (
+                np.frombuffer(columns[c][at].as_buffer()).reshape(-1, width) for c in ("query_data", "data"))
+            scores, ids = left @ right.T, np.array(columns["ids"][at].as_py())
             found = [np.lexsort((ids, -line))[:limit] for line in scores]
+            queries = columns["query_ids"][at].as_py()
             yield pa.RecordBatch.from_pydict({
-                "query_id": [q for q, best in zip(row["query_ids"], found, strict=True) for _ in best],
+                "query_id": [q for q, best in zip(queries, found, strict=True) for _ in best],
                 "id": [str(ids[i]) for best in found for i in best],
                 "vector_score": [float(scores[n, i]) for n, best in enumerate(found) for i in best],
             })
