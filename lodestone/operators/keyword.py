@@ -138,7 +138,7 @@ def postings(chunks: DataFrame) -> DataFrame:
     Words are grouped inside each row, so nothing is shuffled here.
     """
     found = chunks.select(
-        "repo", "branch", "path", "id", F.explode(let(words(F.col("chunk")), _by_term)).alias("p")
+        "repo", "branch", "path", "id", F.explode(grouped_words(F.col("chunk"))).alias("p")
     )
     return found.select(
         F.col("p.term").alias("term"), "id", "repo", "branch", "path",
@@ -147,6 +147,11 @@ def postings(chunks: DataFrame) -> DataFrame:
     )
 
 
+def grouped_words(text: Column) -> Column:
+    """``term, positions, length`` of each distinct word of ``text``; NULL where there is none."""
+    return let(words(text), _by_term)
+
+
 def _by_term(tokens: Column) -> Column:
     """Words of one text with their positions: sorted, then cut where the word changes."""
     placed = F.sort_array(

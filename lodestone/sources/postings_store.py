@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.functions.analysis import query_phrases
-from lodestone.operators.keyword import bm25_postings, idf, in_scope, postings, saturation, top_by
+from lodestone.operators.keyword import bm25_postings, grouped_words, idf, in_scope, saturation, top_by
 from lodestone.plans.checkpoint import dropped, staged
 from lodestone.sources.segments import FRESH, Segments, of_parts
 
@@ -32,6 +32,8 @@ CHUNKS_PER_RANGE = 256
 CLASSES = 128
 # Ranges that are named in a pushed filter.
 NAMED_RANGES = 500
+# Chunks of whose postings a task that writes a part gets no more, whatever their number is.
+CHUNKS_PER_SLICE = 1 << 17
 _ENTRY = "struct<id:string, repo:string, branch:string, tf:int, length:int, positions:array<int>>"
 _ROUNDING = 1 + 1e-9
 
@@ -96,20 +98,47 @@ class PostingsStore:
         """
         log = self.segments.log()
         number = self.segments.next_number()
-        split = staged(postings(rows).select("id", "repo", "branch", "term", "tf", "length", "positions"), "postings")
-        docs = staged(split.groupBy("id").agg(
-            F.first("length").alias("length"), F.collect_list("term").alias("terms")
-        ).unionByName(_wordless(rows, split)), "docs")
+        # A row per chunk: its postings are moved once, from here to the part of their word.
+        found = grouped_words(F.col("chunk"))
+        split = staged(rows.select("id", "repo", "branch", found.alias("words")).select(
+            "id", "repo", "branch", F.coalesce(F.get("words", F.lit(0))["length"], F.lit(0)).alias("length"),
+            F.transform("words", lambda w: F.struct(w["term"], w["positions"])).alias("words"),
+        ), "postings")
         ids = rows.select("id") if gone is None else rows.select("id").unionByName(gone.select("id"))
         dead = staged(self._dead(ids, log), "dead") if log else None
-        self._write(number, split, docs, dead, base=not log)
+        slices = 1 + split.count() // CHUNKS_PER_SLICE
+        place = (lambda key: part_of(F.col(key), self.buckets)) if not log else (lambda key: F.lit(FRESH))
+        self.segments.write("docs", number, self._counted(split, slices).withColumn("part", place("id")), "id", dealt=True)
+        flat = split.select(F.struct("id", "repo", "branch", "length").alias("doc"), F.explode("words").alias("w"))
+        self._write(number, flat.select("doc", "w.term", "w.positions"), split, slices, dead, base=not log)
         if dead is not None:
             self.segments.write("gone", number, dead.select("id"))
+        docs = self.segments.read("docs", [number])
         sums = [frame.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first() for frame in (docs, dead) if frame is not None]
         n, words = (sums[0][i] - (sums[1][i] if dead is not None else 0) for i in (0, 1))
         facts = {"docs": n, "words": words, "batch": batch, "buckets": self.buckets}
         self.segments.commit(number, base=not log, **facts, gone=sums[1][0] if dead is not None else 0)
-        dropped(split, docs, *([dead] if dead is not None else []))
+        dropped(split, *([dead] if dead is not None else []))
+
+    def _counted(self, split: DataFrame, slices: int) -> DataFrame:
+        """``id, length, terms`` of the chunks, dealt by part and slice.
+
+        Chunks without a word count in the statistics. Rows under one id are one chunk; those without an
+        id, and those of an id without words, count one by one.
+        """
+        deal = part_of(F.col("id"), self.buckets) * slices + F.pmod(F.xxhash64("id", F.lit("slice")), F.lit(slices)).cast("int")
+        rows = split.select("id", "length", F.array_join("words.term", " ").alias("terms"), deal.alias("deal")).repartition("deal")
+        known = rows.groupBy("deal", "id").agg(
+            F.count("*").cast("int").alias("n"), F.first(F.when(F.col("length") > 0, F.col("length")), True).alias("length"),
+            F.concat_ws(" ", F.collect_list(F.when(F.col("length") > 0, F.col("terms")))).alias("terms"),
+        )
+        times = F.when(F.col("length").isNull(), F.col("n")).when(F.col("id").isNull(), F.col("n") + 1).otherwise(1)
+        every = known.withColumn("k", F.explode(F.sequence(F.lit(1), times)))
+        whole = (F.col("k") == 1) & F.col("length").isNotNull()
+        return every.select(
+            "id", F.when(whole, F.col("length")).otherwise(0).alias("length"),
+            F.when(whole, F.split("terms", " ")).otherwise(F.array().cast("array<string>")).alias("terms"),
+        )
 
     def _dead(self, ids: DataFrame, log: list) -> DataFrame:
         """The living rows of ``docs`` under ``ids``; the filter on the small side prunes parts when it runs."""
@@ -119,9 +148,9 @@ class PostingsStore:
             named.withColumn("part", F.lit(FRESH)))
         return docs.join(keys.where("part >= -1"), ["part", "id"], "left_semi").select("id", "length", "terms")
 
-    def _write(self, number: int, split: DataFrame, docs: DataFrame, dead: DataFrame | None, base: bool) -> None:
-        place = (lambda key: part_of(F.col(key), self.buckets)) if base else (lambda key: F.lit(FRESH))
-        blocks = self._blocked(split, docs)
+    def _write(self, number: int, flat: DataFrame, docs: DataFrame, slices: int, dead: DataFrame | None, base: bool) -> None:
+        """Write the blocks of ``doc, term, positions`` rows."""
+        blocks = self._blocked(flat, docs, slices)
         if dead is not None:
             lost = dead.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").cast("int").alias("dead"))
             blocks = blocks.unionByName(lost.select(
@@ -129,25 +158,29 @@ class PostingsStore:
                 F.array().cast("array<struct<tf:int,length:int>>").alias("peaks"),
                 F.array().cast(f"array<{_ENTRY}>").alias("entries"),
             ))
-        self.segments.write("words", number, blocks.withColumn("part", place("term")), "term", "range")
-        self.segments.write("docs", number, docs.withColumn("part", place("id")), "id")
+        part = part_of(F.col("term"), self.buckets) if base else F.lit(FRESH)
+        self.segments.write("words", number, blocks.withColumn("part", part), "term", "range", dealt=True)
 
-    def _blocked(self, split: DataFrame, docs: DataFrame) -> DataFrame:
-        """Postings as blocks; a range is a class of lengths and, in it, a share of the chunks.
+    def _blocked(self, flat: DataFrame, docs: DataFrame, slices: int) -> DataFrame:
+        """Postings as blocks, dealt by part and slice; a range is a class of lengths and, in it, a share of the chunks.
 
-        The counts of the classes reach the driver, a row for each of at most CLASSES.
+        The counts of the classes reach the driver, a row for each of at most CLASSES. What rows of one
+        chunk have in common lies together, so that it is packed well; the rest follows behind the shuffle.
         """
         counts = docs.where("length > 0").groupBy(_length_class(F.col("length")).alias("c")).count().collect()
         shares = [1] * CLASSES
         for row in counts:
             shares[row["c"]] = -(-row["count"] // self.range_size)
         starts = [sum(shares[:i]) for i in range(CLASSES)]
-        at = _length_class(F.col("length"))
+        at = _length_class(F.col("doc.length"))
         share, start = (F.get(F.array(*[F.lit(x) for x in xs]), at) for xs in (shares, starts))
-        entry = F.struct("id", "repo", "branch", "tf", "length", "positions")
+        placed = flat.withColumn("range", (start + F.pmod(F.xxhash64("doc.id"), share)).cast("int")).withColumn(
+            "deal", part_of(F.col("term"), self.buckets) * slices + F.pmod(F.col("range"), F.lit(slices)))
+        entry = F.struct(
+            "doc.id", "doc.repo", "doc.branch", F.size("positions").alias("tf"), "doc.length", "positions")
         return (
-            split.withColumn("range", (start + F.pmod(F.xxhash64("id"), share)).cast("int"))
-            .groupBy("term", "range").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+            placed.repartition("deal").groupBy("deal", "term", "range")
+            .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
             .select("term", "range", F.size("entries").alias("n"), F.lit(0).alias("dead"),
                     _peaks(F.col("entries")).alias("peaks"), "entries")
         )
@@ -159,16 +192,17 @@ class PostingsStore:
             return
         self.segments.vacuum()
         number = self.segments.next_number()
-        split = self.read()
-        docs = staged(self.segments.alive(
+        flat = self.read().select(F.struct("id", "repo", "branch", "length").alias("doc"), "term", "positions")
+        alive = self.segments.alive(
             self.segments.read("docs", [r["segment"] for r in log]), log
-        ).select("id", "length", "terms"), "docs")
-        self._write(number, split, docs, None, base=True)
+        ).select("id", "length", "terms").withColumn("part", part_of(F.col("id"), self.buckets))
+        self.segments.write("docs", number, alive, "id")
+        docs = self.segments.read("docs", [number])
+        self._write(number, flat, docs, 1 + docs.count() // CHUNKS_PER_SLICE, None, base=True)
         n, words = docs.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         self.segments.commit(
             number, base=True, docs=n, words=words, batch=(log[-1]["facts"] or {}).get("batch", 0), buckets=self.buckets
         )
-        dropped(docs)
 
     def last_batch(self) -> int:
         log = self.segments.log()
@@ -271,9 +305,3 @@ class PostingsStore:
         rows = hits(reach, [r["range"] for r in names] if len(names) <= NAMED_RANGES else None)
         return Found(rows, counted[0] or 0, counted[1])
 
-
-def _wordless(rows: DataFrame, split: DataFrame) -> DataFrame:
-    """Chunks without a word count in the statistics."""
-    return rows.select("id").join(split.select("id"), "id", "left_anti").select(
-        "id", F.lit(0).alias("length"), F.array().cast("array<string>").alias("terms")
-    )

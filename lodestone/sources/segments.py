@@ -79,12 +79,12 @@ class Segments:
             return rows
         return rows.join(gone, (rows["id"] == gone["id"]) & (gone["gone_at"] > rows["segment"]), "left_anti")
 
-    def write(self, name: str, number: int, rows: DataFrame, *order: str) -> None:
-        """Write a table's rows of a segment in place of any that are there."""
+    def write(self, name: str, number: int, rows: DataFrame, *order: str, dealt: bool = False) -> None:
+        """Write a table's rows of a segment in place of any that are there; ``dealt`` ones are not moved again."""
         writer = rows
         if name in self.parted:
             # Rebalancing splits a part that many rows fall into over tasks and files.
-            writer = rows.hint("rebalance", "part").sortWithinPartitions("part", *order)
+            writer = (rows if dealt else rows.hint("rebalance", "part")).sortWithinPartitions("part", *order)
         out = writer.write.mode("overwrite")
         (out.partitionBy("part") if name in self.parted else out).parquet(f"{self.folder}/{name}/segment={number}")
 

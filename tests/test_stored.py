@@ -247,3 +247,54 @@ def test_an_unfinished_segment_is_never_read(spark, tmp_path):
     assert [r.id for r in parts.read("t").collect()] == ["d"]
     parts.vacuum()
     assert sorted(p.name for p in (tmp_path / "s" / "t").iterdir()) == ["segment=3"]
+
+
+def test_postings_are_moved_once(spark, tmp_path, monkeypatch):
+    plans, write = {}, Segments.write
+    def noted(self, name, number, rows, *order, **more):
+        plans[name] = rows._jdf.queryExecution().optimizedPlan().toString()
+        write(self, name, number, rows, *order, **more)
+    monkeypatch.setattr(Segments, "write", noted)
+    store = PostingsStore(spark, str(tmp_path / "w"), buckets=4, range_size=8)
+    store.commit(chunk_rows(spark, some_texts(9, 60)))
+    for name in ("words", "docs"):
+        aggregate = plans[name].index("Aggregate")
+        # One deal below the grouping, which it serves, and none above it.
+        assert plans[name].count("Repartition") == 1 and plans[name].index("Repartition") > aggregate
+        assert "RebalancePartitions" not in plans[name]
+
+
+def test_rows_under_one_id_and_without_words_count_as_before(spark, tmp_path):
+    rows = spark.createDataFrame([
+        ("a", "r", "m", "x y"), ("a", "r", "m", "x z"), ("b", "r", "m", "--"), ("b", "r", "m", ""), ("c", "r", "m", None),
+        (None, "r", "m", "x"), (None, "r", "m", ""), ("d", "r", "m", "y y y"),
+    ], "id string, repo string, branch string, chunk string")
+    store = PostingsStore(spark, str(tmp_path / "w"), buckets=4, range_size=8)
+    store.commit(rows)
+    # One for a, two for b, one for c, one for d, and for rows without an id one with words and both again.
+    assert store.segments.log()[0]["facts"]["docs"] == 8 and store.segments.log()[0]["facts"]["words"] == 2 + 3 + 1
+    docs = store.segments.read("docs")
+    assert sorted(docs.where("id = 'a'").first()["terms"]) == ["x", "x", "y", "z"]
+    assert {(r.id, r.term, r.tf) for r in store.read().collect()} == {
+        ("a", "x", 1), ("a", "y", 1), ("a", "z", 1), (None, "x", 1), ("d", "y", 3)}
+
+
+def test_pairs_of_blocks_are_read_where_they_lie():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from lodestone.operators.vectors import _block_tops
+
+    data = np.eye(64).repeat(16, axis=0).tobytes()
+    ids = [f"v{i:04}" for i in range(1024)]
+    batch = pa.RecordBatch.from_pydict({
+        "ids": [ids] * 24, "width": pa.array([64] * 24, pa.int32()), "data": [data] * 24,
+        "query_ids": [["q"]] * 24, "query_width": pa.array([64] * 24, pa.int32()), "query_data": [data[:512]] * 24,
+    })
+    tracemalloc.start()
+    found = [r for out in _block_tops([batch], 3) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [r["id"] for r in found] == ["v0000", "v0001", "v0002"] * 24 and {r["vector_score"] for r in found} == {1.0}
+    assert peak < 4 << 20 < 24 * len(data)
