@@ -27,7 +27,7 @@ from lodestone.functions.vector import checked
 from lodestone.operators.fusion import fetched, rrf
 from lodestone.operators.keyword import corpus_stats, like, top_by
 from lodestone.operators.vectors import vector_search
-from lodestone.plans.checkpoint import children, exists, file_system, staged
+from lodestone.plans.checkpoint import children, collected, exists, file_system, staged
 from lodestone.sources.postings_store import PostingsStore
 from lodestone.sources.registry import StoreConfig, register_store
 from lodestone.sources.segments import warehouse_folder
@@ -257,19 +257,21 @@ class IndexTable:
             rows = self.spark.createDataFrame([], S.INDEX)
         number = max(self.store.last_batch() if self.store else 0, 0) + 1
         folder = f"{self.batches}/batch={number}"
-        incoming = one_per_id(rows.select(*S.INDEX.fieldNames())).withColumn(
-            "bucket", bucket_of(F.col("path"), self.buckets)
-        )
-        incoming.write.mode("overwrite").parquet(f"{folder}/rows")
+        given = rows.select(*S.INDEX.fieldNames())
+        bucket = bucket_of(F.col("path"), self.buckets)
+        given.withColumn("bucket", bucket).write.mode("overwrite").parquet(f"{folder}/rows")
+        written = self.spark.read.parquet(f"{folder}/rows").drop("bucket")
+        # Whole rows are moved only where ids repeat.
+        if not written.groupBy("id").count().where("count > 1").isEmpty():
+            one_per_id(written).withColumn("bucket", bucket).write.mode("overwrite").parquet(f"{folder}/once")
         if deletions is None:
             deletions = self._deletions(self.spark.createDataFrame([], "path string"), "")
         deletions.write.mode("overwrite").parquet(f"{folder}/deletions")
         rows, gone, touched = self._batch(folder)
-        if self.store:
-            existing = self._scope(touched)
-            dead = existing.join(gone, self._goes(existing, gone), "left_semi").select("id").unionByName(
-                existing.join(rows.select("id"), "id", "left_semi").select("id"))
-            dead.distinct().write.mode("overwrite").parquet(f"{folder}/dead")
+        existing = self._scope(touched)
+        dead = existing.join(gone, self._goes(existing, gone), "left_semi").select("id").unionByName(
+            existing.join(rows.select("id"), "id", "left_semi").select("id"))
+        dead.distinct().write.mode("overwrite").parquet(f"{folder}/dead")
         self.spark.range(1).write.mode("overwrite").parquet(f"{folder}/ready")
         self._finish(number)
 
@@ -284,17 +286,21 @@ class IndexTable:
 
     def _batch(self, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Rows and deletions of a stored batch, and the partitions they touch."""
-        rows, gone = (self.spark.read.parquet(f"{folder}/{name}") for name in ("rows", "deletions"))
+        once = "once" if exists(self.spark, f"{folder}/once/_SUCCESS") else "rows"
+        rows, gone = (self.spark.read.parquet(f"{folder}/{name}") for name in (once, "deletions"))
         touched = staged(rows.select("repo", "bucket").unionByName(gone.select("repo", "bucket")).distinct(), "touched")
         return rows, gone, touched
 
     def _finish(self, number: int) -> None:
         folder = f"{self.batches}/batch={number}"
-        rows, gone, touched = self._batch(folder)
-        self._rewrite(rows, gone, touched)
+        rows, _, touched = self._batch(folder)
+        dead = self.spark.read.schema("id string").parquet(f"{folder}/dead")
+        self._rewrite(rows, dead, touched)
+        collected(self.spark)
         if self.store and self.store.last_batch() < number:
-            self.store.commit(rows, self.spark.read.schema("id string").parquet(f"{folder}/dead"), number)
+            self.store.commit(rows, dead, number)
         self._forget(folder)
+        collected(self.spark)
         if self.store and len(self.store.segments.log()) > MOST_DELTAS:
             self.store.compact()
 
@@ -320,12 +326,14 @@ class IndexTable:
             touched.where("bucket >= 0").distinct(), keys, "left_semi"
         )
 
-    def _rewrite(self, rows: DataFrame, gone: DataFrame, touched: DataFrame) -> None:
-        """Merge a batch into the chunks; a second time it changes nothing."""
+    def _rewrite(self, rows: DataFrame, dead: DataFrame, touched: DataFrame) -> None:
+        """Merge a batch into the chunks, in place of ``dead`` ids; a second time it changes nothing."""
         if touched.isEmpty():
             return
         existing = self._scope(touched)
-        changed = upserted(existing.join(gone, self._goes(existing, gone), "left_anti"), rows)
+        # One list of ids, so that whole rows are moved once to leave out what goes.
+        replaced = dead.unionByName(rows.select("id")).distinct()
+        changed = existing.join(replaced, "id", "left_anti").unionByName(rows)
         emptied = self._emptied(existing, changed)
         # Rebalancing splits a large partition over several tasks and files.
         (

@@ -384,3 +384,15 @@ def test_git_stream_offsets_are_commits(spark, tree):
     rows, end = reader.read({"commit": first})
     assert end == {"commit": second} and ("renamed.py", "A") in list(rows)
     assert list(reader.readBetweenOffsets(end, end)) == []
+
+
+def test_whole_rows_are_only_moved_for_ids_that_repeat(spark, table, monkeypatch):
+    from lodestone.sources import index_table
+
+    def moved(rows):
+        raise AssertionError("no id repeats")
+
+    files = spark.createDataFrame([("r", "main", f"f{i}.txt", f"text {i}".encode()) for i in range(5)], S.FILES)
+    monkeypatch.setattr(index_table, "one_per_id", moved)
+    index_changes(table, files, files.selectExpr("path", "'A' AS op"), repo="r", model=HashingModel(8), dim=8)
+    assert table.read().count() == 5
