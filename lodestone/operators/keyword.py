@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from itertools import accumulate
 from operator import and_, or_
@@ -149,36 +150,37 @@ def postings(chunks: DataFrame) -> DataFrame:
 
 def grouped_words(text: Column) -> Column:
     """``term, positions, length`` of each distinct word of ``text``; NULL where there is none."""
-    return let(words(text), _by_term)
+    return let(words(text), by_term)
 
 
-def _by_term(tokens: Column) -> Column:
+def by_term(tokens: Column) -> Column:
     """Words of one text with their positions: sorted, then cut where the word changes."""
     placed = F.sort_array(
         F.transform(tokens, lambda w, i: F.struct(w.alias("term"), i.alias("at")))
     )
+    found = let(placed, lambda rows: runs(rows, lambda term, run: F.struct(
+        term.alias("term"),
+        F.transform(run, lambda o: o["at"]).alias("positions"),
+        F.size(rows).alias("length"),
+    )))
+    return F.when(F.size(tokens) > 0, found)
 
-    def runs(sorted_: Column) -> Column:
-        borders = F.filter(
-            F.sequence(F.lit(0), F.size(sorted_) - 1),
-            lambda i: (i == 0) | (F.get(sorted_, i)["term"] != F.get(sorted_, i - 1)["term"]),
-        )
-        return let(
-            F.concat(borders, F.array(F.size(sorted_))),
-            lambda edges: F.transform(
-                F.slice(edges, 1, F.size(edges) - 1),
-                lambda start, j: F.struct(
-                    F.get(sorted_, start)["term"].alias("term"),
-                    F.transform(
-                        F.slice(sorted_, start + 1, F.get(edges, j + 1) - start),
-                        lambda o: o["at"],
-                    ).alias("positions"),
-                    F.size(sorted_).alias("length"),
-                ),
-            ),
-        )
 
-    return F.when(F.size(tokens) > 0, let(placed, runs))
+def runs(rows: Column, make: Callable[[Column, Column], Column]) -> Column:
+    """``make(term, rows of the term)`` for each term of ``rows``, which are sorted by it and not empty."""
+    borders = F.filter(
+        F.sequence(F.lit(0), F.size(rows) - 1),
+        lambda i: (i == 0) | (F.get(rows, i)["term"] != F.get(rows, i - 1)["term"]),
+    )
+    return let(
+        F.concat(borders, F.array(F.size(rows))),
+        lambda edges: F.transform(
+            F.slice(edges, 1, F.size(edges) - 1),
+            lambda start, j: make(
+                F.get(rows, start)["term"], F.slice(rows, start + 1, F.get(edges, j + 1) - start)
+            ),
+        ),
+    )
 
 
 def corpus_stats(chunks: DataFrame, id_words: int = 1) -> DataFrame:

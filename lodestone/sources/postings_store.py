@@ -5,7 +5,10 @@ hash of the word, sorted by word, so a query opens the parts of its words and, i
 the row groups of its words. A commit is one delta: the postings of its own chunks, the ids that are
 gone, and how often each word of these occurred, so that document frequencies
 need no look at dead postings. It writes bytes in proportion to its own texts.
-Compaction merges the deltas into a new base.
+
+The words of each chunk, in their order, are kept in a row beside the postings, where the chunk was read. Blocks
+are made from these rows: a chunk is moved once, to the other chunks of its range, and in no other
+form than this. Compaction makes a new base from the rows that live in the same way, and reads no postings.
 
 Ranges hold chunks of about one length, as short chunks score higher. Each block keeps its
 peaks, those counts and lengths that no other chunk of the block beats in both, from which the
@@ -22,9 +25,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.functions.analysis import query_phrases
-from lodestone.operators.keyword import bm25_postings, grouped_words, idf, in_scope, saturation, top_by
-from lodestone.plans.checkpoint import dropped, staged
+from lodestone.functions.analysis import query_phrases, words
+from lodestone.functions.bytesops import let
+from lodestone.operators.keyword import bm25_postings, by_term, idf, in_scope, runs, saturation, top_by
+from lodestone.plans.checkpoint import codes, dropped, exists, likely, staged
 from lodestone.sources.segments import FRESH, Segments, of_parts
 
 BUCKETS = 64
@@ -32,9 +36,15 @@ CHUNKS_PER_RANGE = 256
 CLASSES = 128
 # Ranges that are named in a pushed filter.
 NAMED_RANGES = 500
-# Chunks of whose postings a task that writes a part gets no more, whatever their number is.
+# Chunks of whose rows a task that writes a part gets no more, whatever their number is.
 CHUNKS_PER_SLICE = 1 << 17
+# Words of chunks whose postings one task makes, about; smaller tables go to as many tasks as there are cores.
+WORDS_PER_SLICE = 1 << 23
+LEAST_PER_SLICE = 1 << 18
+# Ranges of long chunks hold fewer of them, so that the words of a range fit into a row.
+WORDS_PER_RANGE = 1 << 21
 _ENTRY = "struct<id:string, repo:string, branch:string, tf:int, length:int, positions:array<int>>"
+_TEXT = "id string, repo string, branch string, length int, tokens string"
 _ROUNDING = 1 + 1e-9
 
 
@@ -67,6 +77,17 @@ def _peaks(entries: Column) -> Column:
     )
 
 
+def _range_words(chunks: Column) -> Column:
+    """``term, entries`` of each word that rows of words hold, the entries sorted."""
+    postings = F.flatten(F.transform(chunks, lambda c: F.transform(
+        let(F.split(c["tokens"], " "), by_term), lambda w: F.struct(w["term"].alias("term"), F.struct(
+            c["id"].alias("id"), c["repo"].alias("repo"), c["branch"].alias("branch"),
+            F.size(w["positions"]).alias("tf"), c["length"].alias("length"), w["positions"].alias("positions"),
+        ).alias("entry")))))
+    return let(F.sort_array(postings), lambda rows: runs(rows, lambda term, found: F.struct(
+        term.alias("term"), F.transform(found, lambda r: r["entry"]).alias("entries"))))
+
+
 @dataclass(frozen=True)
 class Found:
     """The best rows, and of how many blocks of the query's words how many were scored."""
@@ -84,7 +105,7 @@ class PostingsStore:
         self.segments = Segments(spark, folder, {
             "words": f"term string, range int, n int, dead int, peaks array<struct<tf:int,length:int>>, entries array<{_ENTRY}>",
             "docs": "id string, length int, terms array<string>",
-        })
+        }, {"texts": _TEXT})
         log = self.segments.log()
         stored = (log[0]["facts"] or {}).get("buckets") if log and log[0]["base"] else None
         self.buckets = stored or buckets
@@ -98,36 +119,41 @@ class PostingsStore:
         """
         log = self.segments.log()
         number = self.segments.next_number()
-        # A row per chunk: its postings are moved once, from here to the part of their word.
-        found = grouped_words(F.col("chunk"))
-        split = staged(rows.select("id", "repo", "branch", found.alias("words")).select(
-            "id", "repo", "branch", F.coalesce(F.get("words", F.lit(0))["length"], F.lit(0)).alias("length"),
-            F.transform("words", lambda w: F.struct(w["term"], w["positions"])).alias("words"),
-        ), "postings")
-        ids = rows.select("id") if gone is None else rows.select("id").unionByName(gone.select("id"))
+        # Words hold letters and digits only, so a space keeps them apart.
+        found = let(words(F.col("chunk")), lambda w: F.struct(
+            F.coalesce(F.size(w), F.lit(0)).alias("length"), F.coalesce(F.array_join(w, " "), F.lit("")).alias("tokens")))
+        self.segments.write("texts", number, rows.select("id", "repo", "branch", found.alias("w")).select(
+            "id", "repo", "branch", "w.length", "w.tokens"))
+        texts = self.segments.read("texts", [number])
+        ids = texts.select("id") if gone is None else texts.select("id").unionByName(gone.select("id"))
         dead = staged(self._dead(ids, log), "dead") if log else None
-        slices = 1 + split.count() // CHUNKS_PER_SLICE
+        slices = 1 + texts.count() // CHUNKS_PER_SLICE
         place = (lambda key: part_of(F.col(key), self.buckets)) if not log else (lambda key: F.lit(FRESH))
-        self.segments.write("docs", number, self._counted(split, slices).withColumn("part", place("id")), "id", dealt=True)
-        flat = split.select(F.struct("id", "repo", "branch", "length").alias("doc"), F.explode("words").alias("w"))
-        self._write(number, flat.select("doc", "w.term", "w.positions"), split, slices, dead, base=not log)
+        self.segments.write("docs", number, self._counted(texts, slices).withColumn("part", place("id")), "id", dealt=True)
+        self._write(number, texts, dead, base=not log)
         if dead is not None:
             self.segments.write("gone", number, dead.select("id"))
         docs = self.segments.read("docs", [number])
         sums = [frame.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first() for frame in (docs, dead) if frame is not None]
-        n, words = (sums[0][i] - (sums[1][i] if dead is not None else 0) for i in (0, 1))
-        facts = {"docs": n, "words": words, "batch": batch, "buckets": self.buckets}
+        n, total = (sums[0][i] - (sums[1][i] if dead is not None else 0) for i in (0, 1))
+        facts = {"docs": n, "words": total, "batch": batch, "buckets": self.buckets}
         self.segments.commit(number, base=not log, **facts, gone=sums[1][0] if dead is not None else 0)
-        dropped(split, *([dead] if dead is not None else []))
+        dropped(*([dead] if dead is not None else []))
 
-    def _counted(self, split: DataFrame, slices: int) -> DataFrame:
-        """``id, length, terms`` of the chunks, dealt by part and slice.
+    def _counted(self, texts: DataFrame, slices: int) -> DataFrame:
+        """``id, length, terms`` of the chunks; rows of repeated ids, and without one, are dealt by part and slice.
 
         Chunks without a word count in the statistics. Rows under one id are one chunk; those without an
-        id, and those of an id without words, count one by one.
+        id, and those of an id without words, count one by one. A row of an id of its own stays where it lies.
         """
         deal = part_of(F.col("id"), self.buckets) * slices + F.pmod(F.xxhash64("id", F.lit("slice")), F.lit(slices)).cast("int")
-        rows = split.select("id", "length", F.array_join("words.term", " ").alias("terms"), deal.alias("deal")).repartition("deal")
+        terms = F.array_sort(F.array_distinct(F.split("tokens", " ")))
+        repeated = codes(texts.groupBy("id").count().where("count > 1 or id is null"), ["id"])
+        coded = texts.select("id", "length", F.when(F.col("length") > 0, terms).otherwise(F.array().cast("array<string>")).alias("terms"),
+                             F.xxhash64("id").alias("_code"))
+        single = coded.where("false") if repeated is None else coded.join(F.broadcast(repeated), "_code", "left_anti")
+        others = coded if repeated is None else coded.join(F.broadcast(repeated), "_code", "left_semi")
+        rows = others.select("id", "length", F.array_join("terms", " ").alias("terms"), deal.alias("deal")).repartition("deal")
         known = rows.groupBy("deal", "id").agg(
             F.count("*").cast("int").alias("n"), F.first(F.when(F.col("length") > 0, F.col("length")), True).alias("length"),
             F.concat_ws(" ", F.collect_list(F.when(F.col("length") > 0, F.col("terms")))).alias("terms"),
@@ -135,22 +161,23 @@ class PostingsStore:
         times = F.when(F.col("length").isNull(), F.col("n")).when(F.col("id").isNull(), F.col("n") + 1).otherwise(1)
         every = known.withColumn("k", F.explode(F.sequence(F.lit(1), times)))
         whole = (F.col("k") == 1) & F.col("length").isNotNull()
-        return every.select(
+        return single.drop("_code").unionByName(every.select(
             "id", F.when(whole, F.col("length")).otherwise(0).alias("length"),
             F.when(whole, F.split("terms", " ")).otherwise(F.array().cast("array<string>")).alias("terms"),
-        )
+        ))
 
     def _dead(self, ids: DataFrame, log: list) -> DataFrame:
         """The living rows of ``docs`` under ``ids``; the filter on the small side prunes parts when it runs."""
         docs = self.segments.alive(self.segments.read("docs", [r["segment"] for r in log]), log)
-        named = ids.where("id is not null").distinct()
+        named = staged(ids.where("id is not null").distinct(), "named")
+        docs = likely(docs, named, ["id"])
         keys = named.withColumn("part", part_of(F.col("id"), self.buckets)).unionByName(
             named.withColumn("part", F.lit(FRESH)))
         return docs.join(keys.where("part >= -1"), ["part", "id"], "left_semi").select("id", "length", "terms")
 
-    def _write(self, number: int, flat: DataFrame, docs: DataFrame, slices: int, dead: DataFrame | None, base: bool) -> None:
-        """Write the blocks of ``doc, term, positions`` rows."""
-        blocks = self._blocked(flat, docs, slices)
+    def _write(self, number: int, texts: DataFrame, dead: DataFrame | None, base: bool) -> None:
+        """Write the blocks of ``texts``."""
+        blocks = self._blocked(texts)
         if dead is not None:
             lost = dead.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").cast("int").alias("dead"))
             blocks = blocks.unionByName(lost.select(
@@ -161,29 +188,30 @@ class PostingsStore:
         part = part_of(F.col("term"), self.buckets) if base else F.lit(FRESH)
         self.segments.write("words", number, blocks.withColumn("part", part), "term", "range", dealt=True)
 
-    def _blocked(self, flat: DataFrame, docs: DataFrame, slices: int) -> DataFrame:
-        """Postings as blocks, dealt by part and slice; a range is a class of lengths and, in it, a share of the chunks.
+    def _blocked(self, texts: DataFrame) -> DataFrame:
+        """Postings as blocks; a range is a class of lengths and, in it, a share of the chunks.
 
-        The counts of the classes reach the driver, a row for each of at most CLASSES. What rows of one
-        chunk have in common lies together, so that it is packed well; the rest follows behind the shuffle.
+        The counts of the classes reach the driver, a row for each of at most CLASSES. The chunks of a range
+        come together as rows of words, and its postings are made there.
         """
-        counts = docs.where("length > 0").groupBy(_length_class(F.col("length")).alias("c")).count().collect()
+        at = _length_class(F.col("length"))
+        full = texts.where("length > 0")
+        counts = full.groupBy(at.alias("c")).agg(F.count("*").alias("n"), F.sum("length").alias("words")).collect()
         shares = [1] * CLASSES
         for row in counts:
-            shares[row["c"]] = -(-row["count"] // self.range_size)
+            most = max(1, int(WORDS_PER_RANGE / 2 ** ((row["c"] + 1) / 4)))
+            shares[row["c"]] = -(-row["n"] // min(self.range_size, most))
         starts = [sum(shares[:i]) for i in range(CLASSES)]
-        at = _length_class(F.col("doc.length"))
+        total = sum(row["words"] for row in counts)
+        slices = max(1, -(-total // WORDS_PER_SLICE), min(self.spark.sparkContext.defaultParallelism, total // LEAST_PER_SLICE))
         share, start = (F.get(F.array(*[F.lit(x) for x in xs]), at) for xs in (shares, starts))
-        placed = flat.withColumn("range", (start + F.pmod(F.xxhash64("doc.id"), share)).cast("int")).withColumn(
-            "deal", part_of(F.col("term"), self.buckets) * slices + F.pmod(F.col("range"), F.lit(slices)))
-        entry = F.struct(
-            "doc.id", "doc.repo", "doc.branch", F.size("positions").alias("tf"), "doc.length", "positions")
-        return (
-            placed.repartition("deal").groupBy("deal", "term", "range")
-            .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-            .select("term", "range", F.size("entries").alias("n"), F.lit(0).alias("dead"),
-                    _peaks(F.col("entries")).alias("peaks"), "entries")
-        )
+        placed = full.withColumn("range", (start + F.pmod(F.xxhash64("id"), share)).cast("int")).withColumn(
+            "slice", F.pmod(F.col("range"), F.lit(slices)).cast("int"))
+        gathered = placed.repartitionById(slices, "slice").groupBy("slice", "range").agg(
+            F.collect_list(F.struct("id", "repo", "branch", "length", "tokens")).alias("chunks"))
+        return gathered.select("range", F.explode(_range_words(F.col("chunks"))).alias("w")).select(
+            F.col("w.term").alias("term"), "range", F.size("w.entries").alias("n"), F.lit(0).alias("dead"),
+            _peaks(F.col("w.entries")).alias("peaks"), F.col("w.entries").alias("entries"))
 
     def compact(self) -> None:
         """Merge all segments into a new base."""
@@ -192,18 +220,32 @@ class PostingsStore:
             return
         self.segments.vacuum()
         number = self.segments.next_number()
-        flat = self.read().select(F.struct("id", "repo", "branch", "length").alias("doc"), "term", "positions")
-        alive = self.segments.alive(
-            self.segments.read("docs", [r["segment"] for r in log]), log
-        ).select("id", "length", "terms").withColumn("part", part_of(F.col("id"), self.buckets))
-        self.segments.write("docs", number, alive, "id")
-        docs = self.segments.read("docs", [number])
-        self._write(number, flat, docs, 1 + docs.count() // CHUNKS_PER_SLICE, None, base=True)
-        n, words = docs.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        segments = [r["segment"] for r in log]
+        self.segments.write("texts", number, self._texts(log))
+        docs = self.segments.read("docs", segments).select("part", "segment", "id", "length", "terms")
+        part = F.when(F.col("part") == FRESH, part_of(F.col("id"), self.buckets)).otherwise(F.col("part"))
+        alive = self.segments.alive_in_place(docs, log).drop("segment").withColumn("part", part)
+        self.segments.write("docs", number, alive, "id", dealt=True)
+        docs, texts = (self.segments.read(name, [number]) for name in ("docs", "texts"))
+        self._write(number, texts, None, base=True)
+        n, total = docs.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         self.segments.commit(
-            number, base=True, docs=n, words=words, batch=(log[-1]["facts"] or {}).get("batch", 0), buckets=self.buckets
+            number, base=True, docs=n, words=total, batch=(log[-1]["facts"] or {}).get("batch", 0), buckets=self.buckets
         )
 
+    def _texts(self, log: list) -> DataFrame:
+        """The living rows of words; those of segments stored without, by a former version, from their postings."""
+        columns = ["id", "repo", "branch", "length", "tokens"]
+        known = {r["segment"]: exists(self.spark, f"{self.segments.folder}/texts/segment={r['segment']}") for r in log}
+        rows = self.segments.alive_in_place(self.segments.read("texts", [s for s in known if known[s]]), log).select(columns)
+        if all(known.values()):
+            return rows
+        old = [s for s in known if not known[s]]
+        placed = F.transform("positions", lambda at: F.struct(at.alias("at"), F.col("term").alias("term")))
+        tokens = F.array_join(F.transform(F.array_sort(F.flatten(F.collect_list(placed))), lambda w: w["term"]), " ")
+        full = self._entries(self.segments.read("words", old), log).groupBy("id", "repo", "branch", "length").agg(tokens.alias("tokens"))
+        return rows.unionByName(full)
+
     def last_batch(self) -> int:
         log = self.segments.log()
         return (log[-1]["facts"] or {}).get("batch", 0) if log else 0

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestone.plans.checkpoint import children, exists, file_system
+from lodestone.plans.checkpoint import children, codes, exists, file_system
 
 FRESH = -1  # the part of rows that no compaction has placed yet
 _LOG = "segment long, base boolean, facts map<string,long>"
@@ -79,6 +79,16 @@ class Segments:
             return rows
         return rows.join(gone, (rows["id"] == gone["id"]) & (gone["gone_at"] > rows["segment"]), "left_anti")
 
+    def alive_in_place(self, rows: DataFrame, log: list[T.Row]) -> DataFrame:
+        """The same, for wide rows: those that no segment is likely to name stay where they lie, and are read twice."""
+        gone = self.gone(log)
+        known = None if gone is None else codes(gone, ["id"])
+        if known is None:
+            return self.alive(rows, log)
+        coded = rows.withColumn("_code", F.xxhash64("id"))
+        sure = coded.join(F.broadcast(known), "_code", "left_anti").drop("_code")
+        return sure.unionByName(self.alive(coded.join(F.broadcast(known), "_code", "left_semi").drop("_code"), log))
+
     def write(self, name: str, number: int, rows: DataFrame, *order: str, dealt: bool = False) -> None:
         """Write a table's rows of a segment in place of any that are there; ``dealt`` ones are not moved again."""
         writer = rows

@@ -298,3 +298,52 @@ def test_pairs_of_blocks_are_read_where_they_lie():
     tracemalloc.stop()
     assert [r["id"] for r in found] == ["v0000", "v0001", "v0002"] * 24 and {r["vector_score"] for r in found} == {1.0}
     assert peak < 4 << 20 < 24 * len(data)
+
+
+def test_compaction_moves_words_of_chunks_and_no_postings(spark, tmp_path, monkeypatch):
+    plans, write = {}, Segments.write
+    def noted(self, name, number, rows, *order, **more):
+        plans[name] = rows._jdf.queryExecution().optimizedPlan().toString()
+        write(self, name, number, rows, *order, **more)
+    store = PostingsStore(spark, str(tmp_path / "w"), buckets=4, range_size=8)
+    named = some_texts(11, 80)
+    store.commit(chunk_rows(spark, named))
+    store.commit(chunk_rows(spark, {"t11_3": "blue word"}), spark.createDataFrame([("t11_5",)], "id string"))
+    before = {(r.id, r.term): (r.repo, list(r.positions)) for r in store.read().collect()}
+    stats = store.stats().first()
+    monkeypatch.setattr(Segments, "write", noted)
+    store.compact()
+    # One move of the rows of words to their range, and none of the rows that live.
+    assert plans["words"].count("Repartition") == 1 and "entries" not in plans["words"].split("Repartition")[1]
+    assert "Repartition" not in plans["texts"] + plans["docs"] and "RebalancePartitions" not in plans["docs"]
+    assert {(r.id, r.term): (r.repo, list(r.positions)) for r in store.read().collect()} == before
+    assert store.stats().first() == stats and {r.part for r in store.segments.read("docs").collect()} <= {0, 1, 2, 3}
+
+
+def test_a_store_of_the_former_version_is_compacted(spark, tmp_path):
+    import shutil
+
+    store = PostingsStore(spark, str(tmp_path / "w"), buckets=4, range_size=8)
+    named = some_texts(12, 60) | {"empty": "--"}
+    store.commit(chunk_rows(spark, named))
+    shutil.rmtree(tmp_path / "w" / "texts")  # it kept no rows of words
+    store.commit(chunk_rows(spark, {"t12_3": "blue word"}), spark.createDataFrame([("t12_5",)], "id string"))
+    named["t12_3"] = "blue word"
+    del named["t12_5"]
+    store.compact()
+    same_as_fresh(store, chunk_rows(spark, named))
+    live = {(r.id, r.term): list(r.positions) for r in store.read().collect()}
+    assert live == {(r.id, r.term): list(r.positions) for r in K.postings(chunk_rows(spark, named)).collect()}
+
+
+def test_more_keys_than_tasks_hold_are_joined_as_they_are(spark, store, monkeypatch):
+    from lodestone.plans import checkpoint
+
+    monkeypatch.setattr(checkpoint, "NAMED_KEYS", 0)
+    named = some_texts(13, 40)
+    store.commit(chunk_rows(spark, named))
+    store.commit(chunk_rows(spark, {"t13_3": "blue word"}), spark.createDataFrame([("t13_5",)], "id string"))
+    named["t13_3"] = "blue word"
+    del named["t13_5"]
+    store.compact()
+    same_as_fresh(store, chunk_rows(spark, named))
