@@ -39,7 +39,7 @@ NAMED_RANGES = 500
 # Chunks of whose rows a task that writes a part gets no more, whatever their number is.
 CHUNKS_PER_SLICE = 1 << 17
 # Words of chunks whose postings one task makes, about; smaller tables go to as many tasks as there are cores.
-WORDS_PER_SLICE = 1 << 23
+WORDS_PER_SLICE = 1 << 22
 LEAST_PER_SLICE = 1 << 18
 # Ranges of long chunks hold fewer of them, so that the words of a range fit into a row.
 WORDS_PER_RANGE = 1 << 21

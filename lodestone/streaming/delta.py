@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lodestone import config as C
 from lodestone.operators.chunk import chunk_files
 from lodestone.operators.embed import Loader, error_reports, HashingModel, with_embeddings
-from lodestone.plans.checkpoint import dropped, staged
+from lodestone.plans.checkpoint import dropped, likely, staged
 from lodestone.plans.indexing import replaced
 from lodestone.sources.index_table import bucket_of, IndexTable, index_rows, latest
 from lodestone.sources.segments import FRESH, Segments
@@ -80,12 +80,16 @@ def merge_batch(
     The last one of all batches, that is: an older change that comes later is passed
     over, one of the same number is merged again. Rows without a number are the oldest. A file whose chunks could not all be embedded keeps its former ones. What
     failed is returned and, with ``batch_id``, kept in ``<table>_errors``, where
-    a batch that is run again replaces its own rows.
+    a batch that is run again replaces its own rows. The batch is read twice, so it has
+    to be one that Spark can read again, as those of a stream are.
     """
     known = LastChanges(table)
     changes = batch.where(F.col("op").isin("A", "M", "D")).withColumn(
         "seq", F.coalesce(F.col("seq").cast("long"), F.lit(-1 << 63)))
-    last = staged(known.not_older(latest(changes, ["branch", "path"], [F.col("seq")])), "changes")
+    # Chosen by number first, without contents; whole rows that lose stay where they lie and are not sorted.
+    numbers = staged(known.not_older(changes.groupBy("branch", "path").agg(F.max("seq").alias("seq"))), "numbers")
+    newest = likely(changes, numbers, ["branch", "path", "seq"])
+    last = staged(known.not_older(latest(newest, ["branch", "path"], [F.col("seq")])), "changes")
     files = last.where(F.col("op").isin("A", "M")).select(
         F.lit(repo).alias("repo"), "branch", "path", "content"
     )
@@ -98,7 +102,7 @@ def merge_batch(
     errors = staged(error_reports(embedded), "errors")
     if batch_id is not None:
         _keep_errors(table, errors.withColumn("batch", F.lit(batch_id)))
-    dropped(last, embedded)
+    dropped(numbers, last, embedded)
     return errors
 
 

@@ -396,3 +396,18 @@ def test_whole_rows_are_only_moved_for_ids_that_repeat(spark, table, monkeypatch
     monkeypatch.setattr(index_table, "one_per_id", moved)
     index_changes(table, files, files.selectExpr("path", "'A' AS op"), repo="r", model=HashingModel(8), dim=8)
     assert table.read().count() == 5
+
+
+def test_whole_changes_are_compared_only_for_the_last_of_a_path(spark, table, monkeypatch):
+    from lodestone.streaming import delta
+
+    compared, whole = [], delta.latest
+    def noted(rows, *more):
+        compared.append(sorted((r.path or "", r.seq) for r in rows.collect()))
+        return whole(rows, *more)
+    monkeypatch.setattr(delta, "latest", noted)
+    log = [(seq, "main", f"{seq % 3}.txt", "M", bytearray(b"text %d" % seq)) for seq in range(40)]
+    for part in (log[20:], log[:20], log[:20] + [(37, "main", "0.txt", "M", bytearray(b"late"))]):
+        merge_batch(table, spark.createDataFrame(part, STREAM), repo="repo", model=HashingModel(DIM), dim=DIM)
+    assert compared == [[("0.txt", 39), ("1.txt", 37), ("2.txt", 38)], [], []]
+    assert sorted(r.chunk for r in table.read().collect()) == ["text 37", "text 38", "text 39"]
