@@ -266,6 +266,72 @@ def test_quality_without_examples(labelled):
     assert quality.train(docs.where("false"), labels, F.lit(True)).cut == -1.0
 
 
+def brute_force(good, bad):
+    """Weights, cut and spread from all rows at once, by plain gradient sums over the pairs of one block."""
+    rows = np.array(good + bad)
+    mean, scale = rows.mean(0), np.maximum(rows.std(0), 1e-6)
+    good, bad = (np.clip((np.array(sorted(x)) - mean) / scale, -8, 8) for x in (good, bad))
+    gap = quality.pairs(good, bad)
+    weights = np.zeros(rows.shape[1])
+    for _ in range(60):
+        miss = 1 / (1 + np.exp(gap @ weights))
+        slope = sum(m * g for m, g in zip(miss, gap)) / len(gap) - 1e-3 * weights
+        curve = sum(m * (1 - m) * np.outer(g, g) for m, g in zip(miss, gap)) / len(gap) + 1e-3 * np.eye(len(weights))
+        step = np.linalg.solve(curve, slope)
+        weights = weights + step * min(1.0, 5 / np.linalg.norm(step))
+        if np.linalg.norm(step) < 1e-11:
+            break
+    a, b = np.sort(good @ weights), np.sort(bad @ weights)
+    every = np.sort(np.concatenate([a, b]))
+    return weights, (every[len(b) - 1] + every[len(b)]) / 2, (np.median(a) - np.median(b)) / 10
+
+
+def test_quality_model_against_all_rows_at_once(spark):
+    chosen = random.Random(4)
+    rows = [(i, q, [chosen.gauss(0.4 * q, 1.0) for _ in quality.FEATURES]) for i, q in enumerate([1] * 60 + [0] * 41)]
+    # In the order of features, in which the block holds them, whatever the ids are.
+    rows = [(i, q, told) for i, (_, q, told) in enumerate(sorted(rows, key=lambda r: (-r[1], r[2])))]
+    model = quality.fit(spark.createDataFrame(rows, "doc_id long, quality int, features array<double>").repartition(5))
+    weights, cut, spread = brute_force([r[2] for r in rows if r[1] == 1], [r[2] for r in rows if r[1] == 0])
+    assert np.allclose(model.weights, weights, atol=1e-8)
+    assert np.allclose([model.cut, model.spread], [cut, spread], atol=1e-8)
+
+
+def test_pairs_hold_every_row():
+    good, bad = np.arange(50.0)[:, None] * 1000, -np.arange(7.0)[:, None]
+    gap = quality.pairs(good, bad)[:, 0]
+    assert Counter((gap // 1000).tolist()) == dict.fromkeys(range(50), quality.PAIRS_PER_ROW)
+    assert min(Counter((gap % 1000).tolist()).values()) >= quality.PAIRS_PER_ROW
+
+
+def few_and_many(make_docs, spark, n=9_000):
+    """Labelled rows beyond 4,000 of a label, those with the largest hash of their id unlike the others, and 5 bad ones."""
+    docs = make_docs([(i, "the thing is said" + " and so" * (i % 5)) for i in range(n)])
+    last = docs.orderBy(F.xxhash64("doc_id").desc()).limit(1_500)
+    docs = docs.join(last.select("doc_id", F.lit(True).alias("odd")), "doc_id", "left").withColumn(
+        "text", F.when(F.col("odd"), F.concat("text", F.lit(" 1234567890"))).otherwise(F.col("text"))).drop("odd")
+    bad = make_docs([(n + i, "LOUD ## " * (9 + i)) for i in range(5)])
+    labels = docs.select("doc_id", F.lit(1).alias("quality")).unionByName(bad.select("doc_id", F.lit(0).alias("quality")))
+    return docs.select(*bad.columns).unionByName(bad), labels
+
+
+def test_quality_learns_from_every_label(spark, make_docs):
+    docs, labels = few_and_many(make_docs, spark)
+    model = quality.train(docs, labels, F.lit(True))
+    told = np.array([quality.features(r.text) for r in docs.select("text").collect()])
+    assert np.allclose(model.mean, told.mean(0)) and np.allclose(model.scale, np.maximum(told.std(0), 1e-6))
+    raw = np.sort(model.raw(told))
+    assert model.cut == pytest.approx((raw[4] + raw[5]) / 2, abs=1e-9)
+    assert quality.good_rows(docs, model).count() == 9_000
+
+
+def test_quality_learns_from_every_text_of_an_id(make_docs, spark):
+    rows = [(1, "a small thing"), (1, "another one, with more words."), (1, "a small thing"), (2, "LOUD ## NOISE ##")]
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    model = quality.train(make_docs(rows), labels, F.lit(True))
+    assert np.allclose(model.mean, np.mean([quality.features(t) for t in (rows[0][1], rows[1][1], rows[3][1])], axis=0))
+
+
 def test_labels_of_held_out_rows_are_not_learned(labelled):
     docs, labels = labelled
     apart = held_out(F.col("doc_id"), 4, 2)
