@@ -325,6 +325,18 @@ def test_quality_learns_from_every_label(spark, make_docs):
     assert quality.good_rows(docs, model).count() == 9_000
 
 
+def test_quality_stage_learns_from_every_label(spark, make_docs, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    docs, labels = few_and_many(make_docs, spark)
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    models, kept = [], quality.good_rows
+    monkeypatch.setattr(quality, "good_rows", lambda rows, model: models.append(model) or kept(rows, model))
+    assert corpus_pipeline.good(spark, docs, str(tmp_path)).count() >= 8_999
+    learned = docs.where(~held_out(F.col("doc_id"), 4, 2)).select("text").collect()
+    assert np.allclose(models[0].mean, np.mean([quality.features(r.text) for r in learned], axis=0))
+
+
 def test_quality_learns_from_every_text_of_an_id(make_docs, spark):
     rows = [(1, "a small thing"), (1, "another one, with more words."), (1, "a small thing"), (2, "LOUD ## NOISE ##")]
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
