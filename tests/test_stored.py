@@ -264,6 +264,35 @@ def test_postings_are_moved_once(spark, tmp_path, monkeypatch):
         assert "RebalancePartitions" not in plans[name]
 
 
+def test_blocks_are_made_by_range(monkeypatch):
+    import pyarrow as pa
+
+    from lodestone.sources import postings_store as P
+
+    chosen = random.Random(15)
+    texts = [(i % 5, None if i == 7 else f"c{i:02}", chosen.choices(["straße", "b", "a", "z9", f"own{i}"], k=1 + i % 9)) for i in range(40)]
+    texts.append((2, "long", ["b"] * 70_000 + [f"w{i}" for i in range(70_000)]))
+    chunks = [[{"id": i, "repo": "r", "branch": None, "length": len(w), "tokens": " ".join(w)} for at, i, w in texts if at == place] for place in range(5)]
+    expected = {}
+    for at, i, w in texts:
+        for k, x in enumerate(w):
+            expected.setdefault((x, at, i), (len(w), []))[1].append(k)
+    kind = pa.list_(pa.struct([("id", pa.string()), ("repo", pa.string()), ("branch", pa.string()), ("length", pa.int32()), ("tokens", pa.string())]))
+    batches = [pa.record_batch({"range": pa.array(some, pa.int32()), "chunks": pa.array([chunks[i] for i in some], kind)}) for some in ([3, 0, 2], [4, 1], [])]
+    for at_once, in_batch in ((1 << 20, 1 << 15), (1, 300), (30, 4000)):
+        monkeypatch.setattr(P, "WORDS_AT_ONCE", at_once)
+        monkeypatch.setattr(P, "POSTINGS_PER_BATCH", in_batch)
+        rows = [r for b in P._range_words(iter(batches)) for r in b.to_pylist()]
+        found = {(r["term"], r["range"]): r for r in rows}
+        assert len(found) == len(rows) and all(r["n"] == len(r["entries"]) and r["dead"] == 0 for r in rows)
+        assert {(t, at, e["id"]): (e["length"], e["positions"]) for (t, at), r in found.items() for e in r["entries"]} == expected
+        for r in rows:
+            assert [e["id"] or "" for e in r["entries"]] == sorted(e["id"] or "" for e in r["entries"])
+            pairs = {(e["tf"], e["length"]) for e in r["entries"]}
+            best = [p for p in pairs if not any(q != p and q[0] >= p[0] and q[1] <= p[1] for q in pairs)]
+            assert [(p["tf"], p["length"]) for p in r["peaks"]] == sorted(best, key=lambda p: p[1])
+
+
 def test_rows_under_one_id_and_without_words_count_as_before(spark, tmp_path):
     rows = spark.createDataFrame([
         ("a", "r", "m", "x y"), ("a", "r", "m", "x z"), ("b", "r", "m", "--"), ("b", "r", "m", ""), ("c", "r", "m", None),
