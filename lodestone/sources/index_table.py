@@ -27,7 +27,7 @@ from lodestone.functions.vector import checked
 from lodestone.operators.fusion import fetched, rrf
 from lodestone.operators.keyword import corpus_stats, like, top_by
 from lodestone.operators.vectors import vector_search
-from lodestone.plans.checkpoint import children, collected, exists, file_system, staged
+from lodestone.plans.checkpoint import children, codes, collected, dropped, exists, file_system, staged
 from lodestone.sources.postings_store import PostingsStore
 from lodestone.sources.registry import StoreConfig, register_store
 from lodestone.sources.segments import warehouse_folder
@@ -92,6 +92,29 @@ def one_per_id(rows: DataFrame) -> DataFrame:
     return marked.where("_place = 1").withColumn("id", checked_id).select(*rows.columns)
 
 
+def parted(rows: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose id has none of the ``known`` codes, told where they lie, and the others."""
+    coded = rows.withColumn("_code", F.xxhash64("id"))
+    sure, others = (coded.join(F.broadcast(known), "_code", how).drop("_code") for how in ("left_anti", "left_semi"))
+    return sure, others
+
+
+def without_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` under none of ``ids``; whole rows stay where they lie unless there are very many ids.
+
+    Of rows whose code is that of one of the ids only ids are moved, and those that share no more than the code are kept by these.
+    """
+    ids = ids.where("id is not null")
+    known = codes(ids, ["id"])
+    if known is None:
+        return rows.join(ids, "id", "left_anti")
+    sure, others = parted(rows, known)
+    alike = staged(others.select("id").join(ids, "id", "left_anti").distinct(), "alike")
+    if alike.isEmpty():
+        return sure
+    return sure.unionByName(others.join(F.broadcast(alike), others["id"].eqNullSafe(alike["id"]), "left_semi"))
+
+
 def without_orphans(index: DataFrame, chunks: DataFrame) -> DataFrame:
     """Postings whose chunk is still there."""
     return index.join(chunks.select("id"), "id", "left_semi")
@@ -261,9 +284,16 @@ class IndexTable:
         bucket = bucket_of(F.col("path"), self.buckets)
         given.withColumn("bucket", bucket).write.mode("overwrite").parquet(f"{folder}/rows")
         written = self.spark.read.parquet(f"{folder}/rows").drop("bucket")
-        # Whole rows are moved only where ids repeat.
-        if not written.groupBy("id").count().where("count > 1").isEmpty():
-            one_per_id(written).withColumn("bucket", bucket).write.mode("overwrite").parquet(f"{folder}/once")
+        # Whole rows are moved only where ids repeat, and only those.
+        repeated = staged(written.groupBy("id").count().where("count > 1").select("id"), "repeated")
+        if not repeated.isEmpty():
+            known = codes(repeated, ["id"])
+            once = one_per_id(written)
+            if known is not None:
+                single, others = parted(written, known)
+                once = single.unionByName(one_per_id(others))
+            once.withColumn("bucket", bucket).write.mode("overwrite").parquet(f"{folder}/once")
+        dropped(repeated)
         if deletions is None:
             deletions = self._deletions(self.spark.createDataFrame([], "path string"), "")
         deletions.write.mode("overwrite").parquet(f"{folder}/deletions")
@@ -273,7 +303,7 @@ class IndexTable:
             existing.join(rows.select("id"), "id", "left_semi").select("id"))
         dead.distinct().write.mode("overwrite").parquet(f"{folder}/dead")
         self.spark.range(1).write.mode("overwrite").parquet(f"{folder}/ready")
-        self._finish(number)
+        self._finish(number, first=True)
 
     def recover(self) -> None:
         """Finish a batch that was cut short; one that was not complete yet has changed nothing and goes."""
@@ -291,11 +321,13 @@ class IndexTable:
         touched = staged(rows.select("repo", "bucket").unionByName(gone.select("repo", "bucket")).distinct(), "touched")
         return rows, gone, touched
 
-    def _finish(self, number: int) -> None:
+    def _finish(self, number: int, first: bool = False) -> None:
         folder = f"{self.batches}/batch={number}"
         rows, _, touched = self._batch(folder)
         dead = self.spark.read.schema("id string").parquet(f"{folder}/dead")
-        self._rewrite(rows, dead, touched)
+        # Ids of the batch that were there are dead; a step that is repeated may find the others as well.
+        replaced = dead if first else dead.unionByName(rows.select("id")).distinct()
+        self._rewrite(rows, replaced, touched)
         collected(self.spark)
         if self.store and self.store.last_batch() < number:
             self.store.commit(rows, dead, number)
@@ -326,14 +358,12 @@ class IndexTable:
             touched.where("bucket >= 0").distinct(), keys, "left_semi"
         )
 
-    def _rewrite(self, rows: DataFrame, dead: DataFrame, touched: DataFrame) -> None:
-        """Merge a batch into the chunks, in place of ``dead`` ids; a second time it changes nothing."""
+    def _rewrite(self, rows: DataFrame, replaced: DataFrame, touched: DataFrame) -> None:
+        """Merge a batch into the chunks, in place of ``replaced`` ids."""
         if touched.isEmpty():
             return
         existing = self._scope(touched)
-        # One list of ids, so that whole rows are moved once to leave out what goes.
-        replaced = dead.unionByName(rows.select("id")).distinct()
-        changed = existing.join(replaced, "id", "left_anti").unionByName(rows)
+        changed = without_ids(existing, replaced).unionByName(rows)
         emptied = self._emptied(existing, changed)
         # Rebalancing splits a large partition over several tasks and files.
         (

@@ -398,6 +398,31 @@ def test_whole_rows_are_only_moved_for_ids_that_repeat(spark, table, monkeypatch
     assert table.read().count() == 5
 
 
+def test_ids_are_left_out_where_rows_lie(spark, monkeypatch):
+    from lodestone.plans import checkpoint
+    from lodestone.sources.index_table import without_ids
+
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4), (None, 5)], "id string, n int")
+    gone = spark.createDataFrame([("b",), ("b",), ("x",), (None,)], "id string")
+    for most in (1 << 21, 0):
+        monkeypatch.setattr(checkpoint, "NAMED_KEYS", most)
+        found = without_ids(rows, gone)
+        assert sorted(r.n for r in found.collect()) == [1, 4, 5]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("_code" in plan) == (most > 0)
+
+
+def test_only_rows_of_ids_that_repeat_are_moved(spark, table, monkeypatch):
+    from lodestone.sources import index_table
+
+    moved, once = [], index_table.one_per_id
+    monkeypatch.setattr(index_table, "one_per_id", lambda rows: moved.append(rows) or once(rows))
+    files = spark.createDataFrame([("r", "main", f"f{i}.txt", f"text {i}".encode()) for i in (0, 1, 2, 2)], S.FILES)
+    index_changes(table, files, files.selectExpr("path", "'A' AS op"), repo="r", model=HashingModel(8), dim=8)
+    assert sorted(r.chunk for r in table.read().collect()) == ["text 0", "text 1", "text 2"]
+    assert "_code" in moved[-1]._jdf.queryExecution().analyzed().toString()
+
+
 def test_whole_changes_are_compared_only_for_the_last_of_a_path(spark, table, monkeypatch):
     from lodestone.streaming import delta
 
